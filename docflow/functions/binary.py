@@ -41,7 +41,9 @@ def unscaled_to_decimal(unscaled: Column, scale: int = 9, precision: int = 38) -
     """Integer ``unscaled`` → ``unscaled * 10^-scale`` as ``decimal(precision, scale)``, exactly."""
     if scale == 0:
         return unscaled.cast(f"decimal({precision},0)")
-    digits = F.lpad(F.abs(unscaled).cast("string"), scale + 1, "0")
+    raw = F.abs(unscaled).cast("string")
+    # lpad truncates longer strings, so pad only short ones
+    digits = F.when(F.length(raw) <= scale, F.lpad(raw, scale + 1, "0")).otherwise(raw)
     n = F.length(digits)
     text = F.concat(
         F.when(unscaled < 0, F.lit("-")).otherwise(F.lit("")),
