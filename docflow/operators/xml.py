@@ -120,9 +120,19 @@ def read_xml_files(
     return extract_xml(files, "content", spec, keep=["path"] if keep_path else [], **kw)
 
 
-def explode_records(df: DataFrame, array_col: str, *, outer: bool = False) -> DataFrame:
+def explode_records(df: DataFrame, array_col: str | Column, *, outer: bool = False) -> DataFrame:
     """Repeated groups to rows (XML-13): one row per element of an array of
-    records, its fields as columns, other columns repeated."""
-    others = [c for c in df.columns if c != array_col]
-    gen = F.inline_outer if outer else F.inline
-    return df.select(*others, gen(F.col(array_col)))
+    records, its fields as columns, other columns repeated. ``outer=True`` keeps
+    documents with no element (fields null).
+
+    Built on ``posexplode_outer`` plus a filter on the position: a plain
+    ``inline`` makes Catalyst infer ``size(array) > 0`` and push it below the
+    parse projection, which would parse every document twice.
+    """
+    arr = F.col(array_col) if isinstance(array_col, str) else array_col
+    name = array_col if isinstance(array_col, str) else None
+    others = [F.col(c) for c in df.columns if c != name]
+    exploded = df.select(*others, F.posexplode_outer(arr).alias("__pos", "__rec"))
+    if not outer:
+        exploded = exploded.where(F.col("__pos").isNotNull())
+    return exploded.select(*others, "__rec.*")

@@ -125,7 +125,7 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
 
     if isinstance(t, Scalar) and not f.function:
         first, plain = first_value(ctx, steps)
-        if plain:
+        if plain or t.kind in ("string", "boolean", "bytes"):  # input read once
             out = convert(first, t, opts.mode, what)
         else:  # bind the first match once; the converter reads it several times
             out = F.get(F.transform(F.array(first), lambda x: convert(x, t, opts.mode, what)), 0)

@@ -78,9 +78,13 @@ def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PE
         .otherwise(F.pmod(F.xxhash64("row_tag"), F.col("n_chunks")))
         .cast("int")
     )
+    # collect_list has nothing to combine map-side, so shuffle on the group key
+    # first: the one exchange the grouping needs anyway, and the list building
+    # then runs on every reduce task (hot orders spread over their chunks)
     lines = (
         tagged.join(hot, tagged.l_orderkey == hot.hot_key, "left")
         .withColumn("chunk", chunk)
+        .repartition("l_orderkey", "chunk")
         .groupBy("l_orderkey", "chunk")
         .agg(F.sort_array(F.collect_list(_line_struct())).alias("line"))
     )
@@ -131,7 +135,7 @@ def order_documents(
 ) -> DataFrame:
     """``(o_orderkey, chunk, xml)``: one document per order (per chunk of a hot order)."""
     rows = order_document_rows(orders, lineitem, max_lines_per_doc=max_lines_per_doc)
-    xml = F.to_xml(F.struct(*DOC_FIELDS), {"rowTag": "order"})
+    xml = F.to_xml(F.struct(*DOC_FIELDS), {"rowTag": "order", "indent": ""})
     if as_binary:
         xml = xml.cast("binary")
     return rows.select("o_orderkey", "chunk", xml.alias("xml"))

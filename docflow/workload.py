@@ -100,7 +100,7 @@ def xml_nested_record(spark, d):
 def xml_primitive_array(spark, d):
     """XML-8 / FN-14: arrays of converted attribute and text values."""
     ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "parts", "prices"])
-    z = ex.select("key", F.inline(F.arrays_zip("parts", "prices")))
+    z = explode_records(ex.select("key", F.arrays_zip("parts", "prices").alias("z")), "z")
     return z.select(
         F.col("key").alias("o_orderkey"), F.col("parts").alias("l_partkey"), F.col("prices").alias("l_extendedprice")
     )
