@@ -25,7 +25,9 @@ from ..functions.convert import STRICT, convert, convert_array
 from .paths import ATTR, TEXT, Node, Step, build_trie, parse_path
 from .spec import ArrayOf, FieldSpec, MappingSpec, Record, Scalar, SpecError
 
-_EMPTY_STRINGS = F.array().cast(T.ArrayType(T.StringType()))
+
+def _empty_strings() -> Column:
+    return F.array().cast(T.ArrayType(T.StringType()))
 
 
 @dataclass
@@ -139,7 +141,7 @@ def _typed_values(f: FieldSpec, values: Column, string_value: Column | None, opt
     t = f.type
     if f.function:
         fn = registry.lookup(f.function)
-        m = registry.Matches(values=F.coalesce(values, _EMPTY_STRINGS), string_value=string_value)
+        m = registry.Matches(values=F.coalesce(values, _empty_strings()), string_value=string_value)
         return fn(m).try_cast(t.spark_type())
     if isinstance(t, ArrayOf):
         return F.when(F.size(values) > 0, convert_array(values, t.element, opts.mode, what))

@@ -1,0 +1,53 @@
+"""Structured Streaming use of the same operators.
+
+``extract_xml`` and ``lookup_with_default`` are stateless (a projection and a
+stream-static join), so they apply unchanged to a streaming DataFrame. This
+module only adds the sink side: an append to files with a checkpoint in the
+cluster's shared folder, run once over what is available (``availableNow``)
+or continuously.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..session import shared_dir
+
+
+def append_stream(
+    df: DataFrame,
+    path: str,
+    *,
+    checkpoint: str | None = None,
+    fmt: str = "parquet",
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start ``df.writeStream`` in append mode to ``path``. The checkpoint lives in
+    the shared ``spark.checkpoint.dir`` unless given, so a restarted driver or a
+    lost executor resumes exactly once."""
+    spark = df.sparkSession
+    cp = checkpoint or shared_dir(spark, "stream-checkpoint")
+    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", cp)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start(path)
+
+
+def run_available_now(df: DataFrame, path: str, **kw) -> None:
+    """Process everything available now, then stop (batch-like run of a stream)."""
+    q = append_stream(df, path, available_now=True, **kw)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream source with a fixed schema."""
+    r = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path)
