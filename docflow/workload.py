@@ -348,6 +348,32 @@ def sink_roundtrip(spark, d):
     )
 
 
+def stream_xml_status_totals(spark, d):
+    """Structured Streaming: order documents (derived from the tables, written to the
+    shared folder) read as a file stream, extracted, enriched by a stream-static
+    lookup, appended with an availableNow trigger and a checkpoint, read back."""
+    from .streaming import read_stream, run_available_now
+
+    base = shared_dir(spark, "stream_xml_status_totals")
+    _docs(spark, d).write.parquet(base + "/docs")
+    stream = read_stream(spark, base + "/docs", spark.read.parquet(base + "/docs").schema)
+    ex = extract_xml(stream, "xml", ORDER_SPEC, columns=["key", "status", "lines"])
+    lines = explode_records(ex, "lines").select("key", "status", "qty", "price")
+    ref = io.query_scan(
+        spark,
+        "SELECT DISTINCT o_orderstatus AS s, lower(o_orderstatus) AS s_lower FROM docflow_orders WHERE o_orderstatus <> 'P'",
+        {"docflow_orders": _t(spark, d, "orders")},
+    )
+    enriched = lookup_with_default(lines, ref, "status", "s", "s_lower", "status_name")
+    run_available_now(enriched, base + "/out", checkpoint=base + "/checkpoint")
+    out = spark.read.parquet(base + "/out")
+    return out.groupBy(F.col("status").alias("o_orderstatus"), "status_name").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.round(F.sum("qty"), 2).alias("sum_qty"),
+        F.round(F.sum("price"), 2).alias("sum_price"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "xml_status_totals": xml_status_totals,
     "xml_extract_lines": xml_extract_lines,
@@ -375,12 +401,17 @@ QUERIES: dict[str, Query] = {
     "partition_drop_rows": partition_drop_rows,
     "transform_and_filter": transform_and_filter,
     "sink_roundtrip": sink_roundtrip,
+    "stream_xml_status_totals": stream_xml_status_totals,
 }
 
 _LINES = "orders JOIN lineitem ON l_orderkey = o_orderkey"
 _DEC = "CAST(CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(38,9)) AS VARCHAR)"
 
 ORACLE_SQL: dict[str, str] = {
+    "stream_xml_status_totals": f"""
+        SELECT o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN lower(o_orderstatus) ELSE 'UNKNOWN' END AS status_name,
+               COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice), 2) AS sum_price
+        FROM {_LINES} GROUP BY o_orderstatus""",
     "xml_status_totals": f"""
         SELECT o_orderstatus, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty,
                ROUND(SUM(l_extendedprice), 2) AS sum_price
