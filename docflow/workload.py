@@ -13,9 +13,10 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import jobs
-from .functions.binary import be_bytes_to_decimal, decode_utf8, encode_utf8, long_to_be_bytes
+from .functions.binary import be_bytes_to_decimal, encode_utf8, long_to_be_bytes
 from .operators import partition as P
 from .operators import shape
 from .operators.lookup import lookup_with_default
@@ -24,7 +25,6 @@ from .operators.xml import explode_records, extract_xml, read_xml
 from .session import shared_dir
 from .sources import io
 from .sources.corpus import ORDER_SPEC, epoch_millis_ntz, order_documents, write_order_files
-from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -67,3 +67,11 @@ def test_shared_prefix_paths_merge_into_one_element():
 def test_function_needs_scalar():
     with pytest.raises(S.SpecError):
         S.fld("x", S.array("int"), "a", function="sum_values")
+
+
+def test_load_spec_file(tmp_path):
+    p = tmp_path / "mapping.json"
+    p.write_text(json.dumps(SPEC_JSON))
+    s = S.load(p)
+    assert s.names == [f["name"] for f in SPEC_JSON["fields"]]
+    assert s.field("legs").type.fields[0].path == "stop"

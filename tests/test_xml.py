@@ -5,7 +5,6 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from docflow.operators.xml import explode_records, extract_xml
 from docflow.plans import spec as S
