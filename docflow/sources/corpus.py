@@ -62,6 +62,19 @@ def _line_struct() -> Column:
     )
 
 
+def row_identity(df: DataFrame) -> Column:
+    """A per-row value that separates exact copies: the file and row position of a
+    file scan (deterministic, so a retried task after an executor loss assigns
+    every row to the same chunk again); other sources fall back to
+    ``monotonically_increasing_id`` (Spark then re-runs the stages that depend on
+    it as a whole when a shuffle output is lost)."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index").schema
+        return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    except Exception:  # noqa: BLE001 - not a file source
+        return F.monotonically_increasing_id()
+
+
 def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PER_DOC) -> tuple[DataFrame, DataFrame]:
     """(line groups keyed by (l_orderkey, chunk) with the sorted ``line`` array,
     per-order line counts)."""
@@ -72,7 +85,7 @@ def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PE
         F.ceil(F.col("n_lines") / F.lit(max_lines_per_doc)).cast("int").alias("n_chunks"),
     )
     hot = bounded_broadcast(hot, MAX_BROADCAST_HOT_ORDERS)
-    tagged = li.withColumn("row_tag", F.monotonically_increasing_id())
+    tagged = li.withColumn("row_tag", row_identity(lineitem))
     chunk = (
         F.when(F.col("n_chunks").isNull(), F.lit(0))
         .otherwise(F.pmod(F.xxhash64("row_tag"), F.col("n_chunks")))
