@@ -77,17 +77,27 @@ def extract_xml(
     parsed = [F.from_xml(doc, schema, _reader_options(malformed, ignore_namespace)).alias(_RAW)]
     if needs_document_text(s):
         parsed.append(doc.alias(_DOC))
-    # Two projections: the parse is computed once and every field reads the result.
-    staged = df.select(*keep, *parsed)
+    parsed_df = df.select(*keep, *parsed)
+    extra = [_DOC] if needs_document_text(s) else []
+    corrupt = F.col(_RAW).getField(_CORRUPT) if malformed == "permissive" else None
+    return _typed(parsed_df, keep, extra, s, mode, corrupt, corrupt_col)
+
+
+def _typed(parsed_df: DataFrame, keep: list, extra: list, s: MappingSpec, mode: str,
+           corrupt: Column | None = None, corrupt_col: str = "_corrupt_record") -> DataFrame:
+    """Parse result → typed columns, in two projections after the parse: values
+    read by several expressions are staged once, then converted and assembled.
+    (Catalyst keeps the projections apart because the staged values are not cheap.)"""
     raw = F.col(_RAW)
     ok = raw.isNotNull()
-    if malformed == "permissive":
-        ok = ok & raw.getField(_CORRUPT).isNull()
-    opts = Options(mode=mode, root=s.root, doc=F.col(_DOC) if needs_document_text(s) else None)
+    if corrupt is not None:
+        ok = ok & corrupt.isNull()
+    opts = Options(mode=mode, root=s.root, doc=F.col(_DOC) if extra else None, stage=[])
     outs = [F.when(ok, c).alias(f.name) for c, f in zip(compile_spec(s, raw, opts), s.fields)]
-    if malformed == "permissive":
-        outs.append(raw.getField(_CORRUPT).alias(corrupt_col))
-    return staged.select(*keep, *outs)
+    if corrupt is not None:
+        outs.append(corrupt.alias(corrupt_col))
+    staged_df = parsed_df.select(*keep, _RAW, *extra, *opts.stage)
+    return staged_df.select(*keep, *outs)
 
 
 def read_xml(
@@ -107,8 +117,8 @@ def read_xml(
     opts = _reader_options("failfast", ignore_namespace)
     opts["rowTag"] = row_tag
     raw_df = spark.read.format("xml").options(**opts).schema(schema).load(path)
-    raw = F.struct(*[F.col(f"`{n}`") for n in schema.fieldNames()])
-    return raw_df.select(*compile_spec(s, raw, Options(mode=mode, root=s.root)))
+    parsed_df = raw_df.select(F.struct(*[F.col(f"`{n}`") for n in schema.fieldNames()]).alias(_RAW))
+    return _typed(parsed_df, [], [], s, mode)
 
 
 def read_xml_files(

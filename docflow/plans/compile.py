@@ -35,6 +35,17 @@ class Options:
     mode: str = STRICT  # conversion errors and missing required fields: raise ("strict") or null
     root: str | None = None  # root element name, for xpath-evaluated fields
     doc: Column | None = None  # document text, for xpath-evaluated fields
+    # Values that several expressions read (first matches, first nodes) are
+    # collected here and computed once in a projection of their own; the typed
+    # projection then reads them as plain columns. None: compute in place.
+    stage: list | None = None
+
+    def staged(self, value: Column) -> Column:
+        if self.stage is None:
+            return value
+        name = f"__docflow_v{len(self.stage)}"
+        self.stage.append(value.alias(name))
+        return F.col(name)
 
 
 def node_matches(ctx: Column, steps: list[Step]) -> Column:
@@ -58,13 +69,40 @@ def value_matches(ctx: Column, steps: list[Step]) -> Column:
     return F.array_compact(node_matches(ctx, elems).getField(key))
 
 
-def first_value(ctx: Column, steps: list[Step]) -> tuple[Column, bool]:
-    """First non-empty value selected by ``steps`` and whether it is a plain field read."""
+def _drop_nulls_keep_first(arr: Column, element_type: T.DataType) -> Column:
+    """``arr`` without nulls, order kept, duplicates dropped: enough to find the
+    *first* non-null element, and (unlike ``filter``) compiled by code generation."""
+    return F.array_except(arr, F.array(F.lit(None).cast(element_type)))
+
+
+def first_node(ctx: Column, node: Node, steps: list[Step]) -> Column:
+    """First element node selected by ``steps`` (a struct, or null), without lambdas."""
+    if not steps:
+        return ctx
+    nodes, cur = ctx.getField(steps[0].name), node.children[steps[0].name]
+    for s in steps[1:]:
+        child = cur.children[s.name]
+        nodes = F.flatten(_drop_nulls_keep_first(nodes.getField(s.name), child.array_type()))
+        cur = child
+    return F.get(nodes, 0)
+
+
+def first_value(ctx: Column, node: Node, steps: list[Step]) -> tuple[Column, bool]:
+    """First non-empty value selected by ``steps``, and whether it is a plain field read.
+    Built without lambdas, so a projection of scalar fields stays in whole-stage codegen."""
     if not steps:
         return ctx.getField(TEXT), True
     if steps[-1].attr and len(steps) == 1:
         return ctx.getField(ATTR + steps[-1].name), True
-    return F.get(value_matches(ctx, steps), 0), False
+    key, elems = (ATTR + steps[-1].name, steps[:-1]) if steps[-1].attr else (TEXT, steps)
+    nodes, cur = ctx.getField(elems[0].name), node.children[elems[0].name]
+    for s in elems[1:]:
+        child = cur.children[s.name]
+        nodes = F.flatten(_drop_nulls_keep_first(nodes.getField(s.name), child.array_type()))
+        cur = child
+    values = nodes.getField(key)
+    # the first match usually has a value; look further only when it does not
+    return F.coalesce(F.get(values, 0), F.get(_drop_nulls_keep_first(values, T.StringType()), 0)), False
 
 
 def first_string_value(ctx: Column, steps: list[Step]) -> Column:
@@ -100,7 +138,7 @@ def _xpath_values(f: FieldSpec, opts: Options) -> Column:
     return F.filter(values, lambda x: x != "")
 
 
-def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: str = "") -> Column:
+def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: str = "", in_lambda: bool = False) -> Column:
     t = f.type
     what = f"field {where}{f.name}"
     if f.engine == "xpath" or f.text == "first":
@@ -117,19 +155,23 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         rec = t if isinstance(t, Record) else t.element
         sub = node.walk(steps)
         if isinstance(t, Record):
-            first = ctx if not steps else F.get(node_matches(ctx, steps), 0)
-            body = _record(rec, first, sub, opts, f"{where}{f.name}.")
+            first = first_node(ctx, node, steps)
+            if steps and not in_lambda:
+                first = opts.staged(first)
+            body = _record(rec, first, sub, opts, f"{where}{f.name}.", in_lambda)
             out = F.when(first.isNotNull(), body)
         else:
             nodes = F.coalesce(node_matches(ctx, steps), F.array().cast(sub.array_type()))
-            out = F.transform(nodes, lambda x: _record(rec, x, sub, opts, f"{where}{f.name}[]."))
+            out = F.transform(nodes, lambda x: _record(rec, x, sub, opts, f"{where}{f.name}[].", True))
         return _required(out, f, opts, where)
 
     if isinstance(t, Scalar) and not f.function:
-        first, plain = first_value(ctx, steps)
-        if plain or t.kind in ("string", "boolean", "bytes"):  # input read once
+        first, plain = first_value(ctx, node, steps)
+        if plain or t.kind in ("string", "boolean", "bytes"):  # read once by the converter
             out = convert(first, t, opts.mode, what)
-        else:  # bind the first match once; the converter reads it several times
+        elif not in_lambda:  # computed once in the staging projection
+            out = convert(opts.staged(first), t, opts.mode, what)
+        else:  # inside a lambda: bind the first match once
             out = F.get(F.transform(F.array(first), lambda x: convert(x, t, opts.mode, what)), 0)
         return _required(out, f, opts, where)
     values = value_matches(ctx, steps)
@@ -149,8 +191,8 @@ def _typed_values(f: FieldSpec, values: Column, string_value: Column | None, opt
     return convert(F.get(values, 0), t, opts.mode, what)
 
 
-def _record(rec: Record, ctx: Column, node: Node, opts: Options, where: str) -> Column:
-    return F.struct(*[compile_field(c, ctx, node, opts, where).alias(c.name) for c in rec.fields])
+def _record(rec: Record, ctx: Column, node: Node, opts: Options, where: str, in_lambda: bool) -> Column:
+    return F.struct(*[compile_field(c, ctx, node, opts, where, in_lambda).alias(c.name) for c in rec.fields])
 
 
 def raw_schema(s: MappingSpec) -> T.StructType:
