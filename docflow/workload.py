@@ -153,12 +153,13 @@ def xml_sum_values(spark, d):
 def xml_malformed_permissive(spark, d):
     """XML-12: malformed documents (truncated order documents, raw web pages)
     are kept aside in permissive mode instead of failing the job."""
-    docs = _docs(spark, d).select("xml")
-    sources = (
-        docs.select(F.lit("order").alias("source"), "xml")
-        .unionByName(docs.select(F.lit("truncated").alias("source"), F.expr("substring(xml, 1, length(xml) - 3)").alias("xml")))
-        .unionByName(_t(spark, d, "pages").select(F.lit("page").alias("source"), F.col("html").alias("xml")))
+    # each document once as written and once cut short (one pass over the documents)
+    variants = F.array(
+        F.struct(F.lit("order").alias("source"), F.col("xml").alias("xml")),
+        F.struct(F.lit("truncated").alias("source"), F.expr("substring(xml, 1, length(xml) - 3)").alias("xml")),
     )
+    docs = _docs(spark, d).select(F.inline(variants))
+    sources = docs.unionByName(_t(spark, d, "pages").select(F.lit("page").alias("source"), F.col("html").alias("xml")))
     ex = extract_xml(sources, "xml", ORDER_SPEC, columns=["key"], keep=["source"], malformed="permissive")
     return ex.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"),
