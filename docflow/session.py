@@ -49,15 +49,30 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
-    unhinted (a shuffle join, with AQE's skew splitting).
-
-    The check is an exact count, so a broadcast side has a proven bound; the
-    ``limit`` stops the count early when the side is large.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor does not recompute it) and
+    later size checks read the written table instead of recomputing ``df``."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, *, materialize_first: bool = True) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` with a
+    shuffle-merge hint (a shuffle join, with AQE's skew splitting).
+
+    The check is an exact count, so a broadcast side has a proven bound. By
+    default ``df`` is materialised first, so it is computed once for both the
+    check and the join; the ``limit`` stops the count early when it is large.
     """
+    if materialize_first:
+        df = materialize(df, "broadcast-candidate")
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    # over the bound: ask for a shuffle join explicitly, so that no size estimate
+    # of the (now small-looking) written table turns it into a broadcast
+    return F.broadcast(df) if n <= max_rows else df.hint("shuffle_merge")
 
 
 def local_path(p: str) -> str:

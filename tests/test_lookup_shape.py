@@ -36,7 +36,9 @@ def test_lookup_without_broadcast_when_reference_is_large(spark, lookup_rows):
     data, ref = lookup_rows
     out = lookup_with_default(data, ref, "name", "name", "uname", "uname", max_broadcast_rows=1)
     assert {r.id: r.uname for r in out.collect()}[1] == "A"
-    assert "BroadcastExchange" not in out._jdf.queryExecution().sparkPlan().toString()
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in final and "SortMergeJoin" in final
 
 
 def test_lookup_duplicate_keys(spark, lookup_rows):
