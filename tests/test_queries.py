@@ -22,3 +22,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF_SMALL, [name])
     assert res[name][0] == "OK", res[name]
+
+
+XML_QUERIES = sorted(k for k in E.queries() if k.startswith("xml_") and k != "xml_file_scan")
+
+
+@pytest.mark.parametrize("name", XML_QUERIES)
+def test_documents_are_parsed_once(spark, name):
+    """No filter or join condition may re-evaluate the parse (Catalyst can push
+    predicates through the parse projection, which would parse twice)."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    assert not [ln for ln in lines if "from_xml(" in ln and ("Filter" in ln or "Join" in ln)]
+    assert sum(ln.count("from_xml(") for ln in lines) <= 2  # one per branch of the document build
