@@ -37,10 +37,10 @@ def _reader_options(malformed: str, ignore_namespace: bool) -> dict:
     return opts
 
 
-def _document_text(df: DataFrame, xml_col: str) -> Column:
+def _document_text(df: DataFrame, xml_col: str, encoding: str = "UTF-8") -> Column:
     c = F.col(xml_col)
-    if isinstance(df.schema[xml_col].dataType, T.BinaryType):
-        c = c.cast("string")  # documents held as bytes (UTF-8)
+    if isinstance(df.schema[xml_col].dataType, T.BinaryType):  # documents held as bytes
+        c = c.cast("string") if encoding.upper().replace("-", "") == "UTF8" else F.decode(c, encoding)
     return c
 
 
@@ -55,10 +55,12 @@ def extract_xml(
     malformed: str = "failfast",
     corrupt_col: str = "_corrupt_record",
     ignore_namespace: bool = False,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """One typed row per document.
 
-    * ``xml_col``: string or binary column holding one document per row;
+    * ``xml_col``: string or binary column holding one document per row
+      (bytes are decoded with ``encoding``, UTF-8 by default);
     * ``keep``: input columns passed through unchanged;
     * ``columns``: extract only these top-level fields (the raw schema is pruned
       too, so the parser materialises nothing else);
@@ -73,7 +75,7 @@ def extract_xml(
     schema = raw_schema(s)
     if malformed == "permissive":
         schema = schema.add(T.StructField(_CORRUPT, T.StringType()))
-    doc = _document_text(df, xml_col)
+    doc = _document_text(df, xml_col, encoding)
     parsed = [F.from_xml(doc, schema, _reader_options(malformed, ignore_namespace)).alias(_RAW)]
     if needs_document_text(s):
         parsed.append(doc.alias(_DOC))

@@ -126,3 +126,10 @@ def test_align_to_schema(spark):
     assert r.rec.ms == r.rec.us  # 1000 ms == 1,000,000 µs: the declared unit is used
     assert r.rec.dec == Decimal("1.5") and r.rec.arr[0].n == 1 and r.rec.arr[0].x is None
     assert r.rec.missing is None and r.gone is None
+
+
+def test_replace_type_in_schema(spark):
+    df = spark.createDataFrame([("a", bytearray(b"x"))], "name string, body binary")
+    st = shape.replace_type(df.schema, "body", T.StringType())
+    assert [f.dataType for f in st.fields] == [T.StringType(), T.StringType()]
+    assert shape.decode_column(df, "body").schema.simpleString() == st.simpleString()

@@ -169,3 +169,12 @@ def test_three_routes_give_the_same_rows(spark, scratch):
         assert text.exceptAll(other).count() == 0 and other.exceptAll(text).count() == 0
     hexed = extract_xml(order_documents(o, l), "xml", ORDER_SPEC, columns=["key", "status", "status_bytes"])
     assert hexed.where(F.hex("status_bytes") != F.hex(F.encode("status", "UTF-8"))).count() == 0
+
+
+def test_append_to_catalog_table_and_query_it(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "name string, n int")
+    spark.sql("DROP TABLE IF EXISTS docflow_append_t")
+    io.append(df, "docflow_append_t", table=True)
+    io.append(df, "docflow_append_t", table=True)
+    out = io.query_scan(spark, "SELECT name, SUM(n) AS n FROM docflow_append_t GROUP BY name")
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 2), ("b", 4)]

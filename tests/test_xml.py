@@ -185,3 +185,11 @@ def test_one_parse_per_document_in_plan(spark):
     ex = explode_records(extract_xml(df, "x", SPEC, columns=["carrier", "stops"]), "stops")
     plan = ex._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml(") == 1
+
+
+def test_bytes_in_another_encoding(spark):
+    doc = '<r name="Müller"><c>ça</c></r>'.encode("iso-8859-1")
+    df = spark.createDataFrame([(bytearray(doc),)], "x binary")
+    sp = S.spec(S.fld("name", "string", "@name"), S.fld("c", "string", "c"))
+    r = extract_xml(df, "x", sp, encoding="ISO-8859-1").collect()[0]
+    assert (r.name, r.c) == ("Müller", "ça")
