@@ -132,10 +132,10 @@ def _xpath_values(f: FieldSpec, opts: Options) -> Column:
         path = f"/{opts.root}/{rel}/text()" if rel else f"/{opts.root}/text()"
         values = F.xpath(opts.doc, F.lit(path))
         return F.filter(values, lambda x: F.trim(x) != "")
-    values = F.xpath(opts.doc, F.lit(f.path))
+    values = F.xpath(opts.doc, F.lit(f.path))  # element nodes come back as null: use .../text()
     if "@" in f.path:
-        return values
-    return F.filter(values, lambda x: x != "")
+        return F.filter(values, lambda x: x.isNotNull())
+    return F.filter(values, lambda x: x.isNotNull() & (x != ""))
 
 
 def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: str = "", in_lambda: bool = False) -> Column:
@@ -147,7 +147,9 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         if isinstance(t, Record) or (isinstance(t, ArrayOf) and isinstance(t.element, Record)):
             raise SpecError(f"field {f.name!r}: xpath evaluation gives text values, not records")
         values = _xpath_values(f, opts)
-        out = _typed_values(f, values, F.coalesce(F.get(values, 0), F.lit("")), opts, what)
+        # XPath string value of the first node: all of its descendant text
+        string_value = F.xpath_string(opts.doc, F.lit(f.path)) if f.text != "first" else F.coalesce(F.get(values, 0), F.lit(""))
+        out = _typed_values(f, values, string_value, opts, what)
         return _required(out, f, opts, where)
 
     steps = parse_path(f.path, f.name)

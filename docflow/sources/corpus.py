@@ -84,7 +84,9 @@ def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PE
         F.col("l_orderkey").alias("hot_key"),
         F.ceil(F.col("n_lines") / F.lit(max_lines_per_doc)).cast("int").alias("n_chunks"),
     )
-    hot = bounded_broadcast(hot, MAX_BROADCAST_HOT_ORDERS)
+    # cheap to recompute (one column, map-side combined) and shared with the
+    # anti join below, so it is counted in place rather than materialised
+    hot = bounded_broadcast(hot, MAX_BROADCAST_HOT_ORDERS, materialize_first=False)
     tagged = li.withColumn("row_tag", row_identity(lineitem))
     chunk = (
         F.when(F.col("n_chunks").isNull(), F.lit(0))

@@ -193,3 +193,16 @@ def test_bytes_in_another_encoding(spark):
     sp = S.spec(S.fld("name", "string", "@name"), S.fld("c", "string", "c"))
     r = extract_xml(df, "x", sp, encoding="ISO-8859-1").collect()[0]
     assert (r.name, r.c) == ("Müller", "ça")
+
+
+def test_xpath_engine_string_value_of_element(spark):
+    sp = S.spec(
+        S.fld("len_all", "int", "/r/mix", engine="xpath", function="string_length"),
+        S.fld("len_own", "int", "mix", function="string_length"),
+        S.fld("texts", S.array("string"), "/r/mix//text()", engine="xpath"),
+        root="r",
+    )
+    r = one(spark, "<r><mix>first<b>mid</b>last</mix></r>", sp)
+    assert r.len_all == len("firstmidlast")  # XPath string value: all descendant text
+    assert r.len_own == len("last")  # own text run only (documented)
+    assert r.texts == ["first", "mid", "last"]
