@@ -133,3 +133,32 @@ def test_replace_type_in_schema(spark):
     st = shape.replace_type(df.schema, "body", T.StringType())
     assert [f.dataType for f in st.fields] == [T.StringType(), T.StringType()]
     assert shape.decode_column(df, "body").schema.simpleString() == st.simpleString()
+
+
+def test_lookup_shuffle_path_splits_a_hot_key(spark):
+    """A third of the input rows share one key; beyond the broadcast bound the
+    lookup is a sort-merge join and AQE splits the hot partition; every row stays."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        data = spark.range(30000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")
+        )
+        ref = spark.range(20000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v")).union(
+            spark.createDataFrame([("hot", "H")], "k string, v string"))
+        out = lookup_with_default(data, ref, "k", "k", "v", "v", max_broadcast_rows=10)
+        counted = out.groupBy("v").count()
+        got = counted.collect()
+        assert {r.v: r["count"] for r in got} == {"H": 10000, "v": 13333, "UNKNOWN": 6667}
+        final = counted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
