@@ -75,9 +75,11 @@ def row_identity(df: DataFrame) -> Column:
         return F.monotonically_increasing_id()
 
 
-def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PER_DOC) -> tuple[DataFrame, DataFrame]:
+def order_line_groups(
+    lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PER_DOC
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(line groups keyed by (l_orderkey, chunk) with the sorted ``line`` array,
-    per-order line counts)."""
+    per-order line counts, hot orders with their chunk count)."""
     li = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_extendedprice", "l_discount")
     counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     hot = counts.where(F.col("n_lines") > max_lines_per_doc).select(
@@ -103,7 +105,7 @@ def order_line_groups(lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PE
         .groupBy("l_orderkey", "chunk")
         .agg(F.sort_array(F.collect_list(_line_struct())).alias("line"))
     )
-    return lines, counts
+    return lines, counts, hot
 
 
 def order_document_rows(
@@ -111,11 +113,24 @@ def order_document_rows(
 ) -> DataFrame:
     """``(o_orderkey, chunk, <document fields>)``: the fields of each order document
     as columns (attributes prefixed with ``_``), ready for ``to_xml`` or the XML writer."""
-    lines, counts = order_line_groups(lineitem, max_lines_per_doc)
+    lines, counts, hot = order_line_groups(lineitem, max_lines_per_doc)
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    # inner join: AQE may split a skewed key on either side; orders without a
-    # line are added back by an anti join against the (one row per order) counts
-    with_lines = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner").drop("l_orderkey")
+    # One orders row per (order, chunk): a hot order is repeated once per chunk
+    # (few rows). The join then runs on (order, chunk), the key the grouped lines
+    # are already partitioned by, so the line data is not shuffled a second time
+    # and no task receives a hot order whole.
+    chunk_ids = (
+        F.when(F.col("n_chunks").isNull(), F.array(F.lit(0)))
+        .otherwise(F.sequence(F.lit(0), F.col("n_chunks") - 1))
+    )
+    o_chunks = o.join(hot, F.col("o_orderkey") == F.col("hot_key"), "left").select(
+        *o.columns, F.explode(chunk_ids).alias("o_chunk")
+    )
+    with_lines = lines.join(
+        o_chunks, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("chunk") == F.col("o_chunk")), "inner"
+    ).drop("l_orderkey", "o_chunk")
+    # orders without a line are added back by an anti join against the (one row
+    # per order) counts
     without = (
         o.join(counts, o.o_orderkey == counts.l_orderkey, "left_anti")
         .withColumn("chunk", F.lit(0))
