@@ -29,24 +29,26 @@ def get_session(master: str | None = None, app: str = "docflow", conf: dict | No
     return b.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate data.
 
-    The setting is read from the session; only when it is unset (local runs,
-    tests) is one chosen under the warehouse folder and registered.
+    Read from the session: ``spark.checkpoint.dir`` as configured, else a
+    directory set with ``setCheckpointDir``. Only when neither exists (local
+    runs, tests) is one chosen under the warehouse folder and registered with
+    ``setCheckpointDir`` (the config itself cannot be changed at runtime).
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            base = None
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         wh = spark.conf.get("spark.sql.warehouse.dir")
-        base = (wh[5:] if wh.startswith("file:") else wh).rstrip("/") + "/_docflow_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
+        sc.setCheckpointDir(wh.rstrip("/") + "/_docflow_checkpoints")
+        base = sc.getCheckpointDir()
+    return base
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under :func:`checkpoint_base`."""
+    return "/".join([checkpoint_base(spark).rstrip("/"), *parts, uuid.uuid4().hex])
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

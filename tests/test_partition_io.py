@@ -178,3 +178,35 @@ def test_append_to_catalog_table_and_query_it(spark):
     io.append(df, "docflow_append_t", table=True)
     out = io.query_scan(spark, "SELECT name, SUM(n) AS n FROM docflow_append_t GROUP BY name")
     assert sorted(tuple(r) for r in out.collect()) == [("a", 2), ("b", 4)]
+
+
+def test_checkpoint_base_fallback_without_config(spark):
+    """Without spark.checkpoint.dir the shared folder falls back to one registered
+    with setCheckpointDir (the config cannot be set at runtime)."""
+    from docflow import session as Sx
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d + "/app-uuid"
+
+    class Fake:
+        sparkContext = Ctx()
+        conf = spark.conf
+
+    base = Sx.checkpoint_base(Fake())
+    assert base.endswith("_docflow_checkpoints/app-uuid")
+    assert Sx.checkpoint_base(Fake()) == base  # found again, not re-registered
+    assert Sx.shared_dir(spark, "x").startswith(Sx.checkpoint_base(spark).rstrip("/") + "/x/")
