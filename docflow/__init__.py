@@ -1 +1,32 @@
 """docflow: typed extraction from XML documents and reference-data enrichment on Spark DataFrames."""
+
+from .jobs import enrich, enrich_and_append, extract_xml_and_append, transform_and_filter
+from .operators.lookup import lookup_with_default
+from .operators.partition import drop_rows_in_partitions, map_partitions
+from .operators.records import align_to_schema
+from .operators.xml import explode_records, extract_xml, read_xml, read_xml_files
+from .plans.spec import MappingSpec, SpecError, from_json, load
+from .session import bounded_broadcast, get_session, materialize, shared_dir
+
+__all__ = [
+    "MappingSpec",
+    "SpecError",
+    "align_to_schema",
+    "bounded_broadcast",
+    "drop_rows_in_partitions",
+    "enrich",
+    "enrich_and_append",
+    "explode_records",
+    "extract_xml",
+    "extract_xml_and_append",
+    "from_json",
+    "get_session",
+    "load",
+    "lookup_with_default",
+    "map_partitions",
+    "materialize",
+    "read_xml",
+    "read_xml_files",
+    "shared_dir",
+    "transform_and_filter",
+]
