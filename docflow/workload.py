@@ -22,6 +22,7 @@ from .operators import shape
 from .operators.lookup import lookup_with_default
 from .operators.records import align_to_schema
 from .operators.xml import explode_records, extract_xml, read_xml
+from .plans import spec as S
 from .session import shared_dir
 from .sources import io
 from .sources.corpus import ORDER_SPEC, epoch_millis_ntz, order_documents, write_order_files
@@ -168,6 +169,27 @@ def xml_malformed_permissive(spark, d):
     )
 
 
+XPATH_SPEC = S.spec(
+    S.fld("key", "long", "@key", nullable=False),
+    S.fld("info_len", "int", "/order/info", engine="xpath", function="string_length"),
+    S.fld("n_sum", "int", "/order/lines/line/@n", engine="xpath", function="sum_values"),
+    S.fld("priority", "string", "cust", text="first"),
+    root="order",
+)
+
+
+def xml_xpath_fields(spark, d):
+    """FN-2 on a non-leaf element (XPath string value = all descendant text),
+    sum_values through the XPath engine, and the first text run of an element.
+    These fields read the document text again with Spark's xpath functions."""
+    ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC)
+    return ex.groupBy(F.col("key").alias("o_orderkey")).agg(
+        F.max("info_len").alias("info_len"),
+        F.sum("n_sum").alias("sum_n"),
+        F.max("priority").alias("o_orderpriority"),
+    )
+
+
 def xml_pruned_columns(spark, d):
     """Column pruning inside the document: only two fields are materialised."""
     ex = extract_xml(_head_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "status"])
@@ -387,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "xml_sum_values": xml_sum_values,
     "xml_malformed_permissive": xml_malformed_permissive,
     "xml_pruned_columns": xml_pruned_columns,
+    "xml_xpath_fields": xml_xpath_fields,
     "xml_from_bytes": xml_from_bytes,
     "xml_file_scan": xml_file_scan,
     "lookup_with_default": lookup_with_default_q,
@@ -454,6 +477,14 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'truncated', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM orders
         UNION ALL SELECT 'page', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM pages""",
     "xml_pruned_columns": "SELECT o_orderkey, o_orderstatus FROM orders",
+    "xml_xpath_fields": """
+        SELECT o_orderkey,
+               CAST(length(CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS VARCHAR)
+                    || CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR)) AS INTEGER) AS info_len,
+               CAST(COALESCE(SUM(l_linenumber), 0) AS BIGINT) AS sum_n,
+               o_orderpriority
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+        GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority""",
     "xml_from_bytes": """
         SELECT o_orderkey, o_orderstatus, COUNT(l_orderkey) AS n_lines
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""",
