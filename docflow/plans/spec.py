@@ -129,14 +129,48 @@ class MappingSpec:
         raise SpecError(f"no field {name!r} in spec; fields: {[f.name for f in self.fields]}")
 
     def prune(self, columns) -> "MappingSpec":
-        """Keep only the named top-level fields, in the order given."""
-        return replace(self, fields=tuple(self.field(c) for c in columns))
+        """Keep only the named fields, in the order given. A dotted name
+        ``rec.sub`` (``rec`` a record or an array of records, any depth) keeps
+        only the named subfields of ``rec``, so the raw parse schema and the
+        typed projection shrink with it; rules of the dropped subfields (such
+        as required checks) are not evaluated."""
+        return replace(self, fields=_prune_fields(self.fields, list(columns), self.field))
 
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
 
+def _prune_fields(fields, names: list[str], lookup) -> tuple[FieldSpec, ...]:
+    order: list[str] = []
+    subs: dict[str, list[str] | None] = {}
+    for n in names:
+        head, _, rest = n.partition(".")
+        if head not in subs:
+            order.append(head)
+            subs[head] = []
+        if not rest:
+            subs[head] = None  # the whole field
+        elif subs[head] is not None:
+            subs[head].append(rest)
+    return tuple(_prune_field(lookup(h), subs[h]) if subs[h] else lookup(h) for h in order)
+
+
+def _prune_field(f: FieldSpec, names: list[str]) -> FieldSpec:
+    rec = f.type.element if isinstance(f.type, ArrayOf) else f.type
+    if not isinstance(rec, Record):
+        raise SpecError(f"field {f.name!r} has no subfields to select ({names})")
+
+    def lookup(name: str) -> FieldSpec:
+        for g in rec.fields:
+            if g.name == name:
+                return g
+        raise SpecError(f"no field {name!r} in {f.name!r}; fields: {[g.name for g in rec.fields]}")
+
+    pruned = replace(rec, fields=_prune_fields(rec.fields, names, lookup))
+    return replace(f, type=ArrayOf(pruned) if isinstance(f.type, ArrayOf) else pruned)
+
+
 # ---------------------------------------------------------------- builders
 
 def scalar(kind: str, **kw) -> Scalar:

@@ -61,6 +61,25 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+_DERIVED: dict[tuple[str, str], str] = {}
+
+
+def derived_table(spark: SparkSession, key: str, build) -> str:
+    """A derived input shared by several jobs of one application (such as the
+    order documents built from ``orders`` + ``lineitem``): ``build()`` is
+    written once to a fresh folder under the shared checkpoint folder, and every
+    call with the same ``key`` in the same application scans that table instead
+    of re-running the build (its shuffles included). The folder is registered
+    only after the write commits, so a failed build is simply redone."""
+    k = (spark.sparkContext.applicationId, key)
+    path = _DERIVED.get(k)
+    if path is None:
+        path = shared_dir(spark, "derived")
+        build().write.parquet(path)
+        _DERIVED[k] = path
+    return path
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int, *, materialize_first: bool = True) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` with a
     shuffle-merge hint (a shuffle join, with AQE's skew splitting).

@@ -75,3 +75,18 @@ def test_load_spec_file(tmp_path):
     s = S.load(p)
     assert s.names == [f["name"] for f in SPEC_JSON["fields"]]
     assert s.field("legs").type.fields[0].path == "stop"
+
+
+def test_prune_nested_subfields():
+    s = S.from_json(SPEC_JSON)
+    p = s.prune(["stops.km", "legs.stops.signed", "origin.lat", "origin", "units"])
+    assert p.names == ["stops", "legs", "origin", "units"]
+    assert [f.name for f in p.field("stops").type.element.fields] == ["km"]
+    assert [f.name for f in p.field("legs").type.fields[0].type.element.fields] == ["signed"]
+    assert [f.name for f in p.field("origin").type.fields] == ["lat", "fragile"]  # whole field wins
+    raw = raw_schema(p)
+    assert raw["stop"].dataType.elementType.fieldNames() == ["@km"]
+    with pytest.raises(S.SpecError, match="no field 'nope' in 'stops'"):
+        s.prune(["stops.nope"])
+    with pytest.raises(S.SpecError, match="no subfields"):
+        s.prune(["units.x"])

@@ -206,3 +206,14 @@ def test_xpath_engine_string_value_of_element(spark):
     assert r.len_all == len("firstmidlast")  # XPath string value: all descendant text
     assert r.len_own == len("last")  # own text run only (documented)
     assert r.texts == ["first", "mid", "last"]
+
+
+def test_nested_pruning_gives_the_same_values(spark):
+    full = one(spark, DOC_FULL, SPEC)
+    r = one(spark, DOC_FULL, SPEC, columns=["stops.km", "legs.stops.signed", "priority.level"])
+    assert [s.km for s in r.stops] == [s.km for s in full.stops]
+    assert [s.signed for s in r.legs.stops] == [s.signed for s in full.legs.stops]
+    assert r.priority.level == full.priority.level
+    assert r.stops[0].asDict() == {"km": full.stops[0].km}
+    minimal = one(spark, DOC_MINIMAL, SPEC, mode="permissive", columns=["stops.km"])
+    assert minimal.stops == []  # array of records: still empty, not null
