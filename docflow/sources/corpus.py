@@ -77,18 +77,19 @@ def row_identity(df: DataFrame) -> Column:
 
 def order_line_groups(
     lineitem: DataFrame, max_lines_per_doc: int = MAX_LINES_PER_DOC
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """(line groups keyed by (l_orderkey, chunk) with the sorted ``line`` array,
-    per-order line counts, hot orders with their chunk count)."""
+    hot orders with their chunk count)."""
     li = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_extendedprice", "l_discount")
     counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     hot = counts.where(F.col("n_lines") > max_lines_per_doc).select(
         F.col("l_orderkey").alias("hot_key"),
         F.ceil(F.col("n_lines") / F.lit(max_lines_per_doc)).cast("int").alias("n_chunks"),
     )
-    # cheap to recompute (one column, map-side combined) and shared with the
-    # anti join below, so it is counted in place rather than materialised
-    hot = bounded_broadcast(hot, MAX_BROADCAST_HOT_ORDERS, materialize_first=False)
+    # written once (a few rows: only orders over the line limit), then counted
+    # and joined twice from the stored copy instead of aggregating lineitem
+    # again for each use
+    hot = bounded_broadcast(hot, MAX_BROADCAST_HOT_ORDERS)
     tagged = li.withColumn("row_tag", row_identity(lineitem))
     chunk = (
         F.when(F.col("n_chunks").isNull(), F.lit(0))
@@ -105,38 +106,37 @@ def order_line_groups(
         .groupBy("l_orderkey", "chunk")
         .agg(F.sort_array(F.collect_list(_line_struct())).alias("line"))
     )
-    return lines, counts, hot
+    return lines, hot
 
 
 def order_document_rows(
     orders: DataFrame, lineitem: DataFrame, *, max_lines_per_doc: int = MAX_LINES_PER_DOC
 ) -> DataFrame:
     """``(o_orderkey, chunk, <document fields>)``: the fields of each order document
-    as columns (attributes prefixed with ``_``), ready for ``to_xml`` or the XML writer."""
-    lines, counts, hot = order_line_groups(lineitem, max_lines_per_doc)
+    as columns (attributes prefixed with ``_``), ready for ``to_xml`` or the XML writer.
+    Every order has a chunk 0 (without ``lines`` when it has no line there)."""
+    lines, hot = order_line_groups(lineitem, max_lines_per_doc)
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     # One orders row per (order, chunk): a hot order is repeated once per chunk
     # (few rows). The join then runs on (order, chunk), the key the grouped lines
     # are already partitioned by, so the line data is not shuffled a second time
-    # and no task receives a hot order whole.
+    # and no task receives a hot order whole. The join is outer on the orders
+    # side: orders without lines keep their chunk 0 (no anti join, no union), and
+    # a chunk of a hot order that received no line is dropped unless it is chunk 0.
     chunk_ids = (
         F.when(F.col("n_chunks").isNull(), F.array(F.lit(0)))
         .otherwise(F.sequence(F.lit(0), F.col("n_chunks") - 1))
     )
     o_chunks = o.join(hot, F.col("o_orderkey") == F.col("hot_key"), "left").select(
-        *o.columns, F.explode(chunk_ids).alias("o_chunk")
+        *o.columns, F.explode(chunk_ids).alias("chunk")
     )
-    with_lines = lines.join(
-        o_chunks, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("chunk") == F.col("o_chunk")), "inner"
-    ).drop("l_orderkey", "o_chunk")
-    # orders without a line are added back by an anti join against the (one row
-    # per order) counts
-    without = (
-        o.join(counts, o.o_orderkey == counts.l_orderkey, "left_anti")
-        .withColumn("chunk", F.lit(0))
-        .withColumn("line", F.lit(None).cast(lines.schema["line"].dataType))
+    docs = (
+        o_chunks.join(
+            lines, (F.col("o_orderkey") == F.col("l_orderkey")) & (o_chunks.chunk == lines.chunk), "left"
+        )
+        .where(F.col("line").isNotNull() | (o_chunks.chunk == 0))
+        .select(*o.columns, o_chunks.chunk, "line")
     )
-    docs = with_lines.unionByName(without)
     return docs.select(
         "o_orderkey",
         "chunk",
@@ -162,20 +162,30 @@ def order_documents(
     *,
     max_lines_per_doc: int = MAX_LINES_PER_DOC,
     as_binary: bool = False,
+    keep_fields: bool = False,
 ) -> DataFrame:
-    """``(o_orderkey, chunk, xml)``: one document per order (per chunk of a hot order)."""
+    """``(o_orderkey, chunk, xml)``: one document per order (per chunk of a hot order).
+    ``keep_fields`` also keeps the document's fields as columns (``DOC_FIELDS``), so
+    a stored copy can feed the XML file writer without being derived again."""
     rows = order_document_rows(orders, lineitem, max_lines_per_doc=max_lines_per_doc)
     xml = F.to_xml(F.struct(*DOC_FIELDS), {"rowTag": "order", "indent": ""})
     if as_binary:
         xml = xml.cast("binary")
-    return rows.select("o_orderkey", "chunk", xml.alias("xml"))
+    return rows.select("o_orderkey", "chunk", xml.alias("xml"), *(DOC_FIELDS if keep_fields else []))
+
+
+def write_document_files(rows: DataFrame, path: str) -> None:
+    """Document rows (``DOC_FIELDS`` columns) as XML files
+    (``<orders><order>..</order>...</orders>``), one file per partition, through
+    Spark's XML writer and commit protocol."""
+    rows.select(*DOC_FIELDS).write.mode("overwrite").format("xml").option("rowTag", "order").option(
+        "rootTag", "orders"
+    ).save(path)
 
 
 def write_order_files(orders: DataFrame, lineitem: DataFrame, path: str) -> None:
-    """Order documents as XML files (``<orders><order>..</order>...</orders>``),
-    one file per partition, through Spark's XML writer and commit protocol."""
-    rows = order_document_rows(orders, lineitem).select(*DOC_FIELDS)
-    rows.write.mode("overwrite").format("xml").option("rowTag", "order").option("rootTag", "orders").save(path)
+    """Order documents derived from the tables, written as XML files."""
+    write_document_files(order_document_rows(orders, lineitem), path)
 
 
 # Mapping for the order documents (one field per shape the extraction supports).

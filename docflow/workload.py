@@ -25,7 +25,7 @@ from .operators.xml import explode_records, extract_xml, read_xml
 from .plans import spec as S
 from .session import derived_table, shared_dir
 from .sources import io
-from .sources.corpus import ORDER_SPEC, epoch_millis_ntz, order_documents, write_order_files
+from .sources.corpus import ORDER_SPEC, epoch_millis_ntz, order_documents, write_document_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,19 +39,22 @@ def _docs_path(spark: SparkSession, d: str) -> str:
     and written to the shared folder once per application; every XML query scans
     that table, so the line data is shuffled once, not once per query."""
     return derived_table(
-        spark, f"order_documents:{d}", lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"))
+        spark,
+        f"order_documents:{d}",
+        lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), keep_fields=True),
     )
 
 
 def _docs(spark: SparkSession, d: str, *, as_binary: bool = False) -> DataFrame:
-    docs = spark.read.parquet(_docs_path(spark, d))
+    """``(o_orderkey, chunk, xml)`` scanned from the stored table (the parquet scan
+    reads only these columns, not the stored document fields)."""
+    docs = spark.read.parquet(_docs_path(spark, d)).select("o_orderkey", "chunk", "xml")
     return docs.withColumn("xml", F.col("xml").cast("binary")) if as_binary else docs
 
 
 def _head_docs(spark: SparkSession, d: str, **kw) -> DataFrame:
-    """Documents that carry the order-level elements once per order: chunk 0.
-    Every order has a chunk 0 (a hot order's chunks are hash-assigned over more
-    than 4096 lines each, so chunk 0 is empty with probability below e^-4096)."""
+    """Documents that carry the order-level elements once per order: chunk 0
+    (every order has one, see ``order_document_rows``)."""
     return _docs(spark, d, **kw).where(F.col("chunk") == 0)
 
 
@@ -220,7 +223,7 @@ def xml_file_scan(spark, d):
     """SRC-3: order documents written as XML files, scanned back with the spec's
     raw schema (rowTag 'order'), typed by the same compiled projection."""
     path = shared_dir(spark, "xml_file_scan")
-    write_order_files(_t(spark, d, "orders"), _t(spark, d, "lineitem"), path)
+    write_document_files(spark.read.parquet(_docs_path(spark, d)), path)
     rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "lines.n"])
     return rows.groupBy(F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")).agg(
         F.sum(F.size("lines")).alias("n_lines")
@@ -391,7 +394,7 @@ def stream_xml_status_totals(spark, d):
 
     base = shared_dir(spark, "stream_xml_status_totals")
     docs = _docs_path(spark, d)
-    stream = read_stream(spark, docs, spark.read.parquet(docs).schema)
+    stream = read_stream(spark, docs, spark.read.parquet(docs).schema).select("o_orderkey", "chunk", "xml")
     ex = extract_xml(stream, "xml", ORDER_SPEC, columns=["key", "status", "lines.qty", "lines.price"])
     lines = explode_records(ex, "lines").select("key", "status", "qty", "price")
     ref = io.query_scan(
