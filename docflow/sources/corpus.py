@@ -123,6 +123,10 @@ def order_document_rows(
     # and no task receives a hot order whole. The join is outer on the orders
     # side: orders without lines keep their chunk 0 (no anti join, no union), and
     # a chunk of a hot order that received no line is dropped unless it is chunk 0.
+    # The line groups grow with the data: they are never broadcast (the hint
+    # keeps AQE from doing so where they look small), and the merge join keeps
+    # their (order, chunk) partitioning, so the documents come out spread over
+    # as many tasks as the grouping had.
     chunk_ids = (
         F.when(F.col("n_chunks").isNull(), F.array(F.lit(0)))
         .otherwise(F.sequence(F.lit(0), F.col("n_chunks") - 1))
@@ -132,7 +136,9 @@ def order_document_rows(
     )
     docs = (
         o_chunks.join(
-            lines, (F.col("o_orderkey") == F.col("l_orderkey")) & (o_chunks.chunk == lines.chunk), "left"
+            lines.hint("shuffle_merge"),
+            (F.col("o_orderkey") == F.col("l_orderkey")) & (o_chunks.chunk == lines.chunk),
+            "left",
         )
         .where(F.col("line").isNotNull() | (o_chunks.chunk == 0))
         .select(*o.columns, o_chunks.chunk, "line")
