@@ -11,9 +11,10 @@ Semantics:
   ``"any"`` keeps one value per key; rows are never multiplied.
 
 Plan: the reference side is reduced to one row per key (a hash aggregate with
-map-side combine), then joined. It is broadcast only after an exact row count
-shows it is at most ``max_broadcast_rows``; beyond that it is a shuffle join
-and AQE splits skewed keys of the input side.
+map-side combine), then joined. It is broadcast only after an exact count
+shows it is at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes``
+(as JSON text); beyond that it is a shuffle join and AQE splits skewed keys of
+the input side.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
+from ..session import MAX_BROADCAST_BYTES, bounded_broadcast
 
 DEFAULT = "UNKNOWN"
 MAX_BROADCAST_ROWS = 2_000_000
@@ -54,9 +55,12 @@ def lookup_with_default(
     default: object = DEFAULT,
     on_duplicate: str = "error",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` plus ``out_col`` = the reference value of ``df[key]``, or ``default``."""
-    r = bounded_broadcast(prepare_reference(ref, ref_key, ref_value, on_duplicate), max_broadcast_rows)
+    r = bounded_broadcast(
+        prepare_reference(ref, ref_key, ref_value, on_duplicate), max_broadcast_rows, max_bytes=max_broadcast_bytes
+    )
     joined = df.join(r, F.col(key) == F.col(_K), "left")
     value: Column = F.when(F.col(_HIT), F.col(_V)).otherwise(F.lit(default))
     return joined.select(*[F.col(c) for c in df.columns], value.alias(out_col))

@@ -80,20 +80,29 @@ def derived_table(spark: SparkSession, key: str, build) -> str:
     return path
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, *, materialize_first: bool = True) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` with a
-    shuffle-merge hint (a shuffle join, with AQE's skew splitting).
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-    The check is an exact count, so a broadcast side has a proven bound. By
-    default ``df`` is materialised first, so it is computed once for both the
-    check and the join; the ``limit`` stops the count early when it is large.
+
+def bounded_broadcast(
+    df: DataFrame, max_rows: int, *, max_bytes: int = MAX_BROADCAST_BYTES, materialize_first: bool = True
+) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and its rows, as
+    JSON text, take at most ``max_bytes``; else ``df`` with a shuffle-merge hint
+    (a shuffle join, with AQE's skew splitting).
+
+    Both are measured exactly, in one aggregate over at most ``max_rows + 1``
+    rows (the ``limit`` stops the pass early when ``df`` is large), so a
+    broadcast side has a proven bound. By default ``df`` is materialised first,
+    so it is computed once for both the check and the join.
     """
     if materialize_first:
         df = materialize(df, "broadcast-candidate")
-    n = df.limit(max_rows + 1).count()
-    # over the bound: ask for a shuffle join explicitly, so that no size estimate
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    small = stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
+    # over a bound: ask for a shuffle join explicitly, so that no size estimate
     # of the (now small-looking) written table turns it into a broadcast
-    return F.broadcast(df) if n <= max_rows else df.hint("shuffle_merge")
+    return F.broadcast(df) if small else df.hint("shuffle_merge")
 
 
 def local_path(p: str) -> str:

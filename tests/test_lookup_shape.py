@@ -41,6 +41,14 @@ def test_lookup_without_broadcast_when_reference_is_large(spark, lookup_rows):
     assert "BroadcastExchange" not in final and "SortMergeJoin" in final
 
 
+def test_lookup_without_broadcast_when_reference_is_wide(spark, lookup_rows):
+    data, ref = lookup_rows
+    out = lookup_with_default(data, ref, "name", "name", "uname", "uname", max_broadcast_bytes=10)
+    assert {r.id: r.uname for r in out.collect()} == {1: "A", 2: "UNKNOWN", 3: "UNKNOWN", 4: None}
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in final and "SortMergeJoin" in final
+
+
 def test_lookup_duplicate_keys(spark, lookup_rows):
     data, _ = lookup_rows
     dup = spark.createDataFrame([("a", "A"), ("a", "A"), ("b", "B")], "name string, uname string")
