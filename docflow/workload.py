@@ -167,12 +167,16 @@ def xml_sum_values(spark, d):
 
 
 def xml_malformed_permissive(spark, d):
-    """XML-12: malformed documents (truncated order documents, raw web pages)
-    are kept aside in permissive mode instead of failing the job."""
-    # each document once as written and once cut short (one pass over the documents)
+    """XML-12: malformed documents (order documents whose end tag does not match
+    their start tag, raw web pages) are kept aside, whole, in permissive mode
+    instead of failing the job."""
+    # each document once as written and once with a mismatched end tag (whole
+    # texts both; one pass over the documents)
     variants = F.array(
         F.struct(F.lit("order").alias("source"), F.col("xml").alias("xml")),
-        F.struct(F.lit("truncated").alias("source"), F.expr("substring(xml, 1, length(xml) - 3)").alias("xml")),
+        F.struct(
+            F.lit("mismatched").alias("source"), F.regexp_replace("xml", "</order>$", "</order-end>").alias("xml")
+        ),
     )
     docs = _docs(spark, d).select(F.inline(variants))
     sources = docs.unionByName(_t(spark, d, "pages").select(F.lit("page").alias("source"), F.col("html").alias("xml")))
@@ -489,7 +493,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
     "xml_malformed_permissive": """
         SELECT 'order' AS source, COUNT(*) AS n_docs, CAST(0 AS BIGINT) AS n_bad, COUNT(*) AS n_keys FROM orders
-        UNION ALL SELECT 'truncated', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM orders
+        UNION ALL SELECT 'mismatched', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM orders
         UNION ALL SELECT 'page', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM pages""",
     "xml_pruned_columns": "SELECT o_orderkey, o_orderstatus FROM orders",
     "xml_xpath_fields": """
