@@ -16,7 +16,10 @@ well defined even where ``(l_orderkey, l_linenumber)`` repeats.
 Scale: documents are built by grouping lines per order. An order with more than
 ``max_lines_per_doc`` lines (a hot key) is split over several documents
 (``chunk`` 0, 1, ...), so no group and no document grows with the data; the set
-of hot orders is broadcast only when its row count is checked to be small.
+of hot orders is stored once and broadcast only when its size is checked to be
+small. The line data is shuffled once, on ``(order, chunk)``; orders meet the
+line groups there through one left outer merge join, which also gives every
+order exactly one chunk-0 document.
 """
 
 from __future__ import annotations
