@@ -63,3 +63,15 @@ def test_values_survive_the_round_trip(spark, recs):
         assert g.flag is (r["flag"].lower() == "true")
         assert g.tags == (r["tags"] or None)
         assert [(it.q, it.label) for it in g.items] == r["items"]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(record, min_size=1, max_size=40), st.sampled_from(["items.q", "items.label"]))
+def test_nested_pruning_equals_projection_of_full_extraction(spark, recs, sub):
+    df = spark.createDataFrame([(i, to_xml(i, r)) for i, r in enumerate(recs)], "i long, x string")
+    field = sub.split(".")[1]
+    full = {r.id: [getattr(it, field) for it in r.items] for r in extract_xml(df, "x", SPEC, columns=["id", "items"]).collect()}
+    pruned = extract_xml(df, "x", SPEC, columns=["id", sub])
+    assert pruned.schema["items"].dataType.elementType.fieldNames() == [field]
+    got = {r.id: [getattr(it, field) for it in r.items] for r in pruned.collect()}
+    assert got == full
