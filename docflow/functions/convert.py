@@ -27,24 +27,25 @@ _INTEGER_TEXT = r"^[+-]?[0-9]+$"
 _FRACTION = r"^\s*[+-]?[0-9]*[.]([0-9]*?)0*\s*$"
 
 
-def _guard(s: Column, value: Column, ok: Column, mode: str, what: str) -> Column:
-    """``value`` when ``ok``; otherwise null (permissive) or a raised error (strict)."""
+def _guard(s: Column, checked: Column, mode: str, what: str) -> Column:
+    """``checked`` is the converted value, null where the text does not convert.
+    Permissive: as is. Strict: an error where the text is not null but
+    ``checked`` is. ``checked`` appears once, so it is evaluated once even inside
+    a lambda (where Catalyst does not eliminate common subexpressions)."""
     if mode == PERMISSIVE:
-        return F.when(ok, value)
+        return checked
     if mode != STRICT:
         raise ValueError(f"mode must be {STRICT!r} or {PERMISSIVE!r}")
     message = F.concat(F.lit(f"{what}: cannot convert '"), s, F.lit("'"))
-    return F.when(s.isNull() | ok, value).otherwise(F.raise_error(message))
+    return F.coalesce(checked, F.when(s.isNotNull(), F.raise_error(message)))
 
 
 def to_integral(s: Column, spark_type: str, mode: str, what: str) -> Column:
-    v = s.try_cast(spark_type)
-    return _guard(s, v, s.rlike(_INTEGER_TEXT) & v.isNotNull(), mode, what)
+    return _guard(s, F.when(s.rlike(_INTEGER_TEXT), s.try_cast(spark_type)), mode, what)
 
 
 def to_fractional(s: Column, spark_type: str, mode: str, what: str) -> Column:
-    v = s.try_cast(spark_type)
-    return _guard(s, v, v.isNotNull(), mode, what)
+    return _guard(s, s.try_cast(spark_type), mode, what)
 
 
 def to_boolean(s: Column) -> Column:
@@ -70,8 +71,8 @@ def to_decimal(s: Column, precision: int, scale: int, mode: str, what: str) -> C
     plain_ok = F.length(F.regexp_extract(s, _FRACTION, 1)) <= scale
     # exponent notation: accept only if no digit is lost at the declared scale
     exp_ok = v.cast("double") == s.try_cast("double")
-    ok = v.isNotNull() & F.when(s.rlike("[eE]"), exp_ok).otherwise(plain_ok)
-    return _guard(s, v, ok, mode, what)
+    ok = F.when(s.rlike("[eE]"), exp_ok).otherwise(plain_ok)
+    return _guard(s, F.when(ok, v), mode, what)
 
 
 def convert(s: Column, t: Scalar, mode: str = STRICT, what: str = "value") -> Column:
