@@ -115,9 +115,10 @@ def order_line_groups(
 def order_document_rows(
     orders: DataFrame, lineitem: DataFrame, *, max_lines_per_doc: int = MAX_LINES_PER_DOC
 ) -> DataFrame:
-    """``(o_orderkey, chunk, <document fields>)``: the fields of each order document
-    as columns (attributes prefixed with ``_``), ready for ``to_xml`` or the XML writer.
-    Every order has a chunk 0 (without ``lines`` when it has no line there)."""
+    """``(o_orderkey, chunk, n_chunks, <document fields>)``: the fields of each order
+    document as columns (attributes prefixed with ``_``), ready for ``to_xml`` or the
+    XML writer. Every order has a chunk 0 (without ``lines`` when it has no line
+    there); ``n_chunks`` is 1 for every order that is not split."""
     lines, hot = order_line_groups(lineitem, max_lines_per_doc)
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     # One orders row per (order, chunk): a hot order is repeated once per chunk
@@ -135,7 +136,7 @@ def order_document_rows(
         .otherwise(F.sequence(F.lit(0), F.col("n_chunks") - 1))
     )
     o_chunks = o.join(hot, F.col("o_orderkey") == F.col("hot_key"), "left").select(
-        *o.columns, F.explode(chunk_ids).alias("chunk")
+        *o.columns, F.coalesce(F.col("n_chunks"), F.lit(1)).alias("n_chunks"), F.explode(chunk_ids).alias("chunk")
     )
     docs = (
         o_chunks.join(
@@ -144,11 +145,12 @@ def order_document_rows(
             "left",
         )
         .where(F.col("line").isNotNull() | (o_chunks.chunk == 0))
-        .select(*o.columns, o_chunks.chunk, "line")
+        .select(*o.columns, "n_chunks", o_chunks.chunk, "line")
     )
     return docs.select(
         "o_orderkey",
         "chunk",
+        "n_chunks",
         F.col("o_orderkey").alias("_key"),
         epoch_millis_ntz(F.col("o_orderdate")).alias("_ts"),
         urgent_text(F.col("o_orderpriority")).alias("_urgent"),
@@ -173,14 +175,15 @@ def order_documents(
     as_binary: bool = False,
     keep_fields: bool = False,
 ) -> DataFrame:
-    """``(o_orderkey, chunk, xml)``: one document per order (per chunk of a hot order).
+    """``(o_orderkey, chunk, n_chunks, xml)``: one document per order (per chunk of a
+    hot order; ``n_chunks`` > 1 marks those).
     ``keep_fields`` also keeps the document's fields as columns (``DOC_FIELDS``), so
     a stored copy can feed the XML file writer without being derived again."""
     rows = order_document_rows(orders, lineitem, max_lines_per_doc=max_lines_per_doc)
     xml = F.to_xml(F.struct(*DOC_FIELDS), {"rowTag": "order", "indent": ""})
     if as_binary:
         xml = xml.cast("binary")
-    return rows.select("o_orderkey", "chunk", xml.alias("xml"), *(DOC_FIELDS if keep_fields else []))
+    return rows.select("o_orderkey", "chunk", "n_chunks", xml.alias("xml"), *(DOC_FIELDS if keep_fields else []))
 
 
 def write_document_files(rows: DataFrame, path: str) -> None:

@@ -46,9 +46,9 @@ def _docs_path(spark: SparkSession, d: str) -> str:
 
 
 def _docs(spark: SparkSession, d: str, *, as_binary: bool = False) -> DataFrame:
-    """``(o_orderkey, chunk, xml)`` scanned from the stored table (the parquet scan
-    reads only these columns, not the stored document fields)."""
-    docs = spark.read.parquet(_docs_path(spark, d)).select("o_orderkey", "chunk", "xml")
+    """``(o_orderkey, chunk, n_chunks, xml)`` scanned from the stored table (the
+    parquet scan reads only these columns, not the stored document fields)."""
+    docs = spark.read.parquet(_docs_path(spark, d)).select("o_orderkey", "chunk", "n_chunks", "xml")
     return docs.withColumn("xml", F.col("xml").cast("binary")) if as_binary else docs
 
 
@@ -58,6 +58,17 @@ def _head_docs(spark: SparkSession, d: str, **kw) -> DataFrame:
     return _docs(spark, d, **kw).where(F.col("chunk") == 0)
 
 
+def _per_order(ex: DataFrame, keys: list, single: list, combine: list) -> DataFrame:
+    """Per-order values from per-document rows. An order that is not split has
+    one document, whose row is already the answer (``single``); only the rows of
+    split (hot) orders, a few per order, are shuffled to be combined
+    (``combine``: aggregates giving the same columns). The filter on
+    ``n_chunks`` reaches the scan, so each document is parsed once, in one branch."""
+    one = ex.where(F.col("n_chunks") == 1).select(*keys, *single)
+    many = ex.where(F.col("n_chunks") > 1).groupBy(*keys).agg(*combine)
+    return one.unionByName(many)
+
+
 # ------------------------------------------------------------------ XML queries
 
 def xml_extract_lines(spark, d):
@@ -88,10 +99,20 @@ def xml_scalar_first_match(spark, d):
     """XML-6 / AGG-4: scalar fields take the first match of a repeated path.
     Lines are sorted inside a document, so the first match is the document's
     smallest line; the smallest over an order's documents is the order's."""
-    ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "first_n", "first_qty", "first_part", "first_price"])
-    first = ex.groupBy("key").agg(F.min(F.struct("first_n", "first_qty", "first_part", "first_price")).alias("f"))
-    return first.select(
-        F.col("key").alias("o_orderkey"),
+    ex = extract_xml(
+        _docs(spark, d), "xml", ORDER_SPEC, columns=["key", "first_n", "first_qty", "first_part", "first_price"],
+        keep=["n_chunks"],
+    )
+    first = F.struct("first_n", "first_qty", "first_part", "first_price")
+    per_order = _per_order(
+        ex,
+        [F.col("key").alias("o_orderkey")],
+        [first.alias("f")],
+        # a document without lines has no first line: it takes no part in the minimum
+        [F.min(F.when(F.col("first_n").isNotNull(), first)).alias("f")],
+    )
+    return per_order.select(
+        "o_orderkey",
         F.col("f.first_n").alias("first_n"),
         F.col("f.first_qty").alias("first_qty"),
         F.col("f.first_part").alias("first_part"),
@@ -159,10 +180,12 @@ def xml_string_length(spark, d):
 def xml_sum_values(spark, d):
     """XML-11 / AGG-3: the 'sum_values' field function (0 when nothing matches,
     null when a value is not an integer), summed over an order's documents."""
-    ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "sum_n", "sum_qty"])
-    return ex.groupBy(F.col("key").alias("o_orderkey")).agg(
-        F.sum("sum_n").alias("sum_n"),
-        F.bool_or(F.col("sum_qty").isNull()).alias("qty_not_integer"),
+    ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "sum_n", "sum_qty"], keep=["n_chunks"])
+    return _per_order(
+        ex,
+        [F.col("key").alias("o_orderkey")],
+        [F.col("sum_n").cast("bigint").alias("sum_n"), F.col("sum_qty").isNull().alias("qty_not_integer")],
+        [F.sum("sum_n").alias("sum_n"), F.bool_or(F.col("sum_qty").isNull()).alias("qty_not_integer")],
     )
 
 
@@ -201,11 +224,12 @@ def xml_xpath_fields(spark, d):
     """FN-2 on a non-leaf element (XPath string value = all descendant text),
     sum_values through the XPath engine, and the first text run of an element.
     These fields read the document text again with Spark's xpath functions."""
-    ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC)
-    return ex.groupBy(F.col("key").alias("o_orderkey")).agg(
-        F.max("info_len").alias("info_len"),
-        F.sum("n_sum").alias("sum_n"),
-        F.max("priority").alias("o_orderpriority"),
+    ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC, keep=["n_chunks"])
+    return _per_order(
+        ex,
+        [F.col("key").alias("o_orderkey")],
+        [F.col("info_len"), F.col("n_sum").cast("bigint").alias("sum_n"), F.col("priority").alias("o_orderpriority")],
+        [F.max("info_len").alias("info_len"), F.sum("n_sum").alias("sum_n"), F.max("priority").alias("o_orderpriority")],
     )
 
 
@@ -217,9 +241,14 @@ def xml_pruned_columns(spark, d):
 
 def xml_from_bytes(spark, d):
     """SRC-5 / PIP-2: documents held as bytes; line count per order."""
-    ex = extract_xml(_docs(spark, d, as_binary=True), "xml", ORDER_SPEC, columns=["key", "status", "lines.n"])
-    return ex.groupBy(F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")).agg(
-        F.sum(F.size("lines")).alias("n_lines")
+    ex = extract_xml(
+        _docs(spark, d, as_binary=True), "xml", ORDER_SPEC, columns=["key", "status", "lines.n"], keep=["n_chunks"]
+    )
+    return _per_order(
+        ex,
+        [F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")],
+        [F.size("lines").cast("bigint").alias("n_lines")],
+        [F.sum(F.size("lines")).alias("n_lines")],
     )
 
 

@@ -250,3 +250,24 @@ def test_order_documents_table_matches_a_fresh_build(spark):
     # the XML queries scan the stored table: no shuffle left below the parse
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_per_order_combine_shuffles_only_split_orders(spark):
+    """Per-order values with one order holding every line (split over many
+    documents): only that order's rows go through the aggregate, and the result
+    equals a direct aggregate over the lines."""
+    from docflow.workload import _per_order
+
+    o, l = io.tpch(spark, SF_SMALL, "orders"), io.tpch(spark, SF_SMALL, "lineitem")
+    hot = l.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")))
+    docs = order_documents(o, hot, max_lines_per_doc=300)
+    assert docs.where("n_chunks > 1").select("o_orderkey").distinct().collect() == [(0,)]
+    ex = extract_xml(docs, "xml", ORDER_SPEC, columns=["key", "sum_n"], keep=["n_chunks"])
+    got = _per_order(
+        ex, [F.col("key").alias("k")], [F.col("sum_n").cast("bigint").alias("s")], [F.sum("sum_n").alias("s")]
+    )
+    want = o.join(hot, o.o_orderkey == hot.l_orderkey, "left").groupBy(F.col("o_orderkey").alias("k")).agg(
+        F.coalesce(F.sum("l_linenumber"), F.lit(0)).cast("bigint").alias("s")
+    )
+    assert got.count() == o.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
