@@ -6,13 +6,14 @@ from .operators.partition import drop_rows_in_partitions, map_partitions
 from .operators.records import align_to_schema
 from .operators.xml import explode_records, extract_xml, read_xml, read_xml_files
 from .plans.spec import MappingSpec, SpecError, from_json, load
-from .session import bounded_broadcast, get_session, materialize, shared_dir
+from .session import bounded_broadcast, derived_table, get_session, materialize, shared_dir
 
 __all__ = [
     "MappingSpec",
     "SpecError",
     "align_to_schema",
     "bounded_broadcast",
+    "derived_table",
     "drop_rows_in_partitions",
     "enrich",
     "enrich_and_append",
