@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .licenses import scan_licenses
+from .simhash import near_duplicates
 from .toxicity import toxicity
 
 
@@ -20,8 +22,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, _t(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scanned with all rules."""
+    scanned = scan_licenses(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
+    return near_duplicates(_t(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_license_scan": op2_license_scan,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
