@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .licenses import scan_licenses
 from .simhash import near_duplicates
+from .tokencount import token_counts
 from .toxicity import toxicity
 
 
@@ -28,6 +29,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text, by the byte-level BPE vocabulary of 50,257 entries."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     return near_duplicates(_t(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
@@ -36,6 +43,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
+    "op3_token_counts": op3_token_counts,
     "op6_simhash": op6_simhash,
 }
 
