@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .edited import edited_fingerprints
 from .licenses import scan_licenses
 from .simhash import near_duplicates
 from .tokencount import token_counts
@@ -40,11 +41,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_t(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k sketches of every whole text and of its edited copy, and their likeness."""
+    return edited_fingerprints(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op6_simhash": op6_simhash,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}
