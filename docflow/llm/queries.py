@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .edited import edited_fingerprints
+from .kdtree import top_k
 from .licenses import scan_licenses
 from .simhash import near_duplicates
 from .tokencount import token_counts
@@ -46,12 +48,29 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_t(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows by integer inner product for every 50th vector."""
+    vectors = _t(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op6_simhash": op6_simhash,
     "op8_fingerprints": op8_fingerprints,
+    "op10_top_k": op10_top_k,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
