@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .edited import edited_fingerprints
 from .kdtree import top_k
 from .licenses import scan_licenses
+from .linededup import dedup_lines
 from .simhash import near_duplicates
 from .tokencount import token_counts
 from .toxicity import toxicity
@@ -38,6 +39,15 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after later copies of repeated runs of 50 words or more are deleted."""
+    cut = dedup_lines(_t(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+    text = F.coalesce("text", F.lit(""))
+    return cut.select(
+        "doc_id", "n_lines", "n_deleted", F.length(text).cast("long").alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     return near_duplicates(_t(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
@@ -58,16 +68,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_line_dedup": op4_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_fingerprints": op8_fingerprints,
     "op10_top_k": op10_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": r"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM d),
+        w AS (SELECT doc_id, no, regexp_extract_all(line, '[^\x09-\x0D\x20]+') AS words FROM l),
+        s AS (
+            SELECT doc_id, no, array_to_string(words, ' ') AS line, len(words) AS n,
+                   row_number() OVER o AS p, sum(len(words)) OVER o AS total
+            FROM w WHERE len(words) > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY no)),
+        a AS (SELECT doc_id, list(line ORDER BY p) AS seq FROM s GROUP BY doc_id),
+        r AS (
+            SELECT x.doc_id, x.p, y.p AS q, array_to_string(seq[x.p : y.p], chr(10)) AS run
+            FROM s x JOIN s y ON x.doc_id = y.doc_id AND y.p >= x.p AND y.p < x.p + 50 JOIN a ON a.doc_id = x.doc_id
+            WHERE y.total - x.total + x.n >= 50 AND (y.total - y.n - x.total + x.n < 50 OR y.total - x.total < 50)),
+        f AS (SELECT *, min((doc_id, p)) OVER (PARTITION BY run) AS first FROM r),
+        g AS (SELECT DISTINCT doc_id, unnest(range(p, q + 1)) AS p FROM f WHERE (doc_id, p) <> first),
+        k AS (
+            SELECT l.doc_id, count(g.p) AS n_deleted, count(*) AS n_lines,
+                   coalesce(string_agg(CASE WHEN g.p IS NULL THEN l.line END, chr(10) ORDER BY l.no), '') AS kept
+            FROM l LEFT JOIN s USING (doc_id, no) LEFT JOIN g ON g.doc_id = l.doc_id AND g.p = s.p GROUP BY l.doc_id)
+        SELECT doc_id, n_lines, n_deleted, CAST(length(kept) AS BIGINT) AS kept_chars, sha256(kept) AS kept_sha256 FROM k""",
     "op10_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         p AS (
             SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
             FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),

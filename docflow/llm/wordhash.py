@@ -30,6 +30,9 @@ ALNUM = _lower_table(lambda b: b >= 128 or chr(b).isalnum())
 #: Everything but ASCII white space (9-13, 32); A-Z as a-z. NUL counts as 255, which no UTF-8 text holds.
 NON_SPACE = _lower_table(lambda b: b != 32 and not 9 <= b <= 13)
 NON_SPACE[0] = 255
+#: The same with A-Z as they are.
+EXACT = np.array([b if NON_SPACE[b] else 0 for b in range(256)], np.uint8)
+EXACT[0] = 255
 
 
 def text_buffer(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +67,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = ALNUM) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document number) of every word of the texts, in order."""
-    hashes, docs = [], []
+    hashes, places = word_places(data, offsets, table)
+    return hashes, np.searchsorted(offsets, places, side="right") - 1
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place of the first byte in ``data``) of every word of the texts, in order."""
+    hashes, places = [], []
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         size = PIECE
@@ -92,8 +101,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = ALNUM
             place = np.arange(len(where)) - np.repeat(first, sizes)
             terms = (mapped[where].astype(np.uint64) + np.uint64(1)) * _COEF[place & 1023]
             hashes.append(mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64)))
-            docs.append(np.searchsorted(offsets, at + where[first], side="right") - 1)
+            places.append(at + where[first])
         at = stop
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(docs)
+    return np.concatenate(hashes), np.concatenate(places)
