@@ -1,34 +1,72 @@
 """The corpus pipeline: stages over ``documents``, each an operator of ``docflow.llm``.
 
 Every stage reads what its predecessor kept, as written Parquet, so a lost executor
-repeats at most one stage's tasks.
+repeats at most one stage's tasks. All but the last return the columns of their input,
+whatever those are called: a row's columns travel as one struct beside what the
+operator needs.
+
+Rows without id are scored and cut like any others; near-duplicate groups are made of
+rows with ids, so those without pass that stage. Empty tables stay empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.llm.linededup import dedup_lines
+from docflow.llm.packing import pack_documents
+from docflow.llm.simhash import near_duplicates
 from docflow.llm.toxicity import toxicity
 from docflow.session import materialize
 
 
+def _row(docs: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score of 0.7 or more) go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity(docs, labels).where(F.col("predicted") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = toxicity(docs.select("doc_id", "text", _row(docs)), labels)
+    return scored.where("predicted = 0").select("__row.*")
+
+
+def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of 50 words or more are cut out; ``n_chars`` follows. A
+    document whose words all stand in an earlier one goes."""
+    cut = dedup_lines(docs.select("doc_id", "text", _row(docs)), min_words=50)
+    left = cut.where((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x09-\x0D\x20]"))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_deleted") == 0, F.col("__row.n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {"text": F.col("text")}
+    return left.select(*[new.get(c, F.col(f"__row.`{c}`")).cast(t).alias(c) for c, t in docs.dtypes])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of SimHash near-duplicates the document of smallest id stays (one row of it)."""
+    groups = near_duplicates(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), shingle_words=4, max_bits=4)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' bytes packed into sequences of 2,048, 4,096 or 8,192."""
+    return pack_documents(docs.select("doc_id", "text"))
 
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("line dedup", dedup_repeated_lines),
+    ("simhash near-dedup", one_of_each_group),
+    ("best-fit packing", pack),
 ]
 
-#: The stages learn weights, sort suffixes and pack greedily: no SQL for the rows.
+#: The first and the last stage learn weights and pack greedily: no SQL for the rows.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,9 +12,12 @@ from .edited import edited_fingerprints
 from .kdtree import top_k
 from .licenses import scan_licenses
 from .linededup import dedup_lines
+from .packing import pack_documents
+from .pieces import decode, encode
 from .simhash import near_duplicates
 from .tokencount import token_counts
 from .toxicity import toxicity
+from .warc import audit, record_text
 
 
 def _t(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,16 +51,40 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_piece_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3 best segmentations of every whole text, decoded again."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decode(encode(docs, model, n=3), model)
+    same = F.sha2(F.col("text").cast("binary"), 256) == F.col("text_sha256")
+    return back.select("doc_id", "rank", "score", "n_pieces", "ids_sha256", same.alias("round_trip"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     return near_duplicates(_t(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, max_bits=4)
 
 
+def op7_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, audited against a replica in which the records of
+    some pages are altered (first character) and others are lost."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    altered = F.when(F.col("page_id") % 101 == 7, F.concat(F.lit("#"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
+    replica = pages.where(~(F.col("page_id") % 211).eqNullSafe(F.lit(3))).withColumn("html", altered)
+    number, record = F.col("page_id").alias("number"), record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("record")
+    return audit(pages.select(number, record), replica.select(number, record))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every whole text and of its edited copy, and their likeness."""
     return edited_fingerprints(_t(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes packed into sequences of 2,048, 4,096 or 8,192."""
+    return pack_documents(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows by integer inner product for every 50th vector."""
     vectors = _t(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
@@ -69,8 +96,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op4_line_dedup": op4_line_dedup,
+    "op5_piece_segmentation": op5_piece_segmentation,
     "op6_simhash": op6_simhash,
+    "op7_fixity_audit": op7_fixity_audit,
     "op8_fingerprints": op8_fingerprints,
+    "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
 }
 
@@ -95,6 +125,27 @@ ORACLE_SQL: dict[str, str] = {
                    coalesce(string_agg(CASE WHEN g.p IS NULL THEN l.line END, chr(10) ORDER BY l.no), '') AS kept
             FROM l LEFT JOIN s USING (doc_id, no) LEFT JOIN g ON g.doc_id = l.doc_id AND g.p = s.p GROUP BY l.doc_id)
         SELECT doc_id, n_lines, n_deleted, CAST(length(kept) AS BIGINT) AS kept_chars, sha256(kept) AS kept_sha256 FROM k""",
+    "op7_fixity_audit": r"""
+        WITH p AS (
+            SELECT page_id, url, html, CASE WHEN page_id % 101 = 7 THEN '#' || substr(html, 2) ELSE html END AS changed FROM pages),
+        t AS (
+            SELECT page_id, 'WARC/1.0' || n || 'WARC-Type: resource' || n || 'WARC-Record-ID: <urn:page:' || page_id || '>' || n
+                   || 'WARC-Date: 2024-01-01T00:00:00Z' || n || 'WARC-Target-URI: ' || url || n || 'Content-Type: text/html' || n
+                   || 'Content-Length: ' AS head, html, changed, n || n AS gap
+            FROM p, (SELECT chr(13) || chr(10) AS n)),
+        r AS (
+            SELECT 'a' AS side, page_id, head || strlen(html) || gap || html || gap AS rec FROM t
+            UNION ALL SELECT 'b', page_id, head || strlen(changed) || gap || changed || gap FROM t WHERE page_id % 211 <> 3),
+        o AS (
+            SELECT side, page_id, page_id // 1024 AS archive, strlen(rec) AS length, sha256(rec) AS sha256,
+                   coalesce(sum(strlen(rec)) OVER (PARTITION BY side, page_id // 1024 ORDER BY page_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset"
+            FROM r)
+        SELECT a.page_id AS number, CASE WHEN b.sha256 IS NULL THEN 'missing' ELSE 'altered' END AS kind, a.archive,
+               CAST(a."offset" AS BIGINT) AS offset_a, CAST(a.length AS BIGINT) AS length_a, a.sha256 AS sha256_a,
+               CAST(b."offset" AS BIGINT) AS offset_b, CAST(b.length AS BIGINT) AS length_b, b.sha256 AS sha256_b
+        FROM (SELECT * FROM o WHERE side = 'a') a LEFT JOIN (SELECT * FROM o WHERE side = 'b') b USING (page_id)
+        WHERE a.sha256 IS DISTINCT FROM b.sha256""",
     "op10_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
