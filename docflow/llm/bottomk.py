@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .carry import map_rows
 from .wordhash import NON_SPACE, doc_blocks, mix, text_buffer, word_hashes
 
 K, SHINGLE = 128, 5
@@ -102,20 +104,19 @@ def sketch_texts(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, k:
 
 def fingerprints(documents: DataFrame, text_col: str = "text", size: int = SHINGLE, k: int = K) -> DataFrame:
     """``documents`` plus ``fingerprint`` (text form of the sketch) and ``n_shingles`` (estimate). One narrow pass."""
-    keep = [c for c in documents.columns if c not in ("fingerprint", "n_shingles")]
-    rows = documents.select(*[F.col(f"`{c}`") for c in keep])
 
     def run(batches):
         for b in batches:
-            data, off = text_buffer(b.column(text_col))
+            data, off = text_buffer(b.column("text"))
             prints, sizes = [], []
             for first, last in doc_blocks(off):
                 for s in sketch_texts(data, off[first : last + 1], size, k):
                     prints.append(encode(s))
                     sizes.append(distinct(s, k))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prints, pa.string()), pa.array(sizes, pa.float64())], names=[*b.schema.names, "fingerprint", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(prints, pa.string()), pa.array(sizes, pa.float64())], names=["row", "fingerprint", "n_shingles"])
 
-    return rows.mapInArrow(run, rows.schema.add("fingerprint", "string").add("n_shingles", "double"))
+    new = [("fingerprint", T.StringType()), ("n_shingles", T.DoubleType())]
+    return map_rows(documents, run, new, text=F.col(f"`{text_col}`").cast("string"))
 
 
 def merge_fingerprints(parts: DataFrame, keys: list[str], k: int = K) -> DataFrame:

@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .carry import map_rows
+
 MARK = "▁"
 KEPT_LINKS, KEPT_LENGTH = 400_000, 48
 
@@ -219,8 +221,6 @@ class _Shared:
 def encode(documents: DataFrame, model: str, n: int = 3, text_col: str = "text") -> DataFrame:
     """Columns of ``documents`` without the text, plus ``rank`` (from 1), ``score`` and ``ids``: the ``n`` best segmentations of every text."""
     shared = _Shared(documents.sparkSession, read_model(model), model)
-    keep = [c for c in documents.columns if c not in (text_col, "rank", "score", "ids")]
-    rows = documents.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
 
     def run(batches):
         pieces = _pieces(shared)
@@ -228,25 +228,24 @@ def encode(documents: DataFrame, model: str, n: int = 3, text_col: str = "text")
             for start in range(0, b.num_rows, 500):
                 part = b.slice(start, 500)
                 take, rank, score, ids = [], [], [], []
-                for k, text in enumerate(part.column("__text")):
-                    for r, (points, found) in enumerate(pieces.segment(text.as_py(), n), 1):
+                for k, text in enumerate(part.column("text")):
+                    for r, (points, found) in enumerate(pieces.segment(text.as_py() or "", n), 1):
                         take.append(k)
                         rank.append(r)
                         score.append(points)
                         ids.append(found)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-                kept = [part.column(c).take(pa.array(take, pa.int64())) for c in keep]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(rank, pa.int32()), pa.array(score, pa.float64()), lists], names=[*keep, "rank", "score", "ids"])
+                cols = [part.column("row").take(pa.array(take, pa.int64())), pa.array(rank, pa.int32()), pa.array(score, pa.float64()), lists]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "rank", "score", "ids"])
 
-    schema = documents.select(*[F.col(f"`{c}`") for c in keep]).schema.add("rank", T.IntegerType()).add("score", T.DoubleType()).add("ids", T.ArrayType(T.IntegerType()))
-    return rows.mapInArrow(run, schema)
+    new = [("rank", T.IntegerType()), ("score", T.DoubleType()), ("ids", T.ArrayType(T.IntegerType()))]
+    return map_rows(documents, run, new, drop=(text_col,), text=F.col(f"`{text_col}`").cast("string"))
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``text`` in place of the ids, and their number and SHA-256 (as little-endian 32-bit integers)."""
     shared = _Shared(encoded.sparkSession, read_model(model), model)
-    keep = [c for c in encoded.columns if c not in (ids_col, "text", "n_pieces", "ids_sha256")]
 
     def run(batches):
         pieces = _pieces(shared)
@@ -254,13 +253,13 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
             for start in range(0, b.num_rows, 500):
                 part = b.slice(start, 500)
                 texts, sizes, digests = [], [], []
-                for x in part.column(ids_col):
+                for x in part.column("ids"):
                     ids = x.values.to_numpy(zero_copy_only=False).astype("<i4") if x.is_valid else np.zeros(0, "<i4")
                     texts.append(pieces.decode(ids.tolist()))
                     sizes.append(len(ids))
                     digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                cols = [pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *cols], names=[*keep, "text", "n_pieces", "ids_sha256"])
+                cols = [part.column("row"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "text", "n_pieces", "ids_sha256"])
 
-    schema = encoded.select(*[F.col(f"`{c}`") for c in keep]).schema.add("text", T.StringType()).add("n_pieces", T.LongType()).add("ids_sha256", T.StringType())
-    return encoded.select(*[F.col(f"`{c}`") for c in [*keep, ids_col]]).mapInArrow(run, schema)
+    new = [("text", T.StringType()), ("n_pieces", T.LongType()), ("ids_sha256", T.StringType())]
+    return map_rows(encoded, run, new, drop=(ids_col,), ids=F.col(f"`{ids_col}`"))

@@ -24,7 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .carry import map_rows
 from .wordhash import doc_blocks, mix, text_buffer, word_hashes
 
 
@@ -149,24 +151,22 @@ def score(documents: DataFrame, model: DataFrame, text_col: str = "text", bits:
     share = documents.sparkSession.sparkContext.broadcast(
         (learnt.idx.to_numpy(np.int64), learnt.weight.to_numpy(np.float64))
     )
-    keep = [c for c in documents.columns if c != "score"]
-    schema = documents.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", "double")
 
     def run(batches):
         at, w = share.value
         dense = np.zeros(1 << bits)
         dense[at] = w
         for b in batches:
-            data, off = text_buffer(b.column(text_col))
+            data, off = text_buffer(b.column("text"))
             out = np.full(b.num_rows, bias)
             for first, last in doc_blocks(off):
                 idx, doc = coordinates(data, off[first : last + 1], bits)
                 hit = dense[idx] != 0
                 key = np.unique((doc[hit] << bits) | idx[hit])
                 out[first:last] += np.bincount(key >> bits, dense[key & ((1 << bits) - 1)], last - first)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))], names=["row", "score"])
 
-    return documents.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return map_rows(documents, run, [("score", T.DoubleType())], text=F.col(f"`{text_col}`").cast("string"))
 
 
 def remainder_of_three(doc_id) -> F.Column:

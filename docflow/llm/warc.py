@@ -24,9 +24,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.session import materialize
 
+from .carry import map_rows
+
 SLOTS, FANOUT = 1_024, 32
 DATE = "2024-01-01T00:00:00Z"
 _LOST = -(1 << 40)  # archives of records without number count down from here
@@ -45,7 +48,6 @@ def record_text(number: Column, url: Column, body: Column) -> Column:
 def parse_records(archives: DataFrame, content_col: str = "content") -> DataFrame:
     """Records of concatenated WARC bytes: the other columns plus ``record_no, offset,
     length, record_id, uri, body, ok`` (``ok`` false: the rest of the file is no record)."""
-    keep = [c for c in archives.columns if c != content_col]
 
     def records(raw: bytes) -> Iterator[tuple]:
         at, no = 0, 0
@@ -60,21 +62,21 @@ def parse_records(archives: DataFrame, content_col: str = "content") -> DataFram
             yield no, at, end - at, fields.get(b"WARC-Record-ID", b"").decode(), fields.get(b"WARC-Target-URI", b"").decode(), raw[split + 4 : end - 4], True
             at, no = end, no + 1
 
-    names = ["record_no", "offset", "length", "record_id", "uri", "body", "ok"]
+    new = [
+        ("record_no", T.LongType()), ("offset", T.LongType()), ("length", T.LongType()), ("record_id", T.StringType()),
+        ("uri", T.StringType()), ("body", T.BinaryType()), ("ok", T.BooleanType()),
+    ]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.bool_()]
 
     def run(batches):
         for b in batches:
             for k in range(b.num_rows):
-                rows = list(records(b.column(content_col)[k].as_py() or b""))
-                kept = [b.column(c).take(pa.array([k] * len(rows), pa.int64())) for c in keep]
+                rows = list(records(b.column("content")[k].as_py() or b""))
+                kept = b.column("row").take(pa.array([k] * len(rows), pa.int64()))
                 cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-                yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*keep, *names])
+                yield pa.RecordBatch.from_arrays([kept, *cols], names=["row", *(n for n, _ in new)])
 
-    schema = archives.select(*[F.col(f"`{c}`") for c in keep]).schema
-    for name, kind in zip(names, ["long", "long", "long", "string", "string", "binary", "boolean"], strict=True):
-        schema = schema.add(name, kind)
-    return archives.select(*[F.col(f"`{c}`") for c in [*keep, content_col]]).mapInArrow(run, schema)
+    return map_rows(archives, run, new, drop=(content_col,), content=F.col(f"`{content_col}`").cast("binary"))
 
 
 def leaves(records: DataFrame, slots: int = SLOTS) -> DataFrame:
