@@ -1,0 +1,148 @@
+"""Registered queries against DuckDB, the archives' audit, and the pipeline."""
+
+import random
+
+import pytest
+from conftest import SF_CHECK, SF_SMALL
+from llm_data import empty_documents, messy_documents
+from oracle_check import compare
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline as C
+from docflow.llm import queries as Q
+from docflow.llm import warc as W
+
+
+def test_ten_queries_and_a_pipeline_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert E.queries()["pipeline"] is C.run and set(Q.ORACLE_SQL) <= set(Q.QUERIES)
+    assert [n for n, _ in C.STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "best-fit packing"]
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
+def test_query_matches_oracle(spark, name):
+    assert compare(spark, SF_CHECK, [name])[name][0] == "OK"
+
+
+COLUMNS = {
+    "op1_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op2_license_scan": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
+    "op3_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op6_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op8_fingerprints": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
+    "op10_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_contract_columns(spark, name):
+    df = Q.QUERIES[name](spark, SF_SMALL)
+    got = dict(df.dtypes)
+    assert {c: got.get(c) for c in COLUMNS[name]} == COLUMNS[name]
+    if name != "op10_top_k":
+        assert df.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+# ---------------------------------------------------------------- archives
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def records(df):
+    return df.select(F.col("page_id").alias("number"), W.record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+
+
+def test_audit_finds_exactly_the_damage(spark):
+    rng = random.Random(14)
+    rows = [(i * 3, f"http://h/{i}", "é" * rng.randint(0, 40)) for i in range(500)]
+    damaged = [(i, u, h) for i, u, h in rows if i % 77]
+    damaged = [(i, u, h + "!" if i % 31 == 0 else h) for i, u, h in damaged] + [(10_000_000, "http://new", "n")]
+    got = {(r["number"], r["kind"]) for r in W.audit(records(pages(spark, rows)), records(pages(spark, damaged)), slots=16, fanout=4).collect()}
+    want = {(i, "missing") for i, _, _ in rows if i % 77 == 0} | {(i, "altered") for i, _, _ in rows if i % 77 and i % 31 == 0} | {(10_000_000, "added")}
+    assert got == want
+
+
+def test_offsets_and_parsing(spark):
+    rows = [(5, "http://a", "x\r\n\r\ny"), (6, None, None), (7, "http://b", "é")]
+    table = records(pages(spark, rows))
+    leaf = {r["number"]: (r["offset"], r["length"]) for r in W.leaves(table).collect()}
+    content = "".join(r["record"] for r in table.orderBy("number").collect()).encode()
+    archive = spark.createDataFrame([("f", content + b"junk", 1)], "file string, content binary, `a.b` int")
+    parsed = W.parse_records(archive).collect()
+    assert [(r["offset"], r["length"]) for r in parsed[:3]] == [leaf[5], leaf[6], leaf[7]]
+    assert [r["body"].decode() for r in parsed[:3]] == ["x\r\n\r\ny", "", "é"] and [r["ok"] for r in parsed] == [True, True, True, False]
+    assert parsed[0]["record_id"] == "<urn:page:5>" and parsed[0]["uri"] == "http://a" and parsed[0]["file"] == "f" and bytes(parsed[3]["body"]) == b"junk"
+
+
+def test_audit_awkward_rows(spark):
+    rows = [(1, None, None), (None, "u", "h"), (None, "u", "h"), (2, "u", ""), (2, "u", "other"), (2, "u", "other"), (-4, "u", "negative"), (10**15, "u", "far")]
+    same = records(pages(spark, rows))
+    assert W.audit(same, same).count() == 0
+    fewer = records(pages(spark, rows[:5] + rows[6:]))
+    assert [(r["number"], r["kind"]) for r in W.audit(same, fewer).collect()] == [(2, "copies")]
+    none = records(pages(spark, []))
+    assert {(r["number"], r["kind"]) for r in W.audit(same, none).collect()} == {(n, "missing") for n in (1, None, 2, -4, 10**15)}
+    assert W.audit(none, none).count() == 0
+    # equal replicas: the root decides
+    assert W.merkle_tree(W.leaves(same), 8)[-1].first()["digest"] == W.merkle_tree(W.leaves(same.repartition(3)), 8)[-1].first()["digest"]
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def planted(spark, scratch):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    passage = " ".join(word() for _ in range(60))
+    rows, labels = [], []
+    for i in range(240):
+        words = [word() for _ in range(120)]
+        if i % 6 == 0:
+            words[10:10] = ["vile", "wretch", "rotten", "vile"]
+            labels.append((i, 1))
+        else:
+            labels.append((i, 0))
+        rows.append((i, " ".join(words)))
+    clean = [r for r in rows if r[0] % 6]
+    rows += [(1000 + k, clean[k][1]) for k in range(5)]  # exact copies: their lines go, and so do they
+    rows += [(2000 + k, " ".join([*clean[20 + k][1].split()[:-1], "changed"])) for k in range(5)]  # near copies
+    rows += [(3000 + k, f"{' '.join(word() for _ in range(70))}\n{passage}\n{' '.join(word() for _ in range(20))}") for k in range(4)]
+    spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    return rows, passage
+
+
+def test_stages_on_planted_cases(spark, scratch):
+    rows, passage = planted(spark, scratch)
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    stage = dict(C.STAGES)
+    kept = stage["toxicity"](spark, docs, scratch).cache()
+    ids = {r["doc_id"] for r in kept.collect()}
+    toxic = {i for i, _ in rows if i < 240 and i % 6 == 0}
+    assert len(toxic & ids) <= 2 and {i for i, _ in rows if i not in toxic} <= ids and kept.columns == docs.columns
+    cut = stage["line dedup"](spark, kept, scratch).cache()
+    left = {r["doc_id"]: r for r in cut.collect()}
+    assert cut.dtypes == docs.dtypes and not {1000, 1001, 1002, 1003, 1004} & set(left)
+    assert passage in left[3000]["text"] and all(passage not in left[3000 + k]["text"] and left[3000 + k]["n_chars"] == len(left[3000 + k]["text"]) for k in (1, 2, 3))
+    assert all(left[i]["text"] == t for i, t in rows if i in left and not 3000 < i < 3004)
+    single = stage["simhash near-dedup"](spark, cut, scratch).cache()
+    assert single.dtypes == docs.dtypes
+    alone = {r["doc_id"] for r in single.collect()}
+    assert alone <= set(left) and len(set(left) - alone) <= 6 and {i for i in left if i < 240} <= alone
+    packed = stage["best-fit packing"](spark, single, scratch).collect()
+    assert {r["doc_id"] for r in packed} == alone
+    assert sum(r["length"] for r in packed) == sum(len(r["text"].encode()) for r in single.collect())
+    ran = sorted(tuple(r) for r in C.run(spark, scratch).select("doc_id", "piece", "length").collect())
+    assert ran == sorted((r["doc_id"], r["piece"], r["length"]) for r in packed)
+
+
+def test_stages_on_awkward_and_empty_tables(spark, scratch):
+    spark.createDataFrame([(1, 0), (5, 1)], "doc_id long, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    for docs in (messy_documents(spark), empty_documents(spark)):
+        for _, stage in C.STAGES[:-1]:
+            out = stage(spark, docs, scratch)
+            assert out.dtypes == docs.dtypes and out.count() <= docs.count()
+        assert C.pack(spark, docs, scratch).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
