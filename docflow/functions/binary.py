@@ -21,37 +21,44 @@ def encode_utf8(s: Column) -> Column:
     return F.encode(s, "UTF-8")
 
 
-def be_bytes_to_decimal(b: Column, scale: int = 9, precision: int = 38) -> Column:
-    """Big-endian two's-complement bytes (at most 16) → decimal with ``scale`` (FN-12).
+def be_bytes_to_decimal(b: Column, scale: int = 9, precision: int = 38, mode: str = "strict") -> Column:
+    """Big-endian two's-complement bytes of any length → decimal with ``scale`` (FN-12).
 
-    The unscaled integer is rebuilt exactly from two signed/unsigned 64-bit
-    halves of the sign-extended hex, then the decimal point is placed in text so
-    that no digit is rounded.
+    Bytes that only repeat the sign are dropped first. The magnitude (for a
+    negative number that of its complement) is rebuilt exactly from two unsigned
+    64-bit halves, and the decimal point is placed in text, so no digit is
+    rounded. Empty bytes, and numbers that need more than ``precision`` digits,
+    raise in strict mode and give null in permissive mode; null stays null.
     """
     h = F.hex(b)
     negative = F.substring(h, 1, 1).isin(*"89ABCDEF")
-    wide = F.when(negative, F.lpad(h, 32, "F")).otherwise(F.lpad(h, 32, "0"))
-    hi = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(38,0)")
-    lo = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(38,0)")
-    unscaled = (hi * F.lit(_TWO_64).cast("decimal(20,0)") + lo).cast("decimal(38,0)")
-    return unscaled_to_decimal(unscaled, scale, precision)
+    complement = F.when(negative, F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(h)
+    digits = F.regexp_replace(complement, "^0+", "")
+    wide = F.lpad(digits, 32, "0")
+    hi, lo = (F.conv(F.substring(wide, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17))
+    whole = F.try_add(F.try_multiply(hi, F.lit(_TWO_64).cast("decimal(20,0)")), lo)
+    magnitude = F.try_add(whole, F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)"))
+    fits = (F.length(h) > 0) & (F.length(digits) <= 32)
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
+    value = F.when(fits, _place_point(sign, magnitude.cast("string"), precision, scale))
+    if mode == "permissive":
+        return value
+    message = F.concat(F.lit("bytes are no decimal of the declared precision: '"), h, F.lit("'"))
+    return F.coalesce(value, F.when(b.isNotNull(), F.raise_error(message)))
+
+
+def _place_point(sign: Column, digits: Column, precision: int, scale: int) -> Column:
+    """Decimal digits with the point ``scale`` places from the right; null where they are too many."""
+    padded = F.lpad(digits, 80, "0")
+    text = F.regexp_replace(padded, f"([0-9]{{{scale}}})$", ".$1") if scale else padded
+    return F.concat(sign, text).try_cast(f"decimal({precision},{scale})")
 
 
 def unscaled_to_decimal(unscaled: Column, scale: int = 9, precision: int = 38) -> Column:
-    """Integer ``unscaled`` → ``unscaled * 10^-scale`` as ``decimal(precision, scale)``, exactly."""
-    if scale == 0:
-        return unscaled.cast(f"decimal({precision},0)")
-    raw = F.abs(unscaled).cast("string")
-    # lpad truncates longer strings, so pad only short ones
-    digits = F.when(F.length(raw) <= scale, F.lpad(raw, scale + 1, "0")).otherwise(raw)
-    n = F.length(digits)
-    text = F.concat(
-        F.when(unscaled < 0, F.lit("-")).otherwise(F.lit("")),
-        digits.substr(F.lit(1), n - scale),
-        F.lit("."),
-        digits.substr(n - scale + 1, F.lit(scale)),
-    )
-    return text.cast(f"decimal({precision},{scale})")
+    """Integer ``unscaled`` → ``unscaled * 10^-scale`` as ``decimal(precision, scale)``,
+    exactly; null where it has more digits."""
+    sign = F.when(unscaled < 0, F.lit("-")).otherwise(F.lit(""))
+    return _place_point(sign, F.translate(unscaled.cast("string"), "-", ""), precision, scale)
 
 
 def long_to_be_bytes(n: Column) -> Column:

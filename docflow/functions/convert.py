@@ -23,8 +23,8 @@ from ..plans.spec import Scalar
 
 STRICT, PERMISSIVE = "strict", "permissive"
 
-_INTEGER_TEXT = r"^[+-]?[0-9]+$"
-_FRACTION = r"^\s*[+-]?[0-9]*[.]([0-9]*?)0*\s*$"
+_INTEGER_TEXT = r"^[+-]?[0-9]+\z"
+_FRACTION = r"^\s*[+-]?[0-9]*[.]([0-9]*?)0*\s*\z"
 
 
 def _guard(s: Column, checked: Column, mode: str, what: str) -> Column:

@@ -59,6 +59,6 @@ def sum_values(m: Matches) -> Column:
     """Integer sum of all matches; 0 when none; null if a value is not an integer
     (AGG-3). Summed in bigint, then narrowed to the declared type."""
     as_long = F.transform(
-        m.values, lambda x: F.when(x.rlike(r"^[+-]?[0-9]+$"), x.try_cast("int").cast("bigint"))
+        m.values, lambda x: F.when(x.rlike(r"^[+-]?[0-9]+\z"), x.try_cast("int").cast("bigint"))
     )
     return F.aggregate(as_long, F.lit(0).cast("bigint"), lambda acc, x: F.try_add(acc, x))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions.binary import decode_utf8
 from .operators import partition as P
+from .operators import shape
 from .operators.lookup import DEFAULT, lookup_with_default
 from .operators.records import align_to_schema
 from .operators.xml import extract_xml
@@ -59,8 +60,9 @@ def extract_xml_and_append(docs: DataFrame, xml_col: str, spec: MappingSpec, tar
 
 
 def transform_and_filter(df: DataFrame, column: str, drop_in_map: Any, drop_after: Any) -> DataFrame:
-    """PIP-3: a partition map that drops rows (``column == drop_in_map``), then a
-    null-safe filter (``column == drop_after`` removed), then a row count."""
-    mapped = P.drop_rows_in_partitions(df, column, drop_in_map)
-    kept = mapped.where(~F.col(column).eqNullSafe(F.lit(drop_after)))
-    return kept.agg(F.count(F.lit(1)).alias("n"))
+    """PIP-3: a partition map that drops rows (``column == drop_in_map``), a
+    null-safe filter (``column == drop_after`` removed) and a row count. The map
+    drops whole rows and changes none, so the filter goes below it: rows that it
+    removes never leave the JVM."""
+    kept = shape.drop_rows(df, shape.equals_value(F.col(f"`{column}`"), drop_after))
+    return shape.count_rows(P.drop_rows_in_partitions(kept, column, drop_in_map))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import MAX_BROADCAST_BYTES, bounded_broadcast
+from ..session import MAX_BROADCAST_BYTES, size_checked
 
 DEFAULT = "UNKNOWN"
 MAX_BROADCAST_ROWS = 2_000_000
@@ -34,7 +34,7 @@ def prepare_reference(ref: DataFrame, key: str, value: str, on_duplicate: str =
     """One row per non-null key: (key, value, hit=true)."""
     if on_duplicate not in ("error", "any"):
         raise ValueError("on_duplicate must be 'error' or 'any'")
-    r = ref.select(F.col(key).alias(_K), F.col(value).alias(_V)).where(F.col(_K).isNotNull())
+    r = ref.select(F.col(f"`{key}`").alias(_K), F.col(f"`{value}`").alias(_V)).where(F.col(_K).isNotNull())
     if on_duplicate == "any":
         r = r.groupBy(_K).agg(F.first(_V).alias(_V))
     else:
@@ -57,10 +57,23 @@ def lookup_with_default(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``df`` plus ``out_col`` = the reference value of ``df[key]``, or ``default``."""
-    r = bounded_broadcast(
-        prepare_reference(ref, ref_key, ref_value, on_duplicate), max_broadcast_rows, max_bytes=max_broadcast_bytes
-    )
-    joined = df.join(r, F.col(key) == F.col(_K), "left")
+    """``df`` with ``out_col`` (added, or replaced where it is) = the reference value
+    of ``df[key]``, or ``default``.
+
+    The reference is aggregated, written and measured when this function is
+    called, not when the result runs: a stream keeps the reference of that
+    moment until it is started anew."""
+    reference = prepare_reference(ref, ref_key, ref_value, on_duplicate)
+    r, small = size_checked(reference, max_broadcast_rows, max_bytes=max_broadcast_bytes)
     value: Column = F.when(F.col(_HIT), F.col(_V)).otherwise(F.lit(default))
-    return joined.select(*[F.col(c) for c in df.columns], value.alias(out_col))
+    cols = [value.alias(c) if c == out_col else F.col(f"`{c}`") for c in df.columns]
+    if out_col not in df.columns:
+        cols.append(value.alias(out_col))
+    data_key = F.col(f"`{key}`")
+    if small:
+        return df.join(F.broadcast(r), data_key == F.col(_K), "left").select(*cols)
+    # a shuffle join would send all null keys, which match nothing, to one task: they go round it
+    matched = df.where(data_key.isNotNull()).join(r.hint("shuffle_merge"), data_key == F.col(_K), "left")
+    types = {f.name: f.dataType for f in r.schema}
+    unmatched = df.where(data_key.isNull()).withColumns({_V: F.lit(None).cast(types[_V]), _HIT: F.lit(False)})
+    return matched.select(*cols).unionByName(unmatched.select(*cols))

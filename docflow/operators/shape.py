@@ -1,7 +1,6 @@
-"""Projections, filters, distinct and count (PRJ-1..6, FLT-1..2, AGG-1..2, FN-1, FN-15).
+"""Projections, filters and count (PRJ-1, 3, 4, 6, FLT-1..2, AGG-2, FN-15).
 
-All narrow, built-in expressions except ``distinct_rows`` (one hash aggregate,
-partial + final) and ``count_rows`` (partial + final count).
+All narrow, built-in expressions except ``count_rows`` (partial + final count).
 """
 
 from __future__ import annotations
@@ -20,22 +19,10 @@ def add_column(df: DataFrame, name: str, expr: Column) -> DataFrame:
     return df.withColumn(name, expr)
 
 
-def select_upper(df: DataFrame, col: str, upper_name: str) -> DataFrame:
-    """PRJ-2 + FN-1: ``SELECT col, UPPER(col) AS upper_name``."""
-    return df.select(F.col(col), F.upper(F.col(col)).alias(upper_name))
-
-
 def decode_column(df: DataFrame, col: str) -> DataFrame:
     """PRJ-3 / PRJ-5 / FN-11: the binary column ``col`` becomes UTF-8 text in place;
     other columns unchanged. Invalid bytes become U+FFFD; null stays null."""
-    return df.select(*[decode_utf8(F.col(c)).alias(c) if c == col else F.col(c) for c in df.columns])
-
-
-def replace_type(schema: T.StructType, col: str, new_type: T.DataType) -> T.StructType:
-    """PRJ-5: the same schema with one field's type replaced."""
-    return T.StructType(
-        [T.StructField(f.name, new_type, True) if f.name == col else f for f in schema.fields]
-    )
+    return df.select(*[decode_utf8(F.col(f"`{c}`")).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
 
 
 def reproject(df: DataFrame, exprs: Sequence[Column], names: Sequence[str] | None = None) -> DataFrame:
@@ -66,11 +53,6 @@ def equals_value(c: Column, value) -> Column:
     return c.eqNullSafe(F.lit(value))
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """AGG-1."""
-    return df.distinct()
-
-
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
     """AGG-2 as a one-row DataFrame (stays lazy, unlike ``df.count()``)."""
     return df.agg(F.count(F.lit(1)).alias(name))

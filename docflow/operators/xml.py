@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from ..functions.convert import STRICT
 from ..plans.compile import Options, compile_spec, needs_document_text, raw_schema
-from ..plans.paths import XML_OPTIONS
-from ..plans.spec import MappingSpec
+from ..plans.paths import XML_OPTIONS, case_clashes
+from ..plans.spec import MappingSpec, SpecError
 
 _RAW = "__docflow_raw"
 _DOC = "__docflow_doc"
@@ -37,13 +37,33 @@ def _reader_options(malformed: str, ignore_namespace: bool) -> dict:
     return opts
 
 
-def _document_text(df: DataFrame, xml_col: str, encoding: str = "UTF-8") -> Column:
-    c = F.col(xml_col)
+_PROLOG_ENCODING = r"""^\s*<\?xml\s[^>]*?encoding\s*=\s*["']([A-Za-z][A-Za-z0-9._-]*)["']"""
+
+
+def _declared_encoding(b: Column) -> Column:
+    """The encoding of a document held as bytes: its byte order mark, else what its
+    prolog declares, else UTF-8."""
+    mark = F.hex(F.substring(b, 1, 2))
+    declared = F.regexp_extract(F.decode(F.substring(b, 1, 256), "ISO-8859-1"), _PROLOG_ENCODING, 1)
+    return F.when(mark.isin("FEFF", "FFFE"), F.lit("UTF-16")).when(declared == "", F.lit("UTF-8")).otherwise(F.upper(declared))
+
+
+def _document_text(df: DataFrame, xml_col: str, encoding: str | None = None) -> Column:
+    c = F.col(f"`{xml_col}`")
     if isinstance(df.schema[xml_col].dataType, T.BinaryType):  # documents held as bytes
-        c = c.cast("string") if encoding.upper().replace("-", "") == "UTF8" else F.decode(c, encoding)
+        name = _declared_encoding(c) if encoding is None else F.lit(encoding.upper())
+        other = F.call_function("decode", c, name)
+        c = F.when(name.isin("UTF-8", "UTF8"), c.cast("string")).otherwise(other)
     return c
 
 
+def _check_names(spark: SparkSession, schema: T.StructType) -> None:
+    """XML names are case-sensitive; Spark's field access is only if the session says so."""
+    clashes = case_clashes(schema)
+    if clashes and spark.conf.get("spark.sql.caseSensitive") != "true":
+        raise SpecError(f"names that differ only in case ({clashes[0][0]!r}, {clashes[0][1]!r}) need spark.sql.caseSensitive=true")
+
+
 def extract_xml(
     df: DataFrame,
     xml_col: str,
@@ -55,12 +75,13 @@ def extract_xml(
     malformed: str = "failfast",
     corrupt_col: str = "_corrupt_record",
     ignore_namespace: bool = False,
-    encoding: str = "UTF-8",
+    encoding: str | None = None,
 ) -> DataFrame:
     """One typed row per document.
 
     * ``xml_col``: string or binary column holding one document per row
-      (bytes are decoded with ``encoding``, UTF-8 by default);
+      (bytes are decoded with ``encoding``, by default the one that the document's
+      byte order mark or prolog declares, else UTF-8);
     * ``keep``: input columns passed through unchanged;
     * ``columns``: extract only these top-level fields (the raw schema is pruned
       too, so the parser materialises nothing else);
@@ -73,13 +94,14 @@ def extract_xml(
     keep = list(keep)
     s = spec.prune(columns) if columns is not None else spec
     schema = raw_schema(s)
+    _check_names(df.sparkSession, schema)
     if malformed == "permissive":
         schema = schema.add(T.StructField(_CORRUPT, T.StringType()))
     doc = _document_text(df, xml_col, encoding)
     parsed = [F.from_xml(doc, schema, _reader_options(malformed, ignore_namespace)).alias(_RAW)]
     if needs_document_text(s):
         parsed.append(doc.alias(_DOC))
-    parsed_df = df.select(*keep, *parsed)
+    parsed_df = df.select(*[F.col(f"`{c}`") for c in keep], *parsed)
     extra = [_DOC] if needs_document_text(s) else []
     corrupt = F.col(_RAW).getField(_CORRUPT) if malformed == "permissive" else None
     return _typed(parsed_df, keep, extra, s, mode, corrupt, corrupt_col)
@@ -94,12 +116,13 @@ def _typed(parsed_df: DataFrame, keep: list, extra: list, s: MappingSpec, mode:
     ok = raw.isNotNull()
     if corrupt is not None:
         ok = ok & corrupt.isNull()
-    opts = Options(mode=mode, root=s.root, doc=F.col(_DOC) if extra else None, stage=[])
+    opts = Options(mode=mode, doc=F.col(_DOC) if extra else None, stage=[])
     outs = [F.when(ok, c).alias(f.name) for c, f in zip(compile_spec(s, raw, opts), s.fields)]
     if corrupt is not None:
         outs.append(corrupt.alias(corrupt_col))
-    staged_df = parsed_df.select(*keep, _RAW, *extra, *opts.stage)
-    return staged_df.select(*keep, *outs)
+    kept = [F.col(f"`{c}`") for c in keep]
+    staged_df = parsed_df.select(*kept, _RAW, *extra, *opts.stage)
+    return staged_df.select(*kept, *outs)
 
 
 def read_xml(
@@ -116,6 +139,7 @@ def read_xml(
     with the spec's raw schema (no inference pass) and the same typed projection."""
     s = spec.prune(columns) if columns is not None else spec
     schema = raw_schema(s)
+    _check_names(spark, schema)
     opts = _reader_options("failfast", ignore_namespace)
     opts["rowTag"] = row_tag
     raw_df = spark.read.format("xml").options(**opts).schema(schema).load(path)
@@ -143,7 +167,7 @@ def explode_records(df: DataFrame, array_col: str | Column, *, outer: bool = Fal
     """
     arr = F.col(array_col) if isinstance(array_col, str) else array_col
     name = array_col if isinstance(array_col, str) else None
-    others = [F.col(c) for c in df.columns if c != name]
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
     exploded = df.select(*others, F.posexplode_outer(arr).alias("__pos", "__rec"))
     if not outer:
         exploded = exploded.where(F.col("__pos").isNotNull())

@@ -33,7 +33,6 @@ def _empty_strings() -> Column:
 @dataclass
 class Options:
     mode: str = STRICT  # conversion errors and missing required fields: raise ("strict") or null
-    root: str | None = None  # root element name, for xpath-evaluated fields
     doc: Column | None = None  # document text, for xpath-evaluated fields
     # Values that several expressions read (first matches, first nodes) are
     # collected here and computed once in a projection of their own; the typed
@@ -58,61 +57,57 @@ def node_matches(ctx: Column, steps: list[Step]) -> Column:
     return nodes
 
 
-def value_matches(ctx: Column, steps: list[Step]) -> Column:
+def _run(runs: Column, which: str) -> Column:
+    """One text run of a node: its first or its last, null if it has none."""
+    return F.get(runs, 0) if which == "first" else F.try_element_at(runs, F.lit(-1))
+
+
+def value_matches(ctx: Column, steps: list[Step], text: str = "first") -> Column:
     """Non-empty text / attribute values selected by ``steps``: ``array<string>`` or null."""
     if steps and steps[-1].attr:
         key, elems = ATTR + steps[-1].name, steps[:-1]
-    else:
-        key, elems = TEXT, steps
-    if not elems:
-        return F.array_compact(F.array(ctx.getField(key)))
-    return F.array_compact(node_matches(ctx, elems).getField(key))
+        if not elems:
+            return F.array_compact(F.array(ctx.getField(key)))
+        return F.array_compact(node_matches(ctx, elems).getField(key))
+    if not steps:
+        return F.array_compact(F.array(_run(ctx.getField(TEXT), text)))
+    runs = F.array_compact(node_matches(ctx, steps).getField(TEXT))
+    return F.transform(runs, lambda r: _run(r, text))
 
 
-def _drop_nulls_keep_first(arr: Column, element_type: T.DataType) -> Column:
-    """``arr`` without nulls, order kept, duplicates dropped: enough to find the
-    *first* non-null element, and (unlike ``filter``) compiled by code generation."""
-    return F.array_except(arr, F.array(F.lit(None).cast(element_type)))
+def _nodes_down(nodes: Column, steps: list[Step]) -> Column:
+    """All nodes below ``nodes`` along ``steps``; one linear pass per step."""
+    for s in steps:
+        nodes = F.flatten(F.array_compact(nodes.getField(s.name)))
+    return nodes
 
 
-def first_node(ctx: Column, node: Node, steps: list[Step]) -> Column:
-    """First element node selected by ``steps`` (a struct, or null), without lambdas."""
+def first_node(ctx: Column, steps: list[Step]) -> Column:
+    """First element node selected by ``steps`` (a struct, or null)."""
     if not steps:
         return ctx
-    nodes, cur = ctx.getField(steps[0].name), node.children[steps[0].name]
-    for s in steps[1:]:
-        child = cur.children[s.name]
-        nodes = F.flatten(_drop_nulls_keep_first(nodes.getField(s.name), child.array_type()))
-        cur = child
-    return F.get(nodes, 0)
+    return F.get(_nodes_down(ctx.getField(steps[0].name), steps[1:]), 0)
 
 
-def first_value(ctx: Column, node: Node, steps: list[Step]) -> tuple[Column, bool]:
-    """First non-empty value selected by ``steps``, and whether it is a plain field read.
-    Built without lambdas, so a projection of scalar fields stays in whole-stage codegen."""
+def first_value(ctx: Column, steps: list[Step], text: str = "first") -> tuple[Column, bool]:
+    """First non-empty value selected by ``steps``, and whether it is a plain field read."""
     if not steps:
-        return ctx.getField(TEXT), True
+        return _run(ctx.getField(TEXT), text), True
     if steps[-1].attr and len(steps) == 1:
         return ctx.getField(ATTR + steps[-1].name), True
     key, elems = (ATTR + steps[-1].name, steps[:-1]) if steps[-1].attr else (TEXT, steps)
-    nodes, cur = ctx.getField(elems[0].name), node.children[elems[0].name]
-    for s in elems[1:]:
-        child = cur.children[s.name]
-        nodes = F.flatten(_drop_nulls_keep_first(nodes.getField(s.name), child.array_type()))
-        cur = child
-    values = nodes.getField(key)
+    values = _nodes_down(ctx.getField(elems[0].name), elems[1:]).getField(key)
+    pick = (lambda v: v) if steps[-1].attr else (lambda v: _run(v, text))
     # the first match usually has a value; look further only when it does not
-    return F.coalesce(F.get(values, 0), F.get(_drop_nulls_keep_first(values, T.StringType()), 0)), False
+    return F.coalesce(pick(F.get(values, 0)), pick(F.get(F.array_compact(values), 0))), False
 
 
 def first_string_value(ctx: Column, steps: list[Step]) -> Column:
-    """String value of the first selected node ('' when none)."""
-    if not steps:
-        v = ctx.getField(TEXT)
-    elif steps[-1].attr:
+    """Own text of the first selected node, all runs joined, or its attribute value ('' when none)."""
+    if steps and steps[-1].attr:
         v = F.get(value_matches(ctx, steps), 0)
     else:
-        v = F.get(node_matches(ctx, steps), 0).getField(TEXT)
+        v = F.array_join(first_node(ctx, steps).getField(TEXT), "")
     return F.coalesce(v, F.lit(""))
 
 
@@ -125,13 +120,6 @@ def _required(col: Column, f: FieldSpec, opts: Options, where: str) -> Column:
 def _xpath_values(f: FieldSpec, opts: Options) -> Column:
     if opts.doc is None:
         raise SpecError(f"field {f.name!r}: xpath evaluation needs the document column")
-    if f.text == "first":
-        if not opts.root:
-            raise SpecError(f"field {f.name!r}: text='first' needs the spec's root element name")
-        rel = f.path.strip().lstrip("./") if f.path.strip() != "." else ""
-        path = f"/{opts.root}/{rel}/text()" if rel else f"/{opts.root}/text()"
-        values = F.xpath(opts.doc, F.lit(path))
-        return F.filter(values, lambda x: F.trim(x) != "")
     values = F.xpath(opts.doc, F.lit(f.path))  # element nodes come back as null: use .../text()
     if "@" in f.path:
         return F.filter(values, lambda x: x.isNotNull())
@@ -141,14 +129,14 @@ def _xpath_values(f: FieldSpec, opts: Options) -> Column:
 def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: str = "", in_lambda: bool = False) -> Column:
     t = f.type
     what = f"field {where}{f.name}"
-    if f.engine == "xpath" or f.text == "first":
+    if f.engine == "xpath":
         if where:
             raise SpecError(f"field {where}{f.name}: xpath evaluation is for top-level fields only")
         if isinstance(t, Record) or (isinstance(t, ArrayOf) and isinstance(t.element, Record)):
             raise SpecError(f"field {f.name!r}: xpath evaluation gives text values, not records")
         values = _xpath_values(f, opts)
         # XPath string value of the first node: all of its descendant text
-        string_value = F.xpath_string(opts.doc, F.lit(f.path)) if f.text != "first" else F.coalesce(F.get(values, 0), F.lit(""))
+        string_value = F.xpath_string(opts.doc, F.lit(f.path))
         out = _typed_values(f, values, string_value, opts, what)
         return _required(out, f, opts, where)
 
@@ -157,7 +145,7 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         rec = t if isinstance(t, Record) else t.element
         sub = node.walk(steps)
         if isinstance(t, Record):
-            first = first_node(ctx, node, steps)
+            first = first_node(ctx, steps)
             if steps and not in_lambda:
                 first = opts.staged(first)
             body = _record(rec, first, sub, opts, f"{where}{f.name}.", in_lambda)
@@ -168,7 +156,7 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         return _required(out, f, opts, where)
 
     if isinstance(t, Scalar) and not f.function:
-        first, plain = first_value(ctx, node, steps)
+        first, plain = first_value(ctx, steps, f.text)
         if plain or t.kind in ("string", "boolean", "bytes"):  # read once by the converter
             out = convert(first, t, opts.mode, what)
         elif not in_lambda:  # computed once in the staging projection
@@ -176,7 +164,7 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         else:  # inside a lambda: bind the first match once
             out = F.get(F.transform(F.array(first), lambda x: convert(x, t, opts.mode, what)), 0)
         return _required(out, f, opts, where)
-    values = value_matches(ctx, steps)
+    values = value_matches(ctx, steps, f.text)
     string_value = first_string_value(ctx, steps) if f.function else None
     return _required(_typed_values(f, values, string_value, opts, what), f, opts, where)
 
@@ -203,13 +191,11 @@ def raw_schema(s: MappingSpec) -> T.StructType:
 
 
 def needs_document_text(s: MappingSpec) -> bool:
-    return any(f.engine == "xpath" or f.text == "first" for f in s.fields)
+    return any(f.engine == "xpath" for f in s.fields)
 
 
 def compile_spec(s: MappingSpec, raw: Column, opts: Options | None = None) -> list[Column]:
     """One aliased ``Column`` per top-level field of ``s``, over the raw struct ``raw``."""
     opts = opts or Options()
-    if opts.root is None:
-        opts.root = s.root
     trie = build_trie(s.fields)
     return [compile_field(f, raw, trie, opts).alias(f.name) for f in s.fields]

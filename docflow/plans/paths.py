@@ -23,7 +23,7 @@ ATTR = "@"
 TEXT = "#text"
 XML_OPTIONS = {"attributePrefix": ATTR, "valueTag": TEXT, "ignoreSurroundingSpaces": "false"}
 
-_NAME = re.compile(r"^[A-Za-z_][\w.\-]*(:[A-Za-z_][\w.\-]*)?$")
+_NAME = re.compile(r"[^\W\d][\w.\-·]*(:[^\W\d][\w.\-·]*)?")  # letters of any script
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def parse_path(path: str, field_name: str = "?") -> list[Step]:
     for i, part in enumerate(parts):
         attr = part.startswith("@")
         name = part[1:] if attr else part
-        if not _NAME.match(name or "") or (attr and i != len(parts) - 1):
+        if not _NAME.fullmatch(name or "") or (attr and i != len(parts) - 1):
             raise SpecError(
                 f"field {field_name!r}: unsupported path {path!r}; the path compiler accepts '.', '@a', "
                 "'a', 'a/b/...' and 'a/b/@c' (use engine='xpath' for other XPath expressions)"
@@ -73,7 +73,7 @@ class Node:
     def struct(self) -> T.StructType:
         fields = [T.StructField(ATTR + a, T.StringType()) for a in sorted(self.attrs)]
         if self.text or not (self.attrs or self.children):
-            fields.append(T.StructField(TEXT, T.StringType()))
+            fields.append(T.StructField(TEXT, T.ArrayType(T.StringType())))  # every run of its own text
         fields += [T.StructField(n, T.ArrayType(c.struct())) for n, c in self.children.items()]
         return T.StructType(fields)
 
@@ -84,7 +84,7 @@ class Node:
 def add_fields(node: Node, fields) -> None:
     """Register the paths of ``fields`` (relative to ``node``) in the trie."""
     for f in fields:
-        if f.engine == "xpath" or f.text == "first":
+        if f.engine == "xpath":
             continue  # evaluated on the document text, not on the raw struct
         steps = parse_path(f.path, f.name)
         t = f.type.element if isinstance(f.type, ArrayOf) else f.type
@@ -98,6 +98,20 @@ def add_fields(node: Node, fields) -> None:
             node.walk(steps).text = True
 
 
+def case_clashes(schema: T.StructType) -> list[tuple[str, str]]:
+    """Sibling names of a raw schema that differ only in case."""
+    seen: dict[str, str] = {}
+    out = []
+    for f in schema.fields:
+        other = seen.setdefault(f.name.lower(), f.name)
+        if other != f.name:
+            out.append((other, f.name))
+        t = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        if isinstance(t, T.StructType):
+            out += case_clashes(t)
+    return out
+
+
 def build_trie(fields: tuple[FieldSpec, ...]) -> Node:
     root = Node()
     add_fields(root, fields)

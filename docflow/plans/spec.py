@@ -90,7 +90,7 @@ class FieldSpec:
     nullable: bool = True
     function: str | None = None
     engine: str = "path"
-    text: str = "last"
+    text: str = "first"
 
     def __post_init__(self):
         if not self.name:
@@ -111,7 +111,7 @@ class FieldSpec:
 @dataclass(frozen=True)
 class MappingSpec:
     """Top-level record of a mapping. ``root`` is the root element name; it is
-    needed only by fields evaluated through ``engine="xpath"`` or ``text="first"``."""
+    the row tag of document files and the first step of ``engine="xpath"`` paths."""
 
     fields: tuple[FieldSpec, ...]
     root: str | None = None
@@ -249,7 +249,7 @@ def _parse_field(f: dict) -> FieldSpec:
         nullable=nullable,
         function=f.get("class"),
         engine=f.get("engine", "path"),
-        text=f.get("text", "last"),
+        text=f.get("text", "first"),
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import re
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,22 +34,44 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate data.
 
     Read from the session: ``spark.checkpoint.dir`` as configured, else a
-    directory set with ``setCheckpointDir``. Only when neither exists (local
-    runs, tests) is one chosen under the warehouse folder and registered with
-    ``setCheckpointDir`` (the config itself cannot be changed at runtime).
+    directory set with ``setCheckpointDir``. With neither, a ``local`` master
+    (one machine, tests) gets a folder under the warehouse; any other master is
+    an error, because the driver's own disk is not the executors'.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         wh = spark.conf.get("spark.sql.warehouse.dir")
         sc.setCheckpointDir(wh.rstrip("/") + "/_docflow_checkpoints")
         base = sc.getCheckpointDir()
     return base
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return "/".join([checkpoint_base(spark).rstrip("/"), "docflow-" + spark.sparkContext.applicationId])
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under :func:`checkpoint_base`."""
-    return "/".join([checkpoint_base(spark).rstrip("/"), *parts, uuid.uuid4().hex])
+    """A fresh folder under this application's part of :func:`checkpoint_base`."""
+    return "/".join([_application_dir(spark), *parts, uuid.uuid4().hex])
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Deletes what this application wrote to the shared folder (materialised and
+    derived tables). Call it when the results that read them are written, at the
+    latest before ``spark.stop()``; stream checkpoints stay."""
+    path, fs = _hadoop_path(spark, _application_dir(spark))
+    fs.delete(path, True)
+    with _DERIVING:
+        for k in [k for k in _DERIVED if k[0] == spark.sparkContext.applicationId]:
+            del _DERIVED[k]
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -61,53 +84,56 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def source_version(spark: SparkSession, *paths: str) -> str:
+    """What changes when files of the source paths do: bytes, file count and the
+    time of the last change, from one file system call each per path."""
+    parts = []
+    for p in paths:
+        path, fs = _hadoop_path(spark, p)
+        held = fs.getContentSummary(path)
+        parts.append(f"{p}:{held.getLength()}:{held.getFileCount()}:{fs.getFileStatus(path).getModificationTime()}")
+    return "|".join(parts)
+
+
 _DERIVED: dict[tuple[str, str], str] = {}
+_DERIVING = threading.RLock()
 
 
-def derived_table(spark: SparkSession, key: str, build) -> str:
+def derived_table(spark: SparkSession, key: str, build, sources: tuple[str, ...] = ()) -> str:
     """A derived input shared by several jobs of one application (such as the
     order documents built from ``orders`` + ``lineitem``): ``build()`` is
     written once to a fresh folder under the shared checkpoint folder, and every
-    call with the same ``key`` in the same application scans that table instead
-    of re-running the build (its shuffles included). The folder is registered
-    only after the write commits, so a failed build is simply redone."""
-    k = (spark.sparkContext.applicationId, key)
-    path = _DERIVED.get(k)
-    if path is None:
-        path = shared_dir(spark, "derived")
-        build().write.parquet(path)
-        _DERIVED[k] = path
-    return path
+    call with the same ``key`` and unchanged ``sources`` (paths) in the same
+    application scans that table instead of re-running the build (its shuffles
+    included). The folder is registered only after the write commits, so a
+    failed build is simply redone; threads that ask at once wait for one build."""
+    k = (spark.sparkContext.applicationId, f"{key}|{source_version(spark, *sources)}")
+    with _DERIVING:
+        path = _DERIVED.get(k)
+        if path is None:
+            path = shared_dir(spark, "derived")
+            build().write.parquet(path)
+            _DERIVED[k] = path
+        return path
 
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(
-    df: DataFrame, max_rows: int, *, max_bytes: int = MAX_BROADCAST_BYTES, materialize_first: bool = True
-) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and its rows, as
-    JSON text, take at most ``max_bytes``; else ``df`` with a shuffle-merge hint
-    (a shuffle join, with AQE's skew splitting).
-
-    Both are measured exactly, in one aggregate over at most ``max_rows + 1``
-    rows (the ``limit`` stops the pass early when ``df`` is large), so a
-    broadcast side has a proven bound. By default ``df`` is materialised first,
-    so it is computed once for both the check and the join.
-    """
-    if materialize_first:
-        df = materialize(df, "broadcast-candidate")
+def size_checked(df: DataFrame, max_rows: int, *, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` written once to the shared folder, and whether it has at most
+    ``max_rows`` rows that take at most ``max_bytes`` as JSON text. Both are
+    measured exactly, by one aggregate over the written table: every task sends
+    one row, whatever its size."""
+    df = materialize(df, "broadcast-candidate")
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    small = stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
-    # over a bound: ask for a shuffle join explicitly, so that no size estimate
-    # of the (now small-looking) written table turns it into a broadcast
-    return F.broadcast(df) if small else df.hint("shuffle_merge")
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return df, stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
 
 
-def local_path(p: str) -> str:
-    return p[5:] if p.startswith("file:") else p
-
-
-def exists(p: str) -> bool:
-    return os.path.exists(local_path(p))
+def bounded_broadcast(df: DataFrame, max_rows: int, *, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when :func:`size_checked` finds it small; else ``df`` with a
+    shuffle-merge hint (a shuffle join, with AQE's skew splitting), so that no
+    size estimate of the written table turns it into a broadcast."""
+    df, small = size_checked(df, max_rows, max_bytes=max_bytes)
+    return F.broadcast(df) if small else df.hint("shuffle_merge")

@@ -2,7 +2,7 @@
 
 One XML document per order (``F.to_xml`` on the order's fields and its lines)::
 
-    <order key=".." ts="epoch ms" urgent="TRUE|yes|false">
+    <order key=".." ts="epoch ms" urgent="TRUE|yes|false" chunk="0" n_chunks="1">
       <status>O</status>
       <info><date>epoch days</date><total>123.45</total></info>
       <cust key="..">5-LOW</cust>
@@ -24,6 +24,7 @@ order exactly one chunk-0 document.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +73,12 @@ def row_identity(df: DataFrame) -> Column:
     ``monotonically_increasing_id`` (Spark then re-runs the stages that depend on
     it as a whole when a shuffle output is lost)."""
     try:
-        df.select("_metadata.file_path", "_metadata.row_index").schema
+        held = df.select("_metadata").schema["_metadata"].dataType.fieldNames()
+    except AnalysisException:  # no such column: not a file scan
+        held = []
+    if {"file_path", "row_index"} <= set(held):
         return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    except Exception:  # noqa: BLE001 - not a file source
-        return F.monotonically_increasing_id()
+    return F.monotonically_increasing_id()
 
 
 def order_line_groups(
@@ -154,6 +157,8 @@ def order_document_rows(
         F.col("o_orderkey").alias("_key"),
         epoch_millis_ntz(F.col("o_orderdate")).alias("_ts"),
         urgent_text(F.col("o_orderpriority")).alias("_urgent"),
+        F.col("chunk").alias("_chunk"),
+        F.col("n_chunks").alias("_n_chunks"),
         F.col("o_orderstatus").alias("status"),
         F.struct(
             epoch_days(F.col("o_orderdate")).alias("date"),
@@ -164,7 +169,10 @@ def order_document_rows(
     )
 
 
-DOC_FIELDS = ["_key", "_ts", "_urgent", "status", "info", "cust", "lines"]
+#: Documents per XML file: a rowTag file is read by one task.
+RECORDS_PER_FILE = 20_000
+
+DOC_FIELDS = ["_key", "_ts", "_urgent", "_chunk", "_n_chunks", "status", "info", "cust", "lines"]
 
 
 def order_documents(
@@ -173,31 +181,28 @@ def order_documents(
     *,
     max_lines_per_doc: int = MAX_LINES_PER_DOC,
     as_binary: bool = False,
-    keep_fields: bool = False,
 ) -> DataFrame:
     """``(o_orderkey, chunk, n_chunks, xml)``: one document per order (per chunk of a
-    hot order; ``n_chunks`` > 1 marks those).
-    ``keep_fields`` also keeps the document's fields as columns (``DOC_FIELDS``), so
-    a stored copy can feed the XML file writer without being derived again."""
+    hot order; ``n_chunks`` > 1 marks those)."""
     rows = order_document_rows(orders, lineitem, max_lines_per_doc=max_lines_per_doc)
     xml = F.to_xml(F.struct(*DOC_FIELDS), {"rowTag": "order", "indent": ""})
     if as_binary:
         xml = xml.cast("binary")
-    return rows.select("o_orderkey", "chunk", "n_chunks", xml.alias("xml"), *(DOC_FIELDS if keep_fields else []))
+    return rows.select("o_orderkey", "chunk", "n_chunks", xml.alias("xml"))
 
 
-def write_document_files(rows: DataFrame, path: str) -> None:
-    """Document rows (``DOC_FIELDS`` columns) as XML files
-    (``<orders><order>..</order>...</orders>``), one file per partition, through
-    Spark's XML writer and commit protocol."""
+def write_document_files(rows: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Document rows as XML files (``<orders><order>..</order>...</orders>``) through
+    Spark's XML writer and commit protocol. A document carries its ``chunk`` and
+    ``n_chunks`` as attributes; files are kept small because one task reads one."""
     rows.select(*DOC_FIELDS).write.mode("overwrite").format("xml").option("rowTag", "order").option(
         "rootTag", "orders"
-    ).save(path)
+    ).option("maxRecordsPerFile", records_per_file).save(path)
 
 
-def write_order_files(orders: DataFrame, lineitem: DataFrame, path: str) -> None:
+def write_order_files(orders: DataFrame, lineitem: DataFrame, path: str, **kw) -> None:
     """Order documents derived from the tables, written as XML files."""
-    write_document_files(order_document_rows(orders, lineitem), path)
+    write_document_files(order_document_rows(orders, lineitem, **kw), path)
 
 
 # Mapping for the order documents (one field per shape the extraction supports).
@@ -214,6 +219,8 @@ ORDER_SPEC = S.spec(
     S.fld("key", "long", "@key", nullable=False),
     S.fld("ts", S.scalar("timestamp", unit="millis"), "@ts"),
     S.fld("urgent", "boolean", "@urgent"),
+    S.fld("chunk", "int", "@chunk"),
+    S.fld("n_chunks", "int", "@n_chunks"),
     S.fld("status", "string", "status"),
     S.fld("status_bytes", "bytes", "status"),
     S.fld("order_date", "date", "info/date"),

@@ -9,10 +9,20 @@ or continuously.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import shared_dir
+from ..session import checkpoint_base
+
+
+def sink_checkpoint(spark: SparkSession, path: str) -> str:
+    """The checkpoint folder of the sink ``path``: the same for every run into it."""
+    sink = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = sink.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(sink).toString()
+    name = hashlib.sha256(full.rstrip("/").encode()).hexdigest()
+    return "/".join([checkpoint_base(spark).rstrip("/"), "stream-checkpoints", name])
 
 
 def append_stream(
@@ -24,11 +34,11 @@ def append_stream(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start ``df.writeStream`` in append mode to ``path``. The checkpoint lives in
-    the shared ``spark.checkpoint.dir`` unless given, so a restarted driver or a
-    lost executor resumes exactly once."""
-    spark = df.sparkSession
-    cp = checkpoint or shared_dir(spark, "stream-checkpoint")
+    """Start ``df.writeStream`` in append mode to ``path``. Unless given, the
+    checkpoint is the folder of the shared ``spark.checkpoint.dir`` that belongs
+    to this sink path: another run into the same sink goes on where the last one
+    stopped, so every input file is written exactly once."""
+    cp = checkpoint or sink_checkpoint(df.sparkSession, path)
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", cp)
     if available_now:
         w = w.trigger(availableNow=True)

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,14 +23,24 @@ from .operators import partition as P
 from .operators import shape
 from .operators.lookup import lookup_with_default
 from .operators.records import align_to_schema
-from .operators.xml import explode_records, extract_xml, read_xml
+from .operators.xml import explode_records, extract_xml, read_xml, read_xml_files
 from .plans import spec as S
 from .session import derived_table, shared_dir
 from .sources import io
-from .sources.corpus import ORDER_SPEC, epoch_millis_ntz, order_documents, write_document_files
+from .sources.corpus import (
+    MAX_LINES_PER_DOC,
+    ORDER_SPEC,
+    epoch_millis_ntz,
+    order_document_rows,
+    order_documents,
+    write_document_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Lines of an order in one document; no answer depends on it (tests run the queries with 1, 3 and this).
+MAX_LINES = MAX_LINES_PER_DOC
+
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return io.tpch(spark, d, name)
@@ -40,11 +52,16 @@ def _docs_path(spark: SparkSession, d: str) -> str:
     that table, so the line data is shuffled once, not once per query."""
     return derived_table(
         spark,
-        f"order_documents:{d}",
-        lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), keep_fields=True),
+        f"order_documents:{MAX_LINES}:{d}",
+        lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), max_lines_per_doc=MAX_LINES),
+        sources=_sources(d),
     )
 
 
+def _sources(d: str) -> tuple[str, ...]:
+    return tuple(f"{d.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem"))
+
+
 def _docs(spark: SparkSession, d: str, *, as_binary: bool = False) -> DataFrame:
     """``(o_orderkey, chunk, n_chunks, xml)`` scanned from the stored table (the
     parquet scan reads only these columns, not the stored document fields)."""
@@ -142,18 +159,26 @@ def xml_primitive_array(spark, d):
 
 
 def xml_null_vs_empty(spark, d):
-    """XML-8 vs XML-9: no match gives a null primitive array but an empty record array."""
+    """XML-8 vs XML-9, per order: no match gives a null primitive array but an empty
+    record array. A split order has no match where none of its documents has one."""
     ex = extract_xml(
-        _docs(spark, d), "xml", ORDER_SPEC, columns=["key", "parts", "lines.n", "lines_rec.line.n", "first_n"]
+        _docs(spark, d), "xml", ORDER_SPEC, columns=["key", "parts", "lines.n", "lines_rec.line.n", "first_n"],
+        keep=["n_chunks"],
     )
-    return ex.agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.count_if(F.col("parts").isNull()).alias("n_null_parts"),
-        F.count_if(F.size("lines") == 0).alias("n_empty_lines"),
-        F.count_if(F.col("lines").isNull()).alias("n_null_lines"),
-        F.count_if(F.col("lines_rec").isNull()).alias("n_null_lines_rec"),
-        F.count_if(F.col("first_n").isNull()).alias("n_null_first"),
+    facts = {
+        "null_parts": F.col("parts").isNull(),
+        "empty_lines": F.size("lines") == 0,
+        "null_lines": F.col("lines").isNull(),
+        "null_lines_rec": F.col("lines_rec").isNull(),
+        "null_first": F.col("first_n").isNull(),
+    }
+    per_order = _per_order(
+        ex,
+        [F.col("key").alias("o_orderkey")],
+        [c.alias(n) for n, c in facts.items()],
+        [F.bool_and(c).alias(n) for n, c in facts.items()],
     )
+    return per_order.agg(F.count(F.lit(1)).alias("n_docs"), *[F.count_if(n).alias(f"n_{n}") for n in facts])
 
 
 def xml_typed_scalars(spark, d):
@@ -201,29 +226,37 @@ def xml_malformed_permissive(spark, d):
             F.lit("mismatched").alias("source"), F.regexp_replace("xml", "</order>$", "</order-end>").alias("xml")
         ),
     )
-    docs = _docs(spark, d).select(F.inline(variants))
-    sources = docs.unionByName(_t(spark, d, "pages").select(F.lit("page").alias("source"), F.col("html").alias("xml")))
-    ex = extract_xml(sources, "xml", ORDER_SPEC, columns=["key"], keep=["source"], malformed="permissive")
-    return ex.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.count_if(F.col("_corrupt_record").isNotNull()).alias("n_bad"),
-        F.count_if(F.col("key").isNotNull()).alias("n_keys"),
+    docs = _docs(spark, d).select("o_orderkey", "n_chunks", F.inline(variants))
+    pages = _t(spark, d, "pages").select(
+        F.col("page_id").alias("o_orderkey"), F.lit(1).alias("n_chunks"), F.lit("page").alias("source"), F.col("html").alias("xml")
+    )
+    ex = extract_xml(
+        docs.unionByName(pages), "xml", ORDER_SPEC, columns=["key"], keep=["source", "o_orderkey", "n_chunks"], malformed="permissive"
+    )
+    bad, keyed = F.col("_corrupt_record").isNotNull(), F.col("key").isNotNull()
+    per_order = _per_order(
+        ex,
+        [F.col("source"), F.col("o_orderkey")],
+        [bad.alias("bad"), keyed.alias("keyed")],
+        [F.bool_or(bad).alias("bad"), F.bool_or(keyed).alias("keyed")],
+    )
+    return per_order.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if("bad").alias("n_bad"), F.count_if("keyed").alias("n_keys")
     )
 
 
 XPATH_SPEC = S.spec(
     S.fld("key", "long", "@key", nullable=False),
     S.fld("info_len", "int", "/order/info", engine="xpath", function="string_length"),
-    S.fld("n_sum", "int", "/order/lines/line/@n", engine="xpath", function="sum_values"),
-    S.fld("priority", "string", "cust", text="first"),
+    S.fld("n_sum", "int", "lines/line/@n", function="sum_values"),
+    S.fld("priority", "string", "cust"),
     root="order",
 )
 
 
 def xml_xpath_fields(spark, d):
-    """FN-2 on a non-leaf element (XPath string value = all descendant text),
-    sum_values through the XPath engine, and the first text run of an element.
-    These fields read the document text again with Spark's xpath functions."""
+    """FN-2 on a non-leaf element (XPath string value = all descendant text): the
+    one field that reads the document a second time, with Spark's xpath_string."""
     ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC, keep=["n_chunks"])
     return _per_order(
         ex,
@@ -254,15 +287,84 @@ def xml_from_bytes(spark, d):
 
 def xml_file_scan(spark, d):
     """SRC-3: order documents written as XML files, scanned back with the spec's
-    raw schema (rowTag 'order'), typed by the same compiled projection."""
+    raw schema (rowTag 'order'), typed by the same compiled projection. The files
+    carry the split of an order, so only split orders are combined."""
     path = shared_dir(spark, "xml_file_scan")
-    write_document_files(spark.read.parquet(_docs_path(spark, d)), path)
-    rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "lines.n"])
-    return rows.groupBy(F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")).agg(
-        F.sum(F.size("lines")).alias("n_lines")
+    rows = order_document_rows(_t(spark, d, "orders"), _t(spark, d, "lineitem"), max_lines_per_doc=MAX_LINES)
+    write_document_files(rows, path)
+    rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "n_chunks", "lines.n"])
+    return _per_order(
+        rows,
+        [F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")],
+        [F.size("lines").cast("bigint").alias("n_lines")],
+        [F.sum(F.size("lines")).alias("n_lines")],
     )
 
 
+MIXED_SPEC = S.spec(
+    S.fld("title", "string", "head/title"),
+    S.fld("title_last", "string", "head/title", text="last"),
+    S.fld("own_len", "int", "head/title", function="string_length"),
+    S.fld("all_len", "int", "/page/head/title", engine="xpath", function="string_length"),
+    S.fld("notes", S.array(S.record(S.fld("no", "int", "@no"), S.fld("said", "string", "."))), "dc:notes/dc:note"),
+    S.fld("ratio", "float", "@ratio"),
+    S.fld("blanks", S.array("string"), "blank"),
+    root="page",
+)
+
+
+def xml_mixed_content(spark, d):
+    """XML-3, 6, 7, 10, 14, FN-2, FN-5: mixed content in records and scalars (the first
+    text run by default), descendant text, empty and blank elements, prefixed names,
+    a float attribute; documents built from every page."""
+    url = F.xpath_string(F.to_xml(F.struct("url"), {"rowTag": "u", "indent": ""}), F.lit("/u/url"))  # as XML carries it
+    size = F.length("html")
+    esc = F.regexp_extract(F.to_xml(F.struct("url"), {"rowTag": "u", "indent": ""}), "(?s)<url>(.*)</url>", 1)
+    doc = F.concat(
+        F.lit("<page ratio='"), (size % 64 / 8).cast("string"), F.lit("' xmlns:dc='urn:dc'><head><title>"), esc, F.lit("<b>mid</b>end</title></head><blank/><blank> </blank>"),
+        F.lit("<dc:notes><dc:note no='"), F.col("page_id").cast("string"), F.lit("'>n"), F.col("page_id").cast("string"), F.lit("<i/>rest</dc:note><dc:note/></dc:notes></page>"),
+    )
+    pages = _t(spark, d, "pages").select("page_id", url.alias("url"), doc.alias("x"))
+    ex = extract_xml(pages, "x", MIXED_SPEC, keep=["page_id", "url"])
+    return ex.select(
+        "page_id",
+        (F.col("title") == F.col("url")).alias("same_title"),
+        "title_last",
+        (F.col("own_len") - F.length("url")).alias("own_more"),
+        (F.col("all_len") - F.length("url")).alias("all_more"),
+        F.size("notes").alias("n_notes"),
+        F.element_at("notes", 1)["no"].cast("bigint").alias("no"),
+        F.element_at("notes", 1)["said"].alias("said"),
+        F.element_at("notes", 2)["said"].isNull().alias("second_silent"),
+        F.col("ratio").cast("double").alias("ratio"),
+        F.col("blanks").isNull().alias("no_blank"),
+    )
+
+
+def xml_declared_encoding(spark, d):
+    """SRC-5: documents held as bytes in the encoding that their prolog declares, one
+    half UTF-8 and the other ISO-8859-1."""
+    latin = F.col("c_custkey") % 2 == 1
+    name = F.when(latin, F.lit("ISO-8859-1")).otherwise(F.lit("UTF-8"))
+    text = F.concat(F.lit("<?xml version='1.0' encoding='"), name, F.lit("'?><é n='"), F.col("c_custkey").cast("string"), F.lit("'>Zoë "), F.col("c_name"), F.lit("</é>"))
+    raw = F.when(latin, F.encode(text, "ISO-8859-1")).otherwise(F.encode(text, "UTF-8"))
+    docs = _t(spark, d, "customer").select(raw.alias("x"))
+    spec = S.spec(S.fld("c_custkey", "long", "@n"), S.fld("greeting", "string", "."), root="é")
+    return extract_xml(docs, "x", spec)
+
+
+def xml_binary_files(spark, d):
+    """SRC-3, SNK-1: one document per file, scanned with ``binaryFile``. Spark writes
+    the documents of the nations (a bounded table) one per file as text."""
+    path = shared_dir(spark, "xml_binary_files")
+    nations = _t(spark, d, "nation")
+    fields = F.struct(F.col("n_nationkey").alias("_key"), F.col("n_name").alias("name"))
+    docs = nations.select("n_nationkey", F.to_xml(fields, {"rowTag": "nation", "indent": ""}).alias("value"))
+    docs.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    spec = S.spec(S.fld("n_nationkey", "long", "@key"), S.fld("n_name", "string", "name"), root="nation")
+    return read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False)
+
+
 # ------------------------------------------------------------------ lookups
 
 def lookup_with_default_q(spark, d):
@@ -299,19 +401,57 @@ def distinct_upper(spark, d):
     )
 
 
+LANG_SQL = "SELECT DISTINCT lang AS name, UPPER(lang) AS uname FROM docflow_documents WHERE lang <> 'es'"
+
+
+def _count_words(batch, state):
+    """Partition function: a column more, counted with the state of its setup."""
+    words = pc.list_value_length(pc.utf8_split_whitespace(pc.utf8_trim_whitespace(batch.column("body"))))
+    empty = pc.equal(pc.utf8_length(pc.utf8_trim_whitespace(batch.column("body"))), 0)
+    counted = pc.if_else(empty, 0, words)
+    state["words"] += pc.sum(counted).as_py() or 0
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("uname"), counted.cast(pa.int64())], ["doc_id", "uname", "n_words"])
+
+
 def enrich_documents(spark, d):
-    """PIP-1 up to the sink: documents keyed by language, body as bytes, enriched
-    from a distinct reference query, body decoded, partition pass with setup/cleanup."""
+    """PIP-1 up to the sink, UDF-3: documents keyed by language, body as bytes, enriched
+    from a distinct reference query, body decoded, then a partition pass with
+    setup and cleanup that counts words and returns another schema."""
     docs = _t(spark, d, "documents")
     data = docs.select("doc_id", F.col("lang").alias("name"), encode_utf8(F.col("text")).alias("body"))
-    return jobs.enrich(
-        spark,
-        data,
-        "SELECT DISTINCT lang AS name, UPPER(lang) AS uname FROM docflow_documents WHERE lang <> 'es'",
-        {"docflow_documents": docs},
-        setup=dict,
-        cleanup=lambda state: None,
-    )
+    rows = jobs.enrich(spark, data, LANG_SQL, {"docflow_documents": docs})
+    return P.map_partitions(rows, _count_words, "doc_id long, uname string, n_words long", setup=lambda: {"words": 0}, cleanup=dict.clear)
+
+
+def pipeline_enrich(spark, d):
+    """PIP-1 with its sink: enriched documents appended, read back."""
+    path = shared_dir(spark, "pipeline_enrich")
+    docs = _t(spark, d, "documents")
+    data = docs.select("doc_id", F.col("lang").alias("name"), encode_utf8(F.col("text")).alias("body"))
+    jobs.enrich_and_append(spark, data, LANG_SQL, {"docflow_documents": docs}, path)
+    return io.read_table(spark, path, "parquet").select("doc_id", "name", "uname", F.length("body").cast("bigint").alias("n_chars"))
+
+
+#: A mapping as a JSON record schema (SRC-7, SRC-8).
+ORDER_JSON = {
+    "type": "record", "name": "order", "root": "order",
+    "fields": [
+        {"name": "o_orderkey", "type": "long", "xpath": "@key"},
+        {"name": "o_orderstatus", "type": ["null", "string"], "xpath": "status"},
+        {"name": "total", "type": ["null", {"type": "bytes", "logicalType": "decimal", "precision": 38, "scale": 9}], "xpath": "info/total"},
+        {"name": "order_date", "type": ["null", {"type": "int", "logicalType": "date"}], "xpath": "info/date"},
+        {"name": "chunk", "type": "int", "xpath": "@chunk"},
+    ],
+}
+
+
+def pipeline_xml(spark, d):
+    """PIP-2, SRC-7, SRC-8: documents held as bytes through a JSON mapping, appended to a
+    sink with the mapping's schema, read back; one row per order."""
+    path = shared_dir(spark, "pipeline_xml")
+    jobs.extract_xml_and_append(_head_docs(spark, d, as_binary=True), "xml", S.from_json(ORDER_JSON), path)
+    back = io.read_table(spark, path, "parquet")
+    return back.select("o_orderkey", "o_orderstatus", F.col("total").cast("string").alias("total"), F.col("order_date").cast("string").alias("order_date"))
 
 
 # ------------------------------------------------------------------ shape / binary
@@ -337,11 +477,17 @@ def map_upper_square(spark, d):
 
 
 def binary_decimal(spark, d):
-    """FN-12 / REC-5: decimals held as big-endian two's-complement bytes."""
+    """FN-12 / REC-5: decimals held as big-endian two's-complement bytes: the shortest
+    form, sign-extended to 20 bytes, and the largest magnitude of either sign."""
     o = _t(spark, d, "orders")
     unscaled = F.round((F.col("o_totalprice") - F.lit(250000)) * 100).cast("bigint") * F.lit(10_000_000)
-    b = o.select("o_orderkey", long_to_be_bytes(unscaled).alias("amount_bytes"))
-    return b.select("o_orderkey", be_bytes_to_decimal(F.col("amount_bytes"), 9).cast("string").alias("amount"))
+    short = long_to_be_bytes(unscaled)
+    sign = F.when(unscaled < 0, F.lit("FF")).otherwise(F.lit("00"))
+    long = F.unhex(F.concat(F.repeat(sign, F.lit(20) - F.octet_length(short)), F.hex(short)))
+    widest = F.when(unscaled < 0, F.unhex(F.lit(f"{(1 << 128) - 10**38 + 1:032X}"))).otherwise(F.unhex(F.lit(f"{10**38 - 1:032X}")))
+    text = lambda b: be_bytes_to_decimal(b, 9).cast("string")
+    rows = o.select("o_orderkey", short.alias("short"), long.alias("long"), widest.alias("widest"))
+    return rows.select("o_orderkey", text(F.col("short")).alias("amount"), text(F.col("long")).alias("amount_20"), text(F.col("widest")).alias("widest"))
 
 
 def record_align(spark, d):
@@ -357,7 +503,9 @@ def record_align(spark, d):
             ms.alias("ts_ms"),
             (ms * 1000).alias("ts_us"),
             long_to_be_bytes(cents).alias("total"),
+            F.array(F.struct(F.col("o_orderkey").cast("int").alias("k"), ms.alias("at")), F.struct(F.lit(None).cast("int").alias("k"), ms.alias("at"))).alias("parts"),
         ).alias("rec"),
+        F.array(F.col("o_custkey").cast("int"), F.lit(None).cast("int")).alias("keys"),
     )
     target = T.StructType([
         T.StructField("o_orderkey", T.LongType()),
@@ -367,7 +515,11 @@ def record_align(spark, d):
             T.StructField("ts_us", T.TimestampType(), metadata={"unit": "micros"}),
             T.StructField("total", T.DecimalType(38, 9)),
             T.StructField("note", T.StringType()),
+            T.StructField("parts", T.ArrayType(T.StructType([
+                T.StructField("at", T.TimestampType(), metadata={"unit": "millis"}), T.StructField("k", T.LongType()), T.StructField("more", T.DoubleType()),
+            ]))),
         ])),
+        T.StructField("keys", T.ArrayType(T.LongType())),
     ])
     a = align_to_schema(src, target)
     return a.select(
@@ -377,17 +529,18 @@ def record_align(spark, d):
         F.unix_millis("rec.ts_us").alias("ts_us"),
         F.col("rec.total").cast("string").alias("total"),
         F.col("rec.note").alias("note"),
+        F.unix_millis(F.col("rec.parts")[1]["at"]).alias("part_ms"),
+        F.col("rec.parts")[0]["k"].alias("part_key"),
+        (F.col("rec.parts")[1]["k"].isNull() & F.col("rec.parts")[0]["more"].isNull() & F.col("keys")[1].isNull()).alias("nulls_kept"),
+        F.col("keys")[0].alias("first_key"),
     )
 
 
 # ------------------------------------------------------------------ partitions
 
-_EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
-
-
 def partition_passthrough(spark, d):
     """PAR-1 / PAR-2: Arrow-batch partition pass with one setup and one cleanup per partition."""
-    ev = _t(spark, d, "events").select(*_EVENT_COLS)
+    ev = _t(spark, d, "events")
     return P.map_partitions(ev, P.passthrough, setup=lambda: {"batches": 0}, cleanup=lambda s: s.clear())
 
 
@@ -422,21 +575,25 @@ def sink_roundtrip(spark, d):
 def stream_xml_status_totals(spark, d):
     """Structured Streaming: the order documents table (derived from the tables,
     written to the shared folder) read as a file stream, extracted, enriched by a stream-static
-    lookup, appended with an availableNow trigger and a checkpoint, read back."""
+    lookup, appended by two availableNow runs into one sink, read back."""
     from .streaming import read_stream, run_available_now
 
     base = shared_dir(spark, "stream_xml_status_totals")
     docs = _docs_path(spark, d)
-    stream = read_stream(spark, docs, spark.read.parquet(docs).schema).select("o_orderkey", "chunk", "xml")
-    ex = extract_xml(stream, "xml", ORDER_SPEC, columns=["key", "status", "lines.qty", "lines.price"])
-    lines = explode_records(ex, "lines").select("key", "status", "qty", "price")
+    schema = spark.read.parquet(docs).schema
     ref = io.query_scan(
         spark,
         "SELECT DISTINCT o_orderstatus AS s, lower(o_orderstatus) AS s_lower FROM docflow_orders WHERE o_orderstatus <> 'P'",
         {"docflow_orders": _t(spark, d, "orders")},
     )
-    enriched = lookup_with_default(lines, ref, "status", "s", "s_lower", "status_name")
-    run_available_now(enriched, base + "/out", checkpoint=base + "/checkpoint")
+    # two halves of the documents arrive one after the other; each run takes what is
+    # new and goes on from the checkpoint that belongs to the sink
+    for half in (0, 1):
+        spark.read.parquet(docs).where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half).write.mode("append").parquet(base + "/in")
+        stream = read_stream(spark, base + "/in", schema).select("o_orderkey", "chunk", "xml")
+        ex = extract_xml(stream, "xml", ORDER_SPEC, columns=["key", "status", "lines.qty", "lines.price"])
+        lines = explode_records(ex, "lines").select("key", "status", "qty", "price")
+        run_available_now(lookup_with_default(lines, ref, "status", "s", "s_lower", "status_name"), base + "/out")
     out = spark.read.parquet(base + "/out")
     return out.groupBy(F.col("status").alias("o_orderstatus"), "status_name").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -460,6 +617,11 @@ QUERIES: dict[str, Query] = {
     "xml_xpath_fields": xml_xpath_fields,
     "xml_from_bytes": xml_from_bytes,
     "xml_file_scan": xml_file_scan,
+    "xml_mixed_content": xml_mixed_content,
+    "xml_declared_encoding": xml_declared_encoding,
+    "xml_binary_files": xml_binary_files,
+    "pipeline_enrich": pipeline_enrich,
+    "pipeline_xml": pipeline_xml,
     "lookup_with_default": lookup_with_default_q,
     "lookup_null_and_duplicate_keys": lookup_null_and_duplicate_keys,
     "distinct_upper": distinct_upper,
@@ -554,10 +716,21 @@ ORACLE_SQL: dict[str, str] = {
         ON NULLIF(e.event_type, 'signup') = r.rk""",
     "distinct_upper": "SELECT DISTINCT c_mktsegment AS name, UPPER(c_mktsegment) AS uname FROM customer",
     "enrich_documents": """
-        SELECT d.doc_id, d.lang AS name, d.text AS body, COALESCE(r.uname, 'UNKNOWN') AS uname
-        FROM documents d LEFT JOIN (
-            SELECT DISTINCT lang AS name, UPPER(lang) AS uname FROM documents WHERE lang <> 'es') r
-        ON d.lang = r.name""",
+        SELECT d.doc_id, CASE WHEN d.lang <> 'es' THEN UPPER(d.lang) ELSE 'UNKNOWN' END AS uname,
+               CAST(len(regexp_extract_all(d.text, '\\S+')) AS BIGINT) AS n_words
+        FROM documents d""",
+    "pipeline_enrich": """
+        SELECT doc_id, lang AS name, CASE WHEN lang <> 'es' THEN UPPER(lang) ELSE 'UNKNOWN' END AS uname,
+               CAST(length(text) AS BIGINT) AS n_chars
+        FROM documents""",
+    "pipeline_xml": f"""
+        SELECT o_orderkey, o_orderstatus, {_DEC} AS total, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date FROM orders""",
+    "xml_mixed_content": """
+        SELECT page_id, true AS same_title, 'end' AS title_last, 3 AS own_more, 6 AS all_more, 2 AS n_notes, page_id AS no,
+               'n' || page_id AS said, true AS second_silent, CAST(length(html) % 64 / 8.0 AS DOUBLE) AS ratio, true AS no_blank
+        FROM pages""",
+    "xml_declared_encoding": "SELECT c_custkey, 'Zoë ' || c_name AS greeting FROM customer",
+    "xml_binary_files": "SELECT n_nationkey, n_name FROM nation",
     "binary_decode": "SELECT doc_id, text FROM documents",
     "reproject_positional": """
         SELECT p_partkey, UPPER(p_name) AS p_name, p_brand, CAST(length(UPPER(p_name)) AS INTEGER) AS name_len
@@ -566,13 +739,16 @@ ORACLE_SQL: dict[str, str] = {
     "binary_decimal": """
         SELECT o_orderkey,
                CAST(CAST(CAST(ROUND((o_totalprice - 250000) * 100) AS BIGINT) * 0.01 AS DECIMAL(38,9)) AS VARCHAR)
-               AS amount
+               AS amount,
+               CAST(CAST(CAST(ROUND((o_totalprice - 250000) * 100) AS BIGINT) * 0.01 AS DECIMAL(38,9)) AS VARCHAR) AS amount_20,
+               CASE WHEN ROUND((o_totalprice - 250000) * 100) < 0 THEN '-' ELSE '' END || '99999999999999999999999999999.999999999' AS widest
         FROM orders""",
     "record_align": f"""
         SELECT o_orderkey, o_custkey AS custkey, epoch_ms(o_orderdate) AS ts_ms, epoch_ms(o_orderdate) AS ts_us,
-               {_DEC} AS total, CAST(NULL AS VARCHAR) AS note
+               {_DEC} AS total, CAST(NULL AS VARCHAR) AS note, epoch_ms(o_orderdate) AS part_ms,
+               o_orderkey AS part_key, true AS nulls_kept, o_custkey AS first_key
         FROM orders""",
-    "partition_passthrough": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "partition_passthrough": "SELECT * FROM events",
     "partition_drop_rows": "SELECT event_id, event_type FROM events WHERE event_type IS DISTINCT FROM 'click'",
     "transform_and_filter": """
         SELECT COUNT(*) AS n FROM events

@@ -65,11 +65,25 @@ def test_lookup_empty_input(spark, lookup_rows):
     assert lookup_with_default(empty, ref, "name", "name", "uname", "uname").count() == 0
 
 
-def test_distinct_upper_and_count(spark):
-    df = spark.createDataFrame([("a",), ("a",), ("b",)], "name string")
-    d = shape.distinct_rows(shape.select_upper(df, "name", "uname"))
-    assert sorted(tuple(r) for r in d.collect()) == [("a", "A"), ("b", "B")]
-    assert shape.count_rows(d).collect()[0].n == 2
+def test_null_keys_go_round_a_shuffle_join(spark):
+    data = spark.createDataFrame([(i, None if i % 2 else str(i % 7), "old", 1) for i in range(200)], "id int, `x.y` string, out string, `a b` int")
+    ref = spark.createDataFrame([(str(i), f"v{i}") for i in range(5)], "`k.k` string, v string")
+    want = {i: f"v{i % 7}" if i % 2 == 0 and i % 7 < 5 else "UNKNOWN" for i in range(200)}
+    for rows in (100, 1):
+        out = lookup_with_default(data, ref, "x.y", "k.k", "v", "out", max_broadcast_rows=rows)
+        assert out.columns == data.columns and {r["id"]: r["out"] for r in out.collect()} == want  # `out` is replaced in place
+    plan = _plan(out)
+    assert "SinglePartition" not in plan and "isnotnull" in plan
+
+
+def test_size_check_has_no_single_task(spark):
+    from docflow.session import size_checked
+
+    assert size_checked(spark.range(10), 10)[1] and not size_checked(spark.range(11), 10)[1] and not size_checked(spark.range(10), 10, max_bytes=20)[1]
+
+
+def test_count_rows(spark):
+    assert shape.count_rows(spark.range(7)).collect()[0].n == 7
 
 
 def test_map_reproject_filter(spark):
@@ -104,6 +118,18 @@ def test_be_bytes_to_decimal_exact(spark):
         assert r.d == Decimal(f"{r.v}E-9"), r.v
 
 
+def test_be_bytes_of_any_length(spark):
+    values = [0, 1, -1, 65536, -2, 10**38 - 1, 1 - 10**38]
+    rows = [(v.to_bytes(n, "big", signed=True), str(v)) for v in values for n in range(1, 21) if n * 8 > (v if v >= 0 else ~v).bit_length()]
+    df = spark.createDataFrame([(bytearray(b), v) for b, v in rows], "b binary, v string")
+    assert all(r.d == Decimal(f"{r.v}E-9") for r in df.select(be_bytes_to_decimal(F.col("b"), 9).alias("d"), "v").collect())
+    odd = spark.createDataFrame([(bytearray(),), (bytearray((10**38).to_bytes(17, "big")),), (bytearray(b"\x01" + bytes(18)),), (None,)], "b binary")
+    assert [r[0] for r in odd.select(be_bytes_to_decimal(F.col("b"), 9, mode="permissive")).collect()] == [None] * 4
+    for i in range(3):
+        with pytest.raises(Exception, match="no decimal of the declared precision"):
+            odd.limit(i + 1).where(F.col("b").isNotNull()).select(be_bytes_to_decimal(F.col("b"), 9)).collect()
+
+
 def test_long_to_be_bytes_is_minimal(spark):
     vals = [v for v in VALUES if -(2**63) <= v < 2**63]
     df = spark.createDataFrame([(v,) for v in vals], "n bigint")
@@ -136,13 +162,6 @@ def test_align_to_schema(spark):
     assert r.rec.missing is None and r.gone is None
 
 
-def test_replace_type_in_schema(spark):
-    df = spark.createDataFrame([("a", bytearray(b"x"))], "name string, body binary")
-    st = shape.replace_type(df.schema, "body", T.StringType())
-    assert [f.dataType for f in st.fields] == [T.StringType(), T.StringType()]
-    assert shape.decode_column(df, "body").schema.simpleString() == st.simpleString()
-
-
 def test_lookup_shuffle_path_splits_a_hot_key(spark):
     """A third of the input rows share one key; beyond the broadcast bound the
     lookup is a sort-merge join and AQE splits the hot partition; every row stays."""

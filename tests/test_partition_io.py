@@ -10,49 +10,61 @@ from docflow import jobs
 from docflow.operators import partition as P
 from docflow.operators.xml import explode_records, extract_xml, read_xml, read_xml_files
 from docflow.plans import spec as S
-from docflow.session import local_path
 from docflow.sources import io
 from docflow.sources.corpus import ORDER_SPEC, order_documents, write_order_files
 from conftest import SF_SMALL
-from fixtures import DOC_FULL, SPEC_JSON
+from fixtures import OVEN, PARTS, RECIPE_JSON
 
 
 def test_partition_map_drops_rows(spark):
-    df = spark.createDataFrame([("A",), ("B",)], "name string")
-    out = P.drop_rows_in_partitions(df, "name", "A")
-    assert out.count() == 1 and out.collect()[0].name == "B"
-    empty = spark.createDataFrame([], "name string")
-    assert P.drop_rows_in_partitions(empty, "name", "A").count() == 0
+    df = spark.range(0, 90, numPartitions=3).selectExpr("id", "CASE WHEN id % 9 = 0 THEN NULL WHEN id % 3 = 0 THEN 'out' ELSE 'in' END AS mark")
+    out = P.drop_rows_in_partitions(df, "mark", "out")
+    assert out.groupBy("mark").count().where("mark IS NULL OR mark = 'in'").agg(F.sum("count")).first()[0] == out.count() == 70
+    assert P.drop_rows_in_partitions(df.where("id < 0"), "mark", "out").count() == 0
 
 
-def test_setup_and_cleanup_once_per_partition(spark):
-    df = spark.range(0, 1000, numPartitions=4).withColumnRenamed("id", "v")
+def _log(folder):
+    """Hooks that write what they do to one file per partition."""
+    import uuid
 
     def setup():
-        return {"rows": 0, "batches": 0}
+        path = os.path.join(folder, uuid.uuid4().hex)
+        with open(path, "a") as f:
+            f.write("setup\n")
+        return path
 
-    def fn(batch, state):
-        state["rows"] += batch.num_rows
-        state["batches"] += 1
-        return None  # emit nothing per batch
+    def count(batch, path):
+        with open(path, "a") as f:
+            f.write(f"batch {batch.num_rows}\n")
+        if batch.num_rows and batch.column(0)[0].as_py() < 0:
+            raise ValueError("bad batch")
+        return pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "path": [path]})
 
-    def cleanup(state):  # runs after the last batch of the partition
-        assert state["rows"] >= 0
+    def cleanup(path):
+        with open(path, "a") as f:
+            f.write("cleanup\n")
 
-    # a cleanup that emits: count rows per partition in one output batch
-    def run(batches):
-        state = setup()
-        try:
-            for b in batches:
-                fn(b, state)
-        finally:
-            cleanup(state)
-        yield pa.RecordBatch.from_pydict({"rows": [state["rows"]]})
+    return setup, count, cleanup
 
-    per_part = df.mapInArrow(run, "rows long").collect()
-    assert len(per_part) == 4 and sum(r.rows for r in per_part) == 1000
-    same = P.map_partitions(df, P.passthrough, setup=setup, cleanup=cleanup)
-    assert same.count() == 1000 and same.schema == df.schema
+
+def test_hooks_run_once_per_partition_in_order(spark, tmp_path):
+    setup, count, cleanup = _log(str(tmp_path))
+    df = spark.range(0, 1000, numPartitions=4)
+    out = P.map_partitions(df, count, "rows long, path string", setup=setup, cleanup=cleanup).collect()
+    assert sum(r.rows for r in out) == 1000
+    logs = {p: open(os.path.join(tmp_path, p)).read().split("\n")[:-1] for p in os.listdir(tmp_path)}
+    assert len(logs) == 4 and {os.path.basename(r.path) for r in out} == set(logs)
+    for lines in logs.values():
+        assert lines[0] == "setup" and lines[-1] == "cleanup" and lines.count("setup") == lines.count("cleanup") == 1
+        assert sum(int(x.split()[1]) for x in lines[1:-1]) == 250
+
+
+def test_cleanup_runs_when_a_batch_fails(spark, tmp_path):
+    setup, count, cleanup = _log(str(tmp_path))
+    with pytest.raises(Exception, match="bad batch"):
+        P.map_partitions(spark.range(-5, 0, numPartitions=1), count, "rows long, path string", setup=setup, cleanup=cleanup).collect()
+    (log,) = os.listdir(tmp_path)
+    assert open(os.path.join(tmp_path, log)).read().split("\n")[:-1] == ["setup", "batch 5", "cleanup"]
 
 
 def test_transform_and_filter(spark):
@@ -85,14 +97,12 @@ def test_query_scan(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("a", "A"), ("b", "B")]
 
 
-def test_one_document_per_file(spark, scratch):
-    os.makedirs(local_path(scratch), exist_ok=True)
-    for i, doc in enumerate([DOC_FULL, DOC_FULL.replace('units="517"', 'units="9"')]):
-        with open(os.path.join(local_path(scratch), f"doc{i}.xml"), "w") as f:
-            f.write(doc)
-    out = read_xml_files(spark, scratch, S.from_json(SPEC_JSON), columns=["units", "weights"])
-    assert sorted(r.units for r in out.collect()) == [9, 517]
-    assert out.columns == ["path", "units", "weights"]
+def test_one_document_per_file(spark, tmp_path):
+    for i, doc in enumerate((PARTS, OVEN)):
+        (tmp_path / f"doc{i}.xml").write_text(doc)
+    out = read_xml_files(spark, str(tmp_path), S.from_json(RECIPE_JSON), columns=["title", "grams"])
+    assert sorted((r.title, r.grams) for r in out.collect()) == [("Plum cake", None), ("Soup", [250, 80])]
+    assert out.columns == ["path", "title", "grams"]
 
 
 def test_row_tag_files_match_in_memory_documents(spark, scratch):
@@ -150,7 +160,7 @@ def test_streaming_extract_matches_batch(spark, scratch):
     order_documents(o, l).write.parquet(src)
     docs_schema = spark.read.parquet(src).schema
     stream = extract_xml(read_stream(spark, src, docs_schema), "xml", ORDER_SPEC, columns=["key", "status"])
-    run_available_now(stream, scratch + "/out", checkpoint=scratch + "/cp")
+    run_available_now(stream, scratch + "/out")
     out = spark.read.parquet(scratch + "/out")
     batch = extract_xml(spark.read.parquet(src), "xml", ORDER_SPEC, columns=["key", "status"])
     assert out.count() == o.count() and out.exceptAll(batch).count() == 0
@@ -193,6 +203,8 @@ def test_checkpoint_base_fallback_without_config(spark):
             return default
 
     class Ctx:
+        master = "local[4]"
+
         def __init__(self):
             self.dir = None
 
@@ -212,7 +224,74 @@ def test_checkpoint_base_fallback_without_config(spark):
     base = Sx.checkpoint_base(Fake())
     assert base.endswith("_docflow_checkpoints/app-uuid")
     assert Sx.checkpoint_base(Fake()) == base  # found again, not re-registered
-    assert Sx.shared_dir(spark, "x").startswith(Sx.checkpoint_base(spark).rstrip("/") + "/x/")
+    own = Sx.checkpoint_base(spark).rstrip("/") + "/docflow-" + spark.sparkContext.applicationId
+    assert Sx.shared_dir(spark, "x").startswith(own + "/x/")
+    # a cluster without a shared folder is an error, not a folder on the driver's disk
+    Fake.sparkContext = Ctx()
+    Fake.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        Sx.checkpoint_base(Fake())
+
+
+def test_intermediates_can_be_dropped(spark):
+    from docflow import session as Sx
+
+    was, Sx._application_dir = Sx._application_dir, lambda s: Sx.checkpoint_base(s).rstrip("/") + "/docflow-drop-test"
+    try:
+        df = Sx.materialize(spark.range(3), "gone")
+        assert df.count() == 3
+        Sx.drop_intermediates(spark)
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(df.inputFiles()[0].rsplit("/", 1)[0])
+    finally:
+        Sx._application_dir = was
+
+
+def test_derived_tables_follow_their_sources(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from docflow.session import derived_table
+
+    src = scratch + "/src"
+    spark.range(5).write.parquet(src)
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(src)
+
+    with ThreadPoolExecutor(4) as pool:
+        paths = set(pool.map(lambda _: derived_table(spark, "follow", build, (src,)), range(4)))
+    assert len(paths) == len(calls) == 1
+    spark.range(5, 12).write.mode("append").parquet(src)
+    assert spark.read.parquet(derived_table(spark, "follow", build, (src,))).count() == 12 and len(calls) == 2
+
+
+def test_stream_goes_on_where_it_stopped(spark, scratch):
+    """Runs into one sink without a given checkpoint: all rows once."""
+    from docflow.streaming import read_stream, run_available_now
+
+    src, out = scratch + "/src", scratch + "/out"
+    for rows, total in (((0, 100), 100), ((100, 150), 150), (None, 150)):
+        if rows:
+            spark.range(*rows).write.mode("append").parquet(src)
+        run_available_now(read_stream(spark, src, "id long"), out)
+        got = spark.read.parquet(out)
+        assert got.count() == got.distinct().count() == total
+
+
+@pytest.mark.parametrize("limit", [1, 3])
+def test_answers_do_not_depend_on_the_document_size(spark, limit, monkeypatch):
+    import oracle_check
+
+    from docflow import workload
+
+    monkeypatch.setattr(workload, "MAX_LINES", limit)
+    names = ["xml_status_totals", "xml_extract_lines", "xml_scalar_first_match", "xml_nested_record", "xml_primitive_array",
+             "xml_null_vs_empty", "xml_typed_scalars", "xml_string_length", "xml_sum_values", "xml_malformed_permissive",
+             "xml_pruned_columns", "xml_xpath_fields", "xml_from_bytes", "xml_file_scan", "pipeline_xml", "stream_xml_status_totals"]
+    res = oracle_check.compare(spark, SF_SMALL, names)
+    assert {n: r[0] for n, r in res.items() if r[0] != "OK"} == {}
 
 
 def test_derived_table_is_built_once_per_key(spark):

@@ -6,23 +6,21 @@ from pyspark.sql import types as T
 from docflow.plans import spec as S
 from docflow.plans.compile import raw_schema
 from docflow.plans.paths import parse_path
-from fixtures import SPEC_JSON
+from fixtures import RECIPE_JSON
 
 
 def test_to_struct_types_and_nullability():
-    s = S.from_json(json.dumps(SPEC_JSON))
+    s = S.from_json(json.dumps(RECIPE_JSON))
     st = s.to_struct()
     f = {x.name: x for x in st.fields}
-    assert f["units"].dataType == T.IntegerType() and not f["units"].nullable
-    assert f["note"].nullable and f["memo"].nullable
-    assert f["insured"].dataType == T.DecimalType(38, 9)
-    assert f["sentAt"].dataType == T.TimestampType()
-    assert f["dueDay"].dataType == T.DateType()
-    assert f["label"].dataType == T.BinaryType()
-    assert f["weights"].dataType == T.ArrayType(T.LongType())
-    assert f["boxes"].dataType == T.StructType([T.StructField("weights", T.ArrayType(T.LongType()), False)])
-    assert isinstance(f["stops"].dataType.elementType, T.StructType)
-    assert s.root == "shipment"
+    assert f["servings"].dataType == T.IntegerType() and not f["servings"].nullable
+    assert f["price"].nullable and f["source"].nullable and not f["vegan"].nullable
+    assert f["price"].dataType == T.DecimalType(12, 4)
+    assert f["published"].dataType == T.TimestampType() and f["tested"].dataType == T.DateType()
+    assert f["photo"].dataType == T.BinaryType() and f["grams"].dataType == T.ArrayType(T.LongType())
+    assert [x.name for x in f["steps"].dataType.elementType] == ["minutes", "said", "no"]
+    assert f["method"].dataType["steps"].dataType == f["steps"].dataType and not f["method"].dataType["steps"].nullable
+    assert s.root == "recipe"
 
 
 def test_missing_xpath_is_a_clear_error():
@@ -48,20 +46,20 @@ def test_paths():
 
 
 def test_prune_and_raw_schema_only_needed_fields():
-    s = S.from_json(SPEC_JSON)
-    p = s.prune(["carrier", "legStops"])
-    assert p.names == ["carrier", "legStops"]
+    s = S.from_json(RECIPE_JSON)
+    p = s.prune(["vegan", "tags"])
+    assert p.names == ["vegan", "tags"]
     raw = raw_schema(p)
-    assert raw.fieldNames() == ["@carrier", "legs"]
+    assert raw.fieldNames() == ["@vegan", "tags"]
     with pytest.raises(S.SpecError, match="no field"):
         s.prune(["nope"])
 
 
 def test_shared_prefix_paths_merge_into_one_element():
-    s = S.from_json(SPEC_JSON)
+    s = S.from_json(RECIPE_JSON)
     raw = raw_schema(s)
-    boxes = raw["boxes"].dataType.elementType
-    assert boxes.fieldNames() == ["weight"]  # array path and record share the element
+    assert raw["method"].dataType.elementType.fieldNames() == ["step"]  # array path and record share the element
+    assert raw.fieldNames().count("method") == 1
 
 
 def test_function_needs_scalar():
@@ -71,22 +69,20 @@ def test_function_needs_scalar():
 
 def test_load_spec_file(tmp_path):
     p = tmp_path / "mapping.json"
-    p.write_text(json.dumps(SPEC_JSON))
+    p.write_text(json.dumps(RECIPE_JSON))
     s = S.load(p)
-    assert s.names == [f["name"] for f in SPEC_JSON["fields"]]
-    assert s.field("legs").type.fields[0].path == "stop"
+    assert s.names == [f["name"] for f in RECIPE_JSON["fields"]]
+    assert s.field("method").type.fields[0].path == "step"
 
 
 def test_prune_nested_subfields():
-    s = S.from_json(SPEC_JSON)
-    p = s.prune(["stops.km", "legs.stops.signed", "origin.lat", "origin", "units"])
-    assert p.names == ["stops", "legs", "origin", "units"]
-    assert [f.name for f in p.field("stops").type.element.fields] == ["km"]
-    assert [f.name for f in p.field("legs").type.fields[0].type.element.fields] == ["signed"]
-    assert [f.name for f in p.field("origin").type.fields] == ["lat", "fragile"]  # whole field wins
-    raw = raw_schema(p)
-    assert raw["stop"].dataType.elementType.fieldNames() == ["@km"]
-    with pytest.raises(S.SpecError, match="no field 'nope' in 'stops'"):
-        s.prune(["stops.nope"])
+    s = S.from_json(RECIPE_JSON)
+    p = s.prune(["steps.no", "method.steps.said", "oven.heat", "oven", "title"])
+    assert p.names == ["steps", "method", "oven", "title"]
+    assert [f.name for f in p.field("steps").type.element.fields] == ["no"]
+    assert [f.name for f in p.field("method").type.fields[0].type.element.fields] == ["said"]
+    assert [f.name for f in p.field("oven").type.fields] == ["heat", "fan"]  # whole field wins
+    with pytest.raises(S.SpecError, match="no field 'nope' in 'steps'"):
+        s.prune(["steps.nope"])
     with pytest.raises(S.SpecError, match="no subfields"):
-        s.prune(["units.x"])
+        s.prune(["title.x"])

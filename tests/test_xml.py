@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from docflow.operators.xml import explode_records, extract_xml
 from docflow.plans import spec as S
-from fixtures import DOC_FULL, DOC_MINIMAL, SPEC_JSON
+from fixtures import ATTRIBUTES, BARE, NO_YIELD, OVEN, PARTS, RECIPE_JSON, STEPS
 
-SPEC = S.from_json(SPEC_JSON)
+SPEC = S.from_json(RECIPE_JSON)
 
 
 def one(spark, doc, spec, **kw):
@@ -18,37 +18,43 @@ def one(spark, doc, spec, **kw):
     return extract_xml(df, "x", spec, **kw).collect()[0]
 
 
-def test_golden_document(spark):
-    r = one(spark, DOC_FULL, SPEC)
-    assert r.units == 517 and r.carrier == "north"
-    assert r.note is None and r.memo is None  # defaults are never applied
-    assert r.express is True  # "TRUE": case-insensitive
-    assert bytes(r.label) == b"XYZ-9"
-    assert r.insured == Decimal("1250.750000000")
-    assert r.sentAt == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)  # epoch millis, UTC session
-    assert r.receivedAt is None
-    assert r.dueDay == dt.date(2024, 3, 18)
-    assert r.weights == [3, 5, 8]
-    assert r.boxWeights == [40, 41]
-    assert r.boxes.weights == [40, 41]
-    assert (r.origin.lat, r.origin.fragile) == (52.25, False)
-    assert (r.handling.temp, r.handling.fragile) == (4.5, True)
-    assert (r.priority.level, r.priority.fragile) == (7, True)  # '.' path
-    assert [(s.km, s.signed) for s in r.stops] == [(12.5, True), (80.25, False)]
-    assert [(s.km, s.signed) for s in r.legStops] == [(100.5, False), (230.75, True)]
-    assert [(s.km, s.signed) for s in r.legs.stops] == [(100.5, False), (230.75, True)]
-
-
-def test_minimal_document_nulls_and_empty_arrays(spark):
-    r = one(spark, DOC_MINIMAL, SPEC, mode="permissive")
-    assert r.weights is None and r.boxWeights is None  # array of primitive: null when no match
-    assert r.stops == [] and r.legStops == []  # array of records: empty when no match
-    assert r.boxes is None and r.handling is None and r.legs is None  # records: null
+def test_attributes_and_defaults(spark):
+    r = one(spark, ATTRIBUTES, SPEC)
+    assert (r.title, r.servings, r.vegan) == ("Rye", 12, True)  # "True": any case
+    assert r.published == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)  # epoch millis, UTC session
+    assert r.source is None  # a default is never applied
+    assert one(spark, STEPS, SPEC).vegan is False
+
+
+def test_arrays_of_records_over_a_repeated_parent(spark):
+    r = one(spark, STEPS, SPEC)
+    assert [(s.no, s.minutes, s.said) for s in r.steps] == [(1, 2.5, "mix"), (2, 40.0, "rise"), (3, None, "bake")]
+    assert [s.no for s in r.method.steps] == [1, 2]  # a record is the first node that matches
+
+
+def test_records_take_the_first_node(spark):
+    r = one(spark, OVEN, SPEC)
+    assert (r.oven.heat, r.oven.fan) == (182.5, True)
+    assert (r.author.id, r.author.name) == (77, "R. Baker")  # '.' path beside an attribute
+
+
+def test_values_that_are_absent_or_blank_are_skipped(spark):
+    r = one(spark, PARTS, SPEC)
+    assert r.grams == [250, 80] and r.tags == ["warm", "quick"]
+    assert r.price == Decimal("1250.7500") and r.tested == dt.date(2024, 3, 18) and bytes(r.photo) == b"YQ=="
+
+
+def test_no_match_gives_null_or_an_empty_array(spark):
+    r = one(spark, BARE, SPEC)
+    assert r.tags is None and r.grams is None  # array of primitive: null when no match
+    assert r.steps == []  # array of records: empty when no match
+    assert r.oven is None and r.method is None and r.price is None  # records and scalars: null
 
 
 def test_missing_required_field_fails_in_strict_mode(spark):
-    with pytest.raises(Exception, match="missing required field weights"):
-        one(spark, DOC_MINIMAL, SPEC)
+    with pytest.raises(Exception, match="missing required field servings"):
+        one(spark, NO_YIELD, SPEC)
+    assert one(spark, NO_YIELD, SPEC, mode="permissive").servings is None
 
 
 def test_null_document_gives_null_row(spark):
@@ -58,9 +64,9 @@ def test_null_document_gives_null_row(spark):
 
 
 def test_bytes_input_column(spark):
-    df = spark.createDataFrame([(bytearray(DOC_FULL.encode()),)], "x binary")
-    r = extract_xml(df, "x", SPEC, columns=["units", "weights"]).collect()[0]
-    assert (r.units, r.weights) == (517, [3, 5, 8])
+    df = spark.createDataFrame([(bytearray(PARTS.encode()),)], "x binary")
+    r = extract_xml(df, "x", SPEC, columns=["servings", "grams"]).collect()[0]
+    assert (r.servings, r.grams) == (2, [250, 80])
 
 
 EDGE = """<r a="" b="1" x:n="ns">
@@ -79,8 +85,8 @@ def test_edge_rules(spark):
         S.fld("a", "string", "@a"),
         S.fld("ts", S.array("string"), "t"),
         S.fld("t1", "string", "t"),
-        S.fld("mix_last", "string", "mix"),
-        S.fld("mix_first", "string", "mix", text="first"),
+        S.fld("mix_last", "string", "mix", text="last"),
+        S.fld("mix_first", "string", "mix"),
         S.fld("ns_el", "string", "x:t"),
         S.fld("ns_at", "string", "@x:n"),
         S.fld("cdata", "string", "c"),
@@ -181,8 +187,8 @@ def test_explode_records_inner_and_outer(spark):
 
 
 def test_one_parse_per_document_in_plan(spark):
-    df = spark.createDataFrame([(DOC_FULL,)], "x string")
-    ex = explode_records(extract_xml(df, "x", SPEC, columns=["carrier", "stops"]), "stops")
+    df = spark.createDataFrame([(STEPS,)], "x string")
+    ex = explode_records(extract_xml(df, "x", SPEC, columns=["title", "steps"]), "steps")
     plan = ex._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml(") == 1
 
@@ -204,16 +210,71 @@ def test_xpath_engine_string_value_of_element(spark):
     )
     r = one(spark, "<r><mix>first<b>mid</b>last</mix></r>", sp)
     assert r.len_all == len("firstmidlast")  # XPath string value: all descendant text
-    assert r.len_own == len("last")  # own text run only (documented)
+    assert r.len_own == len("firstlast")  # own text, all runs (documented)
     assert r.texts == ["first", "mid", "last"]
 
 
 def test_nested_pruning_gives_the_same_values(spark):
-    full = one(spark, DOC_FULL, SPEC)
-    r = one(spark, DOC_FULL, SPEC, columns=["stops.km", "legs.stops.signed", "priority.level"])
-    assert [s.km for s in r.stops] == [s.km for s in full.stops]
-    assert [s.signed for s in r.legs.stops] == [s.signed for s in full.legs.stops]
-    assert r.priority.level == full.priority.level
-    assert r.stops[0].asDict() == {"km": full.stops[0].km}
-    minimal = one(spark, DOC_MINIMAL, SPEC, mode="permissive", columns=["stops.km"])
-    assert minimal.stops == []  # array of records: still empty, not null
+    full = one(spark, STEPS, SPEC)
+    r = one(spark, STEPS, SPEC, columns=["steps.minutes", "method.steps.no", "title"])
+    assert [s.asDict() for s in r.steps] == [{"minutes": s.minutes} for s in full.steps]
+    assert [s.no for s in r.method.steps] == [s.no for s in full.method.steps] and r.title == full.title
+    assert one(spark, OVEN, SPEC, columns=["oven.heat"]).oven.asDict() == {"heat": 182.5}
+    assert one(spark, BARE, SPEC, columns=["steps.no"]).steps == []  # still empty, not null
+
+
+def test_text_runs_inside_records(spark):
+    sp = S.spec(
+        S.fld("rs", S.array(S.record(S.fld("a", "string", "m"), S.fld("z", "string", "m", text="last"), S.fld("n", "int", "m", function="string_length"))), "r"),
+        S.fld("ms", S.array("string"), "r/m"),
+    )
+    r = one(spark, "<d><r><m>one<b/>two</m></r><r><m/><m>x<!-- c -->y</m></r><r/></d>", sp)
+    assert [(x.a, x.z, x.n) for x in r.rs] == [("one", "two", 6), ("x", "y", 0), (None, None, 0)]
+    assert r.ms == ["one", "x"]
+
+
+def test_first_match_is_linear(spark):
+    """A scalar over very many matches costs about what the array of them costs."""
+    import time
+
+    n = 60_000
+    doc = "<r>" + "".join(f"<a><b>{i}</b></a>" for i in range(n)) + "</r>"
+    df = spark.createDataFrame([(doc,)], "x string")
+    took = {}
+    for name, f in (("array", S.fld("v", S.array("int"), "a/b")), ("scalar", S.fld("v", "int", "a/b"))):
+        extract_xml(df, "x", S.spec(f)).collect()
+        t = time.time()
+        v = extract_xml(df, "x", S.spec(f)).first().v
+        took[name] = time.time() - t
+        assert v == 0 if name == "scalar" else len(v) == n
+    assert took["scalar"] < 3 * took["array"] + 2
+
+
+def test_names_in_any_script_and_case(spark):
+    sp = S.spec(S.fld("v", "int", "été/@größe"), S.fld("w", "string", "名"))
+    r = one(spark, "<r><été größe='3'/><名>n</名></r>", sp)
+    assert (r.v, r.w) == (3, "n")
+    both = S.spec(S.fld("up", "string", "A"), S.fld("low", "string", "a"))
+    with pytest.raises(S.SpecError, match="caseSensitive"):
+        one(spark, "<r><A>1</A><a>2</a></r>", both)
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        r = one(spark, "<r><A>1</A><a>2</a></r>", both)
+        assert (r.up, r.low) == ("1", "2")
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_declared_encodings(spark):
+    text = "<?xml version='1.0' encoding='{}'?><r n='Ünï'/>"
+    docs = [text.format(e).encode(e) for e in ("UTF-8", "iso-8859-1", "UTF-16")] + ["<r n='Ünï'/>".encode()]
+    df = spark.createDataFrame([(bytearray(d),) for d in docs], "x binary")
+    assert [r.n for r in extract_xml(df, "x", S.spec(S.fld("n", "string", "@n"))).collect()] == ["Ünï"] * 4
+
+
+def test_trailing_line_end_is_no_integer(spark):
+    sp = S.spec(S.fld("n", "int", "n"), S.fld("s", "int", "n", function="sum_values"))
+    r = one(spark, "<r><n>5\n</n></r>", sp, mode="permissive")
+    assert (r.n, r.s) == (None, None)
+    with pytest.raises(Exception, match="cannot convert"):
+        one(spark, "<r><n>5\n</n></r>", sp)
