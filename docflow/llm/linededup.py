@@ -121,6 +121,7 @@ def later_copies(sequence: DataFrame) -> DataFrame:
         ends = places.select((F.col("at") + size).alias("end"), F.col("rank").alias("r2"))
         runs = asked.join(ends, F.col("at") + F.col("length") == F.col("end")).select("at", "length", "r1", "r2")
         intervals = runs.groupBy("r1", "r2", "length").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+        intervals = materialize(intervals, "intervals")  # so that the join's two sides are shuffles whose hot parts can be split
         found.append(materialize(runs.join(intervals, ["r1", "r2", "length"]).where("at > first").select("at", "length", "first"), "copies"))
         if 2 * size > last:
             break
