@@ -53,9 +53,13 @@ def _application_dir(spark: SparkSession) -> str:
     return "/".join([checkpoint_base(spark).rstrip("/"), "docflow-" + spark.sparkContext.applicationId])
 
 
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under this application's part of :func:`checkpoint_base`."""
-    return "/".join([_application_dir(spark), *parts, uuid.uuid4().hex])
+    _WRITTEN.append("/".join([_application_dir(spark), *parts, uuid.uuid4().hex]))
+    return _WRITTEN[-1]
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -84,6 +88,26 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_step(spark: SparkSession, build, name: str) -> tuple[DataFrame, str]:
+    """``build()`` materialised, and its folder. What the step itself wrote to the
+    shared folder on the way is deleted once the result is complete, so a chain of
+    steps holds one step's intermediates at a time."""
+    before = len(_WRITTEN)
+    df = build()
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    derived = set(_DERIVED.values())
+    for p in [p for p in _WRITTEN[before:] if p != path and p not in derived]:
+        drop_folder(spark, p)
+    return spark.read.parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes one folder of :func:`shared_dir`."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def source_version(spark: SparkSession, *paths: str) -> str:
     """What changes when files of the source paths do: bytes, file count and the
     time of the last change, from one file system call each per path."""
@@ -99,20 +123,21 @@ _DERIVED: dict[tuple[str, str], str] = {}
 _DERIVING = threading.RLock()
 
 
-def derived_table(spark: SparkSession, key: str, build, sources: tuple[str, ...] = ()) -> str:
+def derived_table(spark: SparkSession, key: str, build, sources: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> str:
     """A derived input shared by several jobs of one application (such as the
     order documents built from ``orders`` + ``lineitem``): ``build()`` is
     written once to a fresh folder under the shared checkpoint folder, and every
     call with the same ``key`` and unchanged ``sources`` (paths) in the same
     application scans that table instead of re-running the build (its shuffles
     included). The folder is registered only after the write commits, so a
-    failed build is simply redone; threads that ask at once wait for one build."""
+    failed build is simply redone; threads that ask at once wait for one build.
+    ``partition_by``: columns of few values that readers filter on."""
     k = (spark.sparkContext.applicationId, f"{key}|{source_version(spark, *sources)}")
     with _DERIVING:
         path = _DERIVED.get(k)
         if path is None:
             path = shared_dir(spark, "derived")
-            build().write.parquet(path)
+            build().write.partitionBy(*partition_by).parquet(path)
             _DERIVED[k] = path
         return path
 

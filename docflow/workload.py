@@ -53,8 +53,11 @@ def _docs_path(spark: SparkSession, d: str) -> str:
     return derived_table(
         spark,
         f"order_documents:{MAX_LINES}:{d}",
-        lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), max_lines_per_doc=MAX_LINES),
+        lambda: order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), max_lines_per_doc=MAX_LINES).withColumn(
+            "is_split", (F.col("n_chunks") > 1).cast("int")
+        ),
         sources=_sources(d),
+        partition_by=("is_split",),
     )
 
 
@@ -63,9 +66,9 @@ def _sources(d: str) -> tuple[str, ...]:
 
 
 def _docs(spark: SparkSession, d: str, *, as_binary: bool = False) -> DataFrame:
-    """``(o_orderkey, chunk, n_chunks, xml)`` scanned from the stored table (the
-    parquet scan reads only these columns, not the stored document fields)."""
-    docs = spark.read.parquet(_docs_path(spark, d)).select("o_orderkey", "chunk", "n_chunks", "xml")
+    """``(o_orderkey, chunk, n_chunks, xml, is_split)`` scanned from the stored table;
+    documents of split orders lie in a partition of their own."""
+    docs = spark.read.parquet(_docs_path(spark, d)).select("o_orderkey", "chunk", "n_chunks", "xml", "is_split")
     return docs.withColumn("xml", F.col("xml").cast("binary")) if as_binary else docs
 
 
@@ -79,10 +82,10 @@ def _per_order(ex: DataFrame, keys: list, single: list, combine: list) -> DataFr
     """Per-order values from per-document rows. An order that is not split has
     one document, whose row is already the answer (``single``); only the rows of
     split (hot) orders, a few per order, are shuffled to be combined
-    (``combine``: aggregates giving the same columns). The filter on
-    ``n_chunks`` reaches the scan, so each document is parsed once, in one branch."""
-    one = ex.where(F.col("n_chunks") == 1).select(*keys, *single)
-    many = ex.where(F.col("n_chunks") > 1).groupBy(*keys).agg(*combine)
+    (``combine``: aggregates giving the same columns). ``is_split`` is the stored
+    table's partition, so each branch reads its own files and no document twice."""
+    one = ex.where("is_split = 0").select(*keys, *single)
+    many = ex.where("is_split = 1").groupBy(*keys).agg(*combine)
     return one.unionByName(many)
 
 
@@ -118,7 +121,7 @@ def xml_scalar_first_match(spark, d):
     smallest line; the smallest over an order's documents is the order's."""
     ex = extract_xml(
         _docs(spark, d), "xml", ORDER_SPEC, columns=["key", "first_n", "first_qty", "first_part", "first_price"],
-        keep=["n_chunks"],
+        keep=["is_split"],
     )
     first = F.struct("first_n", "first_qty", "first_part", "first_price")
     per_order = _per_order(
@@ -163,7 +166,7 @@ def xml_null_vs_empty(spark, d):
     record array. A split order has no match where none of its documents has one."""
     ex = extract_xml(
         _docs(spark, d), "xml", ORDER_SPEC, columns=["key", "parts", "lines.n", "lines_rec.line.n", "first_n"],
-        keep=["n_chunks"],
+        keep=["is_split"],
     )
     facts = {
         "null_parts": F.col("parts").isNull(),
@@ -205,7 +208,7 @@ def xml_string_length(spark, d):
 def xml_sum_values(spark, d):
     """XML-11 / AGG-3: the 'sum_values' field function (0 when nothing matches,
     null when a value is not an integer), summed over an order's documents."""
-    ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "sum_n", "sum_qty"], keep=["n_chunks"])
+    ex = extract_xml(_docs(spark, d), "xml", ORDER_SPEC, columns=["key", "sum_n", "sum_qty"], keep=["is_split"])
     return _per_order(
         ex,
         [F.col("key").alias("o_orderkey")],
@@ -226,12 +229,12 @@ def xml_malformed_permissive(spark, d):
             F.lit("mismatched").alias("source"), F.regexp_replace("xml", "</order>$", "</order-end>").alias("xml")
         ),
     )
-    docs = _docs(spark, d).select("o_orderkey", "n_chunks", F.inline(variants))
+    docs = _docs(spark, d).select("o_orderkey", "is_split", F.inline(variants))
     pages = _t(spark, d, "pages").select(
-        F.col("page_id").alias("o_orderkey"), F.lit(1).alias("n_chunks"), F.lit("page").alias("source"), F.col("html").alias("xml")
+        F.col("page_id").alias("o_orderkey"), F.lit(0).alias("is_split"), F.lit("page").alias("source"), F.col("html").alias("xml")
     )
     ex = extract_xml(
-        docs.unionByName(pages), "xml", ORDER_SPEC, columns=["key"], keep=["source", "o_orderkey", "n_chunks"], malformed="permissive"
+        docs.unionByName(pages), "xml", ORDER_SPEC, columns=["key"], keep=["source", "o_orderkey", "is_split"], malformed="permissive"
     )
     bad, keyed = F.col("_corrupt_record").isNotNull(), F.col("key").isNotNull()
     per_order = _per_order(
@@ -257,7 +260,7 @@ XPATH_SPEC = S.spec(
 def xml_xpath_fields(spark, d):
     """FN-2 on a non-leaf element (XPath string value = all descendant text): the
     one field that reads the document a second time, with Spark's xpath_string."""
-    ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC, keep=["n_chunks"])
+    ex = extract_xml(_docs(spark, d), "xml", XPATH_SPEC, keep=["is_split"])
     return _per_order(
         ex,
         [F.col("key").alias("o_orderkey")],
@@ -275,7 +278,7 @@ def xml_pruned_columns(spark, d):
 def xml_from_bytes(spark, d):
     """SRC-5 / PIP-2: documents held as bytes; line count per order."""
     ex = extract_xml(
-        _docs(spark, d, as_binary=True), "xml", ORDER_SPEC, columns=["key", "status", "lines.n"], keep=["n_chunks"]
+        _docs(spark, d, as_binary=True), "xml", ORDER_SPEC, columns=["key", "status", "lines.n"], keep=["is_split"]
     )
     return _per_order(
         ex,
@@ -294,7 +297,7 @@ def xml_file_scan(spark, d):
     write_document_files(rows, path)
     rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "n_chunks", "lines.n"])
     return _per_order(
-        rows,
+        rows.withColumn("is_split", (F.col("n_chunks") > 1).cast("int")),
         [F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")],
         [F.size("lines").cast("bigint").alias("n_lines")],
         [F.sum(F.size("lines")).alias("n_lines")],
