@@ -18,7 +18,7 @@ from docflow.llm.linededup import dedup_lines
 from docflow.llm.packing import pack_documents
 from docflow.llm.simhash import near_duplicates
 from docflow.llm.toxicity import toxicity
-from docflow.session import materialize
+from docflow.session import drop_folder, materialize_step
 
 
 def _row(docs: DataFrame) -> Column:
@@ -66,7 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. A stage's own intermediates and its input are
+    deleted as soon as its result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        kept, path = materialize_step(spark, lambda s=stage, d=docs: s(spark, d, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if before:
+            drop_folder(spark, before)
+        docs, before = kept, path
     return STAGES[-1][1](spark, docs, sf_dir)
