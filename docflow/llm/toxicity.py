@@ -7,7 +7,7 @@ term leaves most weights at zero, so the model is a short list of (coordinate,
 weight) that is broadcast to the tasks that score.
 
 Fitting reads at most ``max_rows`` labelled documents (the smallest hashes of their
-ids: the same ones however the table is partitioned), turns them into coordinates
+ids: the same ones however the table is partitioned; very long ones apart), turns them into coordinates
 where they lie and learns in one task, whose input that bound limits. Scoring is
 one narrow pass over whole texts of all documents.
 
@@ -34,7 +34,9 @@ from .wordhash import doc_blocks, mix, text_buffer, word_hashes
 class FtrlParams:
     """``alpha``, ``beta``: per-coordinate rates; ``l1``, ``l2``: penalties;
     ``bits``: log2 of the coordinates; ``epochs``: passes over the sample;
-    ``max_rows``: bound of the labelled sample the model is fitted on."""
+    ``max_rows``: bound of the labelled sample the model is fitted on;
+    ``max_coordinates``: sampled documents with more are not learnt from (they are
+    scored like any other), so the two bounds limit the learning task's memory."""
 
     alpha: float = 3.0
     beta: float = 1.0
@@ -43,6 +45,7 @@ class FtrlParams:
     bits: int = 20
     epochs: int = 6
     max_rows: int = 16_384
+    max_coordinates: int = 1 << 15
 
 
 #: Multipliers that tell a word, a pair and a skipping pair apart.
@@ -125,6 +128,7 @@ def fit(documents: DataFrame, labels: DataFrame, params: FtrlParams = FtrlParams
         .join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
         .select("ord", "label", "text")
         .mapInArrow(_to_coordinates(params.bits), "ord long, label int, idx array<int>")
+        .where(F.size("idx") <= params.max_coordinates)
     )
 
     def learn(batches):

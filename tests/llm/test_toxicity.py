@@ -49,6 +49,16 @@ def test_sample_bound_and_order_independence(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_long_documents_are_scored_but_not_learnt_from(spark):
+    docs, labels = corpus(spark, 120)
+    long = spark.createDataFrame([(5_000, " ".join(f"z{i}" for i in range(2_000)))], "doc_id long, text string")
+    more = labels.unionByName(spark.createDataFrame([(5_000, 1)], "doc_id long, toxic int"))
+    params = T.FtrlParams(epochs=1, max_coordinates=1_000)
+    a = T.fit(docs, labels, params).collect()
+    b = T.fit(docs.unionByName(long), more, params).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
 def test_ftrl_is_the_textbook_update():
     p = T.FtrlParams(alpha=0.5, beta=1.0, l1=0.1, l2=0.01, bits=4, epochs=1)
     rows = [(np.array([1, 3]), 1), (np.array([3, 5]), 0), (np.array([1]), 1)]
