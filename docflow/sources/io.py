@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from typing import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -30,13 +31,28 @@ def tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def query_scan(spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """SRC-2: run ``sql`` with ``views`` bound as temporary views.
+    """SRC-2: run ``sql`` with ``views`` bound as temporary views for its analysis;
+    afterwards they are gone, and a view of the caller's that had such a name is back.
 
     The SQL goes through Catalyst like any DataFrame code, so filters and column
     pruning reach the underlying scans."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    callers = {name: spark.table(name) for name in views or {} if _is_temporary(spark, name)}
+    try:
+        for name, df in (views or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql)  # resolved here: the result holds the plans, not the names
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
+        for name, df in callers.items():
+            df.createOrReplaceTempView(name)
+
+
+def _is_temporary(spark: SparkSession, name: str) -> bool:
+    try:
+        return spark.catalog.getTable(name).isTemporary
+    except AnalysisException:  # no such table
+        return False
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet", *, table: bool = False, compression: str = "snappy",

@@ -95,6 +95,11 @@ def test_query_scan(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "name string")
     out = io.query_scan(spark, "SELECT DISTINCT name, UPPER(name) AS uname FROM t_names", {"t_names": df})
     assert sorted(tuple(r) for r in out.collect()) == [("a", "A"), ("b", "B")]
+    assert not spark.catalog.tableExists("t_names")  # no view is left behind
+    spark.range(3).createOrReplaceTempView("t_names")
+    assert io.query_scan(spark, "SELECT COUNT(*) AS n FROM t_names", {"t_names": df}).first().n == 3
+    assert spark.table("t_names").columns == ["id"]  # the caller's view is back
+    spark.catalog.dropTempView("t_names")
 
 
 def test_one_document_per_file(spark, tmp_path):
