@@ -2,8 +2,8 @@
 
 Every stage reads what its predecessor kept, as written Parquet, so a lost executor
 repeats at most one stage's tasks. All but the last return the columns of their input,
-whatever those are called: a row's columns travel as one struct beside what the
-operator needs.
+whatever those are called: the columns that an operator doesn't need travel as one
+struct beside those that it does.
 
 Rows without id are scored and cut like any others; near-duplicate groups are made of
 rows with ids, so those without pass that stage. Empty tables stay empty.
@@ -21,24 +21,34 @@ from docflow.llm.toxicity import toxicity
 from docflow.session import drop_folder, materialize_step
 
 
-def _row(docs: DataFrame) -> Column:
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all other columns as the struct ``__row``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(True).alias("__any"), *others).alias("__row"))
+
+
+def _column(name: str) -> Column:
+    """A column of the original table, of a packed one."""
+    return F.col(name) if name in ("doc_id", "text") else F.col("__row").getField(name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score of 0.7 or more) go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity(docs.select("doc_id", "text", _row(docs)), labels)
-    return scored.where("predicted = 0").select("__row.*")
+    clean = toxicity(_packed(docs), labels).where("predicted = 0")
+    return clean.select(*[_column(c).alias(c) for c in docs.columns])
 
 
 def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of 50 words or more are cut out; ``n_chars`` follows. A
     document whose words all stand in an earlier one goes."""
-    cut = dedup_lines(docs.select("doc_id", "text", _row(docs)), min_words=50)
+    cut = dedup_lines(_packed(docs), min_words=50)
     left = cut.where((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x09-\x0D\x20]"))
-    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_deleted") == 0, F.col("__row.n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {"text": F.col("text")}
-    return left.select(*[new.get(c, F.col(f"__row.`{c}`")).cast(t).alias(c) for c, t in docs.dtypes])
+
+    def value(c: str) -> Column:
+        return F.when(F.col("n_deleted") == 0, _column(c)).otherwise(F.length("text")) if c == "n_chars" else _column(c)
+
+    return left.select(*[value(c).cast(t).alias(c) for c, t in docs.dtypes])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -161,7 +161,7 @@ def score(documents: DataFrame, model: DataFrame, text_col: str = "text", bits:
         dense = np.zeros(1 << bits)
         dense[at] = w
         for b in batches:
-            data, off = text_buffer(b.column("text"))
+            data, off = text_buffer(b.column("row").field(text_col))
             out = np.full(b.num_rows, bias)
             for first, last in doc_blocks(off):
                 idx, doc = coordinates(data, off[first : last + 1], bits)
@@ -170,7 +170,7 @@ def score(documents: DataFrame, model: DataFrame, text_col: str = "text", bits:
                 out[first:last] += np.bincount(key >> bits, dense[key & ((1 << bits) - 1)], last - first)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))], names=["row", "score"])
 
-    return map_rows(documents, run, [("score", T.DoubleType())], text=F.col(f"`{text_col}`").cast("string"))
+    return map_rows(documents, run, [("score", T.DoubleType())])
 
 
 def remainder_of_three(doc_id) -> F.Column:

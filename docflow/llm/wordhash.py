@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 20
 _COEF = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 1024, dtype=np.uint64) | np.uint64(1)
 
 
@@ -46,7 +46,7 @@ def text_buffer(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndar
     return data, off
 
 
-def doc_blocks(offsets: np.ndarray, limit: int = 2 * PIECE) -> Iterator[tuple[int, int]]:
+def doc_blocks(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
     """Ranges of documents with about ``limit`` bytes each (a longer text is a range of its own)."""
     first, n = 0, len(offsets) - 1
     while first < n:
