@@ -27,9 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import itertools
 import math
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 from .carry import map_rows
 
 MARK = "▁"
+#: Links that a process keeps, in two generations, and the longest that it keeps.
 KEPT_LINKS, KEPT_LENGTH = 400_000, 48
 
 
@@ -55,20 +56,30 @@ def read_model(path: str) -> dict:
 
 class Pieces:
     def __init__(self, model: dict):
-        self.root: dict = {}
-        for piece, entry in model["pieces"].items():
-            node = self.root
+        self.root: dict = {}  # a trie: character to [next characters, id or None, score]
+        for piece, (i, score) in model["pieces"].items():
+            children = self.root
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = entry
+                node = children.setdefault(c, [{}, None, 0.0])
+                children = node[0]
+            node[1:] = i, score
+        self.single = {p for p in model["pieces"] if len(p) == 1}
         least = min((s for p, (_, s) in model["pieces"].items() if p.strip(MARK)), default=0.0)  # runs of spaces score far lower
         self.byte_score = least - 10.0
         self.of_byte, self.unknown = model["bytes"], model["unknown"]
         inner = any(MARK in p.lstrip(MARK) for p in model["pieces"])
         lines = any("\n" in p and len(p) > 1 for p in model["pieces"])
+        self.plain = not (inner or lines)
         self.links_of = re.compile(r"(?s).+" if inner else f"{MARK}+[^{MARK}]*|[^{MARK}]+" if lines else f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n").findall
         self.kept: dict[str, tuple] = {}
-        self.raw = {i: p.replace(MARK, " ").encode() for p, (i, _) in model["pieces"].items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
+        self.older: dict[str, tuple] = {}
+        self.rare: dict[str, tuple] = {}
+        self.searched: dict[tuple, list] = {}
+        raw = {i: p.replace(MARK, " ").encode() for p, (i, _) in model["pieces"].items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
+        table = [raw.get(i, b"") for i in range(max(raw, default=0) + 2)]  # the last stands for ids out of range
+        self.bytes_of = np.frombuffer(b"".join(table), np.uint8)
+        self.sizes = np.array([len(x) for x in table], np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
 
     def lattice(self, s: str):
         """Forward scores, and per place the arcs that end there: (begin, ids, score), longer ones first."""
@@ -77,18 +88,17 @@ class Pieces:
         best[0] = 0.0
         into: list[list] = [[] for _ in range(n + 1)]
         for i in range(n):
-            here, node, alone = best[i], self.root, False
+            here, children = best[i], self.root
             for j in range(i, n):
-                node = node.get(s[j])
+                node = children.get(s[j])
                 if node is None:
                     break
-                entry = node.get("")
-                if entry is not None:
-                    alone = alone or j == i
-                    into[j + 1].append((i, (entry[0],), entry[1]))
-                    if here + entry[1] > best[j + 1]:
-                        best[j + 1] = here + entry[1]
-            if not alone:
+                children, piece, score = node
+                if piece is not None:
+                    into[j + 1].append((i, (piece,), score))
+                    if here + score > best[j + 1]:
+                        best[j + 1] = here + score
+            if s[i] not in self.single:
                 raw = s[i].encode()
                 ids = tuple(self.of_byte.get(b, self.unknown) for b in raw)
                 score = self.byte_score * len(raw)
@@ -97,56 +107,100 @@ class Pieces:
                     best[i + 1] = here + score
         return best, into
 
-    def first(self, s: str) -> tuple[tuple, float, float]:
-        """Best ids, their score, and what the second best loses (inf if there is none)."""
-        n, root = len(s), self.root
+    def firsts(self, text: str) -> list[tuple]:
+        """Per link of a text: best ids (as 32-bit integers), their score, what the second best loses, the link."""
+        marked = MARK + text.replace(" ", MARK)
+        if not self.plain:
+            return [self.first(s) for s in self.links_of(marked)]
+        out: list[tuple] = []
+        known, new = self.kept.get, self._after_mark
+        for k, line in enumerate(marked.split("\n")):
+            if k:
+                out.append(self.first("\n"))
+            if MARK + MARK in line:
+                out.extend([self.first(s) for s in self.links_of(line)])
+            elif line:
+                words = line.split(MARK)
+                if words[0]:
+                    out.append(self.first(words[0]))
+                out.extend([known(w) or new(w) for w in words[1:]])
+        return out
+
+    def first(self, s: str) -> tuple[bytes, float, float, str]:
+        """One link's best way: kept, or found."""
+        if s.startswith(MARK) and not s.startswith(MARK, 1):
+            return self.kept.get(s[1:]) or self._after_mark(s[1:])
+        known = self.rare.get(s)
+        if known is None:
+            known = self._best(s)
+            if len(s) <= KEPT_LENGTH:
+                if len(self.rare) >= KEPT_LINKS // 16:
+                    self.rare.clear()
+                self.rare[s] = known
+        return known
+
+    def _after_mark(self, word: str) -> tuple[bytes, float, float, str]:
+        """The link of one mark and a word. What was used lately moves to the younger generation when asked for again."""
+        known = self.kept.get(word) or self.older.get(word) or self._best(MARK + word)
+        if len(word) < KEPT_LENGTH:
+            if len(self.kept) >= KEPT_LINKS // 2:
+                self.older, self.kept = self.kept, {}
+            self.kept[word] = known
+        return known
+
+    def _best(self, s: str) -> tuple[bytes, float, float, str]:
+        n, root, single = len(s), self.root, self.single
         best = [0.0] + [-math.inf] * n
         loss = [math.inf] * (n + 1)  # per place: what the best arc into it that isn't the way's loses
-        way: list = [None] * (n + 1)
+        begin, piece_at = [0] * (n + 1), [None] * (n + 1)
         for i in range(n):
-            here, node, alone = best[i], root, False
-            for j in range(i, n):
-                node = node.get(s[j])
+            here, children, j = best[i], root, i
+            for c in s[i:]:
+                node = children.get(c)
                 if node is None:
                     break
-                entry = node.get("")
-                if entry is not None:
-                    j1, score = j + 1, here + entry[1]
-                    alone = alone or j == i
-                    lost = best[j1] - score
-                    if lost < 0:  # the way so far loses that much now, and what lost to it more
-                        loss[j1] = -lost
-                        best[j1], way[j1] = score, (i, entry[0])
-                    elif lost < loss[j1]:
-                        loss[j1] = lost
-            if not alone:
+                children, piece, score = node
+                j += 1
+                if piece is not None:
+                    score += here
+                    known = best[j]
+                    if score > known:  # the way so far loses that much now, and what lost to it more
+                        loss[j], best[j], begin[j], piece_at[j] = score - known, score, i, piece
+                    elif known - score < loss[j]:
+                        loss[j] = known - score
+            if s[i] not in single:
                 raw = s[i].encode()
-                score = here + self.byte_score * len(raw)
-                lost = best[i + 1] - score
-                if lost < 0:
-                    loss[i + 1] = -lost
-                    best[i + 1], way[i + 1] = score, (i, tuple(self.of_byte.get(b, self.unknown) for b in raw))
-                elif lost < loss[i + 1]:
-                    loss[i + 1] = lost
+                score, known = here + self.byte_score * len(raw), best[i + 1]
+                if score > known:
+                    loss[i + 1], best[i + 1], begin[i + 1] = score - known, score, i
+                    piece_at[i + 1] = tuple(self.of_byte.get(b, self.unknown) for b in raw)
+                elif known - score < loss[i + 1]:
+                    loss[i + 1] = known - score
         at, ids, least = n, [], math.inf
         while at:
             if loss[at] < least:
                 least = loss[at]
-            at, piece = way[at]
+            piece = piece_at[at]
             if type(piece) is int:
                 ids.append(piece)
             else:
                 ids.extend(reversed(piece))
+            at = begin[at]
         ids.reverse()
-        out = (tuple(ids), best[n], least)
-        if n <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT_LINKS:
-                self.kept.clear()
-            self.kept[s] = out
-        return out
+        return array("i", ids).tobytes(), best[n], least, s
 
     def n_best(self, s: str, n: int) -> list[tuple[float, tuple]]:
         """The ``n`` best (score, ids) of one lattice."""
+        known = self.searched.get((s, n))
+        if known is None:
+            known = self._search(s, n)
+            if len(s) <= KEPT_LENGTH:
+                if len(self.searched) >= KEPT_LINKS // 16:
+                    self.searched.clear()
+                self.searched[s, n] = known
+        return known
+
+    def _search(self, s: str, n: int) -> list[tuple[float, tuple]]:
         best, into = self.lattice(s)
         queue = [(-best[len(s)], 0, len(s), 0.0, None)]
         out, opened = [], 0
@@ -166,12 +220,11 @@ class Pieces:
 
     def segment(self, text: str, n: int) -> list[tuple[float, np.ndarray]]:
         """The ``n`` best (score, ids) of a text."""
-        links = self.links_of(MARK + text.replace(" ", MARK)) if text else []
-        kept, first = self.kept.get, self.first
-        firsts = [kept(s) or first(s) for s in links]
-        ids = np.fromiter(itertools.chain.from_iterable([f[0] for f in firsts]), np.int32)
-        total = sum([f[1] for f in firsts])
-        losses = np.array([f[2] for f in firsts])
+        firsts = self.firsts(text) if text else []
+        raws, scores, losses, links = zip(*firsts) if firsts else ((), (), (), ())
+        ids = np.frombuffer(b"".join(raws), np.int32)
+        total = sum(scores, 0.0)
+        losses = np.array(losses)
         width = min(n - 1, int(np.isfinite(losses).sum()))
         ways: list[tuple] = [(0.0, 0, ())]
         if width:
@@ -179,22 +232,35 @@ class Pieces:
             near = np.flatnonzero(losses <= limit)
             for k in near[np.argsort(losses[near], kind="stable")][:width].tolist():
                 others = self.n_best(links[k], n)[1:]
-                more = [(loss + firsts[k][1] - score, count + 1, (*where, (k, arc))) for loss, count, where in ways for score, arc in others]
+                more = [(loss + scores[k] - score, count + 1, (*where, (k, arc))) for loss, count, where in ways for score, arc in others]
                 ways = heapq.nsmallest(n, ways + more, key=lambda w: (w[0], w[1], sorted(w[2])))
         out = []
-        ends = np.cumsum([len(f[0]) for f in firsts]) if len(ways) > 1 else None
+        ends = np.cumsum([len(r) for r in raws]) // 4 if len(ways) > 1 else None
         for loss, _, where in ways:
             parts, at = [], 0
             for k, arc in sorted(where):
-                parts += [ids[at : ends[k] - len(firsts[k][0])], np.array(arc, np.int32)]
+                parts += [ids[at : ends[k] - len(raws[k]) // 4], np.array(arc, np.int32)]
                 at = ends[k]
             out.append((total - loss, np.concatenate([*parts, ids[at:]])))
         return out
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of several lists of ids, one after another in ``ids``, list i up to ``ends[i]``."""
+        known = np.where((ids >= 0) & (ids < len(self.sizes)), ids, len(self.sizes) - 1)
+        sizes = self.sizes[known]
+        to = np.cumsum(sizes)
+        raw = self.bytes_of[np.repeat(self.places[known] - to + sizes, sizes) + np.arange(to[-1] if len(to) else 0)].tobytes()
+        out, at = [], 0
+        for end in ends.tolist():
+            stop = int(to[end - 1]) if end else 0
+            text = raw[at:stop].decode("utf-8", errors="replace")
+            out.append(text[1:] if text.startswith(" ") else text)
+            at = stop
+        return out
+
     def decode(self, ids) -> str:
-        raw = b"".join([self.raw.get(i, b"") for i in ids])
-        text = raw.decode("utf-8", errors="replace")
-        return text[1:] if text.startswith(" ") else text
+        ids = np.asarray(ids, np.int64)
+        return self.decode_all(ids, np.array([len(ids)]))[0]
 
 
 _READY: list = []
@@ -250,14 +316,15 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     def run(batches):
         pieces = _pieces(shared)
         for b in batches:
-            for start in range(0, b.num_rows, 500):
-                part = b.slice(start, 500)
-                texts, sizes, digests = [], [], []
-                for x in part.column("ids"):
-                    ids = x.values.to_numpy(zero_copy_only=False).astype("<i4") if x.is_valid else np.zeros(0, "<i4")
-                    texts.append(pieces.decode(ids.tolist()))
-                    sizes.append(len(ids))
-                    digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
+            for start in range(0, b.num_rows, 200):  # a few hundred lists at a time
+                part = b.slice(start, 200)
+                lists = part.column("ids")
+                sizes = lists.value_lengths().fill_null(0).to_numpy()
+                ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype("<i4")
+                ends = np.cumsum(sizes)
+                texts = pieces.decode_all(ids, ends)
+                raw = ids.tobytes()
+                digests = [hashlib.sha256(raw[4 * (z - n) : 4 * z]).hexdigest() for z, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 cols = [part.column("row"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=["row", "text", "n_pieces", "ids_sha256"])
 
