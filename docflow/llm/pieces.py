@@ -30,6 +30,7 @@ import heapq
 import math
 import re
 from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from .carry import map_rows
 
 MARK = "▁"
 #: Links that a process keeps, in two generations, and the longest that it keeps.
-KEPT_LINKS, KEPT_LENGTH = 400_000, 48
+KEPT_LINKS, KEPT_LENGTH = 240_000, 32
 
 
 def read_model(path: str) -> dict:
@@ -56,13 +57,7 @@ def read_model(path: str) -> dict:
 
 class Pieces:
     def __init__(self, model: dict):
-        self.root: dict = {}  # a trie: character to [next characters, id or None, score]
-        for piece, (i, score) in model["pieces"].items():
-            children = self.root
-            for c in piece:
-                node = children.setdefault(c, [{}, None, 0.0])
-                children = node[0]
-            node[1:] = i, score
+        self.scores = model["pieces"]
         self.single = {p for p in model["pieces"] if len(p) == 1}
         least = min((s for p, (_, s) in model["pieces"].items() if p.strip(MARK)), default=0.0)  # runs of spaces score far lower
         self.byte_score = least - 10.0
@@ -81,6 +76,18 @@ class Pieces:
         self.sizes = np.array([len(x) for x in table], np.int64)
         self.places = np.cumsum(self.sizes) - self.sizes
 
+    @cached_property
+    def root(self) -> dict:
+        """A trie: character to [next characters, id or None, score]. Processes that only decode never build it."""
+        root: dict = {}
+        for piece, (i, score) in self.scores.items():
+            children = root
+            for c in piece:
+                node = children.setdefault(c, [{}, None, 0.0])
+                children = node[0]
+            node[1:] = i, score
+        return root
+
     def lattice(self, s: str):
         """Forward scores, and per place the arcs that end there: (begin, ids, score), longer ones first."""
         n = len(s)
