@@ -47,7 +47,7 @@ _LICENSES = [
     ("bsd-3-clause", "bsd", rf"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd) {_L}", r"bsd-3-clause", r"opensource\.org/licenses?/bsd-3-clause"),
     ("bsd-4-clause", "bsd", rf"(?:bsd 4 clause|4 clause bsd|original bsd) {_L}", r"bsd-4-clause", r"spdx\.org/licenses/bsd-4-clause"),
     ("0bsd", "bsd", rf"(?:bsd zero clause|zero clause bsd|0bsd)(?: {_L})?", r"0bsd", r"opensource\.org/licenses?/0bsd"),
-    ("bsd", "bsd", rf"(?:berkeley software distribution|bsd(?: style)?) {_L}", r"bsd", r"opensource\.org/licenses?/bsd-license"),
+    ("bsd", "bsd|berkeley", rf"(?:berkeley software distribution|bsd(?: style)?) {_L}", r"bsd", r"opensource\.org/licenses?/bsd-license"),
     ("isc", "isc", rf"isc {_L}", r"isc", r"opensource\.org/licenses?/isc(?:-license\.txt)?"),
     ("mpl-2.0", "mozilla|mpl", rf"(?:mozilla public {_L}|mpl) {_V}2(?:\.0)?", r"mpl-2\.0(?:-no-copyleft-exception)?", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
     ("mpl-1.1", "mozilla|mpl", rf"(?:mozilla public {_L}|mpl) {_V}1\.1", r"mpl-1\.1", r"mozilla\.org/(?:en-us/)?mpl/1\.1"),
@@ -134,7 +134,7 @@ _TEXTS = [
     ("non-commercial", "commercial", "only", "(?:for )?non~commercial use only"),
     ("non-commercial", "commercial", "purposes", "may not be used for commercial purposes"),
     ("research-only", "research", "only", "for (?:academic |internal )?research (?:use|purposes) only"),
-    ("copyright", "copyright", "(c)", r"copyright c (?:19|20)[0-9]{2}(?:~(?:19|20)[0-9]{2})?"),
+    ("copyright", "copyright", "19|20", r"copyright c (?:19|20)[0-9]{2}(?:~(?:19|20)[0-9]{2})?"),
     ("copyright", "copyright", "©", r"copyright ©(?: |)(?:19|20)[0-9]{2}(?:~(?:19|20)[0-9]{2})?"),
 ]
 

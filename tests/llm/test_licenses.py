@@ -1,10 +1,14 @@
+import math
 import random
 import re
+from itertools import product
+from re import _constants, _parser
 
 from llm_data import empty_documents, messy_documents
+from pyspark.sql import functions as F
 
 from docflow.llm.license_rules import BASE, rules, to_regex
-from docflow.llm.licenses import scan_licenses
+from docflow.llm.licenses import detect, scan_licenses
 
 PHRASES = [
     "GNU General Public License, version 3", "Licensed under the Apache License, Version 2.0.", "apache  license", "CC BY-NC 4.0", "cc-by",
@@ -83,3 +87,50 @@ def test_awkward_rows(spark):
     assert len(empty) == 4 and all((r["n_words"], r["n_base"], r["first_word"], r["labels"], r["score"]) == (0, 0, None, "", 0.0) for r in empty)
     assert [r["base_labels"] for r in rows if r["doc_id"] == 9] == ["mit"]
     assert scan_licenses(empty_documents(spark)).count() == 0
+
+
+def phrases(parsed, optional):
+    """Matches of a parsed pattern that take every alternative: all combinations of a short
+    part, of a long one each alternative once beside the first of the others."""
+    parts = []
+    for op, arg in parsed:
+        if op is _constants.LITERAL:
+            parts.append([chr(arg)])
+        elif op is _constants.IN:
+            kind, first = arg[0]
+            gap = (_constants.RANGE, (0, 0x2F)) in arg  # any character but a word character
+            parts.append([" "] if gap else [chr(first[0] if kind is _constants.RANGE else first)])
+        elif op is _constants.ANY:
+            parts.append(["x"])
+        elif op is _constants.BRANCH:
+            parts.append([p for way in arg[1] for p in phrases(way, optional)])
+        elif op is _constants.SUBPATTERN:
+            parts.append(phrases(arg[3], optional))
+        elif op in (_constants.MAX_REPEAT, _constants.MIN_REPEAT, _constants.POSSESSIVE_REPEAT):
+            least, most, what = arg
+            once = phrases(what, optional)
+            filler = op is _constants.MIN_REPEAT  # between two gaps, which take all that they can
+            parts.append([p * max(least, 1) for p in once] if least or filler else ["", *once] if optional and most == 1 else [""])
+        elif op is _constants.ASSERT:
+            parts.append([" " + p for p in phrases(arg[1], optional)])
+        else:
+            assert op is _constants.ASSERT_NOT, op
+    if math.prod(map(len, parts)) <= 64:
+        return ["".join(p) for p in product(*parts)]
+    return ["".join(way if k == i else q[0] for k, q in enumerate(parts)) for i, p in enumerate(parts) for way in p]
+
+
+def test_every_alternative_passes_the_gate(spark):
+    table = rules()
+    rows = []
+    for k, (_, _, _, _, rx) in enumerate(table):
+        parsed = _parser.parse(rx)
+        found = dict.fromkeys(phrases(parsed, True) + phrases(parsed, False))
+        rows += [(k, p) for p in found if re.search(rx, p, re.A)]  # what the rule finds without the gate
+        assert rows[-1][0] == k
+    rows += [(k, p) for k, p in enumerate(["under the Berkeley Software Distribution License", "Copyright C 2019", "Copyright [c] 2019"], len(table))]
+    got = spark.createDataFrame(rows, "rule int, text string").withColumn("found", detect(F.col("text"))).collect()
+    lost = [(table[r["rule"]][:4], r["text"]) for r in got if r["rule"] < len(table) and r["rule"] not in {d["rule"] for d in r["found"]}]
+    assert len(rows) > 2 * len(table) and not lost
+    labels = [{d["label"] for d in r["found"]} for r in got if r["rule"] >= len(table)]
+    assert labels == [{"bsd"}, {"copyright"}, {"copyright"}]
