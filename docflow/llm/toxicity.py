@@ -13,7 +13,8 @@ one narrow pass over whole texts of all documents.
 
 Defined results: a null text counts as empty; an empty text has the score of the
 bias alone; documents without id are scored but never learnt from; several labels
-of a document count as toxic if one is; without labelled rows every score is 0.5.
+of a document count as toxic if one is; of several rows of a labelled id the text of
+the smallest hash is learnt from; without labelled rows every score is 0.5.
 """
 
 from __future__ import annotations
@@ -123,10 +124,13 @@ def fit(documents: DataFrame, labels: DataFrame, params: FtrlParams = FtrlParams
     if total > params.max_rows:
         share = int((min(1.0, 1.1 * params.max_rows / total) - 0.5) * 2 * (2**63 - 1))
         known = known.where(F.col("ord") <= share).orderBy("ord", "label_id").limit(params.max_rows)
+    # one row of an id, so that max_rows bounds documents too; copies meet as one of each task
     rows = (
         documents.select("doc_id", "text")
         .join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
-        .select("ord", "label", "text")
+        .groupBy("label_id", "ord", "label")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("row"))
+        .select("ord", "label", "row.text")
         .mapInArrow(_to_coordinates(params.bits), "ord long, label int, idx array<int>")
         .where(F.size("idx") <= params.max_coordinates)
     )

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 from llm_data import empty_documents, messy_documents
+from pyspark.sql import functions as F
 
 from docflow.llm import toxicity as T
 
@@ -59,6 +60,18 @@ def test_long_documents_are_scored_but_not_learnt_from(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_one_row_of_a_labelled_id_is_learnt_from(spark):
+    docs, labels = corpus(spark, 120)
+    params = T.FtrlParams(epochs=1)
+    once = T.fit(docs, labels, params).collect()
+    copies = T.fit(docs.unionByName(docs.where("doc_id < 30")), labels, params).collect()
+    assert sorted(map(tuple, once)) == sorted(map(tuple, copies))
+    other = spark.createDataFrame([(i, f"other {i} " * 30) for i in range(30)], "doc_id long, text string")
+    both = [T.fit(d.repartition(n), labels, params).collect() for d, n in ((docs.unionByName(other), 5), (other.unionByName(docs), 1))]
+    one = docs.unionByName(other).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    assert sorted(map(tuple, both[0])) == sorted(map(tuple, both[1])) == sorted(map(tuple, T.fit(one, labels, params).collect()))
+
+
 def test_ftrl_is_the_textbook_update():
     p = T.FtrlParams(alpha=0.5, beta=1.0, l1=0.1, l2=0.01, bits=4, epochs=1)
     rows = [(np.array([1, 3]), 1), (np.array([3, 5]), 0), (np.array([1]), 1)]
