@@ -5,8 +5,8 @@ repeats at most one stage's tasks. All but the last return the columns of their
 whatever those are called: the columns that an operator doesn't need travel as one
 struct beside those that it does.
 
-Rows without id are scored and cut like any others; near-duplicate groups are made of
-rows with ids, so those without pass that stage. Empty tables stay empty.
+Rows without id are scored, cut and grouped like any others. Rows that share an id but
+not their text are different documents. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docflow.llm.linededup import dedup_lines
 from docflow.llm.packing import pack_documents
-from docflow.llm.simhash import near_duplicates
+from docflow.llm.simhash import first_rows as near_duplicate_firsts
 from docflow.llm.toxicity import toxicity
 from docflow.session import drop_folder, materialize_step
 
@@ -52,11 +52,14 @@ def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of SimHash near-duplicates the document of smallest id stays (one row of it)."""
-    groups = near_duplicates(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), shingle_words=4, max_bits=4)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """Of every group of SimHash near-duplicates one row stays: that of smallest id, rows
+    without id last, then of smallest hash of its text and of its other columns."""
+    others = F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    key = F.concat(F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.md5(F.to_json(others).cast("binary")))
+    keyed = docs.withColumn("__key", key)
+    first = near_duplicate_firsts(keyed.select("doc_id", "text", F.col("__key").alias("key")), shingle_words=4, max_bits=4)
+    # equal rows meet as one of each task; an inner join (keys are single) isn't moved before that
+    return keyed.dropDuplicates(["__key"]).join(first.withColumnRenamed("key", "__key"), "__key").drop("__key")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

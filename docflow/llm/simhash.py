@@ -77,7 +77,7 @@ def _fingerprint(text: bytes, starts: np.ndarray, ends: np.ndarray, words: int)
     return int.from_bytes(np.packbits(counts.ravel() * 2 > total).tobytes(), "big", signed=True)
 
 
-def _fingerprints(words: int):
+def _fingerprints(words: int, carried: tuple[str, ...]):
     def run(batches):
         for b in batches:
             data, off = text_buffer(b.column("text"))
@@ -107,7 +107,7 @@ def _fingerprints(words: int):
                     lo, hi = per_doc[i], per_doc[i + 1]
                     if hi > lo:
                         out[first + i] = _fingerprint(text, starts[lo:hi], ends[lo:hi], words)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carried], pa.array(out)], names=[*carried, "fp"])
 
     return run
 
@@ -115,7 +115,7 @@ def _fingerprints(words: int):
 def fingerprints(documents: DataFrame, shingle_words: int = 4) -> DataFrame:
     """``(doc_id, fp)`` of ``documents (doc_id, text)``; ``fp`` is a 64-bit long."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long")
+    return rows.mapInArrow(_fingerprints(shingle_words, ("doc_id",)), "doc_id long, fp long")
 
 
 def _block_count(classes: int, max_bits: int) -> int:
@@ -220,6 +220,14 @@ def fingerprint_links(classes: DataFrame, max_bits: int = 4, pivots: int = PIVOT
     return grouped.repartition("group").sortWithinPartitions("group").mapInArrow(_link(max_bits), "u long, v long")
 
 
+def _linked(classes: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, least, label)`` of ``classes (fp, least)``; ``label`` names the component."""
+    labels = connected_components(fingerprint_links(classes.select("fp"), max_bits))
+    return classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label")
+    )
+
+
 def near_duplicates(documents: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, one row per row of ``documents (doc_id, text)``.
 
@@ -228,12 +236,19 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 4, max_bits: int
     combining, before any bucket is formed."""
     prints = materialize(fingerprints(documents, shingle_words), "fingerprints")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    labels = connected_components(fingerprint_links(classes.select("fp"), max_bits))
-    linked = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")
-    )
+    linked = _linked(classes, max_bits)
     component = linked.groupBy("label").agg(F.min("least").alias("component_id"))
     of_class = linked.join(component, "label").select("fp", "component_id")
     return prints.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def first_rows(documents: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+    """``(key)`` of one row of every component of ``documents (doc_id, text, key)``: the
+    row of smallest id, rows without id last, then of smallest ``key`` (a string)."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "key")
+    prints = materialize(rows.mapInArrow(_fingerprints(shingle_words, ("doc_id", "key")), "doc_id long, key string, fp long"), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    classes = materialize(prints.groupBy("fp").agg(F.min(row).alias("least")), "classes")
+    return _linked(classes, max_bits).groupBy("label").agg(F.min("least").alias("least")).select("least.key")

@@ -146,3 +146,23 @@ def test_stages_on_awkward_and_empty_tables(spark, scratch):
             out = stage(spark, docs, scratch)
             assert out.dtypes == docs.dtypes and out.count() <= docs.count()
         assert C.pack(spark, docs, scratch).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_near_duplicate_stage_keeps_a_row_of_every_group(spark, scratch):
+    rng = random.Random(16)
+    a, b, c, d, e = (" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(90)) for _ in range(5))
+    rows = [
+        (7, a, "x"), (7, b, "x"), (7, b, "x"),  # one id, two documents
+        (None, c, "x"), (None, c, "x"), (None, c, "y"),  # copies without ids
+        (None, d, "x"), (9, d, "x"), (8, d, "x"),  # an id comes before none
+        (3, e, "p"), (3, e, "q"), (3, e, "r"),
+    ]
+    stage, kept = dict(C.STAGES)["simhash near-dedup"], []
+    for n in (1, 7):
+        rng.shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string").repartition(n)
+        out = stage(spark, docs, scratch)
+        assert out.dtypes == docs.dtypes
+        kept.append(sorted((tuple(r) for r in out.collect()), key=str))
+    assert sorted([r[:2] for r in kept[0]], key=str) == sorted([(7, a), (7, b), (None, c), (8, d), (3, e)], key=str)
+    assert kept[0] == kept[1]
