@@ -368,6 +368,19 @@ def xml_binary_files(spark, d):
     return read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False)
 
 
+def xml_binary_customer_files(spark, d):
+    """SRC-3, XML-13: one document per file, as many files as the customers need: a
+    document holds up to 100 of them (a range of their keys)."""
+    path = shared_dir(spark, "xml_binary_customer_files")
+    one = F.struct(F.col("c_custkey").alias("_key"), F.col("c_name").alias("name"))
+    groups = _t(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 100).alias("g")).agg(F.collect_list(one).alias("customer"))
+    docs = groups.select("g", F.to_xml(F.struct("customer"), {"rowTag": "customers", "indent": ""}).alias("value"))
+    docs.repartition("g").write.partitionBy("g").text(path)
+    customer = S.record(S.fld("c_custkey", "long", "@key"), S.fld("c_name", "string", "name"))
+    spec = S.spec(S.fld("customers", S.array(customer), "customer"), root="customers")
+    return explode_records(read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False), "customers")
+
+
 # ------------------------------------------------------------------ lookups
 
 def lookup_with_default_q(spark, d):
@@ -623,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "xml_mixed_content": xml_mixed_content,
     "xml_declared_encoding": xml_declared_encoding,
     "xml_binary_files": xml_binary_files,
+    "xml_binary_customer_files": xml_binary_customer_files,
     "pipeline_enrich": pipeline_enrich,
     "pipeline_xml": pipeline_xml,
     "lookup_with_default": lookup_with_default_q,
@@ -734,6 +748,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM pages""",
     "xml_declared_encoding": "SELECT c_custkey, 'Zoë ' || c_name AS greeting FROM customer",
     "xml_binary_files": "SELECT n_nationkey, n_name FROM nation",
+    "xml_binary_customer_files": "SELECT c_custkey, c_name FROM customer",
     "binary_decode": "SELECT doc_id, text FROM documents",
     "reproject_positional": """
         SELECT p_partkey, UPPER(p_name) AS p_name, p_brand, CAST(length(UPPER(p_name)) AS INTEGER) AS name_len

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 from oracle_check import compare
 
 import __spark_entry__ as E
@@ -39,3 +39,10 @@ def test_documents_are_parsed_once(spark, name):
     # one per disjoint branch: single and split orders, and the pages that one query reads besides
     branches = 3 if name == "xml_malformed_permissive" else 2
     assert sum(ln.count("from_xml(") for ln in lines) <= branches
+
+
+def test_file_scan_grows_with_its_table(spark):
+    """The one-document-per-file scan has a query whose files and rows grow with the input."""
+    small, large = (QUERIES["xml_binary_customer_files"](spark, d) for d in (SF_SMALL, SF_CHECK))
+    assert len(large.inputFiles()) > len(small.inputFiles()) > 1
+    assert compare(spark, SF_CHECK, ["xml_binary_customer_files"])["xml_binary_customer_files"] == ("OK", large.count(), large.count())
