@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their DuckDB SQL where SQL can express them."""
+"""The registered queries of the operators and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import centroid_clusters
 from .edited import edited_fingerprints
+from .hilbert import vector_codes
 from .kdtree import top_k
 from .licenses import scan_licenses
 from .linededup import dedup_lines
@@ -91,6 +93,16 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's product code of 16 parts, codebooks of 64 entries, 2 rounds."""
+    return vector_codes(_t(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after 10 rounds of 8 centroids."""
+    return centroid_clusters(_t(spark, sf_dir, "embeddings"), k=8, rounds=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -102,8 +114,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_centroids": op13_centroids,
 }
 
+#: Numbers of SQL that mean the same in every round.
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_AWAY = "CAST(list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+_FLOOR = "(s - ((s % n) + n) % n) // n"
+
+
+def _scaled(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    steps = [
+        f"v AS (SELECT vec_id, label, {_scaled(256)} AS q FROM embeddings WHERE {_FINITE})",
+        f"""x AS MATERIALIZED (
+            SELECT vec_id, label, p, q[p * (len(q) // {parts}) + 1 : (p + 1) * (len(q) // {parts})] AS q FROM v, range({parts}) t(p))""",
+        f"c0 AS MATERIALIZED (SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, q AS m FROM x QUALIFY e < {entries})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, label, p, any_value(q) AS q, min(d * 1024 + e) AS k
+            FROM (SELECT x.*, e, {_AWAY} AS d FROM x JOIN c{r} USING (p)) GROUP BY vec_id, label, p)""")
+        if r < rounds:
+            steps.append(f"""n{r} AS (
+                SELECT p, e, list({_FLOOR} ORDER BY i) AS m
+                FROM (SELECT p, k % 1024 AS e, i, CAST(sum(q[i]) AS BIGINT) AS s, count(*) AS n FROM a{r}, LATERAL (SELECT unnest(range(1, len(q) + 1)) AS i) GROUP BY ALL)
+                GROUP BY p, e)""")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(n{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN n{r} USING (p, e))")
+    return "WITH " + ", ".join(steps) + f""",
+        h AS (SELECT sha256(string_agg(array_to_string(m, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}),
+        o AS (
+            SELECT vec_id, label, string_agg(printf('%02x', CAST(k % 1024 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(k // 1024) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY vec_id, label)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o, h"""
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    steps = [
+        f"v AS MATERIALIZED (SELECT vec_id, {_scaled(1024)} AS q FROM embeddings WHERE len(embedding) = 64 AND {_FINITE})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, q AS m FROM v QUALIFY c < {k})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, any_value(q) AS q, min(d * {k} + c) AS k FROM (SELECT v.*, c, {_AWAY} AS d FROM v, c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""n{r} AS (
+                SELECT c, list({_FLOOR} ORDER BY i) AS m
+                FROM (SELECT k % {k} AS c, i, CAST(sum(q[i]) AS BIGINT) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY ALL) GROUP BY c)""")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT c, coalesce(n{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN n{r} USING (c))")
+    return "WITH " + ", ".join(steps) + f"""
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, k // {k} AS distance, CAST(sum(k // {k}) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(k // {k}) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c = k % {k}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": r"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -155,4 +223,6 @@ ORACLE_SQL: dict[str, str] = {
             FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_vector_codes": _codes_sql(parts=16, entries=64, rounds=2),
+    "op13_centroids": _clusters_sql(k=8, rounds=10),
 }

@@ -1,0 +1,160 @@
+"""Vector codes and centroid clusters against plain per-row loops."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from llm_data import rows_of
+
+from docflow.llm import centroids as C
+from docflow.llm import hilbert as H
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def ints(v, scale):
+    return [int(max(-(1 << 27), min(1 << 27, math.floor(scale * float(np.float32(x)))))) for x in v]
+
+
+def fine(v, dims=None):
+    return v is not None and (dims is None or len(v) == dims) and all(x is not None and math.isfinite(x) for x in v)
+
+
+def away(a, b):
+    return sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+
+
+def messy_vectors(n=300, dims=64, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, dims)], int(i % 7) if i % 11 else None) for i in range(n)]
+    hot = rows[5][1]
+    rows += [(1000 + i, hot, 2) for i in range(n // 2)]  # a vector that a third of the rows hold
+    rows += [rows[7], rows[7], (rows[8][0], hot, 1)]  # repeated rows, and an id of two vectors
+    rows += [(2000, None, 1), (2001, [0.1] * (dims - 1) + [None], 1), (2002, [math.nan] * dims, 1), (2003, [math.inf] + [0.0] * (dims - 1), 1)]
+    rows += [(2004, [0.5] * (dims // 2), 1), (2005, [], 1), (2006, [3e38] + [0.25] * (dims - 1), 3), (None, [0.01] * dims, None), (None, [0.02] * dims, 5)]
+    return rows
+
+
+# ---------------------------------------------------------------- codes
+
+
+def brute_codes(rows, parts, entries, rounds):
+    rows = [r for r in rows if fine(r[1]) and r[1] and len(r[1]) % parts == 0]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    rows = [r for r in rows if len(r[1]) == len(rows[0][1])]
+    width = len(rows[0][1]) // parts
+    cut = [[ints(r[1], 256)[p * width : (p + 1) * width] for p in range(parts)] for r in rows]
+    books = [[cut[i][p] for i in range(min(entries, len(rows)))] for p in range(parts)]
+
+    def nearest(p, x):
+        return min(range(len(books[p])), key=lambda e: (away(books[p][e], x), e))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            mine = [[] for _ in books[p]]
+            for c in cut:
+                mine[nearest(p, c[p])].append(c[p])
+            books[p] = [[sum(col) // len(m) for col in zip(*m, strict=True)] if m else b for b, m in zip(books[p], mine, strict=True)]
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    out, by_label = [], {}
+    for r, c in zip(rows, cut, strict=True):
+        code = [nearest(p, c[p]) for p in range(parts)]
+        error = sum(away(books[p][code[p]], c[p]) for p in range(parts))
+        by_label[r[2]] = by_label.get(r[2], 0) + error
+        out.append((r[0], bytes(code).hex(), error, r[2]))
+    return sorted(((i, c, e, by_label[label], sha) for i, c, e, label in out), key=lambda r: tuple((v is None, v) for v in r))
+
+
+@pytest.mark.parametrize("dims,parts,entries,block", [(64, 16, 64, 32), (16, 16, 9, 4), (48, 4, 20, 1)])
+def test_codes_equal_brute_force(spark, dims, parts, entries, block):
+    rows = messy_vectors(120, dims)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = H.vector_codes(df, parts=parts, entries=entries, rounds=2, shard_rows=50, block=block)
+    assert rows_of(got, "vec_id", "code", "error", "label_error", "codebooks_sha256") == brute_codes(rows, parts, entries, 2)
+
+
+def test_codes_of_few_rows_empty_tables_and_clashing_columns(spark):
+    few = [(1, [0.1] * 16, None), (2, [0.1] * 16, 4), (3, [-0.3] * 16, 4)]
+    df = spark.createDataFrame([(*r, "x", 1.0, "k") for r in few], SCHEMA + ", code string, error double, `of` string")
+    assert rows_of(H.vector_codes(df), "vec_id", "code", "error", "label_error", "codebooks_sha256") == brute_codes(few, 16, 64, 2)
+    empty = H.vector_codes(spark.createDataFrame([], SCHEMA))
+    assert empty.count() == 0 and empty.dtypes == H.vector_codes(df).dtypes
+    assert H.vector_codes(spark.createDataFrame([(1, None, 1), (2, [], 2)], SCHEMA)).count() == 0
+
+
+def test_hilbert_order_steps_to_neighbours():
+    for side, width in ((16, 2), (8, 3), (4, 4)):
+        grid = np.stack(np.meshgrid(*[np.arange(side)] * width, indexing="ij"), -1).reshape(-1, width)
+        walk = grid[H.hilbert_order(grid)]
+        assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+    wide = np.random.default_rng(2).integers(-(1 << 27), 1 << 27, (500, 70))
+    assert sorted(H.hilbert_order(wide)) == list(range(500))
+
+
+def test_shortlists_hold_every_nearest_entry():
+    rng = np.random.default_rng(4)
+    points = rng.integers(-40, 40, (30, 1, 3)) + rng.integers(-6, 7, (30, 8, 3))
+    entries = rng.integers(-50, 50, (25, 3))
+    entries[7] = entries[3]
+    allowed = H.shortlists(points.min(axis=1), points.max(axis=1), entries)
+    code, best = H.assign(points, allowed, entries)
+    every = ((points[:, :, None, :] - entries) ** 2).sum(axis=3)
+    assert (code == every.argmin(axis=2)).all() and (best == every.min(axis=2)).all()
+    assert allowed.sum() < allowed.size
+
+
+# ---------------------------------------------------------------- clusters
+
+
+def brute_clusters(rows, k, rounds, dims):
+    rows = [r for r in rows if fine(r[1], dims)]
+    vectors = [ints(r[1], 1024) for r in rows]
+    key = lambda i: (rows[i][0] is None, hashlib.sha256(f"3:{rows[i][0]}".encode()).hexdigest() if rows[i][0] is not None else "", rows[i][1])
+    centroids = [vectors[i] for i in sorted(range(len(rows)), key=key)[:k]]
+
+    def assigned():
+        return [min(range(len(centroids)), key=lambda c: (away(centroids[c], v), c)) for v in vectors]
+
+    for _ in range(rounds):
+        of = assigned()
+        for c in range(len(centroids)):
+            mine = [v for v, o in zip(vectors, of, strict=True) if o == c]
+            if mine:
+                centroids[c] = [sum(col) // len(mine) for col in zip(*mine, strict=True)]
+    of = assigned()
+    far = [away(centroids[c], v) for v, c in zip(vectors, of, strict=True)]
+    by = [sum(f for f, o in zip(far, of, strict=True) if o == c) for c in range(len(centroids))]
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    held = (1 << 63) - 1
+    out = [(r[0], c, f, min(by[c], held), min(sum(by), held), sha[c]) for r, c, f in zip(rows, of, far, strict=True)]
+    return sorted(out, key=lambda r: tuple((v is None, v) for v in r))
+
+
+NAMES = ("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@pytest.mark.parametrize("dims,k,rounds", [(64, 8, 4), (5, 3, 30), (3, 8, 1), (3, 2, 0)])
+def test_clusters_equal_brute_force(spark, dims, k, rounds):
+    rows = messy_vectors(90, dims)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = C.centroid_clusters(df, k, rounds, dims=dims, chunk_rows=37)
+    assert rows_of(got, *NAMES) == brute_clusters(rows, k, rounds, dims)
+
+
+def test_clusters_of_few_rows_empty_tables_and_clashing_columns(spark):
+    few = [(4, [0.5, 0.25], 1), (4, [0.5, 0.25], 1), (9, [-1.0, 2.0], None)]
+    df = spark.createDataFrame([(*r, 1, 2, "d") for r in few], SCHEMA + ", cluster int, distance long, dots string")
+    assert rows_of(C.centroid_clusters(df, 8, 3, dims=2), *NAMES) == brute_clusters(few, 8, 3, 2)
+    empty = C.centroid_clusters(spark.createDataFrame([], SCHEMA))
+    assert empty.count() == 0 and empty.dtypes == C.centroid_clusters(df, 8, 3, dims=2).dtypes
+
+
+def test_dot_products_change_by_the_moved_components_only():
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-(1 << 27), 1 << 27, (50, 6))
+    before, after = rng.integers(-(1 << 27), 1 << 27, (2, 4, 6))
+    after[0], after[1, 2:] = before[0], before[1, 2:]
+    dots = C.product(vectors, before.T)
+    C.update(dots, vectors, after - before)
+    assert (dots.astype(object) == vectors.astype(object) @ after.astype(object).T).all()
