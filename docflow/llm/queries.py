@@ -17,6 +17,7 @@ from .linededup import dedup_lines
 from .packing import pack_documents
 from .pieces import decode, encode
 from .simhash import near_duplicates
+from .styletree import extract_main_text
 from .tokencount import token_counts
 from .toxicity import toxicity
 from .warc import audit, record_text
@@ -98,6 +99,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(_t(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's article, by its site's style tree."""
+    return extract_main_text(_t(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's cluster after 10 rounds of 8 centroids."""
     return centroid_clusters(_t(spark, sf_dir, "embeddings"), k=8, rounds=10)
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
     "op11_vector_codes": op11_vector_codes,
+    "op12_html_extraction": op12_html_extraction,
     "op13_centroids": op13_centroids,
 }
 
