@@ -19,8 +19,8 @@ First copies and all other lines stay.
 * Sorting uses range partitions, numbering the partition's own order: no single task
   sees a whole rank table. Every depth is written to the shared folder.
 
-Lines compare by their words (white space between words doesn't count), with 128-bit
-hashes. Defined results: a null text counts as empty and stays null; blank lines stay;
+Lines compare by their words (white space between words doesn't count), with two hashes
+of 64 bits, each over hashes of the words that are independent of the other's. Defined results: a null text counts as empty and stays null; blank lines stay;
 rows of equal id and text are copies of one document and get the same result; rows
 without id come last in the order of documents.
 """
@@ -51,7 +51,7 @@ def _read_lines(min_words: int):
 
     def block(data, off):
         """Of a block of texts: lines per text, and of every non-blank line the columns of ``fields``."""
-        h, at = word_places(data, off, EXACT)
+        (h, g), at = word_places(data, off, EXACT, kinds=2)
         breaks = np.flatnonzero(data[off[0] : off[-1]] == 10) + off[0]
         doc = np.searchsorted(off, at, side="right") - 1
         no = np.searchsorted(breaks, at) - np.searchsorted(breaks, off[:-1])[doc]
@@ -72,7 +72,7 @@ def _read_lines(min_words: int):
         longest = np.where(line + 1 == end, 0, np.where(after == _NEVER, end, after - 1) - line)
         lo = np.where(enough == _NEVER, 0, enough - line)
         hi = np.where(enough == _NEVER, 0, np.maximum(lo, longest))
-        cols = [_sum_by(h, first, place, 1).view(np.int64), _sum_by(h, first, place, 0x5BD1E995).view(np.int64), lo, hi, no]
+        cols = [_sum_by(h, first, place, 1).view(np.int64), _sum_by(g, first, place, 0x5BD1E995).view(np.int64), lo, hi, no]
         return np.bincount(doc, minlength=len(off) - 1), [pa.array(c).cast(t) for c, (_, t) in zip(cols, fields, strict=True)]
 
     def run(batches):

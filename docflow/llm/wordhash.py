@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
-_COEF = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 1024, dtype=np.uint64) | np.uint64(1)
+_COEFS = [np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, 1024, dtype=np.uint64) | np.uint64(1) for seed in (20240229, 20250301)]
 
 
 def _lower_table(is_word) -> np.ndarray:
@@ -65,15 +65,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _coefficients(kind: int, place: np.ndarray) -> np.ndarray:
+    """What the byte at each place of a word is multiplied by: from a table, and beyond
+    it from the place itself, so no two places of a word share one."""
+    out = _COEFS[kind][place & 1023]
+    far = np.flatnonzero(place >= 1024)
+    if len(far):
+        out[far] = mix(place[far].astype(np.uint64) * np.uint64(2) + _COEFS[kind][0]) | np.uint64(1)
+    return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = ALNUM) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document number) of every word of the texts, in order."""
-    hashes, places = word_places(data, offsets, table)
+    (hashes,), places = word_places(data, offsets, table)
     return hashes, np.searchsorted(offsets, places, side="right") - 1
 
 
-def word_places(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place of the first byte in ``data``) of every word of the texts, in order."""
-    hashes, places = [], []
+def word_places(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, kinds: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
+    """(``kinds`` independent hashes, place of the first byte in ``data``) of every word of
+    the texts, in order."""
+    hashes, places = [[] for _ in range(kinds)], []
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         size = PIECE
@@ -99,10 +110,11 @@ def word_places(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tup
             first = np.flatnonzero(begins[where])
             sizes = np.diff(np.append(first, len(where)))
             place = np.arange(len(where)) - np.repeat(first, sizes)
-            terms = (mapped[where].astype(np.uint64) + np.uint64(1)) * _COEF[place & 1023]
-            hashes.append(mix(np.add.reduceat(terms, first) + sizes.astype(np.uint64)))
+            values = mapped[where].astype(np.uint64) + np.uint64(1)
+            for kind in range(kinds):
+                hashes[kind].append(mix(np.add.reduceat(values * _coefficients(kind, place), first) + sizes.astype(np.uint64)))
             places.append(at + where[first])
         at = stop
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(places)
+    if not places:
+        return [np.zeros(0, np.uint64)] * kinds, np.zeros(0, np.int64)
+    return [np.concatenate(h) for h in hashes], np.concatenate(places)

@@ -78,3 +78,11 @@ def test_awkward_rows_and_empty_table(spark):
     assert rows[(6, 1)] == "" and rows[(1, 0)] and (7, 0) in rows and (None, 0) in rows
     assert sum(1 for r in out.collect() if r["doc_id"] == 6) == 2
     assert dedup_lines(empty_documents(spark)).count() == 0
+
+
+def test_long_words_that_differ_by_exchanged_bytes_are_no_copies(spark):
+    tail = " ".join(f"t{i}" for i in range(60))
+    a, b = "A" * 1024 + "B" * 1024, "B" * 1024 + "A" * 1024
+    docs = [(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, f"{a} {tail}")]
+    got = {r["doc_id"]: r["n_deleted"] for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), 50).collect()}
+    assert got == {1: 0, 2: 0, 3: 1}

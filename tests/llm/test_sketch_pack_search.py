@@ -40,6 +40,27 @@ def test_word_hashes_do_not_depend_on_neighbours_or_pieces(monkeypatch):
     assert whole[0][0] == whole[3][0] == whole[5][1] and len(whole[5]) == 2
 
 
+def test_word_hashes_tell_long_words_apart():
+    rng = random.Random(1)
+    words = set()
+    for size in (1, 5, 1023, 1024, 1025, 2048, 5000):
+        word = "".join(rng.choice("ab") for _ in range(size))
+        words |= {word, word + "a", "b" + word}
+        for gap in (1, 512, 1024, 2048, 3072):  # two bytes exchanged
+            for at in range(0, size - gap, 701):
+                w = list(word)
+                w[at], w[at + gap] = w[at + gap], w[at]
+                words.add("".join(w))
+    data, off = text_buffer(pa.array(sorted(words)))
+    from docflow.llm.wordhash import EXACT, word_places
+
+    first, second = word_places(data, off, EXACT, kinds=2)[0]
+    assert len(set(first.tolist())) == len(set(second.tolist())) == len(words)
+    assert not set(first.tolist()) & set(second.tolist())
+    a, b = (B.sketch_texts(*text_buffer(pa.array([t])))[0].tolist() for t in ("A" * 1024 + "B" * 1024, "B" * 1024 + "A" * 1024))
+    assert a != b
+
+
 def test_estimates_and_merging():
     rng = random.Random(5)
     words = [f"w{i}" for i in range(4000)]
