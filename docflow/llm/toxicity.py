@@ -7,8 +7,10 @@ term leaves most weights at zero, so the model is a short list of (coordinate,
 weight) that is broadcast to the tasks that score.
 
 Fitting reads at most ``max_rows`` labelled documents (the smallest hashes of their
-ids: the same ones however the table is partitioned; very long ones apart), turns them into coordinates
-where they lie and learns in one task, whose input that bound limits. Scoring is
+ids: the same ones however the table is partitioned), turns them into coordinates
+where they lie (of a text with more than ``max_coordinates`` those of smallest hash with
+its id, a sample of its features) and learns in one task, whose input the
+two bounds limit. Scoring is
 one narrow pass over whole texts of all documents.
 
 Defined results: a null text counts as empty; an empty text has the score of the
@@ -36,8 +38,9 @@ class FtrlParams:
     """``alpha``, ``beta``: per-coordinate rates; ``l1``, ``l2``: penalties;
     ``bits``: log2 of the coordinates; ``epochs``: passes over the sample;
     ``max_rows``: bound of the labelled sample the model is fitted on;
-    ``max_coordinates``: sampled documents with more are not learnt from (they are
-    scored like any other), so the two bounds limit the learning task's memory."""
+    ``max_coordinates``: of a sampled document with more, those of smallest hash with
+    its id are learnt from (scores use all), so the two bounds limit the learning task's memory
+    (512 MB of coordinates)."""
 
     alpha: float = 3.0
     beta: float = 1.0
@@ -46,7 +49,7 @@ class FtrlParams:
     bits: int = 20
     epochs: int = 6
     max_rows: int = 16_384
-    max_coordinates: int = 1 << 15
+    max_coordinates: int = 1 << 13
 
 
 #: Multipliers that tell a word, a pair and a skipping pair apart.
@@ -63,13 +66,26 @@ def coordinates(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.nd
     return idx.astype(np.int64), np.concatenate([d, d[:-1][pair], d[:-2][skip]])
 
 
-def _to_coordinates(bits: int):
+def _spread_subset(key: np.ndarray, bits: int, most: int, salt: np.ndarray) -> np.ndarray:
+    """``key`` (document and coordinate, ascending) with, of every document that has more,
+    the ``most`` coordinates of smallest hash with the document's ``salt``: each document
+    leaves out others."""
+    counts = np.bincount(key >> bits)
+    if counts.max(initial=0) <= most:
+        return key
+    order = np.lexsort((mix((key & ((1 << bits) - 1)).astype(np.uint64) + salt[key >> bits]), key >> bits))
+    place = np.arange(len(key)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(key[order][place < most])
+
+
+def _to_coordinates(bits: int, most: int):
     def run(batches):
         for b in batches:
             data, off = text_buffer(b.column("text"))
+            salt = mix(b.column("ord").to_numpy().view(np.uint64))
             for first, last in doc_blocks(off):
                 idx, doc = coordinates(data, off[first : last + 1], bits)
-                key = np.unique((doc << bits) | idx)
+                key = _spread_subset(np.unique((doc << bits) | idx), bits, most, salt[first:last])
                 counts = np.bincount(key >> bits, minlength=last - first)
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 values = pa.array((key & ((1 << bits) - 1)).astype(np.int32))
@@ -122,8 +138,8 @@ def fit(documents: DataFrame, labels: DataFrame, params: FtrlParams = FtrlParams
     # at most max_rows of them: a share by hash first, so that the exact cut handles few rows
     total = known.count()
     if total > params.max_rows:
-        share = int((min(1.0, 1.1 * params.max_rows / total) - 0.5) * 2 * (2**63 - 1))
-        known = known.where(F.col("ord") <= share).orderBy("ord", "label_id").limit(params.max_rows)
+        share = (1 << 64) * 11 * params.max_rows // (10 * total) - (1 << 63)
+        known = known.where(F.col("ord") <= min(share, (1 << 63) - 1)).orderBy("ord", "label_id").limit(params.max_rows)
     # one row of an id, so that max_rows bounds documents too; copies meet as one of each task
     rows = (
         documents.select("doc_id", "text")
@@ -131,8 +147,7 @@ def fit(documents: DataFrame, labels: DataFrame, params: FtrlParams = FtrlParams
         .groupBy("label_id", "ord", "label")
         .agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("row"))
         .select("ord", "label", "row.text")
-        .mapInArrow(_to_coordinates(params.bits), "ord long, label int, idx array<int>")
-        .where(F.size("idx") <= params.max_coordinates)
+        .mapInArrow(_to_coordinates(params.bits, params.max_coordinates), "ord long, label int, idx array<int>")
     )
 
     def learn(batches):

@@ -50,14 +50,65 @@ def test_sample_bound_and_order_independence(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_long_documents_are_scored_but_not_learnt_from(spark):
-    docs, labels = corpus(spark, 120)
-    long = spark.createDataFrame([(5_000, " ".join(f"z{i}" for i in range(2_000)))], "doc_id long, text string")
-    more = labels.unionByName(spark.createDataFrame([(5_000, 1)], "doc_id long, toxic int"))
-    params = T.FtrlParams(epochs=1, max_coordinates=1_000)
-    a = T.fit(docs, labels, params).collect()
-    b = T.fit(docs.unionByName(long), more, params).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+def test_label_counts_around_the_bound(spark):
+    docs, labels = corpus(spark, 150)
+    for n in range(59, 71):
+        model = T.fit(docs, labels.where(F.col("doc_id") < n), T.FtrlParams(max_rows=60, epochs=1)).collect()
+        assert sum(r["idx"] == -1 for r in model) == 1
+
+
+def test_long_documents_are_learnt_from_by_a_subset(spark):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(200):
+        words = [f"w{rng.randint(0, 3_000)}" for _ in range(1_500)]
+        words[::25] = [rng.choice(["vile", "rotten"] if i % 2 else ["kind", "mild"]) for _ in words[::25]]
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = T.toxicity(docs, marks, T.FtrlParams(max_coordinates=1_000)).where("held_out").collect()
+    assert len(got) > 40 and sum(r["predicted"] != r["doc_id"] % 2 for r in got) <= 0.2 * len(got)
+
+
+def test_the_subset_is_that_of_smallest_hashes():
+    rng = np.random.default_rng(2)
+    key = np.unique((rng.integers(0, 5, 900) << 10) | rng.integers(0, 1 << 10, 900))
+    salt = rng.integers(0, 1 << 63, 5).astype(np.uint64)
+    got = T._spread_subset(key, 10, 60, salt)
+    for d in range(5):
+        mine = [int(k) for k in key if k >> 10 == d]
+        want = sorted(sorted(mine, key=lambda k: int(T.mix(np.array([k & 1023], np.uint64) + salt[d])[0]))[:60])
+        assert [int(k) for k in got if k >> 10 == d] == want
+    assert T._spread_subset(key, 10, 1_000, salt) is key
+
+
+def test_features_equal_plain_loops():
+    import re
+
+    import pyarrow as pa
+
+    from docflow.llm.wordhash import text_buffer, word_hashes
+
+    mask = (1 << 64) - 1
+
+    def mix(h):
+        h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & mask
+        return h ^ (h >> 31)
+
+    def word_hash(word):
+        return int(word_hashes(*text_buffer(pa.array([word])))[0][0])
+
+    texts = ["One two, THREE four", "", "ärger x1", "a", "a b a b a", "q" * 3_000 + " tail"]
+    data, off = text_buffer(pa.array(texts))
+    idx, doc = T.coordinates(data, off, 20)
+    for d, text in enumerate(texts):
+        h = [word_hash(w) for w in re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))]
+        want = [mix(x * int(T._UNI) & mask) for x in h]
+        want += [mix((a * int(T._LEFT) + b * int(T._NEXT)) & mask) for a, b in zip(h, h[1:], strict=False)]
+        want += [mix((a * int(T._LEFT) + b * int(T._SKIP)) & mask) for a, b in zip(h, h[2:], strict=False)]
+        assert sorted(idx[doc == d].tolist()) == sorted(x >> 44 for x in want)
 
 
 def test_one_row_of_a_labelled_id_is_learnt_from(spark):
