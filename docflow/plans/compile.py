@@ -14,6 +14,7 @@ such as ``transform`` run interpreted inside it); no Python runs per row:
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions import registry
 from ..functions.convert import STRICT, convert, convert_array
-from .paths import ATTR, TEXT, Node, Step, build_trie, parse_path
+from .paths import ATTR, TEXT, Compare, Logic, Node, Position, Step, build_trie, parse_path
 from .spec import ArrayOf, FieldSpec, MappingSpec, Record, Scalar, SpecError
 
 
@@ -47,67 +48,136 @@ class Options:
         return F.col(name)
 
 
-def node_matches(ctx: Column, steps: list[Step]) -> Column:
-    """All element nodes selected by ``steps`` from ``ctx``: ``array<struct>`` or null."""
-    if not steps:
-        return F.array(ctx)
-    nodes = ctx.getField(steps[0].name)
-    for s in steps[1:]:
-        nodes = F.flatten(F.array_compact(nodes.getField(s.name)))
+def _text_value(node: Column) -> Column:
+    return F.coalesce(F.array_join(node.getField(TEXT), ""), F.lit(""))
+
+
+_OPS = {"=": "__eq__", "!=": "__ne__", "<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__"}
+
+
+def _holds(value: Column, test: Compare) -> Column:
+    if test.op is None:
+        return value.isNotNull()
+    if isinstance(test.value, float) or test.op not in ("=", "!="):  # as numbers; what is none compares with nothing
+        value, literal = F.trim(value).try_cast("double"), F.lit(test.value).try_cast("double")
+    else:
+        literal = F.lit(test.value)
+    return F.coalesce(getattr(value, _OPS[test.op])(literal), F.lit(False))
+
+
+def _condition(node: Column, number: Column, size: Column, test) -> Column:
+    """Whether ``node``, the ``number``-th of ``size``, meets ``test``."""
+    if isinstance(test, Logic):
+        parts = [_condition(node, number, size, t) for t in test.parts]
+        if test.kind == "not":
+            return ~parts[0]
+        return functools.reduce(lambda a, b: a & b if test.kind == "and" else a | b, parts)
+    if isinstance(test, Position):
+        return number == size + 1 - test.k if test.last else getattr(number, _OPS[test.op])(F.lit(test.k))
+    if test.operand == ".":
+        return _holds(_text_value(node), test)
+    if test.operand.startswith("@"):
+        return _holds(node.getField(ATTR + test.operand[1:]), test)
+    return F.coalesce(F.exists(node.getField(test.operand), lambda c: _holds(_text_value(c), test)), F.lit(False))
+
+
+def _tested(nodes: Column, tests: tuple) -> Column:
+    """The nodes of one parent that meet all ``tests``, applied one after the other."""
+    for t in tests:
+        if isinstance(t, Position) and t.last:
+            nodes = F.slice(nodes, -t.k, 1)
+        elif isinstance(t, Position) and t.op == "=":
+            nodes = F.slice(nodes, t.k, 1) if t.k > 0 else F.slice(nodes, 1, 0)
+        else:
+            # the parent's nodes are bound once: a condition may ask for their number
+            nodes = F.get(F.transform(F.array(nodes), _filter_by(t)), 0)
     return nodes
 
 
+def _filter_by(test):
+    return lambda nodes: F.filter(nodes, lambda x, i: _condition(x, i + 1, F.size(nodes), test))
+
+
+def _down(nodes: Column, single: bool, name: str, tests: tuple = ()) -> Column:
+    """The children ``name`` of one node, or of all nodes of an array, that meet ``tests``."""
+    if single:
+        return _tested(nodes.getField(name), tests)
+    children = F.array_compact(nodes.getField(name))
+    if tests:
+        children = F.transform(children, lambda a: _tested(a, tests))
+    return F.flatten(children)
+
+
+def select_nodes(ctx: Column, steps: list[Step], node: Node, single: bool = True) -> Column:
+    """All element nodes selected by ``steps`` (one at least) from ``ctx``, which is a
+    struct or, not ``single``, an array of them: ``array<struct>`` or null."""
+    nodes = ctx
+    for s in steps:
+        if not s.descend:
+            nodes, node = _down(nodes, single, s.name, s.tests), node.children[s.name]
+        else:
+            found = []
+            for path in node.places[s.name]:
+                holder, one = nodes, single
+                for n in path:
+                    holder, one = _down(holder, one, n), False
+                found.append(_down(holder, one, s.name, s.tests))
+            node = node.below(s.name)
+            if len(found) > 1:
+                empty = F.array().cast(node.array_type())
+                found = [F.concat(*[F.coalesce(f, empty) for f in found])]
+            nodes = found[0]
+        single = False
+    return nodes
+
+
+def node_matches(ctx: Column, steps: list[Step], node: Node) -> Column:
+    """All element nodes selected by ``steps`` from ``ctx``: ``array<struct>`` or null."""
+    return select_nodes(ctx, steps, node) if steps else F.array(ctx)
+
+
 def _run(runs: Column, which: str) -> Column:
     """One text run of a node: its first or its last, null if it has none."""
     return F.get(runs, 0) if which == "first" else F.try_element_at(runs, F.lit(-1))
 
 
-def value_matches(ctx: Column, steps: list[Step], text: str = "first") -> Column:
+def value_matches(ctx: Column, steps: list[Step], node: Node, text: str = "first") -> Column:
     """Non-empty text / attribute values selected by ``steps``: ``array<string>`` or null."""
     if steps and steps[-1].attr:
         key, elems = ATTR + steps[-1].name, steps[:-1]
         if not elems:
             return F.array_compact(F.array(ctx.getField(key)))
-        return F.array_compact(node_matches(ctx, elems).getField(key))
+        return F.array_compact(node_matches(ctx, elems, node).getField(key))
     if not steps:
         return F.array_compact(F.array(_run(ctx.getField(TEXT), text)))
-    runs = F.array_compact(node_matches(ctx, steps).getField(TEXT))
+    runs = F.array_compact(node_matches(ctx, steps, node).getField(TEXT))
     return F.transform(runs, lambda r: _run(r, text))
 
 
-def _nodes_down(nodes: Column, steps: list[Step]) -> Column:
-    """All nodes below ``nodes`` along ``steps``; one linear pass per step."""
-    for s in steps:
-        nodes = F.flatten(F.array_compact(nodes.getField(s.name)))
-    return nodes
-
-
-def first_node(ctx: Column, steps: list[Step]) -> Column:
+def first_node(ctx: Column, steps: list[Step], node: Node) -> Column:
     """First element node selected by ``steps`` (a struct, or null)."""
-    if not steps:
-        return ctx
-    return F.get(_nodes_down(ctx.getField(steps[0].name), steps[1:]), 0)
+    return F.get(select_nodes(ctx, steps, node), 0) if steps else ctx
 
 
-def first_value(ctx: Column, steps: list[Step], text: str = "first") -> tuple[Column, bool]:
+def first_value(ctx: Column, steps: list[Step], node: Node, text: str = "first") -> tuple[Column, bool]:
     """First non-empty value selected by ``steps``, and whether it is a plain field read."""
     if not steps:
         return _run(ctx.getField(TEXT), text), True
     if steps[-1].attr and len(steps) == 1:
         return ctx.getField(ATTR + steps[-1].name), True
     key, elems = (ATTR + steps[-1].name, steps[:-1]) if steps[-1].attr else (TEXT, steps)
-    values = _nodes_down(ctx.getField(elems[0].name), elems[1:]).getField(key)
+    values = select_nodes(ctx, elems, node).getField(key)
     pick = (lambda v: v) if steps[-1].attr else (lambda v: _run(v, text))
     # the first match usually has a value; look further only when it does not
     return F.coalesce(pick(F.get(values, 0)), pick(F.get(F.array_compact(values), 0))), False
 
 
-def first_string_value(ctx: Column, steps: list[Step]) -> Column:
+def first_string_value(ctx: Column, steps: list[Step], node: Node) -> Column:
     """Own text of the first selected node, all runs joined, or its attribute value ('' when none)."""
     if steps and steps[-1].attr:
-        v = F.get(value_matches(ctx, steps), 0)
+        v = F.get(value_matches(ctx, steps, node), 0)
     else:
-        v = F.array_join(first_node(ctx, steps).getField(TEXT), "")
+        v = F.array_join(first_node(ctx, steps, node).getField(TEXT), "")
     return F.coalesce(v, F.lit(""))
 
 
@@ -145,18 +215,18 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         rec = t if isinstance(t, Record) else t.element
         sub = node.walk(steps)
         if isinstance(t, Record):
-            first = first_node(ctx, steps)
+            first = first_node(ctx, steps, node)
             if steps and not in_lambda:
                 first = opts.staged(first)
             body = _record(rec, first, sub, opts, f"{where}{f.name}.", in_lambda)
             out = F.when(first.isNotNull(), body)
         else:
-            nodes = F.coalesce(node_matches(ctx, steps), F.array().cast(sub.array_type()))
+            nodes = F.coalesce(node_matches(ctx, steps, node), F.array().cast(sub.array_type()))
             out = F.transform(nodes, lambda x: _record(rec, x, sub, opts, f"{where}{f.name}[].", True))
         return _required(out, f, opts, where)
 
     if isinstance(t, Scalar) and not f.function:
-        first, plain = first_value(ctx, steps, f.text)
+        first, plain = first_value(ctx, steps, node, f.text)
         if plain or t.kind in ("string", "boolean", "bytes"):  # read once by the converter
             out = convert(first, t, opts.mode, what)
         elif not in_lambda:  # computed once in the staging projection
@@ -164,8 +234,8 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         else:  # inside a lambda: bind the first match once
             out = F.get(F.transform(F.array(first), lambda x: convert(x, t, opts.mode, what)), 0)
         return _required(out, f, opts, where)
-    values = value_matches(ctx, steps, f.text)
-    string_value = first_string_value(ctx, steps) if f.function else None
+    values = value_matches(ctx, steps, node, f.text)
+    string_value = first_string_value(ctx, steps, node) if f.function else None
     return _required(_typed_values(f, values, string_value, opts, what), f, opts, where)
 
 
@@ -187,7 +257,7 @@ def _record(rec: Record, ctx: Column, node: Node, opts: Options, where: str, in_
 
 def raw_schema(s: MappingSpec) -> T.StructType:
     """The ``from_xml`` schema that keeps every match the spec needs, and nothing else."""
-    return build_trie(s.fields).struct()
+    return build_trie(s.fields, s.elements).struct()
 
 
 def needs_document_text(s: MappingSpec) -> bool:
@@ -197,5 +267,5 @@ def needs_document_text(s: MappingSpec) -> bool:
 def compile_spec(s: MappingSpec, raw: Column, opts: Options | None = None) -> list[Column]:
     """One aliased ``Column`` per top-level field of ``s``, over the raw struct ``raw``."""
     opts = opts or Options()
-    trie = build_trie(s.fields)
+    trie = build_trie(s.fields, s.elements)
     return [compile_field(f, raw, trie, opts).alias(f.name) for f in s.fields]

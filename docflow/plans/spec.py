@@ -111,11 +111,13 @@ class FieldSpec:
 @dataclass(frozen=True)
 class MappingSpec:
     """Top-level record of a mapping. ``root`` is the root element name; it is
-    the row tag of document files and the first step of ``engine="xpath"`` paths."""
+    the row tag of document files and the first step of ``engine="xpath"`` paths.
+    ``elements``: paths of elements that no field names but a ``//`` looks into."""
 
     fields: tuple[FieldSpec, ...]
     root: str | None = None
     name: str | None = None
+    elements: tuple[str, ...] = ()
     extra: dict = field(default_factory=dict, compare=False)
 
     def to_struct(self) -> T.StructType:
@@ -133,14 +135,45 @@ class MappingSpec:
         ``rec.sub`` (``rec`` a record or an array of records, any depth) keeps
         only the named subfields of ``rec``, so the raw parse schema and the
         typed projection shrink with it; rules of the dropped subfields (such
-        as required checks) are not evaluated."""
-        return replace(self, fields=_prune_fields(self.fields, list(columns), self.field))
+        as required checks) are not evaluated. What they declare stays known to
+        the ``//`` paths of the kept ones."""
+        kept = _prune_fields(self.fields, list(columns), self.field)
+        declared = tuple(_element_paths(self.fields)) if kept != self.fields and any(_descends(f) for f in kept) else ()
+        return replace(self, fields=kept, elements=tuple(dict.fromkeys((*self.elements, *declared))))
 
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
 
+def _record_of(f: FieldSpec) -> Record | None:
+    t = f.type.element if isinstance(f.type, ArrayOf) else f.type
+    return t if isinstance(t, Record) else None
+
+
+def _descends(f: FieldSpec) -> bool:
+    rec = _record_of(f)
+    return "//" in f.path or (rec is not None and any(_descends(c) for c in rec.fields))
+
+
+def _element_paths(fields, above: str = ""):
+    """The element paths, from the root, that ``fields`` declare."""
+    from .paths import parse_path
+
+    for f in fields:
+        if f.engine == "xpath":
+            continue
+        steps = parse_path(f.path, f.name)
+        if any(s.descend for s in steps):
+            continue
+        path = "/".join([*([above] if above else []), *[s.name for s in steps if not s.attr]])
+        if path:
+            yield path
+        rec = _record_of(f)
+        if rec is not None:
+            yield from _element_paths(rec.fields, path)
+
+
 def _prune_fields(fields, names: list[str], lookup) -> tuple[FieldSpec, ...]:
     order: list[str] = []
     subs: dict[str, list[str] | None] = {}
@@ -189,8 +222,8 @@ def fld(name: str, type_: Union[str, FieldType], path: str, nullable: bool = Tru
     return FieldSpec(name, Scalar(type_) if isinstance(type_, str) else type_, path, nullable, **kw)
 
 
-def spec(*fields: FieldSpec, root: str | None = None, name: str | None = None) -> MappingSpec:
-    return MappingSpec(tuple(fields), root=root, name=name)
+def spec(*fields: FieldSpec, root: str | None = None, name: str | None = None, elements: tuple[str, ...] = ()) -> MappingSpec:
+    return MappingSpec(tuple(fields), root=root, name=name, elements=tuple(elements))
 
 
 # ---------------------------------------------------------------- JSON loader
@@ -266,7 +299,9 @@ def from_json(obj: Union[str, dict]) -> MappingSpec:
     d = json.loads(obj) if isinstance(obj, str) else obj
     if d.get("type") != "record":
         raise SpecError("a mapping spec must be a record")
-    return MappingSpec(tuple(_parse_field(f) for f in d.get("fields", [])), root=d.get("root"), name=d.get("name"))
+    return MappingSpec(
+        tuple(_parse_field(f) for f in d.get("fields", [])), root=d.get("root"), name=d.get("name"), elements=tuple(d.get("elements", ()))
+    )
 
 
 def load(path: Union[str, Path]) -> MappingSpec:

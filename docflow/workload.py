@@ -304,6 +304,67 @@ def xml_file_scan(spark, d):
     )
 
 
+CONDITION_SPEC = S.spec(
+    S.fld("key", "long", "@key", nullable=False),
+    S.fld("large", S.array("long"), "lines/line[@qty>=30][not(disc=0) and price>1000]/@part"),
+    S.fld("returned", S.array(S.record(S.fld("n", "int", "@n"), S.fld("price", "double", "price[.<50000]"))), "lines/line[@n='1' or @n='2']"),
+    S.fld("prices", S.array("double"), "//price"),
+    S.fld("rush", "string", "cust[.='1-URGENT']/@key"),
+    root="order",
+)
+
+
+def xml_conditional_paths(spark, d):
+    """XML-3, XML-5: conditions on steps (attributes, children, own text; numbers, texts,
+    ``and`` / ``or`` / ``not``) in scalar, array and record fields, and ``//``."""
+    ex = extract_xml(_docs(spark, d), "xml", CONDITION_SPEC, keep=["is_split"])
+    of_returned = F.aggregate("returned", F.lit(0.0), lambda s, r: s + F.coalesce(r["price"], F.lit(0.0)))
+    values = {
+        "n_large": F.coalesce(F.when(F.col("large").isNotNull(), F.size("large")), F.lit(0)).cast("bigint"),
+        "sum_large": F.coalesce(F.aggregate("large", F.lit(0).cast("bigint"), lambda s, x: s + x), F.lit(0)),
+        "n_returned": F.size("returned").cast("bigint"),
+        "sum_returned": of_returned,
+        "sum_prices": F.coalesce(F.aggregate("prices", F.lit(0.0), lambda s, x: s + x), F.lit(0.0)),
+    }
+    per_order = _per_order(
+        ex.withColumns(values),
+        [F.col("key").alias("o_orderkey")],
+        [*map(F.col, values), "rush"],
+        [*[F.sum(n).alias(n) for n in values], F.max("rush").alias("rush")],
+    )
+    rounded = [F.round(n, 2).alias(n) if n in ("sum_returned", "sum_prices") else F.col(n) for n in values]
+    return per_order.select("o_orderkey", *rounded, F.col("rush").cast("bigint").alias("rush_custkey"))
+
+
+PLACE_SPEC = S.spec(
+    S.fld("top", "string", "host/label[last()]"),
+    S.fld("second", "string", "host/label[last()-1]"),
+    S.fld("site", "string", "host/label[1]"),
+    S.fld("folders", S.array("string"), "path/part[position()<=2]"),
+    S.fld("leaf", S.record(S.fld("name", "string", "."), S.fld("no", "int", "@no")), "path/part[@no][last()]"),
+    S.fld("every", S.array(S.record(S.fld("n", "int", "@no"), S.fld("said", "string", "."))), "//part[2]"),
+    S.fld("odd", "int", "path/part[@no='3' and .!='x']/@no"),
+    root="page",
+)
+
+
+def xml_positional_paths(spark, d):
+    """XML-3, XML-7, XML-9: conditions that count among a parent's children, in documents
+    made of every page's url."""
+    host = F.split(F.regexp_extract("url", "^[a-z]+://([^/]*)", 1), "[.]")
+    parts = F.split(F.regexp_extract("url", "^[a-z]+://[^/]*/([^?#]*)", 1), "/")
+    doc = F.struct(
+        F.struct(host.alias("label")).alias("host"),
+        F.struct(F.transform(parts, lambda x, i: F.struct((i + 1).alias("_no"), x.alias("_VALUE"))).alias("part")).alias("path"),
+    )
+    pages = _t(spark, d, "pages").select("page_id", F.to_xml(doc, {"rowTag": "page", "indent": ""}).alias("x"))
+    ex = extract_xml(pages, "x", PLACE_SPEC, keep=["page_id"])
+    return ex.select(
+        "page_id", "top", "second", "site", F.array_join("folders", "/").alias("folders"), F.col("leaf.name").alias("leaf"),
+        F.col("leaf.no").alias("leaf_no"), F.array_join(F.transform("every", lambda r: r["said"]), "|").alias("seconds"), "odd",
+    )
+
+
 MIXED_SPEC = S.spec(
     S.fld("title", "string", "head/title"),
     S.fld("title_last", "string", "head/title", text="last"),
@@ -633,6 +694,8 @@ QUERIES: dict[str, Query] = {
     "xml_xpath_fields": xml_xpath_fields,
     "xml_from_bytes": xml_from_bytes,
     "xml_file_scan": xml_file_scan,
+    "xml_conditional_paths": xml_conditional_paths,
+    "xml_positional_paths": xml_positional_paths,
     "xml_mixed_content": xml_mixed_content,
     "xml_declared_encoding": xml_declared_encoding,
     "xml_binary_files": xml_binary_files,
@@ -742,6 +805,23 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents""",
     "pipeline_xml": f"""
         SELECT o_orderkey, o_orderstatus, {_DEC} AS total, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date FROM orders""",
+    "xml_conditional_paths": """
+        SELECT o_orderkey,
+               COUNT(*) FILTER (WHERE l_quantity >= 30 AND l_discount <> 0 AND l_extendedprice > 1000) AS n_large,
+               CAST(COALESCE(SUM(l_partkey) FILTER (WHERE l_quantity >= 30 AND l_discount <> 0 AND l_extendedprice > 1000), 0) AS BIGINT) AS sum_large,
+               COUNT(*) FILTER (WHERE l_linenumber IN (1, 2)) AS n_returned,
+               ROUND(COALESCE(SUM(l_extendedprice) FILTER (WHERE l_linenumber IN (1, 2) AND l_extendedprice < 50000), 0), 2) AS sum_returned,
+               ROUND(COALESCE(SUM(l_extendedprice), 0), 2) AS sum_prices,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS rush_custkey
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderpriority, o_custkey""",
+    "xml_positional_paths": """
+        WITH p AS (
+            SELECT page_id, string_split(regexp_extract(url, '^[a-z]+://([^/]*)', 1), '.') AS h,
+                   string_split(regexp_extract(url, '^[a-z]+://[^/]*/([^?#]*)', 1), '/') AS s FROM pages)
+        SELECT page_id, h[-1] AS top, h[-2] AS second, h[1] AS site, array_to_string(list_filter(s[1:2], lambda x: x <> ''), '/') AS folders,
+               nullif(s[-1], '') AS leaf, CAST(len(s) AS INTEGER) AS leaf_no, coalesce(nullif(s[2], ''), '') AS seconds,
+               CASE WHEN len(s) >= 3 THEN 3 END AS odd
+        FROM p""",
     "xml_mixed_content": """
         SELECT page_id, true AS same_title, 'end' AS title_last, 3 AS own_more, 6 AS all_more, 2 AS n_notes, page_id AS no,
                'n' || page_id AS said, true AS second_silent, CAST(length(html) % 64 / 8.0 AS DOUBLE) AS ratio, true AS no_blank

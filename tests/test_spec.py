@@ -40,7 +40,7 @@ def test_paths():
     assert parse_path(".") == []
     assert [(s.name, s.attr) for s in parse_path("a/b/@c")] == [("a", False), ("b", False), ("c", True)]
     assert [(s.name, s.attr) for s in parse_path("x:t/@x:a")] == [("x:t", False), ("x:a", True)]
-    for bad in ["//a", "a[1]", "../a", "a/@b/c", "count(a)", "a/text()", ""]:
+    for bad in ["/a", "a[1", "../a", "a/@b/c", "count(a)", "a/text()", ""]:
         with pytest.raises(S.SpecError, match="unsupported path|empty path"):
             parse_path(bad, "f")
 
