@@ -19,6 +19,7 @@ from ..functions.convert import STRICT
 from ..plans.compile import Options, compile_spec, needs_document_text, raw_schema
 from ..plans.paths import XML_OPTIONS, case_clashes
 from ..plans.spec import MappingSpec, SpecError
+from .recordscan import scan_chunks, scan_records
 
 _RAW = "__docflow_raw"
 _DOC = "__docflow_doc"
@@ -134,10 +135,16 @@ def read_xml(
     mode: str = STRICT,
     columns: Iterable[str] | None = None,
     ignore_namespace: bool = False,
+    splittable: bool = True,
 ) -> DataFrame:
-    """Scan XML files where each ``row_tag`` element is one record (SRC-3),
-    with the spec's raw schema (no inference pass) and the same typed projection."""
+    """Scan XML files where each ``row_tag`` element is one record (SRC-3), with the
+    same single parse and typed projection as :func:`extract_xml`. A file larger than
+    ``spark.sql.files.maxPartitionBytes`` is read by several tasks
+    (:mod:`docflow.operators.recordscan`); ``splittable=False`` leaves each file to one
+    task and Spark's own ``rowTag`` reader (compressed files, encodings other than UTF-8)."""
     s = spec.prune(columns) if columns is not None else spec
+    if splittable:
+        return extract_xml(scan_records(spark, path, row_tag), "xml", s, mode=mode, ignore_namespace=ignore_namespace)
     schema = raw_schema(s)
     _check_names(spark, schema)
     opts = _reader_options("failfast", ignore_namespace)
@@ -147,6 +154,17 @@ def read_xml(
     return _typed(parsed_df, [], [], s, mode)
 
 
+def read_xml_documents(
+    spark: SparkSession, path: str, spec: MappingSpec, doc_tag: str, row_tag: str, *, rows: int = 1_000, **kw
+) -> DataFrame:
+    """Documents of any size (XML-9, XML-13): files whose ``doc_tag`` documents may hold more
+    ``row_tag`` records than fit a row. One row per chunk of up to ``rows`` records, with
+    the fields of ``spec``: those before the records stand in every chunk, those after
+    them in the ``last`` one; ``first`` marks a document's first chunk. Explode the records
+    (:func:`explode_records`) or aggregate chunks as for split documents."""
+    return extract_xml(scan_chunks(spark, path, doc_tag, row_tag, rows=rows), "xml", spec, keep=["path", "block", "seq", "first", "last"], **kw)
+
+
 def read_xml_files(
     spark: SparkSession, path: str, spec: MappingSpec, *, keep_path: bool = True, **kw
 ) -> DataFrame:

@@ -23,7 +23,7 @@ from .operators import partition as P
 from .operators import shape
 from .operators.lookup import lookup_with_default
 from .operators.records import align_to_schema
-from .operators.xml import explode_records, extract_xml, read_xml, read_xml_files
+from .operators.xml import explode_records, extract_xml, read_xml, read_xml_documents, read_xml_files
 from .plans import spec as S
 from .session import derived_table, shared_dir
 from .sources import io
@@ -31,9 +31,7 @@ from .sources.corpus import (
     MAX_LINES_PER_DOC,
     ORDER_SPEC,
     epoch_millis_ntz,
-    order_document_rows,
     order_documents,
-    write_document_files,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,7 +72,7 @@ def _docs(spark: SparkSession, d: str, *, as_binary: bool = False) -> DataFrame:
 
 def _head_docs(spark: SparkSession, d: str, **kw) -> DataFrame:
     """Documents that carry the order-level elements once per order: chunk 0
-    (every order has one, see ``order_document_rows``)."""
+    (every order has one, see ``docflow.sources.corpus``)."""
     return _docs(spark, d, **kw).where(F.col("chunk") == 0)
 
 
@@ -289,12 +287,11 @@ def xml_from_bytes(spark, d):
 
 
 def xml_file_scan(spark, d):
-    """SRC-3: order documents written as XML files, scanned back with the spec's
-    raw schema (rowTag 'order'), typed by the same compiled projection. The files
-    carry the split of an order, so only split orders are combined."""
+    """SRC-3: the order documents written as files of many records, scanned back record by
+    record; a file of several splits is read by as many tasks. The documents carry the
+    split of an order, so only split orders are combined."""
     path = shared_dir(spark, "xml_file_scan")
-    rows = order_document_rows(_t(spark, d, "orders"), _t(spark, d, "lineitem"), max_lines_per_doc=MAX_LINES)
-    write_document_files(rows, path)
+    spark.read.parquet(_docs_path(spark, d)).select("xml").write.text(path)
     rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "n_chunks", "lines.n"])
     return _per_order(
         rows.withColumn("is_split", (F.col("n_chunks") > 1).cast("int")),
@@ -304,6 +301,39 @@ def xml_file_scan(spark, d):
     )
 
 
+LEDGER_SPEC = S.spec(
+    S.fld("month", "string", "@month", nullable=False),
+    S.fld("kind", "string", "kind"),
+    S.fld("lines", S.array(S.record(S.fld("qty", "double", "@qty"), S.fld("price", "double", "price"))), "lines/line"),
+    S.fld("closed", "string", "closed"),
+    root="ledger",
+)
+
+
+def xml_large_documents(spark, d):
+    """SRC-3, XML-9, XML-13: documents that hold any number of records (all lines shipped in a
+    month in one document), read in chunks that repeat the document's fields."""
+    path = shared_dir(spark, "xml_large_documents")
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    fields = F.struct(F.col("l_linenumber").alias("_n"), F.col("l_quantity").alias("_qty"), F.col("l_extendedprice").alias("price"))
+    line = F.to_xml(fields, {"rowTag": "line", "indent": ""})
+    items = _t(spark, d, "lineitem").where("l_shipdate IS NOT NULL")
+    lines = items.select(month.alias("m"), F.lit(1).alias("at"), line.alias("value"))
+    start = F.concat(F.lit("<ledger month='"), "m", F.lit("'><kind>shipped</kind><lines>"))
+    around = F.array(F.struct(F.lit(0).alias("at"), start.alias("value")), F.struct(F.lit(2).alias("at"), F.lit("</lines><closed>yes</closed></ledger>").alias("value")))
+    frames = items.select(month.alias("m")).distinct().select("m", F.inline(around))
+    # a file has one writer, which streams its sorted rows
+    lines.unionByName(frames).repartition("m").sortWithinPartitions("m", "at").select("m", "value").write.partitionBy("m").text(path)
+    docs = read_xml_documents(spark, path + "/*", LEDGER_SPEC, "ledger", "line", rows=1_000)
+    # chunks are reduced where they are, so a month's many chunks meet as partial sums
+    return docs.groupBy("month", "kind").agg(
+        F.sum(F.size("lines")).alias("n_lines"),
+        F.round(F.sum(F.aggregate("lines", F.lit(0.0), lambda s, x: s + x["qty"])), 2).alias("sum_qty"),
+        F.round(F.sum(F.aggregate("lines", F.lit(0.0), lambda s, x: s + x["price"])), 2).alias("sum_price"),
+        F.count_if(F.col("closed") == "yes").alias("n_closed"),
+    )
+
+
 CONDITION_SPEC = S.spec(
     S.fld("key", "long", "@key", nullable=False),
     S.fld("large", S.array("long"), "lines/line[@qty>=30][not(disc=0) and price>1000]/@part"),
@@ -418,15 +448,16 @@ def xml_declared_encoding(spark, d):
 
 
 def xml_binary_files(spark, d):
-    """SRC-3, SNK-1: one document per file, scanned with ``binaryFile``. Spark writes
-    the documents of the nations (a bounded table) one per file as text."""
+    """SRC-3, SNK-1: one document per file, scanned with ``binaryFile``; a document holds
+    the balances of up to 50 suppliers (a range of their keys)."""
     path = shared_dir(spark, "xml_binary_files")
-    nations = _t(spark, d, "nation")
-    fields = F.struct(F.col("n_nationkey").alias("_key"), F.col("n_name").alias("name"))
-    docs = nations.select("n_nationkey", F.to_xml(fields, {"rowTag": "nation", "indent": ""}).alias("value"))
-    docs.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
-    spec = S.spec(S.fld("n_nationkey", "long", "@key"), S.fld("n_name", "string", "name"), root="nation")
-    return read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False)
+    one = F.struct(F.col("s_suppkey").alias("_key"), F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
+    groups = _t(spark, d, "supplier").groupBy(F.floor(F.col("s_suppkey") / 50).alias("g")).agg(F.collect_list(one).alias("supplier"))
+    docs = groups.select("g", F.to_xml(F.struct("supplier"), {"rowTag": "suppliers", "indent": ""}).alias("value"))
+    docs.repartition("g").write.partitionBy("g").text(path)
+    supplier = S.record(S.fld("s_suppkey", "long", "@key"), S.fld("s_name", "string", "name"), S.fld("s_acctbal", "double", "balance"))
+    spec = S.spec(S.fld("suppliers", S.array(supplier), "supplier"), root="suppliers")
+    return explode_records(read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False), "suppliers")
 
 
 def xml_binary_customer_files(spark, d):
@@ -694,6 +725,7 @@ QUERIES: dict[str, Query] = {
     "xml_xpath_fields": xml_xpath_fields,
     "xml_from_bytes": xml_from_bytes,
     "xml_file_scan": xml_file_scan,
+    "xml_large_documents": xml_large_documents,
     "xml_conditional_paths": xml_conditional_paths,
     "xml_positional_paths": xml_positional_paths,
     "xml_mixed_content": xml_mixed_content,
@@ -781,6 +813,10 @@ ORACLE_SQL: dict[str, str] = {
     "xml_file_scan": """
         SELECT o_orderkey, o_orderstatus, COUNT(l_orderkey) AS n_lines
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""",
+    "xml_large_documents": """
+        SELECT strftime(l_shipdate, '%Y-%m') AS month, 'shipped' AS kind, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty,
+               ROUND(SUM(l_extendedprice), 2) AS sum_price, CAST(1 AS BIGINT) AS n_closed
+        FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL""",
     "lookup_with_default": """
         SELECT c.c_custkey, c.c_mktsegment, COALESCE(r.uname, 'UNKNOWN') AS uname
         FROM customer c LEFT JOIN (
@@ -827,7 +863,7 @@ ORACLE_SQL: dict[str, str] = {
                'n' || page_id AS said, true AS second_silent, CAST(length(html) % 64 / 8.0 AS DOUBLE) AS ratio, true AS no_blank
         FROM pages""",
     "xml_declared_encoding": "SELECT c_custkey, 'Zoë ' || c_name AS greeting FROM customer",
-    "xml_binary_files": "SELECT n_nationkey, n_name FROM nation",
+    "xml_binary_files": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
     "xml_binary_customer_files": "SELECT c_custkey, c_name FROM customer",
     "binary_decode": "SELECT doc_id, text FROM documents",
     "reproject_positional": """
