@@ -5,12 +5,18 @@ A field function receives the matches of the field's path and returns a
 A function that fails yields null for that field, as the declarative parser
 does for plug-in fields. Functions are plain ``Column`` builders, so they run
 inside the same JVM projection as the rest of the extraction.
+
+Where built-in expressions can't say it, a field function is plain Python
+(:func:`register_python`): it gets the texts of a document's matches and returns the
+field's value. All Python fields of a spec are evaluated in one Arrow pass over their
+matches, between the one parse and the typed projection; an error of the function, or a
+value that the declared type can't hold, is null for that document only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable
+from typing import Any, Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,8 +30,15 @@ class Matches:
     string_value: Column  # text (or attribute value) of the first matched node, '' when none
 
 
+@dataclass(frozen=True)
+class PythonFunction:
+    """``fn(values, string_value)``: the matches' texts in document order, and the first one's string value."""
+
+    fn: Callable[[list, str], Any]
+
+
 FieldFunction = Callable[[Matches], Column]
-_REGISTRY: dict[str, FieldFunction] = {}
+_REGISTRY: dict[str, FieldFunction | PythonFunction] = {}
 
 
 def register(name: str, fn: FieldFunction | None = None):
@@ -36,7 +49,15 @@ def register(name: str, fn: FieldFunction | None = None):
     return put(fn) if fn is not None else put
 
 
-def lookup(name: str) -> FieldFunction:
+def register_python(name: str, fn: Callable[[list, str], Any] | None = None):
+    """Register ``fn(values, string_value)`` as the Python field function ``name``; usable as a decorator."""
+    def put(f):
+        _REGISTRY[name] = PythonFunction(f)
+        return f
+    return put(fn) if fn is not None else put
+
+
+def lookup(name: str) -> FieldFunction | PythonFunction:
     try:
         return _REGISTRY[name]
     except KeyError:

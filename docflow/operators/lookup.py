@@ -19,15 +19,19 @@ the input side.
 
 from __future__ import annotations
 
+from typing import Any, Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.pyfields import row_function
 from ..session import MAX_BROADCAST_BYTES, size_checked
 
 DEFAULT = "UNKNOWN"
 MAX_BROADCAST_ROWS = 2_000_000
 
-_K, _V, _HIT, _N = "__lkp_key", "__lkp_value", "__lkp_hit", "__lkp_n"
+_K, _V, _HIT, _N, _FOUND = "__lkp_key", "__lkp_value", "__lkp_hit", "__lkp_n", "__lkp_found"
 
 
 def prepare_reference(ref: DataFrame, key: str, value: str, on_duplicate: str = "error") -> DataFrame:
@@ -77,3 +81,67 @@ def lookup_with_default(
     types = {f.name: f.dataType for f in r.schema}
     unmatched = df.where(data_key.isNull()).withColumns({_V: F.lit(None).cast(types[_V]), _HIT: F.lit(False)})
     return matched.select(*cols).unionByName(unmatched.select(*cols))
+
+
+class Reference:
+    """What user code captures: ``get(key)`` is the reference value, or the default."""
+
+    def __init__(self, values: dict, default: Any):
+        self.values, self.default = values, default
+
+    def get(self, key: Any) -> Any:
+        return self.values.get(key, self.default)
+
+
+def apply_with_reference(
+    df: DataFrame,
+    fn: Callable[..., Any],
+    inputs: Iterable[str],
+    ref: DataFrame,
+    key: str,
+    ref_key: str,
+    ref_value: str,
+    out_col: str,
+    return_type: T.DataType | str = "string",
+    *,
+    default: object = DEFAULT,
+    on_duplicate: str = "error",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS // 4,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES // 4,
+) -> DataFrame:
+    """UDF-1: ``df`` with ``out_col`` = ``fn(reference, *inputs)``, user code per row that
+    captures a reference table; ``reference.get(k)`` follows :func:`lookup_with_default`
+    (null keys never match, a null value is a hit).
+
+    The code runs in one Arrow function over batches. The reference is broadcast to the
+    tasks as a dictionary if its measured size is within the bounds. Beyond them it isn't:
+    the value of ``df[key]`` is looked up by a join first, and the code's reference knows
+    that key alone, so code that asks for the row's ``key`` gives the same either way (and
+    fails on another key)."""
+    reference = prepare_reference(ref, ref_key, ref_value, on_duplicate).select(_K, _V)
+    r, small = size_checked(reference, max_broadcast_rows, max_bytes=max_broadcast_bytes)
+    kind = T._parse_datatype_string(return_type) if isinstance(return_type, str) else return_type
+    given = [F.col(f"`{c}`") for c in inputs]
+    if small:
+        held = df.sparkSession.sparkContext.broadcast({row[_K]: row[_V] for row in r.toLocalIterator()})
+        value = row_function(fn, lambda _: Reference(held.value, default), kind, [F.lit(True), *given])
+        return df.withColumn(out_col, value)
+    rows = lookup_with_default(
+        df, r.select(_K, F.struct(F.col(_V).alias("value")).alias(_V)), key, _K, _V, _FOUND, default=None, on_duplicate="any",
+        max_broadcast_rows=0,
+    )
+    asked = F.struct(F.col(f"`{key}`").alias("key"), F.col(_FOUND).alias("found"))
+    return rows.withColumn(out_col, row_function(fn, lambda a: _OneKey(a, default), kind, [asked, *given])).drop(_FOUND)
+
+
+class _OneKey(Reference):
+    """The reference as far as one row's key goes."""
+
+    def __init__(self, asked: dict, default: Any):
+        super().__init__({} if asked["found"] is None else {asked["key"]: asked["found"]["value"]}, default)
+        self.key = asked["key"]
+
+    def get(self, key: Any) -> Any:
+        if key is not None and key != self.key:
+            raise KeyError(f"the reference is too large to broadcast: only the row's own key {self.key!r} is known, not {key!r}")
+        return super().get(key)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.convert import STRICT
-from ..plans.compile import Options, compile_spec, needs_document_text, raw_schema
+from ..functions.pyfields import python_fields
+from ..plans.compile import PYTHON, Options, compile_spec, needs_document_text, raw_schema
 from ..plans.paths import XML_OPTIONS, case_clashes
 from ..plans.spec import MappingSpec, SpecError
 from .recordscan import scan_chunks, scan_records
@@ -123,6 +124,8 @@ def _typed(parsed_df: DataFrame, keep: list, extra: list, s: MappingSpec, mode:
         outs.append(corrupt.alias(corrupt_col))
     kept = [F.col(f"`{c}`") for c in keep]
     staged_df = parsed_df.select(*kept, _RAW, *extra, *opts.stage)
+    if opts.python:  # one Arrow pass for all Python field functions
+        staged_df = staged_df.select("*", python_fields(opts.python).alias(PYTHON))
     return staged_df.select(*kept, *outs)
 
 

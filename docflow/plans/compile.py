@@ -15,7 +15,7 @@ such as ``transform`` run interpreted inside it); no Python runs per row:
 from __future__ import annotations
 
 import functools
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ from .paths import ATTR, TEXT, Compare, Logic, Node, Position, Step, build_trie,
 from .spec import ArrayOf, FieldSpec, MappingSpec, Record, Scalar, SpecError
 
 
+PYTHON = "__docflow_python"
+
+
 def _empty_strings() -> Column:
     return F.array().cast(T.ArrayType(T.StringType()))
 
@@ -39,6 +42,13 @@ class Options:
     # collected here and computed once in a projection of their own; the typed
     # projection then reads them as plain columns. None: compute in place.
     stage: list | None = None
+    # Calls of Python field functions: (function, matches, type, one per record of an
+    # array?); their results are the fields of one struct column.
+    python: list = field(default_factory=list)
+
+    def called(self, fn, matches: Column, kind: T.DataType, many: bool) -> Column:
+        self.python.append((fn, matches, kind, many))
+        return F.col(PYTHON).getField(f"f{len(self.python) - 1}")
 
     def staged(self, value: Column) -> Column:
         if self.stage is None:
@@ -196,9 +206,27 @@ def _xpath_values(f: FieldSpec, opts: Options) -> Column:
     return F.filter(values, lambda x: x.isNotNull() & (x != ""))
 
 
+def _python(f: FieldSpec):
+    """The Python function of a field, if it has one."""
+    fn = registry.lookup(f.function) if f.function else None
+    return fn.fn if isinstance(fn, registry.PythonFunction) else None
+
+
+def _python_input(f: FieldSpec, ctx: Column, node: Node) -> Column:
+    """What a Python field function gets: the matches' texts and the first one's string value."""
+    steps = parse_path(f.path, f.name)
+    values = F.coalesce(value_matches(ctx, steps, node, f.text), _empty_strings())
+    return F.when(ctx.isNotNull(), F.struct(values.alias("values"), first_string_value(ctx, steps, node).alias("string")))
+
+
 def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: str = "", in_lambda: bool = False) -> Column:
     t = f.type
     what = f"field {where}{f.name}"
+    python = _python(f)
+    if python:
+        if in_lambda or f.engine == "xpath":
+            raise SpecError(f"{what}: a Python field function stands at the top level, in records, or directly in an array of records of those")
+        return _required(opts.called(python, _python_input(f, ctx, node), t.spark_type(), False), f, opts, where)
     if f.engine == "xpath":
         if where:
             raise SpecError(f"field {where}{f.name}: xpath evaluation is for top-level fields only")
@@ -222,7 +250,16 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
             out = F.when(first.isNotNull(), body)
         else:
             nodes = F.coalesce(node_matches(ctx, steps, node), F.array().cast(sub.array_type()))
-            out = F.transform(nodes, lambda x: _record(rec, x, sub, opts, f"{where}{f.name}[].", True))
+            calls = {}
+            for c in rec.fields:
+                if _python(c) and not in_lambda and c.engine == "path":
+                    given = F.transform(nodes, _inputs_of(c, sub))
+                    calls[c.name] = opts.called(_python(c), given, c.type.spark_type(), True)
+            inner = f"{where}{f.name}[]."
+            if calls:
+                out = F.transform(nodes, lambda x, i: _record(rec, x, sub, opts, inner, True, {n: F.get(v, i) for n, v in calls.items()}))
+            else:
+                out = F.transform(nodes, lambda x: _record(rec, x, sub, opts, inner, True))
         return _required(out, f, opts, where)
 
     if isinstance(t, Scalar) and not f.function:
@@ -239,6 +276,10 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
     return _required(_typed_values(f, values, string_value, opts, what), f, opts, where)
 
 
+def _inputs_of(f: FieldSpec, node: Node):
+    return lambda x: _python_input(f, x, node)
+
+
 def _typed_values(f: FieldSpec, values: Column, string_value: Column | None, opts: Options, what: str) -> Column:
     t = f.type
     if f.function:
@@ -251,8 +292,10 @@ def _typed_values(f: FieldSpec, values: Column, string_value: Column | None, opt
     return convert(F.get(values, 0), t, opts.mode, what)
 
 
-def _record(rec: Record, ctx: Column, node: Node, opts: Options, where: str, in_lambda: bool) -> Column:
-    return F.struct(*[compile_field(c, ctx, node, opts, where, in_lambda).alias(c.name) for c in rec.fields])
+def _record(rec: Record, ctx: Column, node: Node, opts: Options, where: str, in_lambda: bool, given: dict | None = None) -> Column:
+    given = given or {}
+    values = [_required(given[c.name], c, opts, where) if c.name in given else compile_field(c, ctx, node, opts, where, in_lambda) for c in rec.fields]
+    return F.struct(*[v.alias(c.name) for v, c in zip(values, rec.fields, strict=True)])
 
 
 def raw_schema(s: MappingSpec) -> T.StructType:

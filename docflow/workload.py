@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import jobs
+from .functions import registry
 from .functions.binary import be_bytes_to_decimal, encode_utf8, long_to_be_bytes
 from .operators import partition as P
 from .operators import shape
-from .operators.lookup import lookup_with_default
+from .operators.lookup import apply_with_reference, lookup_with_default
 from .operators.records import align_to_schema
 from .operators.xml import explode_records, extract_xml, read_xml, read_xml_documents, read_xml_files
 from .plans import spec as S
@@ -473,8 +474,70 @@ def xml_binary_customer_files(spark, d):
     return explode_records(read_xml_files(spark, path + "/*/*.txt", spec, keep_path=False), "customers")
 
 
+@registry.register_python("even_count")
+def _even_count(values, string_value):
+    """Python field function: how many matches are even numbers."""
+    return sum(int(v) % 2 == 0 for v in values)
+
+
+@registry.register_python("most_digits")
+def _most_digits(values, string_value):
+    """Python field function: the most digits that a match has."""
+    return max(sum(c.isdigit() for c in v) for v in values)  # without matches an error, hence null
+
+
+@registry.register_python("cents")
+def _cents(values, string_value):
+    """Python field function: an amount in whole cents."""
+    return round(float(string_value) * 100)
+
+
+PYTHON_SPEC = S.spec(
+    S.fld("key", "long", "@key", nullable=False),
+    S.fld("even_parts", "long", "lines/line/@part", function="even_count"),
+    S.fld("digits", "int", "lines/line/price", function="most_digits"),
+    S.fld("sum_n", "int", "lines/line/@n", function="sum_values"),
+    S.fld("lines", S.array(S.record(S.fld("n", "int", "@n"), S.fld("cents", "long", "price", function="cents"))), "lines/line"),
+    root="order",
+)
+
+
+def xml_python_fields(spark, d):
+    """UDF-2, XML-11: field functions in Python, at the top level and in records of an
+    array, beside a built-in one: one parse, one Arrow pass."""
+    ex = extract_xml(_docs(spark, d), "xml", PYTHON_SPEC, keep=["is_split"])
+    cents = F.aggregate("lines", F.lit(0).cast("bigint"), lambda s, x: s + x["cents"])
+    return _per_order(
+        ex.withColumn("cents", cents),
+        [F.col("key").alias("o_orderkey")],
+        ["even_parts", "digits", F.col("sum_n").cast("bigint").alias("sum_n"), "cents"],
+        [F.sum("even_parts").alias("even_parts"), F.max("digits").alias("digits"), F.sum("sum_n").alias("sum_n"), F.sum("cents").alias("cents")],
+    )
+
+
 # ------------------------------------------------------------------ lookups
 
+def _greeting(reference, name, segment, balance):
+    """User code with a captured reference: branches, formatting, a default."""
+    team = reference.get(segment)
+    if balance is None or balance < 0:
+        return f"{team}: {name[::-1]}"
+    return f"{team}: {name} {int(balance) % 97:02d}"
+
+
+def udf_with_reference(spark, d):
+    """UDF-1: user code per row that captures a reference table, with a default."""
+    customer = _t(spark, d, "customer")
+    ref = io.query_scan(
+        spark,
+        "SELECT DISTINCT c_mktsegment AS name, UPPER(substr(c_mktsegment, 1, 3)) AS team FROM docflow_customer WHERE c_mktsegment <> 'MACHINERY'",
+        {"docflow_customer": customer},
+    )
+    data = customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    out = apply_with_reference(data, _greeting, ["c_name", "c_mktsegment", "c_acctbal"], ref, "c_mktsegment", "name", "team", "greeting")
+    return out.select("c_custkey", "greeting")
+
+
 def lookup_with_default_q(spark, d):
     """LKP-1 / FN-13: segments looked up in a SQL-defined reference that lacks one."""
     customer = _t(spark, d, "customer")
@@ -734,6 +797,8 @@ QUERIES: dict[str, Query] = {
     "xml_binary_customer_files": xml_binary_customer_files,
     "pipeline_enrich": pipeline_enrich,
     "pipeline_xml": pipeline_xml,
+    "xml_python_fields": xml_python_fields,
+    "udf_with_reference": udf_with_reference,
     "lookup_with_default": lookup_with_default_q,
     "lookup_null_and_duplicate_keys": lookup_null_and_duplicate_keys,
     "distinct_upper": distinct_upper,
@@ -813,6 +878,16 @@ ORACLE_SQL: dict[str, str] = {
     "xml_file_scan": """
         SELECT o_orderkey, o_orderstatus, COUNT(l_orderkey) AS n_lines
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""",
+    "xml_python_fields": """
+        SELECT o_orderkey, COUNT(*) FILTER (WHERE l_partkey % 2 = 0) AS even_parts,
+               CAST(MAX(length(regexp_replace(CAST(l_extendedprice AS VARCHAR), '[^0-9]', '', 'g'))) AS INTEGER) AS digits,
+               CAST(COALESCE(SUM(l_linenumber), 0) AS BIGINT) AS sum_n, CAST(COALESCE(SUM(ROUND(l_extendedprice * 100)), 0) AS BIGINT) AS cents
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+    "udf_with_reference": """
+        SELECT c_custkey, CASE WHEN c_mktsegment <> 'MACHINERY' THEN UPPER(substr(c_mktsegment, 1, 3)) ELSE 'UNKNOWN' END || ': '
+               || CASE WHEN c_acctbal IS NULL OR c_acctbal < 0 THEN reverse(c_name)
+                       ELSE c_name || ' ' || printf('%02d', CAST(trunc(c_acctbal) AS BIGINT) % 97) END AS greeting
+        FROM customer""",
     "xml_large_documents": """
         SELECT strftime(l_shipdate, '%Y-%m') AS month, 'shipped' AS kind, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty,
                ROUND(SUM(l_extendedprice), 2) AS sum_price, CAST(1 AS BIGINT) AS n_closed
