@@ -27,7 +27,7 @@ from .operators.records import align_to_schema
 from .operators.xml import explode_records, extract_xml, read_xml, read_xml_documents, read_xml_files
 from .plans import spec as S
 from .session import derived_table, shared_dir
-from .sources import io
+from .sources import io, sinks
 from .sources.corpus import (
     MAX_LINES_PER_DOC,
     ORDER_SPEC,
@@ -773,6 +773,46 @@ def stream_xml_status_totals(spark, d):
     )
 
 
+def stream_refreshed_lookup(spark, d):
+    """LKP-1 in a stream: the reference changes between two micro-batches (orders of even,
+    then of odd keys); each batch is looked up in the reference of its time."""
+    from .streaming import append_with_fresh_lookup, read_batches, read_stream
+
+    base = shared_dir(spark, "stream_refreshed_lookup")
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    names = orders.select(F.col("o_orderpriority").alias("p")).distinct()
+    for half, word in enumerate((F.lower("p"), F.concat(F.lit("2nd "), F.upper("p")))):
+        names.where(~F.col("p").startswith(str(half + 1))).select("p", word.alias("word")).write.mode("overwrite").parquet(base + "/ref")
+        orders.where(F.col("o_orderkey") % 2 == half).write.mode("append").parquet(base + "/in")
+        stream = read_stream(spark, base + "/in", orders.schema)
+        run = append_with_fresh_lookup(
+            stream, lambda: spark.read.parquet(base + "/ref"), [base + "/ref"], "o_orderpriority", "p", "word", "word", base + "/out"
+        )
+        run.awaitTermination()
+        if run.exception() is not None:
+            raise run.exception()
+    return read_batches(spark, base + "/out").select("o_orderkey", "o_orderpriority", "word")
+
+
+def sink_repeatable_append(spark, d):
+    """SNK-1, SNK-2: jobs that append under a token, one of them run twice; the second adds
+    a column and writes a wider decimal, the third leaves a column out."""
+    path = shared_dir(spark, "sink_repeatable_append")
+    o = _t(spark, d, "orders")
+    third = F.col("o_orderkey") % 3
+    narrow, wide = (F.col("o_totalprice").cast(f"decimal({p},2)").alias("total") for p in (12, 18))
+    key = F.col("o_orderkey")
+    jobs_ = {
+        "first": o.where(third == 0).select(key, narrow, F.year("o_orderdate").alias("year")),
+        "second": o.where(third == 1).select(key, wide, F.year("o_orderdate").cast("bigint").alias("year"), "o_orderpriority"),
+        "third": o.where(third == 2).select(key, "o_orderpriority", F.year("o_orderdate").cast("smallint").alias("year")),
+    }
+    for token in ("first", "second", "second", "third", "first"):
+        sinks.append_once(jobs_[token], path, token)
+    back = sinks.read_sink(spark, path)
+    return back.select("o_orderkey", F.col("total").cast("string").alias("total"), "year", "o_orderpriority")
+
+
 QUERIES: dict[str, Query] = {
     "xml_status_totals": xml_status_totals,
     "xml_extract_lines": xml_extract_lines,
@@ -813,6 +853,8 @@ QUERIES: dict[str, Query] = {
     "transform_and_filter": transform_and_filter,
     "sink_roundtrip": sink_roundtrip,
     "stream_xml_status_totals": stream_xml_status_totals,
+    "stream_refreshed_lookup": stream_refreshed_lookup,
+    "sink_repeatable_append": sink_repeatable_append,
 }
 
 _LINES = "orders JOIN lineitem ON l_orderkey = o_orderkey"
@@ -823,6 +865,15 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN lower(o_orderstatus) ELSE 'UNKNOWN' END AS status_name,
                COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty, ROUND(SUM(l_extendedprice), 2) AS sum_price
         FROM {_LINES} GROUP BY o_orderstatus""",
+    "stream_refreshed_lookup": """
+        SELECT o_orderkey, o_orderpriority,
+               CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderpriority LIKE '1%' THEN 'UNKNOWN' ELSE lower(o_orderpriority) END
+                    WHEN o_orderpriority LIKE '2%' THEN 'UNKNOWN' ELSE '2nd ' || upper(o_orderpriority) END AS word
+        FROM orders""",
+    "sink_repeatable_append": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS total,
+               CAST(year(o_orderdate) AS BIGINT) AS year, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority
+        FROM orders""",
     "xml_status_totals": f"""
         SELECT o_orderstatus, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty,
                ROUND(SUM(l_extendedprice), 2) AS sum_price
