@@ -33,13 +33,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _MARK = re.compile(r"<!--|-->|<!\[CDATA\[|\]\]>")
-_MARK_SQL = r"<!--|-->|<!\[CDATA\[|\]\]>"
 _SECTION = re.compile(r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>", re.S)
 TEXT, COMMENT, CDATA = 0, 1, 2
 _OPENS, _CLOSES = {"<!--": COMMENT, "<![CDATA[": CDATA}, {COMMENT: "-->", CDATA: "]]>"}
 _TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 
 
+def _has_mark(value: Column) -> Column:
+    """Plain text searches: most pieces have none, and each costs one scan of the piece."""
+    return value.contains("<!--") | value.contains("-->") | value.contains("<![CDATA[") | value.contains("]]>")
+
+
 def state_after(text: str, state: int) -> int:
     """The state (text, inside a comment, inside CDATA) after ``text``."""
     for m in _MARK.finditer(text):
@@ -212,11 +216,17 @@ def scan_records(spark: SparkSession, path: str, tag: str, *, encoding: str | No
     pieces = _pieces(spark, path, tag, encoding)
     value = F.col("value")
     start = rf"<{tag}[\s/>]"
-    # pieces of other than one start tag with content, or with a closing tag left in them
-    unusual = value.rlike(rf"(?s){start}.*{start}") | value.rlike(rf"<{tag}(\s[^<>]*)?/>") | value.rlike(rf"</{tag}\s")
-    marks = _by_split(pieces, value.rlike(_MARK_SQL) | unusual, tag)
+    # pieces of other than one start tag with content, or with a closing tag left in them; the
+    # text searches in front of the patterns spare most pieces those
+    begin = F.lit(f"<{tag}")
+    again = F.position(begin, value, F.position(begin, value) + 1) > 0
+    twice = again & value.rlike(rf"(?s){start}.*{start}")
+    empty = value.contains("/>") & value.rlike(rf"<{tag}(\s[^<>]*)?/>")
+    unusual = twice | empty | (value.contains(f"</{tag}") & value.rlike(rf"</{tag}\s"))
+    marks = _by_split(pieces, _has_mark(value) | unusual, tag)
     if not marks:
-        cut = F.regexp_extract(value, rf"(?s)({start}.*)", 1)
+        at = F.regexp_instr(value, F.lit(start))
+        cut = F.when(at > 0, F.substr(value, at)).otherwise(F.lit(""))
         return pieces.select(cut.alias("xml")).where(F.col("xml") != "").select(F.concat("xml", F.lit(f"</{tag}>")).alias("xml"))
     marked = _marked(marks)
     found = pieces.mapInArrow(_records(tag, marked), "path string, block long, kind string, xml string")
@@ -346,7 +356,7 @@ def scan_chunks(spark: SparkSession, path: str, doc_tag: str, tag: str, *, rows:
             raise ValueError(f"no element name: {name!r}")
     pieces = _pieces(spark, path, tag, encoding)
     value = F.col("value")
-    maps = _by_split(pieces, value.rlike(_MARK_SQL) | value.rlike(rf"</?{doc_tag}[\s/>]"), tag, doc_tag)
+    maps = _by_split(pieces, _has_mark(value) | value.rlike(rf"</?{doc_tag}[\s/>]"), tag, doc_tag)
     marked = [m for m in _marked(maps) if m[2:] != (TEXT, TEXT)]
     carried = [(r["path"], r["block"], r["start"] if r["inside"] else None) for r in maps if r["inside"] is not None]
     schema = "path string, block long, seq long, first boolean, last boolean, xml string"

@@ -289,17 +289,18 @@ def xml_from_bytes(spark, d):
 
 def xml_file_scan(spark, d):
     """SRC-3: the order documents written as files of many records, scanned back record by
-    record; a file of several splits is read by as many tasks. The documents carry the
-    split of an order, so only split orders are combined."""
+    record; a file of several splits is read by as many tasks. Documents of split orders
+    lie in files of their own, whose rows alone are combined."""
     path = shared_dir(spark, "xml_file_scan")
-    spark.read.parquet(_docs_path(spark, d)).select("xml").write.text(path)
-    rows = read_xml(spark, path, ORDER_SPEC, "order", columns=["key", "status", "n_chunks", "lines.n"])
-    return _per_order(
-        rows.withColumn("is_split", (F.col("n_chunks") > 1).cast("int")),
-        [F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus")],
-        [F.size("lines").cast("bigint").alias("n_lines")],
-        [F.sum(F.size("lines")).alias("n_lines")],
-    )
+
+    def scanned(is_split: int) -> DataFrame:
+        files = f"{path}/split-{is_split}"
+        _docs(spark, d).where(F.col("is_split") == is_split).select("xml").write.text(files)
+        rows = read_xml(spark, files, ORDER_SPEC, "order", columns=["key", "status", "lines.n"])
+        return rows.select(F.col("key").alias("o_orderkey"), F.col("status").alias("o_orderstatus"), F.size("lines").cast("bigint").alias("n_lines"))
+
+    parts = scanned(1).groupBy("o_orderkey", "o_orderstatus").agg(F.sum("n_lines").alias("n_lines"))
+    return scanned(0).unionByName(parts)
 
 
 LEDGER_SPEC = S.spec(
