@@ -79,7 +79,7 @@ def convert(s: Column, t: Scalar, mode: str = STRICT, what: str = "value") -> Co
     """Convert text ``s`` to the scalar type ``t``; null text stays null."""
     k = t.kind
     if k == "string":
-        return s
+        return _guard(s, F.when(s.isin(*t.symbols), s), mode, f"{what} ({', '.join(t.symbols)})") if t.symbols else s
     if k == "int":
         return to_integral(s, "int", mode, what)
     if k == "long":
@@ -95,7 +95,8 @@ def convert(s: Column, t: Scalar, mode: str = STRICT, what: str = "value") -> Co
     if k == "timestamp":
         return to_timestamp(s, t.unit, mode, what)
     if k == "bytes":
-        return to_bytes(s)
+        b = to_bytes(s)
+        return b if t.size is None else _guard(s, F.when(F.octet_length(b) == t.size, b), mode, f"{what} ({t.size} bytes)")
     if k == "decimal":
         return to_decimal(s, t.precision, t.scale, mode, what)
     raise ValueError(f"unsupported scalar {k}")
@@ -103,6 +104,6 @@ def convert(s: Column, t: Scalar, mode: str = STRICT, what: str = "value") -> Co
 
 def convert_array(values: Column, t: Scalar, mode: str = STRICT, what: str = "value") -> Column:
     """Element-wise conversion of an ``array<string>`` (FN-14)."""
-    if t.kind == "string":
+    if t.kind == "string" and not t.symbols:
         return values
     return F.transform(values, lambda x: convert(x, t, mode, what))

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from typing import Any, Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.binary import decode_utf8
+from .functions.rejects import reject_cause
 from .operators import partition as P
 from .operators import shape
 from .operators.lookup import DEFAULT, lookup_with_default
@@ -59,6 +60,21 @@ def extract_xml_and_append(docs: DataFrame, xml_col: str, spec: MappingSpec, tar
     io.append(align_to_schema(rows, spec.to_struct()), target, fmt)
 
 
+def extract_xml_and_route(docs: DataFrame, xml_col: str, spec: MappingSpec, target: str, *, keep: tuple[str, ...] = (), **kw) -> dict[str, int]:
+    """PIP-2 where documents may be malformed (XML-12): typed rows and rejects are written in
+    one pass over the documents, as the folders ``outcome=row`` and ``outcome=reject`` of
+    ``target``; a reject has its text and ``cause`` (line, position, reason). Returns the
+    counts that were observed while writing: ``documents``, ``rows``, ``rejects``."""
+    rows = extract_xml(docs, xml_col, spec, keep=keep, malformed="permissive", corrupt_col="document", **kw)
+    bad = F.col("document").isNotNull()
+    out = rows.withColumn("cause", reject_cause(F.col("document"))).withColumn("outcome", F.when(bad, "reject").otherwise("row"))
+    seen = Observation()
+    counts = {"documents": F.count(F.lit(1)), "rows": F.count_if(~bad), "rejects": F.count_if(bad)}
+    out = out.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    out.write.mode("append").partitionBy("outcome").parquet(target)
+    return {n: int(seen.get.get(n, 0)) for n in counts}
+
+
 def transform_and_filter(df: DataFrame, column: str, drop_in_map: Any, drop_after: Any) -> DataFrame:
     """PIP-3: a partition map that drops rows (``column == drop_in_map``), a
     null-safe filter (``column == drop_after`` removed) and a row count. The map

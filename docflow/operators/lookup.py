@@ -13,8 +13,10 @@ Semantics:
 Plan: the reference side is reduced to one row per key (a hash aggregate with
 map-side combine), then joined. It is broadcast only after an exact count
 shows it is at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes``
-(as JSON text); beyond that it is a shuffle join and AQE splits skewed keys of
-the input side.
+(as JSON text). Beyond that a filter of fixed size over the reference's keys
+(:mod:`docflow.operators.membership`) is broadcast instead: rows that surely have no
+match, null keys among them, take the default where they are, and only the others are
+shuffled to a join, whose skewed keys AQE splits.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.pyfields import row_function
 from ..session import MAX_BROADCAST_BYTES, size_checked
+from .membership import key_filter
 
 DEFAULT = "UNKNOWN"
 MAX_BROADCAST_ROWS = 2_000_000
@@ -60,6 +63,7 @@ def lookup_with_default(
     on_duplicate: str = "error",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    prefilter: bool = True,
 ) -> DataFrame:
     """``df`` with ``out_col`` (added, or replaced where it is) = the reference value
     of ``df[key]``, or ``default``.
@@ -76,10 +80,15 @@ def lookup_with_default(
     data_key = F.col(f"`{key}`")
     if small:
         return df.join(F.broadcast(r), data_key == F.col(_K), "left").select(*cols)
-    # a shuffle join would send all null keys, which match nothing, to one task: they go round it
-    matched = df.where(data_key.isNotNull()).join(r.hint("shuffle_merge"), data_key == F.col(_K), "left")
+    # a shuffle join would send all null keys, which match nothing, to one task: they go round
+    # it, as does every row whose key the reference surely lacks
+    may_match = data_key.isNotNull()
+    held = key_filter(r, _K, r.count()) if prefilter and not df.isStreaming else None
+    if held:
+        may_match = held.may_hold(data_key.cast(r.schema[_K].dataType))
+    matched = df.where(may_match).join(r.hint("shuffle_merge"), data_key == F.col(_K), "left")
     types = {f.name: f.dataType for f in r.schema}
-    unmatched = df.where(data_key.isNull()).withColumns({_V: F.lit(None).cast(types[_V]), _HIT: F.lit(False)})
+    unmatched = df.where(~may_match).withColumns({_V: F.lit(None).cast(types[_V]), _HIT: F.lit(False)})
     return matched.select(*cols).unionByName(unmatched.select(*cols))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from ..functions import registry
 from ..functions.convert import STRICT, convert, convert_array
 from .paths import ATTR, TEXT, Compare, Logic, Node, Position, Step, build_trie, parse_path
-from .spec import ArrayOf, FieldSpec, MappingSpec, Record, Scalar, SpecError
+from .spec import ArrayOf, FieldSpec, MapOf, MappingSpec, Record, Scalar, SpecError
 
 
 PYTHON = "__docflow_python"
@@ -239,6 +239,8 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
         return _required(out, f, opts, where)
 
     steps = parse_path(f.path, f.name)
+    if isinstance(t, MapOf):
+        return _required(_map(f, ctx, steps, node, opts, where), f, opts, where)
     if isinstance(t, Record) or (isinstance(t, ArrayOf) and isinstance(t.element, Record)):
         rec = t if isinstance(t, Record) else t.element
         sub = node.walk(steps)
@@ -264,7 +266,7 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
 
     if isinstance(t, Scalar) and not f.function:
         first, plain = first_value(ctx, steps, node, f.text)
-        if plain or t.kind in ("string", "boolean", "bytes"):  # read once by the converter
+        if plain or (t.kind in ("string", "boolean", "bytes") and not t.symbols and t.size is None):  # read once by the converter
             out = convert(first, t, opts.mode, what)
         elif not in_lambda:  # computed once in the staging projection
             out = convert(opts.staged(first), t, opts.mode, what)
@@ -276,6 +278,26 @@ def compile_field(f: FieldSpec, ctx: Column, node: Node, opts: Options, where: s
     return _required(_typed_values(f, values, string_value, opts, what), f, opts, where)
 
 
+def _map(f: FieldSpec, ctx: Column, steps: list[Step], node: Node, opts: Options, where: str) -> Column:
+    """The selected nodes as a map, empty if there are none; of equal keys the first."""
+    t, sub = f.type, node.walk(steps)
+    nodes = F.coalesce(node_matches(ctx, steps, node), F.array().cast(sub.array_type()))
+    inner = f"{where}{f.name}{{}}."
+    value = FieldSpec("value", t.value, ".")
+
+    def entry(x: Column) -> Column:
+        key = first_value(x, parse_path(t.key, f.name), sub)[0]
+        held = _record(t.value, x, sub, opts, inner, True) if isinstance(t.value, Record) else compile_field(value, x, sub, opts, inner, True)
+        return F.struct(key.alias("key"), held.alias("value"))
+
+    def unique(entries: Column) -> Column:
+        keys = entries.getField("key")
+        return F.filter(entries, lambda e, i: F.array_position(keys, e.getField("key")) == i + 1)
+
+    entries = F.filter(F.transform(nodes, entry), lambda e: e.getField("key").isNotNull())
+    return F.when(ctx.isNotNull(), F.map_from_entries(F.get(F.transform(F.array(entries), unique), 0)))
+
+
 def _inputs_of(f: FieldSpec, node: Node):
     return lambda x: _python_input(f, x, node)
 

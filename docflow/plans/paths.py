@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from .spec import ArrayOf, FieldSpec, Record, SpecError
+from .spec import ArrayOf, FieldSpec, MapOf, Record, SpecError
 
 ATTR = "@"
 TEXT = "#text"
@@ -311,7 +311,15 @@ def add_fields(node: Node, fields, descending: bool) -> None:
         steps = parse_path(f.path, f.name)
         if any(s.descend for s in steps) and not descending:
             continue
-        t = f.type.element if isinstance(f.type, ArrayOf) else f.type
+        t = f.type.element if isinstance(f.type, ArrayOf) else f.type.value if isinstance(f.type, MapOf) else f.type
+        if isinstance(f.type, MapOf):
+            if not steps or steps[-1].attr:
+                raise SpecError(f"field {f.name!r}: a map's path must select elements, not {f.path!r}")
+            entry, key = node.walk(steps), parse_path(f.type.key, f.name)
+            if key and key[-1].attr:
+                entry.walk(key[:-1]).attrs.add(key[-1].name)
+            else:
+                entry.walk(key).text = True
         if isinstance(t, Record):
             if steps and steps[-1].attr:
                 raise SpecError(f"field {f.name!r}: a record path must select elements, not {f.path!r}")

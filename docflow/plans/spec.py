@@ -29,6 +29,8 @@ class Scalar:
     precision: int = 38
     scale: int = 9
     unit: str = "millis"  # unit of epoch numbers in the text of a timestamp field
+    symbols: tuple[str, ...] = ()  # a string field's only values (an enum)
+    size: int | None = None  # a bytes field's exact length (a fixed)
 
     def __post_init__(self):
         if self.kind not in SCALARS:
@@ -69,7 +71,20 @@ class ArrayOf:
         return T.ArrayType(self.element.spark_type(), containsNull=True)
 
 
-FieldType = Union[Scalar, Record, ArrayOf]
+@dataclass(frozen=True)
+class MapOf:
+    """The selected nodes as a map: ``key`` is the path of a node's key, relative to it; a
+    scalar ``value`` is the node's own text. Nodes without key are left out; of equal keys
+    the first stays."""
+
+    value: Union[Scalar, Record]
+    key: str = "@key"
+
+    def spark_type(self) -> T.MapType:
+        return T.MapType(T.StringType(), self.value.spark_type(), True)
+
+
+FieldType = Union[Scalar, Record, ArrayOf, MapOf]
 
 
 @dataclass(frozen=True)
@@ -147,7 +162,7 @@ class MappingSpec:
 
 
 def _record_of(f: FieldSpec) -> Record | None:
-    t = f.type.element if isinstance(f.type, ArrayOf) else f.type
+    t = f.type.element if isinstance(f.type, ArrayOf) else f.type.value if isinstance(f.type, MapOf) else f.type
     return t if isinstance(t, Record) else None
 
 
@@ -241,22 +256,77 @@ def _unwrap(t: Any) -> tuple[Any, bool]:
     return t, False
 
 
-def _parse_type(t: Any) -> FieldType:
+class _Names:
+    """The named types of a schema: records, enums and fixed ones, by simple and full name.
+    A type may be used wherever it stands after its definition (of several with one name
+    the latest counts); a record that would hold itself is rejected, since a table's type
+    can't be endless."""
+
+    def __init__(self):
+        self.known: dict[str, FieldType | None] = {}  # None: being read
+
+    def names_of(self, t: dict, space: str) -> tuple[list[str], str]:
+        name, space = t.get("name"), t.get("namespace", space)
+        if not name:
+            return [], space
+        if "." in name:
+            space = name.rpartition(".")[0]
+            return [name, name.rpartition(".")[2]], space
+        return [name, *([f"{space}.{name}"] if space else [])], space
+
+    def define(self, t: dict, space: str, read) -> FieldType:
+        names, space = self.names_of(t, space)
+        if not names and t.get("type") != "record":
+            raise SpecError(f"{t.get('type')} type without a name")
+        self.known.update(dict.fromkeys(names))
+        out = read(space)
+        self.known.update(dict.fromkeys(names, out))
+        return out
+
+    def find(self, name: str, space: str) -> FieldType:
+        for n in ([name] if "." in name else [f"{space}.{name}", name]):
+            if n in self.known:
+                if self.known[n] is None:
+                    raise SpecError(f"record {name!r} holds itself: recursive types have no table type")
+                return self.known[n]
+        raise SpecError(f"unsupported type {name!r} (neither built in nor defined before)")
+
+
+def _parse_type(t: Any, names: _Names, space: str = "") -> FieldType:
     if isinstance(t, str):
-        if t in _PRIMITIVE:
-            return Scalar(t)
-        raise SpecError(f"unsupported type {t!r}")
+        return Scalar(t) if t in _PRIMITIVE else names.find(t, space)
     if not isinstance(t, dict):
         raise SpecError(f"unsupported type {t!r}")
     base, logical = t.get("type"), t.get("logicalType")
+    if isinstance(base, (dict, list)):  # {"type": {"type": ...}}
+        inner, _ = _unwrap(base)
+        return _parse_type(inner, names, space)
     if base == "record":
-        return Record(tuple(_parse_field(f) for f in t.get("fields", [])), t.get("name"))
+        return names.define(t, space, lambda within: Record(tuple(_parse_field(f, names, within) for f in t.get("fields", [])), t.get("name")))
+    if base == "enum":
+        symbols = tuple(t.get("symbols", ()))
+        if not symbols or not all(isinstance(x, str) for x in symbols):
+            raise SpecError(f"enum {t.get('name')!r} needs a list of symbols")
+        return names.define(t, space, lambda within: Scalar("string", symbols=symbols))
+    if base == "fixed":
+        size = t.get("size")
+        if not isinstance(size, int) or size < 1:
+            raise SpecError(f"fixed {t.get('name')!r} needs a size")
+        if logical == "decimal":
+            return names.define(t, space, lambda within: Scalar("decimal", precision=int(t.get("precision", 38)), scale=int(t.get("scale", 9))))
+        return names.define(t, space, lambda within: Scalar("bytes", size=size))
     if base == "array":
         item, _ = _unwrap(t["items"])
-        elem = _parse_type(item)
-        if isinstance(elem, ArrayOf):
-            raise SpecError("arrays of arrays are not supported")
+        elem = _parse_type(item, names, space)
+        if isinstance(elem, (ArrayOf, MapOf)):
+            raise SpecError("arrays of arrays or maps are not supported")
         return ArrayOf(elem)
+    if base == "map":
+        item, _ = _unwrap(t["values"])
+        value = _parse_type(item, names, space)
+        if isinstance(value, (ArrayOf, MapOf)):
+            raise SpecError("maps of arrays or maps are not supported")
+        return MapOf(value, t.get("key", "@key"))
     if base in _PRIMITIVE:
         if logical is None:
             return Scalar(base)
@@ -267,17 +337,19 @@ def _parse_type(t: Any) -> FieldType:
         if base == "bytes" and logical == "decimal":
             return Scalar("decimal", precision=int(t.get("precision", 38)), scale=int(t.get("scale", 9)))
         raise SpecError(f"unsupported logical type {logical!r} on {base!r}")
-    raise SpecError(f"unsupported type {base!r} (map, enum and fixed are not supported)")
+    if isinstance(base, str):
+        return names.find(base, space)
+    raise SpecError(f"unsupported type {base!r}")
 
 
-def _parse_field(f: dict) -> FieldSpec:
+def _parse_field(f: dict, names: _Names, space: str = "") -> FieldSpec:
     name = f.get("name")
     if "xpath" not in f or f["xpath"] is None:
         raise SpecError(f"field {name!r} has no 'xpath' property")
     t, nullable = _unwrap(f["type"])
     return FieldSpec(
         name=name,
-        type=_parse_type(t),
+        type=_parse_type(t, names, space),
         path=f["xpath"],
         nullable=nullable,
         function=f.get("class"),
@@ -294,13 +366,16 @@ def from_json(obj: Union[str, dict]) -> MappingSpec:
     "logicalType": "date"}``, ``{"type": "long", "logicalType":
     "timestamp-millis"|"timestamp-micros"}`` (the text is epoch milliseconds unless
     ``"unit": "micros"``), ``{"type": "bytes", "logicalType": "decimal",
-    "precision", "scale"}``, records, arrays and unions with ``"null"``.
+    "precision", "scale"}``, records, arrays, unions with ``"null"``, enums (a string of
+    one of the ``symbols``), fixed (bytes of ``size``, or a decimal) and maps (``"key"``: the
+    path of a node's key, by default ``@key``). Records, enums and fixed types that have a
+    name can be used by it after their definition.
     """
     d = json.loads(obj) if isinstance(obj, str) else obj
     if d.get("type") != "record":
         raise SpecError("a mapping spec must be a record")
     return MappingSpec(
-        tuple(_parse_field(f) for f in d.get("fields", [])), root=d.get("root"), name=d.get("name"), elements=tuple(d.get("elements", ()))
+        _parse_type(d, _Names()).fields, root=d.get("root"), name=d.get("name"), elements=tuple(d.get("elements", ()))
     )
 
 

@@ -247,6 +247,27 @@ def xml_malformed_permissive(spark, d):
     )
 
 
+def xml_rejects(spark, d):
+    """XML-12, PIP-2: rows and rejects with cause written in one pass, counted on the way:
+    order documents as they are and with an end tag that does not match, and raw pages."""
+    path = shared_dir(spark, "xml_rejects")
+    variants = F.array(
+        F.struct(F.lit("order").alias("source"), F.col("xml").alias("xml")),
+        F.struct(F.lit("mismatched").alias("source"), F.regexp_replace("xml", "</order>$", "</order-end>").alias("xml")),
+    )
+    docs = _head_docs(spark, d).select("o_orderkey", F.inline(variants))
+    pages = _t(spark, d, "pages").select(F.col("page_id").alias("o_orderkey"), F.lit("page").alias("source"), F.col("html").alias("xml"))
+    seen = jobs.extract_xml_and_route(docs.unionByName(pages), "xml", ORDER_SPEC.prune(["key", "status"]), path, keep=("source", "o_orderkey"))
+    out = spark.read.parquet(path)
+    at_the_end = F.col("cause.position") == F.length(F.trim("document", F.lit("\n"))) - F.length(F.lit("order-end>"))
+    return out.groupBy("source", "outcome").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("key").alias("n_keys"),
+        F.count_if(F.col("cause.reason").isNotNull()).alias("n_causes"),
+        F.count_if((F.col("cause.reason") == "mismatched tag") & (F.col("cause.line") == 1) & at_the_end).alias("n_end_tags"),
+    ).withColumns({f"seen_{n}": F.lit(v).cast("bigint") for n, v in seen.items()})
+
+
 XPATH_SPEC = S.spec(
     S.fld("key", "long", "@key", nullable=False),
     S.fld("info_len", "int", "/order/info", engine="xpath", function="string_length"),
@@ -552,6 +573,15 @@ def lookup_with_default_q(spark, d):
     return lookup_with_default(data, ref, "c_mktsegment", "name", "uname", "uname")
 
 
+def lookup_large_reference(spark, d):
+    """LKP-1: a reference beyond the broadcast bound: lines without a match (most of them)
+    take the default where they are, the others meet the parts in a shuffle join."""
+    parts = _t(spark, d, "part").where("p_size <= 10").select("p_partkey", "p_brand")
+    lines = _t(spark, d, "lineitem").select("l_partkey", "l_quantity")
+    found = lookup_with_default(lines, parts, "l_partkey", "p_partkey", "p_brand", "brand", max_broadcast_rows=0)
+    return found.groupBy("brand").agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
+
+
 def lookup_null_and_duplicate_keys(spark, d):
     """LKP-1 rules: null data keys and null reference keys never match, a hit
     with a null value stays null, duplicate reference keys collapse to one."""
@@ -617,6 +647,39 @@ ORDER_JSON = {
 }
 
 
+#: Named types (SRC-7): one record used three times, an enum, a fixed and a map.
+PLACES_JSON = {
+    "type": "record", "name": "Places", "namespace": "doc", "root": "page",
+    "fields": [
+        {"name": "host", "xpath": "host", "type": {"type": "record", "name": "Part", "fields": [
+            {"name": "text", "type": ["null", "string"], "xpath": "."},
+            {"name": "no", "type": ["null", "int"], "xpath": "@no"},
+        ]}},
+        {"name": "lang", "xpath": "lang", "type": ["null", "Part"]},
+        {"name": "parts", "xpath": "path/part", "type": {"type": "map", "values": "doc.Part", "key": "@no"}},
+        {"name": "scheme", "xpath": "scheme", "type": {"type": "enum", "name": "Scheme", "symbols": ["http", "https"]}},
+        {"name": "id", "xpath": "id", "type": {"type": "fixed", "name": "Id", "size": 8}},
+    ],
+}
+
+
+def xml_named_types(spark, d):
+    """SRC-7: a mapping with named types over documents made of every page's url."""
+    scheme, host, rest = (F.regexp_extract("url", "^([a-z]+)://([^/]*)/([^?#]*)", i) for i in (1, 2, 3))
+    part = lambda i, x: F.struct(i.alias("_no"), x.alias("_VALUE"))
+    parts = F.transform(F.split(rest, "/"), lambda x, i: part(i + 1, x))
+    doc = F.struct(
+        part(F.length(host), host).alias("host"), part(F.lit(0), F.split(rest, "/")[0]).alias("lang"), F.struct(parts.alias("part")).alias("path"),
+        scheme.alias("scheme"), F.lpad(F.col("page_id").cast("string"), 8, "0").alias("id"),
+    )
+    pages = _t(spark, d, "pages").select("page_id", F.to_xml(doc, {"rowTag": "page", "indent": ""}).alias("x"))
+    ex = extract_xml(pages, "x", S.from_json(PLACES_JSON), keep=["page_id"])
+    return ex.select(
+        "page_id", F.col("host.text").alias("host"), F.col("host.no").alias("host_chars"), F.col("lang.text").alias("lang"),
+        F.size("parts").alias("n_parts"), F.try_element_at("parts", F.lit("2"))["text"].alias("second"), "scheme", F.decode("id", "UTF-8").alias("id"),
+    )
+
+
 def pipeline_xml(spark, d):
     """PIP-2, SRC-7, SRC-8: documents held as bytes through a JSON mapping, appended to a
     sink with the mapping's schema, read back; one row per order."""
@@ -825,6 +888,8 @@ QUERIES: dict[str, Query] = {
     "xml_string_length": xml_string_length,
     "xml_sum_values": xml_sum_values,
     "xml_malformed_permissive": xml_malformed_permissive,
+    "xml_rejects": xml_rejects,
+    "xml_named_types": xml_named_types,
     "xml_pruned_columns": xml_pruned_columns,
     "xml_xpath_fields": xml_xpath_fields,
     "xml_from_bytes": xml_from_bytes,
@@ -841,6 +906,7 @@ QUERIES: dict[str, Query] = {
     "xml_python_fields": xml_python_fields,
     "udf_with_reference": udf_with_reference,
     "lookup_with_default": lookup_with_default_q,
+    "lookup_large_reference": lookup_large_reference,
     "lookup_null_and_duplicate_keys": lookup_null_and_duplicate_keys,
     "distinct_upper": distinct_upper,
     "enrich_documents": enrich_documents,
@@ -915,6 +981,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'order' AS source, COUNT(*) AS n_docs, CAST(0 AS BIGINT) AS n_bad, COUNT(*) AS n_keys FROM orders
         UNION ALL SELECT 'mismatched', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM orders
         UNION ALL SELECT 'page', COUNT(*), COUNT(*), CAST(0 AS BIGINT) FROM pages""",
+    "xml_rejects": """
+        WITH s AS (
+            SELECT 'order' AS source, 'row' AS outcome, COUNT(*) AS n, COUNT(*) AS n_keys, 0 AS n_causes, 0 AS n_end_tags FROM orders
+            UNION ALL SELECT 'mismatched', 'reject', COUNT(*), 0, COUNT(*), COUNT(*) FROM orders
+            UNION ALL SELECT 'page', 'reject', COUNT(*), 0, COUNT(*), 0 FROM pages)
+        SELECT source, outcome, n, CAST(n_keys AS BIGINT) AS n_keys, CAST(n_causes AS BIGINT) AS n_causes, CAST(n_end_tags AS BIGINT) AS n_end_tags,
+               CAST(SUM(n) OVER () AS BIGINT) AS seen_documents, CAST(SUM(n_keys) OVER () AS BIGINT) AS seen_rows,
+               CAST(SUM(n_causes) OVER () AS BIGINT) AS seen_rejects FROM s""",
+    "xml_named_types": """
+        WITH p AS (
+            SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host,
+                   string_split(regexp_extract(url, '^[a-z]+://[^/]*/([^?#]*)', 1), '/') AS s FROM pages)
+        SELECT page_id, host, CAST(length(host) AS INTEGER) AS host_chars, nullif(s[1], '') AS lang, CAST(len(s) AS INTEGER) AS n_parts,
+               nullif(s[2], '') AS second, scheme, lpad(CAST(page_id AS VARCHAR), 8, '0') AS id FROM p""",
+    "lookup_large_reference": """
+        SELECT COALESCE(p_brand, 'UNKNOWN') AS brand, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS sum_qty
+        FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 10) ON p_partkey = l_partkey GROUP BY 1""",
     "xml_pruned_columns": "SELECT o_orderkey, o_orderstatus FROM orders",
     "xml_xpath_fields": """
         SELECT o_orderkey,

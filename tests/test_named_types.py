@@ -1,0 +1,102 @@
+"""SRC-7: named types, enums, fixed types and maps in a mapping's JSON."""
+
+import pytest
+
+from docflow.operators.xml import extract_xml
+from docflow.plans import spec as S
+
+POINT = {"type": "record", "name": "Point", "namespace": "geo", "fields": [
+    {"name": "x", "type": "int", "xpath": "@x"},
+    {"name": "unit", "type": ["null", {"type": "enum", "name": "Unit", "symbols": ["m", "km"]}], "xpath": "@u"},
+    {"name": "tags", "type": {"type": "map", "values": "string"}, "xpath": "tag"},
+]}
+ROUTE = {
+    "type": "record", "name": "Route", "root": "route", "namespace": "trip",
+    "fields": [
+        {"name": "start", "type": ["null", POINT], "xpath": "from"},
+        {"name": "stop", "type": ["null", "geo.Point"], "xpath": "to"},
+        {"name": "via", "type": {"type": "array", "items": "geo.Point"}, "xpath": "via/at"},
+        {"name": "unit", "type": ["null", "geo.Unit"], "xpath": "unit"},
+        {"name": "units", "type": ["null", {"type": "array", "items": "geo.Unit"}], "xpath": "units/unit"},
+        {"name": "code", "type": ["null", {"type": "fixed", "name": "Code", "size": 3}], "xpath": "code"},
+        {"name": "back", "type": ["null", "Code"], "xpath": "back"},
+        {"name": "cost", "type": ["null", {"type": "fixed", "name": "Cost", "size": 8, "logicalType": "decimal", "precision": 10, "scale": 2}], "xpath": "cost"},
+        {"name": "named", "type": {"type": "map", "values": "geo.Point", "key": "name"}, "xpath": "places/place"},
+        {"name": "deep", "type": {"type": {"type": "map", "values": ["null", "long"], "key": "k/@id"}}, "xpath": "nums/n"},
+    ],
+}
+DOC = """<route><from x='1' u='m'><tag key='a'>A</tag><tag key='b'/><tag>none</tag><tag key='a'>again</tag></from><to x='2' u='km'/>
+<via><at x='3'/><at x='4' u='m'><tag key='c'>C</tag></at></via><unit>km</unit><units><unit>m</unit><unit>km</unit></units>
+<code>abc</code><back>é1</back><cost>12.50</cost>
+<places><place x='7'><name>home</name></place><place x='8' u='km'><name>work</name></place><place x='9'/></places>
+<nums><n><k id='one'/>1</n><n><k id='two'/>2</n><n><k id='one'/>3</n></nums></route>"""
+
+
+def one(spark, doc, spec, **kw):
+    return extract_xml(spark.createDataFrame([(doc,)], "x string"), "x", spec, **kw).collect()[0]
+
+
+def test_a_record_used_three_times(spark):
+    spec = S.from_json(ROUTE)
+    r = one(spark, DOC, spec)
+    assert (r.start.x, r.start.unit, r.start.tags) == (1, "m", {"a": "A", "b": None})
+    assert (r.stop.x, r.stop.unit, r.stop.tags) == (2, "km", {})
+    assert [(p.x, p.unit, p.tags) for p in r.via] == [(3, None, {}), (4, "m", {"c": "C"})]
+    assert r.unit == "km" and r.units == ["m", "km"] and bytes(r.code) == b"abc" and bytes(r.back) == "é1".encode() and str(r.cost) == "12.50"
+    assert {k: (v.x, v.unit) for k, v in r.named.items()} == {"home": (7, None), "work": (8, "km")}
+    assert r.deep == {"one": 1, "two": 2}
+    assert spec.to_struct()["named"].dataType.valueType == spec.to_struct()["start"].dataType
+    assert one(spark, "<route/>", spec).named == {} and one(spark, None, spec).named is None
+    ex = extract_xml(spark.createDataFrame([(DOC,)], "x string"), "x", spec)
+    assert str(ex._jdf.queryExecution().executedPlan()).count("from_xml(") == 1
+
+
+@pytest.mark.parametrize("doc,word", [("<route><unit>mile</unit></route>", "m, km"), ("<route><code>abcd</code></route>", "3 bytes"), ("<route><units><unit>m</unit><unit>M</unit></units></route>", "m, km")])
+def test_values_outside_an_enum_or_of_another_size(spark, doc, word):
+    spec = S.from_json(ROUTE)
+    with pytest.raises(Exception, match=word):
+        one(spark, doc, spec)
+    r = one(spark, doc, spec, mode="permissive")
+    assert r.unit is None and r.code is None and r.units in (None, ["m", None])
+
+
+def field(t):
+    return {"type": "record", "name": "top", "fields": [{"name": "f", "type": t, "xpath": "f"}]}
+
+
+def test_names_follow_their_namespaces():
+    inner = {"type": "record", "name": "a.b.Inner", "fields": [{"name": "e", "type": {"type": "enum", "name": "E", "symbols": ["s"]}, "xpath": "e"}, {"name": "again", "type": "E", "xpath": "e"}]}
+    top = {"type": "record", "name": "top", "namespace": "c", "fields": [
+        {"name": "f", "type": inner, "xpath": "f"}, {"name": "g", "type": "Inner", "xpath": "g"}, {"name": "h", "type": {"type": "array", "items": "a.b.E"}, "xpath": "h"},
+    ]}
+    spec = S.from_json(top)
+    assert spec.field("g").type == spec.field("f").type and spec.field("h").type.element.symbols == ("s",)
+
+
+@pytest.mark.parametrize(
+    "schema,word",
+    [
+        (field("Unknown"), "neither built in nor defined"),
+        (field(["null", {"type": "record", "name": "r", "fields": [{"name": "again", "type": ["null", "r"], "xpath": "r"}]}]), "holds itself"),
+        (field({"type": "array", "items": {"type": "record", "name": "r", "fields": [{"name": "l", "type": {"type": "array", "items": "r"}, "xpath": "r"}]}}), "holds itself"),
+        ({"type": "record", "name": "t", "fields": [{"name": "f", "type": ["null", "t"], "xpath": "f"}]}, "holds itself"),
+        (field({"type": "enum", "name": "e", "symbols": []}), "symbols"),
+        (field({"type": "fixed", "name": "x"}), "size"),
+        (field({"type": "map", "values": {"type": "array", "items": "int"}}), "maps of arrays"),
+        (field({"type": "enum", "symbols": ["a"]}), "without a name"),
+        ({"type": "record", "name": "t", "fields": [{"name": "f", "type": "e", "xpath": "f"}, {"name": "g", "type": {"type": "enum", "name": "e", "symbols": ["a"]}, "xpath": "f"}]}, "neither"),
+    ],
+)
+def test_schemas_that_are_refused(schema, word):
+    with pytest.raises(S.SpecError, match=word):
+        S.from_json(schema)
+
+
+def test_of_two_definitions_the_latest_counts():
+    fields = [{"name": n, "type": {"type": "enum", "name": "e", "symbols": [n]}, "xpath": n} for n in "fg"] + [{"name": "h", "type": "e", "xpath": "h"}]
+    assert S.from_json({"type": "record", "name": "t", "fields": fields}).field("h").type.symbols == ("g",)
+
+
+def test_a_map_selects_elements(spark):
+    with pytest.raises(S.SpecError, match="map's path"):
+        one(spark, "<r/>", S.spec(S.fld("m", S.MapOf(S.Scalar("string")), "@a"), root="r"))

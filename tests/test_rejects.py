@@ -1,0 +1,36 @@
+"""XML-12: rows and rejects with their cause in one pass, counted while they are written."""
+
+from docflow import jobs
+from docflow.functions.rejects import cause_of
+from docflow.plans import spec as S
+
+SPEC = S.spec(S.fld("n", "int", "@n"), S.fld("v", "string", "v"), root="r")
+DOCS = [
+    (1, "<r n='1'><v>a</v></r>"), (2, "<r n='2'>\n<v>b</w></r>"), (3, None), (4, ""), (5, "no markup"), (6, "<r n='6'><v>&nope;</v></r>"), (7, "<r n='7'/>"), (8, "<r n='8'><v>é</r>"),
+]
+
+
+def test_causes():
+    assert cause_of("<a>\n  <b></a>") == {"line": 2, "position": 7, "reason": "mismatched tag"}
+    assert cause_of("<a x=1/>")["reason"] == "not well-formed (invalid token)" and cause_of("<a>")["reason"] == "no element found"
+    assert cause_of("<a/>") == {"line": None, "position": None, "reason": "not readable by the mapping"}
+
+
+def test_one_pass_two_outcomes(spark, scratch):
+    df = spark.createDataFrame(DOCS, "i int, x string").repartition(3)
+    counts = jobs.extract_xml_and_route(df, "x", SPEC, scratch, keep=("i",))
+    back = {r["i"]: r for r in spark.read.parquet(scratch).collect()}
+    rejects = {i for i, r in back.items() if r["outcome"] == "reject"}
+    assert counts == {"documents": 8, "rows": 8 - len(rejects), "rejects": len(rejects)}
+    assert {2, 6, 8} <= rejects and not {1, 3, 7} & rejects
+    assert (back[1]["n"], back[1]["v"], back[1]["document"], back[1]["cause"]) == (1, "a", None, None)
+    assert back[2]["document"] == DOCS[1][1] and tuple(back[2]["cause"]) == (2, 6, "mismatched tag") and back[2]["n"] is None
+    assert back[6]["cause"]["reason"] == "undefined entity" and back[8]["cause"]["line"] == 1
+    assert back[3]["n"] is None and back[3]["cause"] is None
+    again = jobs.extract_xml_and_route(df.where("i = 1"), "x", SPEC, scratch, keep=("i",))
+    assert again == {"documents": 1, "rows": 1, "rejects": 0} and spark.read.parquet(scratch).count() == 9
+
+
+def test_an_empty_table(spark, scratch):
+    df = spark.createDataFrame([], "i int, x string")
+    assert jobs.extract_xml_and_route(df, "x", SPEC, scratch) == {"documents": 0, "rows": 0, "rejects": 0}
