@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import threading
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +55,37 @@ def _application_dir(spark: SparkSession) -> str:
     return "/".join([checkpoint_base(spark).rstrip("/"), "docflow-" + spark.sparkContext.applicationId])
 
 
-_WRITTEN: list[str] = []
+#: The folders written by the step that the present thread is in, if any.
+_STEP: ContextVar[list[str] | None] = ContextVar("docflow_step", default=None)
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under this application's part of :func:`checkpoint_base`."""
-    _WRITTEN.append("/".join([_application_dir(spark), *parts, uuid.uuid4().hex]))
-    return _WRITTEN[-1]
+    path = "/".join([_application_dir(spark), *parts, uuid.uuid4().hex])
+    step = _STEP.get()
+    if step is not None:
+        step.append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession, *, keep: list[str] | None = None):
+    """What the present thread writes to the shared folder inside this block is deleted
+    at its end, but for tables that other jobs share (:func:`derived_table`) and the
+    folders added to ``keep``. Blocks may nest, and run in several threads at a time."""
+    mine: list[str] = []
+    token = _STEP.set(mine)
+    try:
+        yield
+    finally:
+        _STEP.reset(token)
+        stay = {*(keep or ()), *_DERIVED.values()}
+        for path in mine:
+            if path not in stay:
+                drop_folder(spark, path)
+        outer = _STEP.get()
+        if outer is not None:
+            outer.extend(keep or ())
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -92,13 +118,12 @@ def materialize_step(spark: SparkSession, build, name: str) -> tuple[DataFrame,
     """``build()`` materialised, and its folder. What the step itself wrote to the
     shared folder on the way is deleted once the result is complete, so a chain of
     steps holds one step's intermediates at a time."""
-    before = len(_WRITTEN)
-    df = build()
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    derived = set(_DERIVED.values())
-    for p in [p for p in _WRITTEN[before:] if p != path and p not in derived]:
-        drop_folder(spark, p)
+    kept: list[str] = []
+    with intermediates(spark, keep=kept):
+        df = build()
+        path = shared_dir(spark, name)
+        df.write.parquet(path)
+        kept.append(path)
     return spark.read.parquet(path), path
 
 
