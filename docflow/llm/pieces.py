@@ -14,8 +14,13 @@ scores the sum of its pieces.
   document's n best deviate from the best way in its n-1 links of least loss only
   (ties: the earlier); each link's own n best are searched when it is one of those.
 
-Per document the work is linear in its length; distinct links are kept per process up
-to a bound.
+Per document the work is linear in its length. The texts of a piece of the input are cut
+into links together; each distinct link goes through its lattice once, links of one
+length side by side in arrays, and a text's ids are gathered from its links'.
+
+The scores are the model's own. In a model of merges (such as the 32k one) they are the
+ranks of the merges, not log-probabilities: the best segmentation by their sum is not the
+library's, which merges greedily (README gives the figure).
 
 Defined results: a null or empty text has one segmentation, of no pieces; a text with
 fewer than n segmentations has that many; ties are in the order in which the search
@@ -40,10 +45,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .carry import map_rows
+from .wordhash import doc_blocks, text_buffer
 
 MARK = "▁"
-#: Links that a process keeps, in two generations, and the longest that it keeps.
-KEPT_LINKS, KEPT_LENGTH = 240_000, 32
+#: Searches of links that a process keeps, and the longest link whose search it keeps.
+KEPT_SEARCHES, KEPT_LENGTH = 15_000, 32
+#: Links of up to this many characters go through their lattices together.
+TOGETHER = 24
+#: Text that is segmented at once (a longer text alone).
+PIECE = 1 << 20
+_SPREAD, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def read_model(path: str) -> dict:
@@ -64,11 +75,7 @@ class Pieces:
         self.of_byte, self.unknown = model["bytes"], model["unknown"]
         inner = any(MARK in p.lstrip(MARK) for p in model["pieces"])
         lines = any("\n" in p and len(p) > 1 for p in model["pieces"])
-        self.plain = not (inner or lines)
         self.links_of = re.compile(r"(?s).+" if inner else f"{MARK}+[^{MARK}]*|[^{MARK}]+" if lines else f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n").findall
-        self.kept: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
-        self.rare: dict[str, tuple] = {}
         self.searched: dict[tuple, list] = {}
         raw = {i: p.replace(MARK, " ").encode() for p, (i, _) in model["pieces"].items()} | {i: bytes([b]) for b, i in self.of_byte.items()}
         table = [raw.get(i, b"") for i in range(max(raw, default=0) + 2)]  # the last stands for ids out of range
@@ -114,48 +121,128 @@ class Pieces:
                     best[i + 1] = here + score
         return best, into
 
-    def firsts(self, text: str) -> list[tuple]:
-        """Per link of a text: best ids (as 32-bit integers), their score, what the second best loses, the link."""
-        marked = MARK + text.replace(" ", MARK)
-        if not self.plain:
-            return [self.first(s) for s in self.links_of(marked)]
-        out: list[tuple] = []
-        known, new = self.kept.get, self._after_mark
-        for k, line in enumerate(marked.split("\n")):
-            if k:
-                out.append(self.first("\n"))
-            if MARK + MARK in line:
-                out.extend([self.first(s) for s in self.links_of(line)])
-            elif line:
-                words = line.split(MARK)
-                if words[0]:
-                    out.append(self.first(words[0]))
-                out.extend([known(w) or new(w) for w in words[1:]])
+    @cached_property
+    def table(self) -> tuple[np.ndarray, ...]:
+        """The trie as arrays, for many links at once: a hash table from (node, character)
+        to the next node (linear probing), and per node its piece's id (-1: none) and score."""
+        edges, ids, scores, todo = [], [-1], [0.0], [(0, self.root)]
+        while todo:
+            number, children = todo.pop()
+            for c, (below, piece, score) in children.items():
+                edges.append((number << 21 | ord(c), len(ids)))
+                todo.append((len(ids), below))
+                ids.append(-1 if piece is None else piece)
+                scores.append(score)
+        bits = max(4, (4 * len(edges)).bit_length())
+        keys, to = np.full((1 << bits) + 64, -1, np.int64), np.zeros((1 << bits) + 64, np.int32)
+        farthest = 0
+        for key, node in edges:
+            first = at = (key * _SPREAD & _WORD) >> (64 - bits)
+            while keys[at] != -1:
+                at += 1
+            keys[at], to[at], farthest = key, node, max(farthest, at - first)
+        return keys, to, np.array(ids, np.int32), np.array(scores), np.int64(64 - bits), farthest + 1
+
+    def _step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes after ``node`` and characters ``code``, -1 where there is none."""
+        keys, to, _, _, shift, probes = self.table
+        key = node << 21 | code
+        at = ((key.view(np.uint64) * np.uint64(_SPREAD)) >> shift.view(np.uint64)).view(np.int64)
+        held = keys[at]
+        out = np.where(held == key, to[at], -1)
+        open_ = np.flatnonzero((held != key) & (held != -1))
+        for _ in range(probes - 1):
+            if not len(open_):
+                break
+            at[open_] += 1
+            held = keys[at[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = to[at[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
         return out
 
-    def first(self, s: str) -> tuple[bytes, float, float, str]:
-        """One link's best way: kept, or found."""
-        if s.startswith(MARK) and not s.startswith(MARK, 1):
-            return self.kept.get(s[1:]) or self._after_mark(s[1:])
-        known = self.rare.get(s)
-        if known is None:
-            known = self._best(s)
-            if len(s) <= KEPT_LENGTH:
-                if len(self.rare) >= KEPT_LINKS // 16:
-                    self.rare.clear()
-                self.rare[s] = known
-        return known
-
-    def _after_mark(self, word: str) -> tuple[bytes, float, float, str]:
-        """The link of one mark and a word. What was used lately moves to the younger generation when asked for again."""
-        known = self.kept.get(word) or self.older.get(word) or self._best(MARK + word)
-        if len(word) < KEPT_LENGTH:
-            if len(self.kept) >= KEPT_LINKS // 2:
-                self.older, self.kept = self.kept, {}
-            self.kept[word] = known
-        return known
-
-    def _best(self, s: str) -> tuple[bytes, float, float, str]:
+    def _best_of_length(self, links: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`_best` of many links of one length: all ids in order of the links, and
+        per link their number, its score and its loss."""
+        n = len(links)
+        codes = np.frombuffer("".join(links).encode("utf-32-le"), np.int32).reshape(n, size).astype(np.int64)
+        _, _, ids, scores, _, _ = self.table
+        best = np.full((size + 1, n), -np.inf)
+        best[0] = 0.0
+        second = np.full((size + 1, n), -np.inf)  # the best arc into a place that isn't the way's
+        begin, piece_at = np.zeros((size + 1, n), np.int32), np.zeros((size + 1, n), np.int32)
+
+        def arc(j: int, i: int, rows: np.ndarray, score: np.ndarray, piece: np.ndarray | int) -> None:
+            known = best[j, rows]
+            better = score > known
+            second[j, rows] = np.where(better, known, np.maximum(second[j, rows], score))
+            won = rows[better]
+            best[j, won], begin[j, won] = score[better], i
+            piece_at[j, won] = piece[better] if isinstance(piece, np.ndarray) else piece
+
+        for i in range(size):
+            rows, node, single = np.arange(n), np.zeros(n, np.int64), np.zeros(n, bool)
+            for j in range(i + 1, size + 1):
+                node = self._step(node, codes[rows, j - 1]).astype(np.int64)
+                rows, node = rows[node >= 0], node[node >= 0]
+                if not len(rows):
+                    break
+                ends = ids[node] >= 0
+                if j == i + 1:
+                    single[rows[ends]] = True
+                if ends.any():
+                    arc(j, i, rows[ends], best[i, rows[ends]] + scores[node[ends]], ids[node[ends]])
+            rest = np.flatnonzero(~single)
+            if len(rest):
+                raw = np.array([len(links[r][i].encode()) for r in rest.tolist()])
+                arc(i + 1, i, rest, best[i, rest] + self.byte_score * raw, -1)
+        with np.errstate(invalid="ignore"):
+            loss = best - second
+        at, least, parts, rows = np.full(n, size), np.full(n, np.inf), [], np.arange(n)
+        while len(rows):
+            here = at[rows]
+            least[rows] = np.minimum(least[rows], loss[here, rows])
+            parts.append((rows, piece_at[here, rows], begin[here, rows]))
+            at[rows] = begin[here, rows]
+            rows = rows[at[rows] > 0]
+        rows, pieces, starts = (np.concatenate(x[::-1]) for x in zip(*parts, strict=True))
+        order = np.argsort(rows, kind="stable")  # a link's pieces one after another
+        rows, pieces, starts = rows[order], pieces[order], starts[order]
+        raw = np.flatnonzero(pieces < 0)
+        if len(raw):  # a character's bytes in place of its piece
+            held = [[self.of_byte.get(b, self.unknown) for b in links[rows[k]][starts[k]].encode()] for k in raw.tolist()]
+            wide = np.ones(len(pieces), np.int64)
+            wide[raw] = [len(x) for x in held]
+            rows, pieces, to = np.repeat(rows, wide), np.repeat(pieces, wide), np.cumsum(wide)
+            for k, x in zip(raw.tolist(), held, strict=True):
+                pieces[to[k] - len(x) : to[k]] = x
+        return pieces, np.bincount(rows, minlength=n), best[size], least
+
+    def best_of(self, links: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct links: ids, in which each link's ``size`` ones of the best way begin at
+        its ``place``, the scores, and what the second best ways lose. Links of one length go
+        through their lattices together."""
+        n = len(links)
+        flat, done = [], 0
+        place, size, scores, losses = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        lengths = np.fromiter(map(len, links), np.int64, n)
+        by_length = np.argsort(lengths, kind="stable")
+        for mine in np.split(by_length, np.flatnonzero(np.diff(lengths[by_length])) + 1) if n else ():
+            length = int(lengths[mine[0]])
+            if length > TOGETHER or len(mine) < 8:
+                found = [self._best(links[k]) for k in mine.tolist()]
+                ids = np.concatenate([np.frombuffer(raw, np.int32) for raw, _, _ in found])
+                size[mine] = [len(raw) // 4 for raw, _, _ in found]
+                scores[mine], losses[mine] = [x for _, x, _ in found], [x for _, _, x in found]
+            else:
+                ids, size[mine], scores[mine], losses[mine] = self._best_of_length([links[k] for k in mine.tolist()], length)
+            place[mine] = done + np.cumsum(size[mine]) - size[mine]
+            flat.append(ids)
+            done += len(ids)
+        return np.concatenate(flat) if flat else np.zeros(0, np.int32), place, size, scores, losses
+
+    def _best(self, s: str) -> tuple[bytes, float, float]:
+        """One link's best ids, their score, and what the second best way loses."""
         n, root, single = len(s), self.root, self.single
         best = [0.0] + [-math.inf] * n
         loss = [math.inf] * (n + 1)  # per place: what the best arc into it that isn't the way's loses
@@ -194,7 +281,7 @@ class Pieces:
                 ids.extend(reversed(piece))
             at = begin[at]
         ids.reverse()
-        return array("i", ids).tobytes(), best[n], least, s
+        return array("i", ids).tobytes(), best[n], least
 
     def n_best(self, s: str, n: int) -> list[tuple[float, tuple]]:
         """The ``n`` best (score, ids) of one lattice."""
@@ -202,7 +289,7 @@ class Pieces:
         if known is None:
             known = self._search(s, n)
             if len(s) <= KEPT_LENGTH:
-                if len(self.searched) >= KEPT_LINKS // 16:
+                if len(self.searched) >= KEPT_SEARCHES:
                     self.searched.clear()
                 self.searched[s, n] = known
         return known
@@ -227,28 +314,49 @@ class Pieces:
 
     def segment(self, text: str, n: int) -> list[tuple[float, np.ndarray]]:
         """The ``n`` best (score, ids) of a text."""
-        firsts = self.firsts(text) if text else []
-        raws, scores, losses, links = zip(*firsts) if firsts else ((), (), (), ())
-        ids = np.frombuffer(b"".join(raws), np.int32)
-        total = sum(scores, 0.0)
-        losses = np.array(losses)
+        return next(self.segment_all([text], n))
+
+    def segment_all(self, texts: list[str], n: int):
+        """Of every text the ``n`` best (score, ids). A link that stands more than once in the
+        texts goes through its lattice once; ids are gathered from the distinct links'."""
+        links, ends = [], []
+        for text in texts:
+            if text:
+                links += self.links_of(MARK + text.replace(" ", MARK))
+            ends.append(len(links))
+        number = {link: k for k, link in enumerate(dict.fromkeys(links))}
+        known = list(number)
+        flat, places, sizes, best, lose = self.best_of(known)
+        at = np.fromiter(map(number.__getitem__, links), np.int64, len(links))
+        first = 0
+        for end in ends:
+            mine = at[first:end]
+            first = end
+            count = sizes[mine]
+            to = np.cumsum(count)
+            ids = flat[np.repeat(places[mine] - to + count, count) + np.arange(to[-1] if len(to) else 0)]
+            yield self._deviations(ids, to, count, best[mine], lose[mine], mine, known, n)
+
+    def _deviations(self, ids, to, count, scores, losses, mine, known: list[str], n: int) -> list[tuple[float, np.ndarray]]:
+        """The ``n`` best of a text whose links' best ways are ``ids``: they deviate from
+        those in the n-1 links of least loss only."""
+        total = float(scores.sum())
         width = min(n - 1, int(np.isfinite(losses).sum()))
         ways: list[tuple] = [(0.0, 0, ())]
         if width:
             limit = np.partition(losses, width - 1)[width - 1]
             near = np.flatnonzero(losses <= limit)
             for k in near[np.argsort(losses[near], kind="stable")][:width].tolist():
-                others = self.n_best(links[k], n)[1:]
-                more = [(loss + scores[k] - score, count + 1, (*where, (k, arc))) for loss, count, where in ways for score, arc in others]
+                others = self.n_best(known[mine[k]], n)[1:]
+                more = [(loss + float(scores[k]) - score, times + 1, (*where, (k, arc))) for loss, times, where in ways for score, arc in others]
                 ways = heapq.nsmallest(n, ways + more, key=lambda w: (w[0], w[1], sorted(w[2])))
         out = []
-        ends = np.cumsum([len(r) for r in raws]) // 4 if len(ways) > 1 else None
         for loss, _, where in ways:
-            parts, at = [], 0
+            parts, done = [], 0
             for k, arc in sorted(where):
-                parts += [ids[at : ends[k] - len(raws[k]) // 4], np.array(arc, np.int32)]
-                at = ends[k]
-            out.append((total - loss, np.concatenate([*parts, ids[at:]])))
+                parts += [ids[done : to[k] - count[k]], np.array(arc, np.int32)]
+                done = to[k]
+            out.append((total - loss, np.concatenate([*parts, ids[done:]]) if parts else ids))
         return out
 
     def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
@@ -298,11 +406,12 @@ def encode(documents: DataFrame, model: str, n: int = 3, text_col: str = "text")
     def run(batches):
         pieces = _pieces(shared)
         for b in batches:
-            for start in range(0, b.num_rows, 500):
-                part = b.slice(start, 500)
+            for start, stop in doc_blocks(text_buffer(b.column("text"))[1], PIECE):
+                part = b.slice(start, stop - start)
                 take, rank, score, ids = [], [], [], []
-                for k, text in enumerate(part.column("text")):
-                    for r, (points, found) in enumerate(pieces.segment(text.as_py() or "", n), 1):
+                texts = [text or "" for text in part.column("text").to_pylist()]
+                for k, ways in enumerate(pieces.segment_all(texts, n)):
+                    for r, (points, found) in enumerate(ways, 1):
                         take.append(k)
                         rank.append(r)
                         score.append(points)

@@ -115,3 +115,27 @@ def test_encode_and_decode_operators(spark):
     assert [(r["rank"], r["n_pieces"], r["score"]) for r in back if r["doc_id"] == 3] == [(1, 0, 0.0)]
     assert sum(r["rank"] == 1 for r in back) == messy.count()
     assert P.encode(empty_documents(spark), MODEL).count() == 0
+
+
+def test_links_side_by_side_equal_one_by_one():
+    pieces = P.Pieces(P.read_model(MODEL))
+    rng = random.Random(8)
+    links = {"▁" * rng.randint(0, 2) + "".join(rng.choice("abthe ingé中😀#") for _ in range(rng.randint(1, 30))).replace(" ", "") for _ in range(900)}
+    links = sorted(x for x in links | {"a", "▁", "\n", "😀", "x" * 400} if x)
+    ids, place, size, scores, losses = pieces.best_of(links)
+    for k, link in enumerate(links):
+        raw, score, loss = pieces._best(link)
+        assert ids[place[k] : place[k] + size[k]].tobytes() == raw and scores[k] == score and losses[k] == loss
+    assert pieces.best_of([])[0].tolist() == []
+
+
+def test_texts_together_equal_texts_alone_and_merge_ranks_are_not_the_library():
+    pieces, sp = P.Pieces(P.read_model(MODEL)), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ["international trade in the north", "", "a", "in the north\n\n  of  it", "international é中😀" * 30, "in the north\n\n  of  it", "y" * 3_000]
+    together = list(pieces.segment_all(texts, 3))
+    for text, ways in zip(texts, together, strict=True):
+        alone = pieces.segment(text, 3)
+        assert [(s, ids.tolist()) for s, ids in ways] == [(s, ids.tolist()) for s, ids in alone]
+        assert all(pieces.decode(ids) == text for _, ids in ways)
+    # the model's scores are merge ranks: their best sum isn't the library's greedy merging
+    assert together[0][0][1].tolist() != sp.encode(texts[0])
