@@ -2,63 +2,82 @@
 
 Every text is compared with its edited copy (its last third replaced by the start of
 the next document's text, in descending order of ids; after the last comes the first)
-and with that next text. The order is made by range partitions whose bounds come from
-one pass over the ids; the first row of each range is also sent to the range before,
-so every task holds the successor of each of its rows and no row is alone in one task.
+and with that next text. The order is made by ranges of (id, text hash), so rows without
+id, or of one id, spread like others. One pass over those two numbers lets Spark cut them
+evenly; where the ranges begin (two numbers a partition) goes to the tasks as a table that
+they search. The first row of each range is also sent to the range before, so every task
+holds the successor of each of its rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bottomk as B
 from .wordhash import doc_blocks, text_buffer
 
 
-def _bounds(ids: DataFrame, n: int) -> list[int]:
-    """Lower ends of about ``n`` ranges of the column ``id``, descending: n numbers."""
-    shares = [k / n for k in range(1, n)]
-    at = ids.agg(F.percentile_approx("id", shares, max(10_000, 10 * n)).alias("q")).first()["q"] if shares else []
-    return sorted({int(x) for x in at or []}, reverse=True)
+def _keys(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """16 bytes per row that sort as the documents do: larger ids first, then by text hash."""
+    high = ~(ids.view(np.uint64) ^ np.uint64(1 << 63))
+    low = hashes.view(np.uint64) ^ np.uint64(1 << 63)
+    return np.frombuffer(np.stack([high, low], axis=1).astype(">u8").tobytes(), "S16")
 
 
-def _range_of(value: Column, bounds: list[int]) -> Column:
-    """The number of ``bounds`` (descending) above ``value``, by a search over every s-th of them and then one run of s."""
-    s = max(1, math.isqrt(len(bounds)))
-    whole, heads = (F.array(*[F.lit(b) for b in xs]).cast("array<bigint>") for xs in (bounds, bounds[::s]))
-    above = lambda xs: F.size(F.filter(xs, lambda b: b > value))
-    run = above(heads)
-    return F.when(run == 0, F.lit(0)).otherwise((run - 1) * s + above(F.slice(whole, (run - 1) * s + 1, s))).cast("int")
+def _column_keys(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    return _keys(ids.to_numpy(zero_copy_only=False).astype(np.int64), hashes.to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _least(batches):
+    """The smallest key of a partition."""
+    least = None
+    for b in batches:
+        if b.num_rows:
+            ids, hashes = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "th"))
+            k = int(_keys(ids, hashes).argmin())
+            here = (ids[k : k + 1], hashes[k : k + 1])
+            if least is None or _keys(*here)[0] < _keys(*least)[0]:
+                least = here
+    if least is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in least], names=["id", "th"])
 
 
 def _with_successors(documents: DataFrame, n: int) -> DataFrame:
     """Rows ``(range, extra, doc_id, text)`` in partitions by range, sorted; an ``extra``
     row closes its range with a copy of the row that follows the range's last."""
-    last = -(1 << 63)
+    spark, last = documents.sparkSession, -(1 << 63)
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(last)).alias("id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).withColumn("th", F.xxhash64("text"))
+    # Spark's range partitioner cuts the keys evenly; the first key of each part is where a range begins
+    dealt = rows.select("id", "th").repartitionByRange(n, F.col("id").desc(), "th")
+    starts = dealt.mapInArrow(_least, "id long, th long").collect()  # a row per partition at most
+    bounds = np.sort(_keys(np.array([r["id"] for r in starts], np.int64), np.array([r["th"] for r in starts], np.int64)))
+    held, ranges = spark.sparkContext.broadcast(bounds.tobytes()), max(1, len(bounds))
+
+    def place(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        keys, begins = _column_keys(ids, hashes), np.frombuffer(held.value, "S16")
+        of = np.maximum(np.searchsorted(begins, keys, side="right") - 1, 0)
+        return pa.StructArray.from_arrays([pa.array(of, pa.int32()), pa.array(begins[of] == keys)], names=["range", "first"])
+
+    placed = rows.withColumn("place", F.arrow_udf(place, "range int, first boolean")("id", "th"))
+    at = F.col("place.range")
+    own = F.struct(at.alias("range"), F.lit(0).alias("extra"))
+    ahead = F.struct(F.when(at == 0, F.lit(ranges - 1)).otherwise(at - 1).alias("range"), F.lit(1).alias("extra"))
+    to = F.explode(F.when(F.col("place.first"), F.array(own, ahead)).otherwise(F.array(own))).alias("to")
+    sent = placed.select("doc_id", "id", "th", "text", to).select("to.range", "to.extra", "doc_id", "id", "th", "text")
+    return (
+        sent.repartitionById(ranges, F.col("range"))
+        .sortWithinPartitions("range", "extra", F.col("id").desc(), "th", "text")
+        .select("range", "extra", "doc_id", "text")
     )
-    bounds = _bounds(rows.select("id"), n)
-    placed = rows.withColumn("range", _range_of(F.col("id"), bounds))
-    tops = {r["range"]: r["top"] for r in placed.groupBy("range").agg(F.max("id").alias("top")).collect()}
-    order = sorted(tops)
-    before = {r: order[k - 1] for k, r in enumerate(order)}
-    at = lambda values: F.array(*[F.lit(v) for v in values])[F.col("range")]
-    span = range(len(bounds) + 1)
-    own = F.struct(F.col("range"), F.lit(0).alias("extra"))
-    ahead = F.struct(at([before.get(r, 0) for r in span]).alias("range"), F.lit(1).alias("extra"))
-    first = F.col("id") == at([tops.get(r, last) for r in span]).cast("bigint")
-    sent = placed.select("doc_id", "id", "text", F.explode(F.when(first, F.array(own, ahead)).otherwise(F.array(own))).alias("to"))
-    dealt = sent.select("to.range", "to.extra", "doc_id", "id", "text").repartitionById(len(bounds) + 1, F.col("range"))
-    return dealt.sortWithinPartitions("range", "extra", F.col("id").desc(), "text").select("range", "extra", "doc_id", "text")
 
 
 def _edited(text: str, following: str) -> str:
@@ -114,7 +133,7 @@ def edited_fingerprints(documents: DataFrame, size: int = B.SHINGLE, k: int = B.
     near_next, n_shingles, containment_edited)``, one row per row of ``documents
     (doc_id, text)``.
 
-    Rows of one id follow each other by their texts; rows without id come last. A
+    Rows of one id follow each other by their texts' hashes; rows without id come last. A
     single document is its own successor. The edited copy of an empty text is empty."""
     n = partitions or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return _with_successors(documents, n).mapInArrow(

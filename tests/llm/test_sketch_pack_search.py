@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from llm_data import empty_documents, messy_documents
 from pyspark.sql import functions as F
 
@@ -95,7 +96,8 @@ def test_fingerprints_and_native_merge(spark):
 
 
 def check_edited(rows, got):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    signed = lambda t: xxhash.xxh64_intdigest(t, seed=42) - ((xxhash.xxh64_intdigest(t, seed=42) >> 63) << 64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1] or ""), r[1] or ""))
     assert len(got) == len(rows)
     want = []
     for i, (k, text) in enumerate(order):
@@ -125,6 +127,22 @@ def test_edited_awkward_rows(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0
 
 
+def test_rows_of_one_id_spread_over_the_ranges_and_likeness_is_checked(spark):
+    from docflow.llm.edited import _with_successors
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(80))
+    rows = [(7 if i % 3 else None, text()) for i in range(600)] + [(1000 + i, text()) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    held = _with_successors(df, 9).where("extra = 0").groupBy("range").count().collect()
+    assert len(held) >= 8 and max(r["count"] for r in held) < 3 * 900 / 9
+    got = edited_fingerprints(df, partitions=9).collect()
+    check_edited(rows, got)
+    # likeness against exact sets: the edited copy keeps two thirds of the text, the next document has none of it
+    assert all(0.3 < r["near_edited"] < 0.75 and r["near_next"] < 0.1 for r in got)
+
+
 # ---------------------------------------------------------------- packing
 
 
