@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from docflow.session import materialize
 
 
-def _size_and_sum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` of every node of ``edges (u, v)``; ``label`` is the smallest
     node of its component.
@@ -27,7 +23,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.min("v").alias("least"))
 
     stars = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _size_and_sum(stars)
+    count = stars.count()
     while True:
         both = stars.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         # large star: larger neighbours of u point at the least of u and its neighbours
@@ -41,10 +37,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        stars = materialize(small, "stars")
-        after = _size_and_sum(stars)
-        if after == before:
+        before, had, stars = stars, count, materialize(small, "stars")
+        count = stars.count()
+        # as many edges, and none that wasn't there: the same edges
+        if count == had and stars.join(before, ["u", "v"], "left_anti").isEmpty():
             break
-        before = after
     nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return nodes.unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .carry import free_name
 from .license_rules import BASE, WORD, rules, to_regex
 
 _SPAN = "array<struct<start:int,end:int>>"
@@ -109,21 +110,22 @@ def scan_licenses(documents: DataFrame, text_col: str = "text") -> DataFrame:
     keep = [F.col(f"`{c}`") for c in documents.columns if c not in new]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     words = lambda t: F.regexp_count(t, F.lit(WORD)).cast("long")
-    found = documents.select(*keep, text.alias("__text"), detect(text).alias("__found"))
-    base = F.filter("__found", lambda d: d["tier"] == 0)
-    resolved = found.select(*keep, "__text", base.alias("__base"), resolve(F.col("__found")).alias("detections"))
-    before = lambda place: F.when(F.size("__base") > 0, words(F.substr(F.col("__text"), F.lit(1), place(F.transform("__base", lambda d: d["start"])))))
+    text_of, found_in, base_of = (free_name([*documents.columns, *new], n) for n in ("text_of", "found_in", "base_of"))
+    found = documents.select(*keep, text.alias(text_of), detect(text).alias(found_in))
+    base = F.filter(found_in, lambda d: d["tier"] == 0)
+    resolved = found.select(*keep, text_of, base.alias(base_of), resolve(F.col(found_in)).alias("detections"))
+    before = lambda place: F.when(F.size(base_of) > 0, words(F.substr(F.col(text_of), F.lit(1), place(F.transform(base_of, lambda d: d["start"])))))
     names = lambda xs: F.array_join(F.array_sort(F.array_distinct(xs)), ",")
-    base_labels = F.transform("__base", lambda d: d["label"])
+    base_labels = F.transform(base_of, lambda d: d["label"])
     best = F.coalesce(F.array_max(F.transform("detections", lambda d: d["tier"])), F.lit(0))
     return resolved.select(
         *keep,
         "detections",
-        words(F.col("__text")).alias("n_words"),
-        F.size("__base").cast("long").alias("n_base"),
+        words(F.col(text_of)).alias("n_words"),
+        F.size(base_of).cast("long").alias("n_base"),
         before(F.array_min).alias("first_word"),
         before(F.array_max).alias("last_word"),
         names(base_labels).alias("base_labels"),
         names(F.concat(base_labels, F.transform("detections", lambda d: d["label"]))).alias("labels"),
-        (F.greatest(best, F.least(F.size("__base"), F.lit(1))) / 4.0).alias("score"),
+        (F.greatest(best, F.least(F.size(base_of), F.lit(1))) / 4.0).alias("score"),
     )

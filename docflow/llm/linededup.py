@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from docflow.session import materialize
 
+from .carry import free_name
 from .wordhash import EXACT, doc_blocks, mix, text_buffer, word_places
 
 MIN_WORDS = 50
@@ -149,16 +150,17 @@ def deleted_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``documents`` with ``text`` cut, plus ``n_lines`` (before) and
     ``n_deleted``. A document whose lines all go has no text left but blank lines."""
-    gone = deleted_lines(documents, min_words).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("deleted").alias("__deleted"))
+    of_id, of_text, numbers = (free_name(documents.columns, n) for n in ("of_id", "of_text", "numbers"))
+    gone = deleted_lines(documents, min_words).select(F.col("doc_id").alias(of_id), F.col("th").alias(of_text), F.col("deleted").alias(numbers))
     keep = [F.col(f"`{c}`") for c in documents.columns if c not in ("text", "n_lines", "n_deleted")]
-    joined = documents.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left")
+    joined = documents.join(gone, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_text)), "left")
     lines = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__deleted")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
     cut = F.transform(F.array(lines), lambda ls: F.array_join(F.transform(stay, lambda i: ls[i]), "\n"))[0]
     count = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1))
     return joined.select(
         *keep,
-        F.when(F.col("__deleted").isNull(), F.col("text")).otherwise(cut).alias("text"),
+        F.when(F.col(numbers).isNull(), F.col("text")).otherwise(cut).alias("text"),
         count.cast("long").alias("n_lines"),
-        F.coalesce(F.size("__deleted"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias("n_deleted"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-CLASHING = "score double, label int, rank int, key string, size long, lines int, `range` int, detections string, `a.b` string"
+CLASHING = "score double, label int, rank int, key string, size long, lines int, `range` int, detections string, `a.b` string, any int, text_of string, `row` string, numbers int, of_id int"
 
 
 def messy_documents(spark, extra: bool = True):
@@ -19,7 +19,7 @@ def messy_documents(spark, extra: bool = True):
     ]
     if not extra:
         return spark.createDataFrame(rows, "doc_id long, text string")
-    more = (None, 1, None, "k", 5, None, 3, None, "dot")
+    more = (None, 1, None, "k", 5, None, 3, None, "dot", 4, "of", "r", None, 6)
     return spark.createDataFrame([(*r, *more) for r in rows], "doc_id long, text string, " + CLASHING)
 
 

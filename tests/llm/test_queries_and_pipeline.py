@@ -14,8 +14,8 @@ from docflow.llm import queries as Q
 from docflow.llm import warc as W
 
 
-def test_ten_queries_and_a_pipeline_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+def test_thirteen_queries_and_a_pipeline_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
     assert E.queries()["pipeline"] is C.run and set(Q.ORACLE_SQL) <= set(Q.QUERIES)
     assert [n for n, _ in C.STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "best-fit packing"]
 
