@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.llm.carry import free_name
 from docflow.llm.linededup import dedup_lines
 from docflow.llm.packing import pack_documents
 from docflow.llm.simhash import first_rows as near_duplicate_firsts
@@ -22,14 +23,14 @@ from docflow.session import drop_folder, materialize_step
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and all other columns as the struct ``__row``."""
+    """``doc_id``, ``text`` and all other columns as the struct ``row``."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(F.lit(True).alias("__any"), *others).alias("__row"))
+    return docs.select("doc_id", "text", F.struct(F.lit(True).alias(free_name(docs.columns, "any")), *others).alias("row"))
 
 
 def _column(name: str) -> Column:
     """A column of the original table, of a packed one."""
-    return F.col(name) if name in ("doc_id", "text") else F.col("__row").getField(name)
+    return F.col(name) if name in ("doc_id", "text") else F.col("row").getField(name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +55,13 @@ def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of SimHash near-duplicates one row stays: that of smallest id, rows
     without id last, then of smallest hash of its text and of its other columns."""
-    others = F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    others = F.struct(F.lit(True).alias(free_name(docs.columns, "any")), *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     key = F.concat(F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.md5(F.to_json(others).cast("binary")))
-    keyed = docs.withColumn("__key", key)
-    first = near_duplicate_firsts(keyed.select("doc_id", "text", F.col("__key").alias("key")), shingle_words=4, max_bits=4)
+    name = free_name(docs.columns, "key")
+    keyed = docs.withColumn(name, key)
+    first = near_duplicate_firsts(keyed.select("doc_id", "text", F.col(name).alias("key")), shingle_words=4, max_bits=4)
     # equal rows meet as one of each task; an inner join (keys are single) isn't moved before that
-    return keyed.dropDuplicates(["__key"]).join(first.withColumnRenamed("key", "__key"), "__key").drop("__key")
+    return keyed.dropDuplicates([name]).join(first.withColumnRenamed("key", name), name).drop(name)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
