@@ -17,7 +17,9 @@ Two machines in a row, both deterministic:
 
 A chunk of a text is summed up by its state map (:class:`ChunkMap`): what precedes
 its first sure piece, the tokens between, what follows its last sure piece. Maps
-compose associatively, so chunks are counted apart and folded in any bracketing.
+compose associatively, so chunks are counted apart and folded in any bracketing. A chunk
+that lies in one piece as a whole has no sure piece: its map is its text, and a piece
+of many chunks is counted by the task that folds its document.
 """
 
 from __future__ import annotations
@@ -153,14 +155,28 @@ class Tokenizer:
         self.moves[state << 8 | byte] = move = to << 8 | least
         return move
 
+    def _again(self, state: int) -> int:
+        """Starts the states afresh with ``state``, a piece's present one; its new number."""
+        threads, final = self.threads[state], self.final[state]
+        self._reset()
+        if threads not in self.states:
+            self.states[threads] = len(self.threads)
+            self.threads.append(threads)
+            self.final.append(final)
+        return self.states[threads]
+
     def count_piece(self, piece: bytes) -> int:
-        if len(self.threads) > MAX_STATES:
-            self._reset()
         state = emitted = 0
         moves = self.moves
         for byte in piece:
             key = state << 8 | byte
-            move = moves[key] if key in moves else self._move(state, byte)
+            if key in moves:
+                move = moves[key]
+            else:
+                if len(self.threads) > MAX_STATES:  # also within a piece, however long
+                    state = self._again(state)
+                    moves = self.moves
+                move = self._move(state, byte)
             state = move >> 8
             emitted += move & 0xFF
         return emitted + self.final[state]

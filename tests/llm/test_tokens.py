@@ -31,6 +31,24 @@ def test_counts_equal_the_library(own, library):
     assert [own.count_text(t) for t in texts] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_every_code_point_in_three_contexts(own, library):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for context in ("a{0}b ", " {0}{0}1", "\n{0} {0}"):
+        texts = ["".join(context.format(c) for c in points[k : k + 3_000]) for k in range(0, len(points), 3_000)]
+        assert [own.count_text(t) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_one_long_piece_with_few_states(own, library, monkeypatch):
+    from docflow.llm import transducer
+
+    monkeypatch.setattr(transducer, "MAX_STATES", 2_000)
+    rng = random.Random(3)
+    piece = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(120_000))
+    assert own.count_text(piece) == len(library.encode(piece, add_special_tokens=False).ids)
+    assert len(own.threads) <= 2_002
+    assert own.count_text("x" + "ab" * 20_000) == len(library.encode("x" + "ab" * 20_000, add_special_tokens=False).ids)
+
+
 def test_chunk_maps_compose_in_any_bracketing(own, library):
     rng = random.Random(2)
     for _ in range(120):
