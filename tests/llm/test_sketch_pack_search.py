@@ -238,13 +238,13 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, vector array<double>")
 
 
-@pytest.mark.parametrize("shard_rows,block", [(1000, 500), (40, 7)])
-def test_top_k_equals_brute_force(spark, shard_rows, block):
+@pytest.mark.parametrize("shard_rows,block,boxes", [(1000, 500, 100), (40, 7, 100), (40, 7, 0)])
+def test_top_k_equals_brute_force(spark, shard_rows, block, boxes):
     rng = random.Random(10)
     rows = [(i, [round(rng.gauss(0, 0.3), 2) for _ in range(6)]) for i in range(300)]
     rows += [(400 + i, rows[7][1]) for i in range(120)]  # one vector many times: ties
     rows += [(900, None), (901, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (902, [math.nan] * 6), (903, [math.inf] * 6), (910, [0.5, 0.5]), (920, []), (None, rows[7][1]), (30, rows[8][1])]
-    got = top_k(vectors(spark, rows).repartition(4), F.col("vec_id") % 10 == 0, k=5, shard_rows=shard_rows, block_queries=block)
+    got = top_k(vectors(spark, rows).repartition(4), F.col("vec_id") % 10 == 0, k=5, shard_rows=shard_rows, block_queries=block, max_boxes=boxes)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_top(rows, 5, 10)
 
@@ -255,3 +255,26 @@ def test_top_k_small_and_large_values(spark):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_top(huge, 5, 10)
     assert top_k(vectors(spark, [(10, [0.5])]), F.col("vec_id") % 10 == 0).count() == 0
     assert top_k(vectors(spark, []), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_regions_are_even_and_copies_stay_together():
+    from docflow.llm.kdtree import planes, region_of
+
+    rng = np.random.default_rng(5)
+    sample = np.floor(256 * rng.normal(size=(2000, 6)))
+    side, cut = planes(sample, 16)
+    counts = np.bincount(region_of(sample, side, cut), minlength=16)
+    assert len(counts) == 16 and counts.min() > 90 and counts.max() < 160
+    copies = np.repeat(sample[:1], 500, axis=0)
+    side, cut = planes(np.concatenate([copies, sample[:300]]), 8)
+    assert len(set(region_of(copies, side, cut).tolist())) == 1
+    assert region_of(copies[:3], np.zeros(0, np.int64), np.zeros(0)).tolist() == [0, 0, 0]
+    assert len(planes(np.zeros((0, 4)), 4)[0]) == 3
+
+
+def test_clustered_queries_meet_few_shards(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(12, 8)) * 4
+    rows = [(i, (centers[i % 12] + rng.normal(size=8) * 0.05).tolist()) for i in range(1200)]
+    got = top_k(vectors(spark, rows).repartition(4), F.col("vec_id") % 10 == 0, k=5, shard_rows=60)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_top(rows, 5, 10)
