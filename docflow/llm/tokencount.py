@@ -46,7 +46,7 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 1024, chunk
         tok = compiled(spec.value)
         for b in batches:
             data, off = text_buffer(b.column("chunk"))
-            head, count, tail = [None] * b.num_rows, [0] * b.num_rows, [None] * b.num_rows
+            head, count, tail, left = [None] * b.num_rows, [0] * b.num_rows, [None] * b.num_rows, [-1] * b.num_rows
             single = b.column("n_chunks").to_numpy() == 1
             for first, last in doc_blocks(off):
                 if single[first:last].all():
@@ -57,17 +57,17 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 1024, chunk
                     if single[i]:
                         count[i] = tok.count_text(text)
                     else:
-                        head[i], count[i], tail[i] = tok.chunk_map(text)
+                        head[i], count[i], tail[i], left[i] = tok.chunk_map(text)
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("doc_id", "key", "no", "n_chunks", "n_bytes")] + [pa.array(head, pa.string()), pa.array(count, pa.int64()), pa.array(tail, pa.string())],
-                names=["doc_id", "key", "no", "n_chunks", "n_bytes", "head", "count", "tail"],
+                [b.column(c) for c in ("doc_id", "key", "no", "n_chunks", "n_bytes")] + [pa.array(head, pa.string()), pa.array(count, pa.int64()), pa.array(tail, pa.string()), pa.array(left, pa.int32())],
+                names=["doc_id", "key", "no", "n_chunks", "n_bytes", "head", "count", "tail", "left"],
             )
 
     def fold(batches):
         tok = compiled(spec.value)
         for b in batches:
             rows = b.to_pylist()
-            totals = [tok.total([ChunkMap(m["head"], m["count"], m["tail"]) for m in r["maps"]]) for r in rows]
+            totals = [tok.total([ChunkMap(m["head"], m["count"], m["tail"], m["left"]) for m in r["maps"]]) for r in rows]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("copies"), b.column("n_bytes"), pa.array(totals, pa.int64())], names=["doc_id", "copies", "n_bytes", "n_tokens"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -83,13 +83,13 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 1024, chunk
         chunks.alias("chunks"),
     ).select("doc_id", "n_bytes", "key", F.size("chunks").alias("n_chunks"), F.posexplode("chunks").alias("no", "chunk"))
     done = materialize(
-        cut.mapInArrow(maps, f"doc_id {doc_type}, key string, no int, n_chunks int, n_bytes long, head string, count long, tail string"),
+        cut.mapInArrow(maps, f"doc_id {doc_type}, key string, no int, n_chunks int, n_bytes long, head string, count long, tail string, left int"),
         "chunk-maps",
     )
     short = done.where("n_chunks = 1").select("doc_id", "n_bytes", F.col("count").alias("n_tokens"))
     meet = done.where("n_chunks > 1").groupBy("doc_id", "key", "n_bytes").agg(
         F.count_if(F.col("no") == 0).cast("int").alias("copies"),
-        F.array_sort(F.collect_set(F.struct("no", "head", "count", "tail"))).alias("maps"),
+        F.array_sort(F.collect_set(F.struct("no", "head", "count", "tail", "left"))).alias("maps"),
     )
     folded = meet.mapInArrow(fold, f"doc_id {doc_type}, copies int, n_bytes long, n_tokens long")
     folded = folded.select(F.explode(F.sequence(F.lit(1), "copies")), "doc_id", "n_bytes", "n_tokens").drop("col")

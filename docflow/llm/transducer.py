@@ -16,10 +16,13 @@ Two machines in a row, both deterministic:
   reached and kept.
 
 A chunk of a text is summed up by its state map (:class:`ChunkMap`): what precedes
-its first sure piece, the tokens between, what follows its last sure piece. Maps
-compose associatively, so chunks are counted apart and folded in any bracketing. A chunk
-that lies in one piece as a whole has no sure piece: its map is its text, and a piece
-of many chunks is counted by the task that folds its document.
+its first sure place, the tokens between, what follows its last sure place. A sure place
+is where a piece begins or, within a long piece, where a token ends whatever precedes the
+chunk (:meth:`Tokenizer.certain_cut`); with the token that ends there it is all that what
+follows depends on. So a map's open ends are short also where a piece goes on over many
+chunks. Maps compose associatively: chunks are counted apart and folded in any bracketing.
+Only where the merging of a long piece never settles (such as one letter over and over,
+whose tokens shift with its start) does a chunk's map stay its text.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ MARGIN = 32
 _WHITE = [*range(0x09, 0x0E), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: What a process keeps at most: made states, pieces with their counts, neighbours already judged.
 MAX_STATES, MAX_PIECES, MAX_FITS = 160_000, 250_000, 300_000
+_NO_END = -1
+#: Open ends of a map longer than this are cut within their piece; how far a cut is looked for.
+LONG_END, LOOK = 2_048, 4_096
 
 
 def _classes() -> np.ndarray:
@@ -59,11 +65,13 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ChunkMap(NamedTuple):
-    """``head``, ``count``, ``tail``; with ``tail`` None the chunk has no sure piece start and is all head."""
+    """``head``, ``count``, ``tail``; with ``tail`` None the chunk has no sure place and is
+    all head. ``left``: the token that ends where the tail begins, -1 if a piece begins there."""
 
     head: str
     count: int
     tail: str | None
+    left: int = -1
 
 
 class Tokenizer:
@@ -96,6 +104,7 @@ class Tokenizer:
                     self.token_at.append(-1)
                 node = nxt
             self.token_at[node] = i
+        self.longest = max(map(len, self.text.values()))
         self.fits: dict[int, bool] = {}
         self.pieces = _Pieces(self)
         self.classes = _classes()
@@ -144,14 +153,16 @@ class Tokenizer:
             t = self.token_at[nxt]
             if ended is None and t >= 0 and self._follows((thread >> 8 & 0xFFFFFFFF) - 1, t):
                 ended = t + 1 << 8 | (thread & 0xFF) + 1
-        going.append(ended)
+        if ended is not None:
+            going.append(ended)
         least = min(x & 0xFF for x in going)
-        key = tuple(x - least for x in going)
+        # just after a cut no token may end here; the mark continues with no byte
+        key = (*(x - least for x in going), *((_NO_END,) if ended is None else ()))
         to = self.states.get(key)
         if to is None:
             to = self.states[key] = len(self.threads)
             self.threads.append(key)
-            self.final.append(key[-1] & 0xFF)
+            self.final.append(key[-1] & 0xFF if ended is not None else 0)
         self.moves[state << 8 | byte] = move = to << 8 | least
         return move
 
@@ -165,8 +176,18 @@ class Tokenizer:
             self.final.append(final)
         return self.states[threads]
 
-    def count_piece(self, piece: bytes) -> int:
-        state = emitted = 0
+    def _state_after(self, token: int) -> int:
+        """The state where ``token`` has ended and nothing else is under way (-1: a piece begins)."""
+        key = (token + 1 << 8,)
+        if key not in self.states:
+            self.states[key] = len(self.threads)
+            self.threads.append(key)
+            self.final.append(0)
+        return self.states[key]
+
+    def count_piece(self, piece: bytes, left: int = -1) -> int:
+        """Tokens of a piece, or of a part of one that begins where the token ``left`` ends."""
+        state, emitted = self._state_after(left), 0
         moves = self.moves
         for byte in piece:
             key = state << 8 | byte
@@ -181,6 +202,58 @@ class Tokenizer:
             emitted += move & 0xFF
         return emitted + self.final[state]
 
+    def certain_cut(self, raw: bytes, a: int, b: int) -> tuple[int, int, int] | None:
+        """A place of ``raw[a:b]``, which lies within one piece, that is between two tokens
+        whatever precedes ``a``, the token that ends there, and the place from which on that
+        is certain; None if there is none.
+
+        Every place keeps the tokens that may end there: those that follow one that may end
+        where they begin. Before any token begun ahead of ``a`` must have ended, all may.
+        A place that all ways to the tokens under way lead through is certain."""
+        unknown = a + self.longest
+        may_end: dict[int, set[int]] = {}
+        through: dict[int, int | None] = {a: None}  # the last place that all ways to a place lead through
+        going = [(a, 0)]
+        for at in range(a + 1, b + 1):
+            byte, on, ends, begins = raw[at - 1], [], set(), set()
+            for start, node in going:
+                node = self.child.get(node << 8 | byte)
+                if node is None:
+                    continue
+                on.append((start, node))
+                token = self.token_at[node]
+                if token >= 0 and (start < unknown or any(self._follows(left, token) for left in may_end[start])):
+                    ends.add(token)
+                    begins.add(start)
+            if at < unknown:
+                through[at] = None
+            elif ends:
+                may_end[at] = ends
+                through[at] = self._meet(begins, through)
+            if at < unknown or ends:
+                on.append((at, 0))
+            going = on
+            if at > unknown:
+                cut = self._meet({start for start, _ in going}, through)
+                while cut is not None and cut >= unknown:
+                    if len(may_end[cut]) == 1 and raw[cut] & 0xC0 != 0x80:
+                        return cut, next(iter(may_end[cut])), at
+                    cut = through[cut]
+        return None
+
+    @staticmethod
+    def _meet(places: set[int], through: dict[int, int | None]) -> int | None:
+        """The last place that all ways to all ``places`` lead through."""
+        places = set(places)
+        while len(places) > 1:
+            last = max(places)
+            places.remove(last)
+            before = through[last]
+            if before is None:
+                return None
+            places.add(before)
+        return places.pop() if places else None
+
     # -- splitter -------------------------------------------------------------
 
     def piece_starts(self, chars: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -256,9 +329,18 @@ class Tokenizer:
 
     # -- chunks ---------------------------------------------------------------
 
-    def count_text(self, text: str) -> int:
-        raw = np.frombuffer(text.encode(), np.uint8)
-        return int(self.count_texts(raw, np.array([0, len(raw)]))[0])
+    def count_text(self, text: str, left: int = -1) -> int:
+        """Tokens of a text, or of a part of one that begins within a piece, where the token
+        ``left`` ends."""
+        raw = text.encode()
+        if not raw:
+            return 0
+        data = np.frombuffer(raw, np.uint8)
+        if left < 0:
+            return int(self.count_texts(data, np.array([0, len(raw)]))[0])
+        starts, _ = self._starts(raw, np.array([0, len(raw)]))
+        end = int(starts[1]) if len(starts) > 1 else len(raw)
+        return self.count_piece(raw[:end], left) + (self.count_text(raw[end:].decode()) if end < len(raw) else 0)
 
     def _after_blank(self, raw: bytes, k: int) -> bool:
         """Whether white space ends at ``k``: its last piece would show in what precedes ``k`` only with what follows."""
@@ -271,28 +353,51 @@ class Tokenizer:
         if not raw:
             return ChunkMap("", 0, None)
         starts, _ = self._starts(raw, np.array([0, len(raw)]))
-        sure = starts[(starts >= 4 * MARGIN) & (starts <= len(raw) - 4 * MARGIN)].tolist()
+        low, high = 4 * MARGIN, len(raw) - 4 * MARGIN  # between them pieces don't depend on other chunks
+        sure = starts[(starts >= low) & (starts <= high)].tolist()
         first = next((k for k in sure if not self._after_blank(raw, k)), None)
+        last = next((k for k in reversed(sure) if not self._after_blank(raw, k)), None)
+        count, left = 0, -1
+        if first is not None and last > first:
+            between = np.frombuffer(raw[first:last], np.uint8)
+            count = int(self.count_texts(between, np.array([0, len(between)]))[0])
+        # long open ends are parts of one piece: cut them there
+        begin, end = first, last
+        head = self._cut(raw, starts, low, high if first is None else first, front=True)
+        tail = self._cut(raw, starts, low if last is None else last, high, front=False)
         if first is None:
-            return ChunkMap(text, 0, None)
-        last = next(k for k in reversed(sure) if not self._after_blank(raw, k))
-        between = np.frombuffer(raw[first:last], np.uint8)
-        count = int(self.count_texts(between, np.array([0, len(between)]))[0]) if last > first else 0
-        return ChunkMap(raw[:first].decode(), count, raw[last:].decode())
+            if not head or not tail or head[2] > tail[0]:
+                return ChunkMap(text, 0, None)
+            (begin, token, _), (end, left, _) = head, tail
+            count = self.count_piece(raw[begin:end], token)
+        else:
+            if head and first > LONG_END:
+                begin = head[0]
+                count += self.count_piece(raw[begin:first], head[1])
+            if tail and len(raw) - last > LONG_END:
+                end, left, _ = tail
+                count += self.count_piece(raw[last:end])
+        return ChunkMap(raw[:begin].decode(), count, raw[end:].decode(), left)
+
+    def _cut(self, raw: bytes, starts: np.ndarray, a: int, b: int, front: bool) -> tuple[int, int, int] | None:
+        """A certain cut near the front or the end of ``raw[a:b]``, if that is long and part of one piece."""
+        if b - a <= LONG_END or ((starts > a) & (starts < b)).any():
+            return None
+        return self.certain_cut(raw, a, min(b, a + LOOK)) if front else self.certain_cut(raw, max(a, b - LOOK), b)
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
         if a.tail is None:
-            return ChunkMap(a.head + b.head, b.count, b.tail)
+            return ChunkMap(a.head + b.head, b.count, b.tail, b.left)
         if b.tail is None:
-            return ChunkMap(a.head, a.count, a.tail + b.head)
-        return ChunkMap(a.head, a.count + self.count_text(a.tail + b.head) + b.count, b.tail)
+            return ChunkMap(a.head, a.count, a.tail + b.head, a.left)
+        return ChunkMap(a.head, a.count + self.count_text(a.tail + b.head, a.left) + b.count, b.tail, b.left)
 
     def total(self, maps: list[ChunkMap]) -> int:
         """Tokens of the text whose chunks, in order, have these maps: a balanced fold, then its open ends."""
         while len(maps) > 1:
             maps = [self.compose(*maps[k : k + 2]) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
         m = maps[0]
-        return self.count_text(m.head) + m.count + (self.count_text(m.tail) if m.tail is not None else 0)
+        return self.count_text(m.head) + m.count + (self.count_text(m.tail, m.left) if m.tail is not None else 0)
 
 
 class _Pieces(dict):

@@ -49,6 +49,55 @@ def test_one_long_piece_with_few_states(own, library, monkeypatch):
     assert own.count_text("x" + "ab" * 20_000) == len(library.encode("x" + "ab" * 20_000, add_special_tokens=False).ids)
 
 
+def test_maps_of_chunks_within_one_piece_are_short(own, library):
+    rng = random.Random(7)
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000))
+    numbers = "".join(rng.choice("0123456789") for _ in range(60_000))
+    mixed = "".join(rng.choice("éñüaeßøλжш中") for _ in range(60_000))
+    signs = "".join(rng.choice("=-_*#") for _ in range(60_000))
+    for piece in (letters, "start of it " + letters[:50_000] + " and more " + numbers, mixed, signs, "a b " * 9_000 + letters[:40_000] + "'s end"):
+        maps = [own.chunk_map(piece[k : k + 20_000]) for k in range(0, len(piece), 20_000)]
+        assert max(len(m.head) + len(m.tail or "") for m in maps[:-1]) < 10_000
+        assert own.total(list(maps)) == len(library.encode(piece, add_special_tokens=False).ids)
+        left = maps[0]
+        for m in maps[1:]:  # one by one
+            left = own.compose(left, m)
+        assert own.total([left]) == len(library.encode(piece, add_special_tokens=False).ids)
+
+
+def test_certain_cuts_hold_whatever_precedes(own):
+    rng = random.Random(9)
+    cuts = 0
+    for _ in range(60):
+        alphabet = rng.choice(["abcdefghij", "etaoinshrdlu", "ab", "é中a", "=-", "0123456789"])
+        text = "".join(rng.choice(alphabet) for _ in range(900)).encode()
+        cut = own.certain_cut(text, 0, len(text))
+        if cut is None:
+            continue
+        cuts += 1
+        at, token, known = cut
+        for _ in range(4):
+            before = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))).encode()
+            ids, ends, place = own.merged(before + text[: known + rng.randint(0, 100)]), [], 0
+            for i in ids:
+                place += len(own.text[i])
+                ends.append(place)
+            if len(before) + at in ends:
+                assert ids[ends.index(len(before) + at)] == token
+            else:
+                raise AssertionError((text[:at], before))
+    assert cuts > 40
+
+
+def test_pieces_that_never_settle_and_cuts_at_any_place(own, library):
+    rng = random.Random(2)
+    for text in ("a" * 30_000, " " * 30_000 + "x", "ab" * 12_000 + "c", "ha" * 9_000 + " " * 9_000 + "\n" * 5_000, "x" * 9_000 + "'re" + "y" * 9_000 + "''s" * 3_000):
+        want = len(library.encode(text, add_special_tokens=False).ids)
+        for _ in range(3):
+            places = sorted({0, len(text), *(rng.randint(0, len(text)) for _ in range(6))})
+            assert own.total([own.chunk_map(text[a:b]) for a, b in zip(places, places[1:], strict=False)]) == want
+
+
 def test_chunk_maps_compose_in_any_bracketing(own, library):
     rng = random.Random(2)
     for _ in range(120):
