@@ -37,6 +37,12 @@ NOISE_NAMES = frozenset(
 HEADER_NAMES = frozenset("header head masthead topbar hero logo branding".split())
 #: What makes an article or main element no content.
 NOT_CONTENT = frozenset("ad ads advert advertisement sponsored promo teaser related recommended comment comments reply widget".split())
+#: Names that stay noise even around an article element: readers' and other articles.
+FIRM_NAMES = frozenset(
+    "comment comments commentlist disqus reply replies respond discussion related recommended recommendations teaser promo promos sponsored outbrain taboola".split()
+)
+#: A name after one of these says what a layout has or lacks, not what the element is.
+LAYOUT_WORDS = frozenset("has no non with without hide hides".split())
 CONTENT_NAMES = frozenset("article post entry story content main text body".split())
 
 #: What a start tag ends, and what stops the search for it.
@@ -54,7 +60,7 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Elements deeper than this have no node of their own: their text counts as their ancestor's there.
 DEEPEST = 12
 
-NOISE, ARTICLE, MAIN, NAMED, NEUTRAL = "noise", 1, 2, 3, 9
+NOISE, SOFT, ARTICLE, MAIN, NAMED, NEUTRAL = "noise", "noise unless an article stands inside", 1, 2, 3, 9
 
 
 def style_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
@@ -64,19 +70,23 @@ def style_of(tag: str, attrs: list[tuple[str, str | None]]) -> str:
 
 
 def kind_of(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> object:
-    """What the style's name says: ``NOISE``, a container of the article (by rank) or
-    ``NEUTRAL``. ``inside``: within such a container."""
+    """What the style's name says: ``NOISE`` (or ``SOFT``, for names that layouts also give
+    to what holds the article), a container of the article (by rank) or ``NEUTRAL``.
+    ``inside``: within such a container."""
     held = {k: v or "" for k, v in attrs}
     role = held.get("role", "").strip().lower()
-    names = {w.lower() for w in _WORDS.findall(f"{held.get('class', '')} {held.get('id', '')}")}
+    words = [w.lower() for w in _WORDS.findall(f"{held.get('class', '')} {held.get('id', '')}")]
+    names = {w for w, before in zip(words, ["", *words], strict=False) if before not in LAYOUT_WORDS}
     if tag in ("article", "main") or role in ("article", "main"):
         return NOISE if names & NOT_CONTENT else ARTICLE if "article" in (tag, role) else MAIN
     if tag in ("html", "body"):
         return NEUTRAL
-    if tag in NOISE_TAGS or role in NOISE_ROLES or names & NOISE_NAMES:
+    if (tag in NOISE_TAGS and tag != "form") or names & FIRM_NAMES:
         return NOISE
+    if tag == "form" or role in NOISE_ROLES or names & NOISE_NAMES:
+        return SOFT
     if not inside and (tag == "header" or names & HEADER_NAMES):
-        return NOISE
+        return SOFT
     if held.get("itemprop", "").lower() == "articlebody":
         return MAIN
     if tag in ("div", "section", "td") and names & CONTENT_NAMES:
@@ -94,6 +104,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parent, self.style, self.children, self.noise, self.rank, self.named = [-1], ["body"], [[]], [False], [NEUTRAL], [False]
+        self._kinds: list[object] = [NEUTRAL]
         self.blocks: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = [("body", 0)]  # inline noise has the number of its block
         self._text: list[str] = []
@@ -103,6 +114,22 @@ class Page(HTMLParser):
         self.feed(html)
         self.close()
         self._flush()
+        if SOFT in self._kinds:
+            self._relent()
+
+    def _relent(self) -> None:
+        """Soft noise around an article or main element that is itself no noise is a layout's
+        wrapper: its text counts as any other's."""
+        holds = [False] * len(self.parent)
+        for i in range(len(holds) - 1, 0, -1):
+            kind = self._kinds[i]
+            if kind is not NOISE and (holds[i] or kind in (ARTICLE, MAIN)):
+                holds[self.parent[i]] = True
+        for i in range(1, len(holds)):
+            up, kind = self.parent[i], self._kinds[i]
+            own = kind is NOISE or (kind is SOFT and not holds[i])
+            self.noise[i] = self.noise[up] or own
+            self.rank[i] = self.rank[up] if kind in (NOISE, SOFT) else min(self.rank[up], kind)
 
     def _flush(self) -> None:
         if not self._text:
@@ -141,7 +168,7 @@ class Page(HTMLParser):
         elif tag in SILENT:
             self._silent, self._inner = [tag], 0
         elif tag not in BLOCKS:
-            if kind_of(tag, attrs, self.rank[self._open[-1][1]] != NEUTRAL) is NOISE:
+            if kind_of(tag, attrs, self.rank[self._open[-1][1]] != NEUTRAL) in (NOISE, SOFT):
                 self._hushed += 1
                 self._open.append((tag, self._open[-1][1]))
         else:
@@ -162,8 +189,12 @@ class Page(HTMLParser):
         self.parent.append(up)
         self.style.append(style_of(tag, attrs))
         self.children.append([])
-        self.noise.append(self.noise[up] or self._hushed > 0 or kind is NOISE)
-        self.rank.append(self.rank[up] if kind is NOISE else min(self.rank[up], kind))
+        if self._hushed:
+            kind = NOISE
+        noise = kind in (NOISE, SOFT)
+        self._kinds.append(kind)
+        self.noise.append(self.noise[up] or noise)
+        self.rank.append(self.rank[up] if noise else min(self.rank[up], kind))
         self.named.append(" " in self.style[-1] and kind == NEUTRAL)
         self._open.append((tag, number))
 

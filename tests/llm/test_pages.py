@@ -35,6 +35,10 @@ def text_of(html):
         ("<article>1 < 2 &copy; &#x41; &bogus; <unknown>u</unknown></article>", "1 < 2 © A &bogus; u"),
         ("<div role=navigation>n</div><p>t<footer>f", "t"),
         ("</p></div><div>a</span></p>b</div>", "a\n\nb"),
+        ("<div class='content has-sidebar'><p>t</p><div class='sidebar'>s</div></div>", "t"),
+        ("<form id=aspnetForm><div class='menu-open'><main><p>t</p><form>f</form></main><p>x</p></div></form>", "t"),
+        ("<div id=sidebar-left-layout><nav>n</nav><article>a</article></div><section class=comments><article>c</article></section>", "a"),
+        ("<form><p>f</p></form><p>t</p><div class='cookieNotice'><p>c</p></div>", "t"),
     ],
 )
 def test_main_text_of_single_pages(html, text):

@@ -166,3 +166,22 @@ def test_near_duplicate_stage_keeps_a_row_of_every_group(spark, scratch):
         kept.append(sorted((tuple(r) for r in out.collect()), key=str))
     assert sorted([r[:2] for r in kept[0]], key=str) == sorted([(7, a), (7, b), (None, c), (8, d), (3, e)], key=str)
     assert kept[0] == kept[1]
+
+
+def test_two_threads_do_not_delete_each_others_tables(spark):
+    import threading
+
+    results, errors = {}, []
+
+    def run(name, query):
+        try:
+            results[name] = query(spark, "/root/testdata/sf0.001").count()
+        except Exception as e:  # noqa: BLE001
+            errors.append((name, e))
+
+    threads = [threading.Thread(target=run, args=(n, q)) for n, q in (("pipeline", C.run), ("op6", Q.op6_simhash), ("op4", Q.op4_line_dedup))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors and results["op6"] == results["op4"] == 200 and results["pipeline"] > 0
