@@ -5,8 +5,6 @@ All are built-in Spark expressions: no Python runs per row.
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,63 +21,42 @@ def encode_utf8(s: Column) -> Column:
     return F.encode(s, "UTF-8")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often ``body`` reads it (inside
-    branches Spark doesn't share equal expressions)."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def be_bytes_to_decimal(b: Column, scale: int = 9, precision: int = 38, mode: str = "strict") -> Column:
     """Big-endian two's-complement bytes of any length → decimal with ``scale`` (FN-12).
 
-    Bytes that only repeat the sign are dropped first. The magnitude (for a
-    negative number that of its complement) is rebuilt exactly from unsigned 64-bit
-    halves, and the decimal point is placed in text, so no digit is
+    The bytes are brought to 16, sign digits in front added or, beyond 16, dropped if they
+    are nothing else. Their signed upper and unsigned lower half give the number exactly, and
+    an exponent places the decimal point, so no digit is
     rounded. Empty bytes, and numbers that need more than ``precision`` digits,
     raise in strict mode and give null in permissive mode; null stays null.
     """
-    sixteen = F.lit(16)
-
-    def number(hexadecimal: Column) -> Column:
-        return F.conv(hexadecimal, 16, 10).cast("decimal(20,0)")
-
-    def magnitude(parts: Column) -> Column:
-        digits, size = parts["digits"], F.length(parts["digits"])
-        low = number(F.right(digits, sixteen))
-        high = number(F.substr(digits, F.lit(1), size - sixteen))
-        whole = F.when(size <= 16, low.cast("decimal(38,0)")).when(size <= 32, F.try_add(F.try_multiply(high, F.lit(_TWO_64).cast("decimal(20,0)")), low))
-        return F.try_add(whole, F.when(parts["negative"], F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)"))
-
-    def placed(parts: Column) -> Column:
-        sign = F.when(parts["negative"], F.lit("-")).otherwise(F.lit(""))
-        return _let(magnitude(parts).cast("string"), lambda t: _place_point(sign, t, precision, scale))
-
-    def parts_of(h: Column) -> Column:
-        negative = F.substring(h, 1, 1) >= F.lit("8")
-        digits = F.when(negative, F.translate(h, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(h)
-        return F.struct(negative.alias("negative"), F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")).alias("digits"))
-
-    value = _let(F.hex(b), lambda h: F.when(F.length(h) > 0, _let(parts_of(h), placed)))
+    h, size = F.hex(b), F.octet_length(b)
+    negative = F.substring(b, 1, 1) >= F.lit(bytes([0x80]))
+    fill = F.when(negative, F.lit("F")).otherwise(F.lit("0"))
+    kept = F.right(h, F.lit(32))
+    only_sign = (F.ltrim(F.substr(h, F.lit(1), 2 * size - 32), fill) == "") & ((F.substring(kept, 1, 1) >= F.lit("8")) == negative)
+    wide = F.when((size > 0) & (size <= 16), F.lpad(h, F.lit(32), fill)).when((size > 16) & only_sign, kept)
+    # of a negative number the upper half is taken one higher and the lower one 2^64 less, so no
+    # step goes beyond the number itself
+    two_64, one = F.lit(_TWO_64).cast("decimal(20,0)"), F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
+    high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(20,0)") + one
+    low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(20,0)") - one * two_64
+    value = _placed(F.try_add(F.try_multiply(high, two_64), low), precision, scale)
     if mode == "permissive":
         return value
-    message = F.concat(F.lit("bytes are no decimal of the declared precision: '"), F.hex(b), F.lit("'"))
+    message = F.concat(F.lit("bytes are no decimal of the declared precision: '"), h, F.lit("'"))
     return F.coalesce(value, F.when(b.isNotNull(), F.raise_error(message)))
 
 
-def _place_point(sign: Column, digits: Column, precision: int, scale: int) -> Column:
-    """Decimal digits with the point ``scale`` places from the right; null where they are too many."""
-    if not scale:
-        return F.concat(sign, digits).try_cast(f"decimal({precision},0)")
-    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(scale + 1)), F.lit("0"))
-    whole = F.substr(padded, F.lit(1), F.length(padded) - F.lit(scale))
-    return F.concat(sign, whole, F.lit("."), F.right(padded, F.lit(scale))).try_cast(f"decimal({precision},{scale})")
+def _placed(unscaled: Column, precision: int, scale: int) -> Column:
+    """``unscaled * 10^-scale`` exactly; null where it has more digits."""
+    return F.concat(unscaled.cast("string"), F.lit(f"E-{scale}")).try_cast(f"decimal({precision},{scale})")
 
 
 def unscaled_to_decimal(unscaled: Column, scale: int = 9, precision: int = 38) -> Column:
     """Integer ``unscaled`` → ``unscaled * 10^-scale`` as ``decimal(precision, scale)``,
     exactly; null where it has more digits."""
-    sign = F.when(unscaled < 0, F.lit("-")).otherwise(F.lit(""))
-    return _place_point(sign, F.translate(unscaled.cast("string"), "-", ""), precision, scale)
+    return _placed(unscaled, precision, scale)
 
 
 def long_to_be_bytes(n: Column) -> Column:

@@ -75,3 +75,26 @@ def test_nested_pruning_equals_projection_of_full_extraction(spark, recs, sub):
     assert pruned.schema["items"].dataType.elementType.fieldNames() == [field]
     got = {r.id: [getattr(it, field) for it in r.items] for r in pruned.collect()}
     assert got == full
+
+
+def test_bytes_of_any_length_equal_python_integers(spark):
+    import random
+    from decimal import Decimal
+
+    from docflow.functions.binary import be_bytes_to_decimal
+
+    rng = random.Random(17)
+    values = [0, 1, -1, 127, 128, -128, -129, 2**63 - 1, 2**63, -(2**63), -(2**63) - 1, 2**64, -(2**64), 10**38 - 1, -(10**38) + 1, 10**38, -(10**38), 2**127 - 1, -(2**127)]
+    values += [rng.choice([1, -1]) * rng.getrandbits(rng.randint(1, 126)) for _ in range(300)]
+    rows = []
+    for v in values:
+        size = (v.bit_length() + 8) // 8
+        for extra in (0, 1, 5, 12):
+            rows.append((v.to_bytes(size + extra, "big", signed=True), v))
+    rows += [(b"\x00" + b"\xff" * 16, 2**128 - 1), (b"\xff" + b"\x00" * 16, -(2**128)), (b"\x00\x80" + b"\x00" * 15, 2**127), (b"", None), (None, None)]
+    df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(rows)], "i int, b binary").repartition(3)
+    got = {r["i"]: r["v"] for r in df.select("i", be_bytes_to_decimal(df.b, 9, 38, "permissive").cast("string").alias("v")).collect()}
+    for i, (_, v) in enumerate(rows):
+        want = None if v is None or abs(v) >= 10**38 else Decimal(v).scaleb(-9)
+        assert (got[i] is None) == (want is None), rows[i]
+        assert want is None or Decimal(got[i]) == want and len(got[i].split(".")[1]) == 9, rows[i]
