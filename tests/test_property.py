@@ -79,7 +79,7 @@ def test_nested_pruning_equals_projection_of_full_extraction(spark, recs, sub):
 
 def test_bytes_of_any_length_equal_python_integers(spark):
     import random
-    from decimal import Decimal
+    from decimal import Context, Decimal
 
     from docflow.functions.binary import be_bytes_to_decimal
 
@@ -95,6 +95,6 @@ def test_bytes_of_any_length_equal_python_integers(spark):
     df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(rows)], "i int, b binary").repartition(3)
     got = {r["i"]: r["v"] for r in df.select("i", be_bytes_to_decimal(df.b, 9, 38, "permissive").cast("string").alias("v")).collect()}
     for i, (_, v) in enumerate(rows):
-        want = None if v is None or abs(v) >= 10**38 else Decimal(v).scaleb(-9)
+        want = None if v is None or abs(v) >= 10**38 else Decimal(v).scaleb(-9, Context(prec=60))
         assert (got[i] is None) == (want is None), rows[i]
         assert want is None or Decimal(got[i]) == want and len(got[i].split(".")[1]) == 9, rows[i]
