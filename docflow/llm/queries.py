@@ -231,5 +231,16 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op11_vector_codes": _codes_sql(parts=16, entries=64, rounds=2),
+    # the given tables' pages hold their text in one article element of headings and paragraphs
+    "op12_html_extraction": r"""
+        WITH a AS (
+            SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>') AS parts FROM pages),
+        u AS (
+            SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                   regexp_replace(x, '<[^>]+>', ' ', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS parts FROM a),
+        b AS (
+            SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''),
+                   chr(10) || chr(10)) AS text FROM u)
+        SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM b""",
     "op13_centroids": _clusters_sql(k=8, rounds=10),
 }

@@ -32,7 +32,11 @@ COLUMNS = {
     "op6_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op8_fingerprints": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
     "op10_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op11_vector_codes": {"vec_id": "bigint", "code": "string", "error": "bigint", "label_error": "bigint", "codebooks_sha256": "string"},
+    "op12_html_extraction": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+    "op13_centroids": {"vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint", "inertia": "bigint", "centroid_sha256": "string"},
 }
+TABLE = {"op11_vector_codes": "embeddings", "op12_html_extraction": "pages", "op13_centroids": "embeddings"}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -41,7 +45,7 @@ def test_contract_columns(spark, name):
     got = dict(df.dtypes)
     assert {c: got.get(c) for c in COLUMNS[name]} == COLUMNS[name]
     if name != "op10_top_k":
-        assert df.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+        assert df.count() == spark.read.parquet(f"{SF_SMALL}/{TABLE.get(name, 'documents')}.parquet").count()
 
 
 # ---------------------------------------------------------------- archives
