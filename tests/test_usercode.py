@@ -2,12 +2,15 @@
 
 import datetime as dt
 import sys
+import time
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import types as T
 
-from docflow.functions import registry
+from docflow.functions import pyfields, registry
 from docflow.operators.lookup import apply_with_reference
 from docflow.operators.xml import explode_records, extract_xml
 from docflow.plans import spec as S
@@ -109,6 +112,48 @@ def test_the_query_parses_once_and_has_one_python_stage_per_branch(spark):
     assert plan.count("from_xml(") == plan.count("ArrowEvalPython") == 2  # single and split orders
 
 
+MATCH = pa.struct([("values", pa.list_(pa.field("element", pa.string()))), ("string", pa.string())])
+
+
+def test_matches_of_a_batch_with_nulls_and_slices():
+    rows = [{"values": ["a", None], "string": "x"}, None, {"values": [], "string": ""}, {"values": ["c"], "string": "c"}, {"values": ["d", "e", "f"], "string": "d"}]
+
+    def fn(values, string):
+        return 2**40 if string == "x" else len(values) // (string != "c")  # too large, and an error
+
+    def plain(m):
+        return None if m is None or m["string"] == "c" else fn(m["values"], m["string"])
+
+    flat, kind = pa.array(rows, MATCH), pa.list_(pa.field("element", pa.int32()))
+    for part in (slice(0, 5), slice(1, 4), slice(2, 2)):
+        assert pyfields._called(fn, flat[part]) == [plain(m) for m in rows[part]]
+    held = [rows[:2], None, [], rows[2:], [None]]
+    many = pa.array(held, pa.list_(pa.field("element", MATCH)))
+    for part in (slice(0, 5), slice(1, 4), slice(3, 5), slice(2, 2)):
+        got = pyfields._called_many(fn, many[part], kind)
+        assert got.type == kind
+        assert got.to_pylist() == [None if a is None else [None if plain(m) == 2**40 else plain(m) for m in a] for a in held[part]]
+
+
+def test_matches_reach_python_column_by_column(spark, monkeypatch):
+    """A Python object for every match struct and list takes more time than all else."""
+    monkeypatch.setattr(pyfields.F, "arrow_udf", lambda run, kind: lambda given: run)
+    run = pyfields.python_fields([(lambda values, string: len(values), pyfields.F.lit(None), T.IntegerType(), False)])
+    matches = pa.array([{"values": [str(i), "1", "2", "3"], "string": str(i)} for i in range(50_000)], MATCH)
+    batch = pa.StructArray.from_arrays([matches], names=["f0"])
+    assert set(run(batch).field(0).to_pylist()) == {4}
+
+    def best(work):
+        times = []
+        for _ in range(3):
+            t = time.process_time()
+            work()
+            times.append(time.process_time() - t)
+        return min(times)
+
+    assert best(lambda: run(batch)) < best(matches.to_pylist)
+
+
 # ---------------------------------------------------------------- user code with a reference
 
 
