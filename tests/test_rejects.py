@@ -1,7 +1,10 @@
 """XML-12: rows and rejects with their cause in one pass, counted while they are written."""
 
+import pyarrow as pa
+import pytest
+
 from docflow import jobs
-from docflow.functions.rejects import cause_of
+from docflow.functions.rejects import cause_of, causes_of
 from docflow.plans import spec as S
 
 SPEC = S.spec(S.fld("n", "int", "@n"), S.fld("v", "string", "v"), root="r")
@@ -16,6 +19,12 @@ def test_causes():
     assert cause_of("<a/>") == {"line": None, "position": None, "reason": "not readable by the mapping"}
 
 
+@pytest.mark.parametrize("texts", [[None, "<a>", "<a/>", None, "<b>\n</c>", ""], [None, None], ["<a x=1/>"], []])
+def test_causes_of_a_batch(texts):
+    for batch, part in ((pa.array(texts, pa.string()), texts), (pa.array(texts, pa.string())[1:], texts[1:])):
+        assert causes_of(batch).to_pylist() == [None if t is None else cause_of(t) for t in part]
+
+
 def test_one_pass_two_outcomes(spark, scratch):
     df = spark.createDataFrame(DOCS, "i int, x string").repartition(3)
     counts = jobs.extract_xml_and_route(df, "x", SPEC, scratch, keep=("i",))
