@@ -12,6 +12,8 @@ ignore ASCII case. ``need`` and ``hint`` may list alternatives between ``|``, ea
 
 from __future__ import annotations
 
+import re
+
 #: A word character is an ASCII letter or digit or any non-ASCII character.
 WORD_CHAR = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP_CHAR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -139,6 +141,22 @@ _TEXTS = [
 ]
 
 
+#: The words that a keyword is in matches, where not itself; ``*``: and any ending; none: no word of its own.
+_AS_WORDS = {
+    "licen": ("licen*", "unlicense"), "gpl": ("gpl", "lgpl", "agpl"), "bsd": ("bsd", "0bsd", "freebsd"), "commercial": ("commercial", "noncommercial"),
+    "waive": ("waives",), "c": (), "19": (), "20": (), "©": (),
+}
+
+
+def whole_words(keywords: str, regex: str) -> list[str]:
+    """The keywords of a ``need`` or ``hint`` as words (of an address its first part): every match of
+    the rule's ``regex`` holds one of them from word boundary to word boundary. None: no such words are known."""
+    if "(?=" in regex and keywords in regex.split("(?=")[1]:
+        return []
+    found = [_AS_WORDS.get(k, (k.split(".")[0],)) for k in keywords.split("|")]
+    return sorted({w for words in found for w in words}) if all(found) else []
+
+
 def to_regex(pattern: str) -> str:
     """The table's shorthand as a Java (and Python) regular expression."""
     body = pattern.replace("~", GAP_CHAR + "*+").replace(" ", GAP_CHAR + "++")
@@ -150,7 +168,8 @@ def rules() -> list[tuple[str, int, str, str, str]]:
     """``(label, tier, need, hint, regex)``, best first. ``need`` may list alternatives between ``|``."""
     out = [(label, 4, need, hint, to_regex(p)) for label, need, hint, p in _TEXTS]
     for label, hint, name, spdx, url in _LICENSES:
-        out.append((label, 3, "spdx", "identifier", to_regex(rf"spdx license identifier {spdx}")))
+        names = "|".join(re.findall(r"(?:^|\|)(?:\(\?:)?([a-z0-9]+)", spdx))
+        out.append((label, 3, "spdx", names, to_regex(rf"spdx license identifier {spdx}")))
         host = url.split("/")[0].replace("\\", "")
         out.append((label, 3, host, host, to_regex(rf"(?:https?://)?(?:www\.)?{url}")))
     for label, hint, name, _, _ in _LICENSES:

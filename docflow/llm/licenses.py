@@ -1,13 +1,13 @@
 """License scans: ordered signature rules behind a keyword prefilter, all in DataFrame functions.
 
-Every text is tested for a few keywords (plain substring tests); only texts that hold
-one see rules, and of those only the rules whose keywords they hold run their regular
-expression. A detection is an interval of the text. Overlaps are resolved by priority
-and containment: of detections ordered by start, length and tier, one that lies inside
-another of its own or a higher tier is suppressed.
+One pass over a text reads its words: it counts them and keeps those that are keywords of
+rules. Only the rules whose keywords a text holds run their regular expression. A detection
+is an interval of the text. Overlaps are resolved by priority and containment: of detections
+ordered by start, length and tier, one that lies inside another of its own or a higher tier
+is suppressed.
 
 No shuffle, no Python on the executors: one narrow projection over the scan; what is
-kept per document grows with its own detections only.
+kept per document grows with its own detections only, and so does the work on them.
 
 Defined results: a null text counts as empty (no words, no detections, empty labels,
 score 0); repeated rows give repeated results; columns of the input that have a result
@@ -16,65 +16,138 @@ column's name are replaced.
 
 from __future__ import annotations
 
+import json
+import string
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .carry import free_name
-from .license_rules import BASE, WORD, rules, to_regex
+from .license_rules import BASE, WORD_CHAR, rules, to_regex, whole_words
 
 _SPAN = "array<struct<start:int,end:int>>"
 _DETECTION = "array<struct<start:int,end:int,tier:int,rule:int,label:string>>"
+_RULES = "array<struct<rule:int,label:string,tier:int,hint:array<string>,regex:string>>"
+#: Detections whose running states are kept in one array.
+_BLOCK = 256
 
+#: The rules' word and gap characters one by one: Java looks them up in a table, ranges it tries one after the other.
+_ALNUM = string.digits + string.ascii_letters
+_WORD = rf"[{_ALNUM}\x{{80}}-\x{{10FFFF}}]"
+_GAP = "[" + "".join(rf"\x{i:02X}" for i in range(128) if chr(i) not in _ALNUM) + "]"
+#: The same word character, shorter to compile, where only one is looked at.
+_AT_WORD = r"[\p{Alnum}\x{80}-\x{10FFFF}]"
+
+
+def _either_case(letters: list[str]) -> str:
+    return "[" + "".join(sorted({x for c in letters for x in (c, c.upper())})) + "]"
+
+
+def _any_of(words: set[str]) -> str:
+    """A regular expression, by common beginnings, of whole words in any case; ``*`` at a word's end: any ending."""
+    if "*" in words:
+        return ""
+    ways = [_either_case([c]) + _any_of({w[1:] for w in words if w[:1] == c}) for c in sorted({w[0] for w in words if w})]
+    ways += [f"(?!{_AT_WORD})"] if "" in words else []
+    return ways[0] if len(ways) == 1 else "(?:" + "|".join(ways) + ")"
+
+
+def _keyword(words: set[str]) -> str:
+    """:func:`_any_of` by thirds of the first characters, so that most words fail early."""
+    firsts = sorted({w[0] for w in words})
+    thirds = [firsts[k::3] for k in range(3) if firsts[k::3]]
+    return "|".join(f"(?={_either_case(x)}){_any_of({w for w in words if w[0] in x})}" for x in thirds)
+
+
+@cache
+def _rule_table() -> tuple[list[dict], dict[str, list[int]], set[str]]:
+    """The rules, best first, base phrases last; by each word of a rule's ``need`` the numbers of such rules; all keywords."""
+    table = [*rules()]
+    table += [(label, 0, "cc" if phrase.startswith("cc") else "licen", phrase.split(" ")[0], to_regex(phrase)) for phrase, label in BASE]
+    rows, by_need, keywords = [], {}, set()
+    for k, (label, tier, need, hint, regex) in enumerate(table):
+        needs, hints = whole_words(need, regex), whole_words(hint, regex)
+        keywords |= {*needs, *hints}
+        for word in needs:
+            by_need.setdefault(word.rstrip("*"), []).append(k)
+        rows.append({"rule": k, "label": label, "tier": tier, "hint": [w.rstrip("*") for w in hints], "regex": regex.replace(WORD_CHAR, _AT_WORD)})
+    return rows, by_need, keywords
+
+
+def _literal(value: list | dict, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _n_words(text: Column) -> Column:
+    # a word in front takes the gap at the beginning, and isn't counted
+    return (F.length(F.regexp_replace(F.concat(F.lit("x "), text), f"{_WORD}+{_GAP}*", " ")) - 1).cast("long")
 
-def _rule_table() -> tuple[Column, Column]:
-    """The rules as a literal array, best first, base phrases last; the distinct keywords of the gate."""
-    table = [(*r, False) for r in rules()]
-    table += [(label, 0, "cc" if phrase.startswith("cc") else "licen", phrase.split(" ")[0], to_regex(phrase), True) for phrase, label in BASE]
-    strings = lambda xs: F.array(*[F.lit(x) for x in xs])
-    rows = [
-        F.struct(
-            F.lit(k).alias("rule"), F.lit(label).alias("label"), F.lit(tier).alias("tier"), strings(need.split("|")).alias("need"),
-            strings(hint.split("|")).alias("hint"), F.lit(regex).alias("regex"), F.lit(base).alias("base"),
-        )
-        for k, (label, tier, need, hint, regex, base) in enumerate(table)
-    ]
-    gate = sorted({x for _, _, need, *_ in table for x in need.split("|")})
-    return F.array(*rows), strings(gate)
 
+def _marks(text: Column) -> Column:
+    """The words of ``x`` and a text, each shortened: a keyword and a blank, or a blank only."""
+    keyword = _keyword(_rule_table()[2])
+    return F.regexp_replace(F.concat(F.lit("x "), text), f"(?:({keyword}){_WORD}*|{_WORD}+){_GAP}*", "$1 ")
 
-def _spans(text: Column, regex: Column) -> Column:
+
+def _bind(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, with the value computed once (a lambda's variable)."""
+    return F.transform(F.array(value), of)[0]
+
+
+def _states(items: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The state after each item. Arrays grow by copying, so a block's states are
+    kept in an array of their own, begun with the state at the end of the block before."""
+
+    def of_items(xs: Column) -> Column:
+        block = lambda b: F.slice(xs, b * _BLOCK + 1, F.lit(_BLOCK))
+        more = F.greatest(F.ceil((F.size(xs) - _BLOCK) / F.lit(_BLOCK)), F.lit(0)).cast("int")
+        blocks = F.slice(F.sequence(F.lit(0), more), F.lit(1), more)
+        begins = F.aggregate(blocks, F.array(zero), lambda acc, b: F.concat(acc, F.array(F.aggregate(block(b), F.element_at(acc, -1), step))))
+        grow = lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x)))
+        return F.flatten(F.transform(begins, lambda begin, b: F.slice(F.aggregate(block(b), F.array(begin), grow), F.lit(2), F.lit(_BLOCK))))
+
+    return _bind(items, of_items)
+
+
+def _spans(text: Column, regex: Column, found: Column) -> Column:
     """Start and end (characters) of every match: the pieces between matches and the matches give the offsets."""
-    found, between = F.regexp_extract_all(text, regex, F.lit(0)), F.split(text, regex, -1)
+    pairs = F.zip_with(F.slice(F.split(text, regex, -1), F.lit(1), F.size(found)), found, lambda b, f: F.struct(F.length(b).alias("between"), F.length(f).alias("found")))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["between"])
-        end = start + F.length(pair["found"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"))
+    def of_pairs(xs: Column) -> Column:
+        ends = _states(xs, F.lit(0), lambda at, x: at + x["between"] + x["found"])
+        return F.zip_with(xs, ends, lambda x, end: F.struct((end - x["found"]).alias("start"), end.alias("end")))
 
-    pairs = F.filter(F.arrays_zip(found.alias("found"), between.alias("between")), lambda x: x["found"].isNotNull())
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["spans"])
+    return _bind(pairs, of_pairs)
 
 
-def detect(text: Column) -> Column:
-    """All detections of a text before suppression: array of (start, end, tier, rule, label); tier 0 marks base phrases."""
-    table, gate = _rule_table()
+def _detections(text: Column, marks: Column) -> Column:
+    table, by_need, _ = _rule_table()
+    table, by_need = _literal(table, _RULES), _literal(by_need, "map<string,array<int>>")
 
-    def of_text(t: Column, low: Column) -> Column:
-        holds = lambda words: F.exists(words, lambda w: F.contains(low, w))
-        run = F.filter(table, lambda r: holds(r["need"]) & holds(r["hint"]))
+    def of_text(t: Column, words: Column) -> Column:
+        numbers = F.flatten(F.filter(F.transform(words, lambda w: F.try_element_at(by_need, w)), F.isnotnull))
+        candidates = F.transform(F.array_sort(F.array_distinct(numbers)), lambda k: F.get(table, k))
+        run = F.filter(candidates, lambda r: (F.size(r["hint"]) == 0) | F.arrays_overlap(r["hint"], words))
+        tried = F.transform(run, lambda r: F.struct(r.alias("r"), F.regexp_extract_all(t, r["regex"], F.lit(0)).alias("found")))
         spans = F.transform(
-            run,
-            lambda r: F.transform(
-                _spans(t, r["regex"]),
-                lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), r["tier"].alias("tier"), r["rule"].alias("rule"), r["label"].alias("label")),
+            F.filter(tried, lambda x: F.size(x["found"]) > 0),
+            lambda x: F.transform(
+                _spans(t, x["r"]["regex"], x["found"]),
+                lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), x["r"]["tier"].alias("tier"), x["r"]["rule"].alias("rule"), x["r"]["label"].alias("label")),
             ),
         )
-        return F.when(holds(gate), F.flatten(spans)).otherwise(F.array().cast(_DETECTION))
+        return F.flatten(spans)
 
-    # one-element arrays bind the text and its lower-case copy once for all lambdas
-    bound = F.array(F.struct(text.alias("t"), F.lower(text).alias("low")))
-    return F.transform(bound, lambda x: of_text(x["t"], x["low"]))[0]
+    words = F.array_distinct(F.split(F.lower(F.trim(marks)), " +"))
+    found = _bind(F.struct(text.alias("t"), words.alias("words")), lambda x: of_text(x["t"], x["words"]))
+    return F.when(F.trim(marks) != "", found).otherwise(F.array().cast(_DETECTION))
+
+
+def detect(text: Column) -> Column:
+    """All detections of a text before suppression: array of (start, end, tier, rule, label); tier 0 marks base phrases."""
+    return _bind(F.struct(text.alias("t"), _marks(text).alias("marks")), lambda x: _detections(x["t"], x["marks"]))
 
 
 def resolve(detections: Column) -> Column:
@@ -94,12 +167,16 @@ def resolve(detections: Column) -> Column:
     def step(acc: Column, d: Column) -> Column:
         end, tier = -d["e"], -d["t"]
         inside = F.greatest(*[F.when(tier <= t, acc[f"m{t}"]).otherwise(F.lit(-1)) for t in tiers]) >= end
-        kept = F.struct(d["start"].alias("start"), end.alias("end"), tier.alias("tier"), d["rule"].alias("rule"), d["label"].alias("label"))
         grown = [F.when(tier == t, F.greatest(acc[f"m{t}"], end)).otherwise(acc[f"m{t}"]).alias(f"m{t}") for t in tiers]
-        return F.struct(*grown, F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(kept))).alias("kept"))
+        return F.struct(*grown, inside.alias("inside"))
+
+    def outermost(ds: Column) -> Column:
+        states = _states(ds, F.struct(*[F.lit(-1).alias(f"m{t}") for t in tiers], F.lit(False).alias("inside")), step)
+        both = F.zip_with(ds, states, lambda d, s: F.struct(d.alias("d"), s["inside"].alias("inside")))
+        kept = lambda d: F.struct(d["start"].alias("start"), (-d["e"]).alias("end"), (-d["t"]).alias("tier"), d["rule"].alias("rule"), d["label"].alias("label"))
+        return F.transform(F.filter(both, lambda x: ~x["inside"]), lambda x: kept(x["d"]))
 
-    zero = F.struct(*[F.lit(-1).alias(f"m{t}") for t in tiers], F.array().cast(_DETECTION).alias("kept"))
-    return F.aggregate(ordered, zero, step, lambda acc: acc["kept"])
+    return F.when(F.size(detections) > 0, _bind(ordered, outermost)).otherwise(F.array().cast(_DETECTION))
 
 
 def scan_licenses(documents: DataFrame, text_col: str = "text") -> DataFrame:
@@ -109,19 +186,20 @@ def scan_licenses(documents: DataFrame, text_col: str = "text") -> DataFrame:
     new = ["detections", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     keep = [F.col(f"`{c}`") for c in documents.columns if c not in new]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    words = lambda t: F.regexp_count(t, F.lit(WORD)).cast("long")
-    text_of, found_in, base_of = (free_name([*documents.columns, *new], n) for n in ("text_of", "found_in", "base_of"))
-    found = documents.select(*keep, text.alias(text_of), detect(text).alias(found_in))
+    text_of, marks_of, found_in, base_of = (free_name([*documents.columns, *new], n) for n in ("text_of", "marks_of", "found_in", "base_of"))
+    marked = documents.select(*keep, text.alias(text_of), _marks(text).alias(marks_of))
+    n_words = (F.length(marks_of) - F.length(F.replace(F.col(marks_of), F.lit(" "), F.lit(""))) - 1).cast("long")
+    found = marked.select(*keep, text_of, n_words.alias("n_words"), _detections(F.col(text_of), F.col(marks_of)).alias(found_in))
     base = F.filter(found_in, lambda d: d["tier"] == 0)
-    resolved = found.select(*keep, text_of, base.alias(base_of), resolve(F.col(found_in)).alias("detections"))
-    before = lambda place: F.when(F.size(base_of) > 0, words(F.substr(F.col(text_of), F.lit(1), place(F.transform(base_of, lambda d: d["start"])))))
+    resolved = found.select(*keep, text_of, "n_words", base.alias(base_of), resolve(F.col(found_in)).alias("detections"))
+    before = lambda place: F.when(F.size(base_of) > 0, _n_words(F.substr(F.col(text_of), F.lit(1), place(F.transform(base_of, lambda d: d["start"])))))
     names = lambda xs: F.array_join(F.array_sort(F.array_distinct(xs)), ",")
     base_labels = F.transform(base_of, lambda d: d["label"])
     best = F.coalesce(F.array_max(F.transform("detections", lambda d: d["tier"])), F.lit(0))
     return resolved.select(
         *keep,
         "detections",
-        words(F.col(text_of)).alias("n_words"),
+        "n_words",
         F.size(base_of).cast("long").alias("n_base"),
         before(F.array_min).alias("first_word"),
         before(F.array_max).alias("last_word"),
