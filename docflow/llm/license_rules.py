@@ -13,6 +13,7 @@ ignore ASCII case. ``need`` and ``hint`` may list alternatives between ``|``, ea
 from __future__ import annotations
 
 import re
+from itertools import groupby
 
 #: A word character is an ASCII letter or digit or any non-ASCII character.
 WORD_CHAR = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -157,6 +158,56 @@ def whole_words(keywords: str, regex: str) -> list[str]:
     return sorted({w for words in found for w in words}) if all(found) else []
 
 
+#: Words beside needs and hints that make the phrases of rules telling.
+BESIDE = ["c", "consent", "copy", "except", "file", "forms", "free", "identifier", "network", "person", "portions", "rights", "use", "version", "work", "©*"]
+
+
+def _spellings(pattern: str) -> list[str]:
+    """The words of all that a pattern matches: every way through it, anything but a letter, a digit
+    or © as a blank, what isn't fixed as ``#``, and neither of what is only looked ahead at."""
+
+    def ways(i: int) -> tuple[list[str], int]:
+        out, way = [], [""]
+        while i < len(pattern) and pattern[i] != ")":
+            c = pattern[i]
+            if c == "|":
+                out, way, i = out + way, [""], i + 1
+                continue
+            if c == "(":
+                part, j = ways(i + 3)
+                part, i = ([""] if pattern[i + 2] == "=" else part), j + 1
+            elif c == "[":
+                part, i = ["#"], pattern.index("]", i) + 1
+            elif c == "\\":
+                part, i = [" "], i + 2
+            else:
+                part, i = {".": [" # "], "~": ["", " "]}.get(c, [c if c.isalnum() or c == "©" else " "]), i + 1
+            if pattern[i : i + 1] == "{":
+                i = pattern.index("}", i) + 1
+                i += pattern[i : i + 1] == "?"
+            elif pattern[i : i + 1] in ("?", "*", "+"):
+                part, i = {"?": ["", *part], "*": ["", " # "], "+": part}[pattern[i]], i + 1
+            way = [x + y for x in way for y in part]
+        return out + way, i
+
+    return ways(0)[0]
+
+
+def telling_phrases(core: str, keywords: set[str]) -> list[str]:
+    """Runs of neighbouring keywords (without ``*``), one of which is in every match of ``core``. None: not known."""
+
+    def keyword(word: str) -> str | None:
+        return next((k.rstrip("*") for k in keywords if word == k or k[-1] == "*" and word.startswith(k[:-1])), None)
+
+    found = set()
+    for words in {tuple(x.split()) for x in _spellings(core)}:
+        runs = [tuple(run) for held, run in groupby(map(keyword, words), bool) if held]
+        if not runs:
+            return []
+        found.add(" ".join(max(runs, key=len)))
+    return sorted(x for x in found if not any(y != x and f" {y} " in f" {x} " for y in found))
+
+
 def to_regex(pattern: str) -> str:
     """The table's shorthand as a Java (and Python) regular expression."""
     body = pattern.replace("~", GAP_CHAR + "*+").replace(" ", GAP_CHAR + "++")
@@ -164,17 +215,22 @@ def to_regex(pattern: str) -> str:
     return f"(?<!{WORD_CHAR})(?is:{body}){ends}"
 
 
-def rules() -> list[tuple[str, int, str, str, str]]:
-    """``(label, tier, need, hint, regex)``, best first. ``need`` may list alternatives between ``|``."""
-    out = [(label, 4, need, hint, to_regex(p)) for label, need, hint, p in _TEXTS]
+def signatures() -> list[tuple[str, int, str, str, str, str]]:
+    """``(label, tier, need, hint, pattern, core)`` of the rules, best first; ``core`` is the part of the pattern that names the license."""
+    out = [(label, 4, need, hint, p, p) for label, need, hint, p in _TEXTS]
     for label, hint, name, spdx, url in _LICENSES:
         names = "|".join(re.findall(r"(?:^|\|)(?:\(\?:)?([a-z0-9]+)", spdx))
-        out.append((label, 3, "spdx", names, to_regex(rf"spdx license identifier {spdx}")))
+        out.append((label, 3, "spdx", names, rf"spdx license identifier {spdx}", rf"spdx license identifier {spdx}"))
         host = url.split("/")[0].replace("\\", "")
-        out.append((label, 3, host, host, to_regex(rf"(?:https?://)?(?:www\.)?{url}")))
+        out.append((label, 3, host, host, rf"(?:https?://)?(?:www\.)?{url}", url))
     for label, hint, name, _, _ in _LICENSES:
         need = _NAME_NEED.get(label, "licen")
-        out.append((label, 2, need, hint, to_regex(_NOTICE + name)))
+        out.append((label, 2, need, hint, _NOTICE + name, name))
     for label, hint, name, _, _ in _LICENSES:
-        out.append((label, 1, _NAME_NEED.get(label, "licen"), hint, to_regex(name)))
+        out.append((label, 1, _NAME_NEED.get(label, "licen"), hint, name, name))
     return out
+
+
+def rules() -> list[tuple[str, int, str, str, str]]:
+    """``(label, tier, need, hint, regex)``, best first. ``need`` may list alternatives between ``|``."""
+    return [(label, tier, need, hint, to_regex(pattern)) for label, tier, need, hint, pattern, _ in signatures()]

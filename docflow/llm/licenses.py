@@ -1,8 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter, all in DataFrame functions.
 
 One pass over a text reads its words: it counts them and keeps those that are keywords of
-rules. Only the rules whose keywords a text holds run their regular expression. A detection
-is an interval of the text. Overlaps are resolved by priority and containment: of detections
+rules. Only rules whose keywords a text holds, in phrases that every match contains, run
+their regular expression. A detection is an interval of the text. Overlaps are resolved by priority and containment: of detections
 ordered by start, length and tier, one that lies inside another of its own or a higher tier
 is suppressed.
 
@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .carry import free_name
-from .license_rules import BASE, WORD_CHAR, rules, to_regex, whole_words
+from .license_rules import BASE, BESIDE, WORD_CHAR, signatures, telling_phrases, to_regex, whole_words
 
 _SPAN = "array<struct<start:int,end:int>>"
 _DETECTION = "array<struct<start:int,end:int,tier:int,rule:int,label:string>>"
-_RULES = "array<struct<rule:int,label:string,tier:int,hint:array<string>,regex:string>>"
+_RULES = "array<struct<rule:int,label:string,tier:int,hint:array<string>,phrase:array<string>,regex:string>>"
 #: Detections whose running states are kept in one array.
 _BLOCK = 256
 
@@ -64,15 +64,18 @@ def _keyword(words: set[str]) -> str:
 @cache
 def _rule_table() -> tuple[list[dict], dict[str, list[int]], set[str]]:
     """The rules, best first, base phrases last; by each word of a rule's ``need`` the numbers of such rules; all keywords."""
-    table = [*rules()]
-    table += [(label, 0, "cc" if phrase.startswith("cc") else "licen", phrase.split(" ")[0], to_regex(phrase)) for phrase, label in BASE]
-    rows, by_need, keywords = [], {}, set()
-    for k, (label, tier, need, hint, regex) in enumerate(table):
+    table = signatures()
+    table += [(label, 0, "cc" if phrase.startswith("cc") else "licen", phrase.split(" ")[0], phrase, phrase) for phrase, label in BASE]
+    rows, by_need, keywords = [], {}, {*BESIDE}
+    for k, (label, tier, need, hint, pattern, _) in enumerate(table):
+        regex = to_regex(pattern)
         needs, hints = whole_words(need, regex), whole_words(hint, regex)
         keywords |= {*needs, *hints}
         for word in needs:
             by_need.setdefault(word.rstrip("*"), []).append(k)
         rows.append({"rule": k, "label": label, "tier": tier, "hint": [w.rstrip("*") for w in hints], "regex": regex.replace(WORD_CHAR, _AT_WORD)})
+    for row, (*_, core) in zip(rows, table, strict=True):
+        row["phrase"] = [f" {x} " for x in telling_phrases(core, keywords)]
     return rows, by_need, keywords
 
 
@@ -126,10 +129,10 @@ def _detections(text: Column, marks: Column) -> Column:
     table, by_need, _ = _rule_table()
     table, by_need = _literal(table, _RULES), _literal(by_need, "map<string,array<int>>")
 
-    def of_text(t: Column, words: Column) -> Column:
+    def of_text(t: Column, low: Column, words: Column) -> Column:
         numbers = F.flatten(F.filter(F.transform(words, lambda w: F.try_element_at(by_need, w)), F.isnotnull))
         candidates = F.transform(F.array_sort(F.array_distinct(numbers)), lambda k: F.get(table, k))
-        run = F.filter(candidates, lambda r: (F.size(r["hint"]) == 0) | F.arrays_overlap(r["hint"], words))
+        run = F.filter(candidates, lambda r: ((F.size(r["hint"]) == 0) | F.arrays_overlap(r["hint"], words)) & ((F.size(r["phrase"]) == 0) | F.exists(r["phrase"], lambda p: F.contains(low, p))))
         tried = F.transform(run, lambda r: F.struct(r.alias("r"), F.regexp_extract_all(t, r["regex"], F.lit(0)).alias("found")))
         spans = F.transform(
             F.filter(tried, lambda x: F.size(x["found"]) > 0),
@@ -141,7 +144,7 @@ def _detections(text: Column, marks: Column) -> Column:
         return F.flatten(spans)
 
     words = F.array_distinct(F.split(F.lower(F.trim(marks)), " +"))
-    found = _bind(F.struct(text.alias("t"), words.alias("words")), lambda x: of_text(x["t"], x["words"]))
+    found = _bind(F.struct(text.alias("t"), F.lower(marks).alias("low"), words.alias("words")), lambda x: of_text(x["t"], x["low"], x["words"]))
     return F.when(F.trim(marks) != "", found).otherwise(F.array().cast(_DETECTION))
 
 

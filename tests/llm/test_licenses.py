@@ -9,7 +9,7 @@ from llm_data import empty_documents, messy_documents
 from pyspark.sql import functions as F
 
 from docflow.llm.license_rules import BASE, rules, to_regex, whole_words
-from docflow.llm.licenses import _marks, _states, detect, scan_licenses
+from docflow.llm.licenses import _marks, _rule_table, _states, detect, scan_licenses
 
 PHRASES = [
     "GNU General Public License, version 3", "Licensed under the Apache License, Version 2.0.", "apache  license", "CC BY-NC 4.0", "cc-by",
@@ -179,7 +179,24 @@ def test_work_grows_with_the_detections_not_their_square(spark):
     assert [(d["start"], d["end"]) for d in r["detections"]] == [(15 * k, 15 * k + 11) for k in range(n)]
 
 
+def test_rules_run_by_neighbouring_keywords(spark):
+    """What may stand together or apart is found both ways; every rule has phrases to look for first."""
+    texts = [
+        "noncommercial use only", "For non - commercial use only.", "Copyright ©2019", "copyright © 2019~2021", "Copyright (C) 1999", "CC-BY NC SA v4.0", "cc by nc sa v. 4.0",
+        "Creative Commons Attribution-Non-Commercial-No Derivs", "creative commons attribution noncommercial noderivatives", "GPL v3", "gpl v-3.0+", "http://www.opensource.org/license/mit",
+        "SPDX-License-Identifier: GPL-2.0-or-later+", "SPDX_LICENSE_IDENTIFIER PSF-2.0", "may not be reproduced in any form, without the prior express written consent", "©opyright c 2019",
+        "You may not use this file except in compliance with the Licensed; see xApaches", "neither the name of A, B and C may be used to endorse or promote products",
+        "public or software, license only later than either version; research for use only; commercial library business permission fee source licensed",
+    ]
+    got = {r["text"]: r for r in scan_licenses(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    for t in texts:
+        kept = sorted((d["start"], d["end"], d["tier"], d["rule"], d["label"]) for d in got[t]["detections"])
+        assert kept == brute(t)[-1], t
+    assert [t for t in texts if not got[t]["detections"]] == [texts[15], texts[-1]]
+    assert all(r["phrase"] for r in _rule_table()[0])
+
+
 def test_scan_reads_texts_once(spark):
-    """Counting words and testing keywords are one pass: no substring test or word list per keyword over each text."""
+    """Words are counted and keywords found in one pass: substring tests are for phrases in the marks, texts make no word list."""
     plan = scan_licenses(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString().lower()
-    assert "contains(" not in plan and "regexp_count" not in plan and "from_json" not in plan
+    assert plan.count("contains(") == 1 and "size(regexp_extract_all(text" not in plan and "from_json" not in plan
