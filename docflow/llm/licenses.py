@@ -2,9 +2,9 @@
 
 One pass over a text reads its words: it counts them and keeps those that are keywords of
 rules. Only rules whose keywords a text holds, in phrases that every match contains, run
-their regular expression. A detection is an interval of the text. Overlaps are resolved by priority and containment: of detections
-ordered by start, length and tier, one that lies inside another of its own or a higher tier
-is suppressed.
+their regular expression. A detection is an interval of the text. Overlaps are resolved by
+priority and containment: of detections ordered by start, length and tier, one that lies
+inside another of its own or a higher tier is suppressed.
 
 No shuffle, no Python on the executors: one narrow projection over the scan; what is
 kept per document grows with its own detections only, and so does the work on them.
